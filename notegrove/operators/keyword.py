@@ -177,15 +177,15 @@ def bm25_search(
 def with_rows(
     hits: DataFrame, reviews: DataFrame, columns: Sequence[str], at_most: int | None = None
 ) -> DataFrame:
-    """Hits with the displayed columns of their records.
+    """Hits with those of the displayed columns that their records have.
 
     With ``at_most``, the proven number of hits (queries times k), a small list of hits is
     broadcast and the records are not shuffled.
     """
-    keep = [c for c in columns if c not in hits.columns]
+    keep = [c for c in columns if c in reviews.columns and c not in hits.columns]
     small = at_most is not None and at_most <= MAX_PARAMETER_ROWS
     side = F.broadcast(hits) if small else hits
-    return reviews.select("id", *[c for c in keep if c != "id"]).join(side, "id")
+    return reviews.select("id", *keep).join(side, "id")
 
 
 def ranked_search(

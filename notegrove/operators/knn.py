@@ -49,6 +49,15 @@ class BestOf:
         self.k = k
         self.ids = [np.empty(0, dtype=np.int64)] * n_queries
         self.scores = [np.empty(0)] * n_queries
+        # The score a row must reach to matter, per query.
+        self.floor = np.full(n_queries, -np.inf)
+
+    def add_all(self, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Scores of all queries, one column each; only columns that gain are touched."""
+        scores = np.round(scores, DIGITS)
+        enough = scores >= self.floor
+        for j in np.nonzero(enough.any(axis=0))[0]:
+            self.add(j, ids[enough[:, j]], scores[enough[:, j], j])
 
     def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
         scores = np.round(scores, DIGITS)
@@ -60,6 +69,8 @@ class BestOf:
         scores = np.concatenate([self.scores[query], scores])
         best = np.lexsort((ids, -scores))[: self.k]
         self.ids[query], self.scores[query] = ids[best], scores[best]
+        if len(best) == self.k:
+            self.floor[query] = self.scores[query][-1]
 
     def rows(self, names: pa.Array) -> pa.RecordBatch:
         sizes = [len(i) for i in self.ids]
@@ -154,9 +165,7 @@ def _scan(spark, names: pa.Array, matrix: np.ndarray, k: int):
             ids = batch.column("id").to_numpy()
             rows = unit_rows(matrix_of(batch.column("vector"), q.shape[1]))
             for at in range(0, len(ids), step):
-                scores = rows[at : at + step] @ q.T
-                for j in range(len(qids)):
-                    best.add(j, ids[at : at + step], scores[:, j])
+                best.add_all(ids[at : at + step], rows[at : at + step] @ q.T)
         yield best.rows(qids)
 
     return scan
