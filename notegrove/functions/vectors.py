@@ -17,9 +17,14 @@ def norm(a: Column) -> Column:
 
 def unit(a: Column) -> Column:
     """The vector scaled to length one; a zero vector stays as it is."""
-    length = norm(a)
-    scaled = F.transform(a, lambda x: (x.cast("double") / length).cast("float"))
-    return F.when(length > 0, scaled).otherwise(a.cast("array<float>"))
+    # The one-element array binds the length, which is then worked out once per vector.
+    return F.transform(
+        F.array(norm(a)),
+        lambda length: F.transform(
+            a,
+            lambda x: F.when(length > 0, x.cast("double") / length).otherwise(0.0).cast("float"),
+        ),
+    )[0]
 
 
 def cosine(a: Column, b: Column) -> Column:

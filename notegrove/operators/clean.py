@@ -72,11 +72,12 @@ def price_label(col: Column) -> Column:
 def parse(lines: DataFrame, profile: CleanProfile = KEYWORD) -> DataFrame:
     """``raw, input_file, reason`` plus the typed fields; ``reason`` is null for good rows."""
     record = F.col("record")
-    parsed = lines.withColumn("record", F.from_json("line", "map<string,string>"))
-    return parsed.select(
+    # A generated column, so that no filter or projection is merged into the parsing and
+    # every line is parsed once however many fields and checks look at it.
+    once = F.explode(F.array(F.from_json("line", "map<string,string>"))).alias("record")
+    return lines.select("line", "input_file", once).select(
         F.col("line").alias("raw"),
         "input_file",
-        "record",
         _reason(record).alias("reason"),
         *[_typed(record, f).alias(f) for f in FIELDS if f != "country"],
         strip(fill_missing(record["country"], profile.blanks)).alias("country"),

@@ -17,7 +17,6 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.functions.vectors import unit
 from notegrove.operators.knn import (
     QUERY_BLOCK_BYTES,
     TILE_SCORES,
@@ -60,10 +59,11 @@ def build_ann_index(
     spark = vectors.sparkSession
     path = path or new_folder(spark, "ann-index")
     rows = vectors.select(
-        F.col(id_col).cast("long").alias("id"), unit(F.col(vector_col)).alias("vector")
+        F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")
     ).where(F.col("vector").isNotNull())
-    rows.write.parquet(f"{path}/unit")
-    rows = spark.read.parquet(f"{path}/unit")
+    # Training reads the vectors once per round: from a file, not from their lineage.
+    rows.write.parquet(f"{path}/vectors")
+    rows = spark.read.parquet(f"{path}/vectors")
 
     n = rows.count()
     if n == 0:
@@ -155,6 +155,8 @@ def _nearest(points: np.ndarray, book: np.ndarray) -> np.ndarray:
 
 
 def _residuals(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest list of each vector, and what its centre leaves of the unit vector."""
+    vectors = unit_rows(vectors)
     lists = np.argmax(vectors @ centroids.T, axis=1)
     return lists, vectors - centroids[lists]
 

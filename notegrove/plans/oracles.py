@@ -389,20 +389,45 @@ SELECT qid, count(*) AS n_docs FROM found GROUP BY 1"""
 _VOCABULARY = f"vocabulary AS (SELECT DISTINCT unnest({tokens('text', ASCII)}) AS term FROM documents)"
 
 
-def expansion(words: list[str], distance: str = "damerau_levenshtein", one=3, two=6) -> str:
+def swap_within(a: str, b: str, edits: str) -> str:
+    """At most ``edits`` (0 to 2) edits, an exchange of neighbours being one.
+
+    The built-in distance also lets an inserted letter part the exchanged ones. That makes
+    a difference only with two edits and lengths one apart; there, the exchange has to be
+    done on neighbours of the longer word first.
+    """
+    longer = f"CASE WHEN length({a}) > length({b}) THEN {a} ELSE {b} END"
+    shorter = f"CASE WHEN length({a}) > length({b}) THEN {b} ELSE {a} END"
+    swapped = (
+        f"substr({longer}, 1, p - 1) || substr({longer}, p + 1, 1) "
+        f"|| substr({longer}, p, 1) || substr({longer}, p + 2)"
+    )
+    return f"""(abs(length({a}) - length({b})) <= {edits}
+      AND damerau_levenshtein({a}, {b}) <= {edits}
+      AND (damerau_levenshtein({a}, {b}) < 2 OR length({a}) = length({b})
+           OR levenshtein({a}, {b}) <= {edits}
+           OR len(list_filter(range(1, length({longer})),
+                              lambda p: levenshtein({swapped}, {shorter}) <= 1)) > 0))"""
+
+
+def expansion(words: list[str], swaps: bool = True) -> str:
     """``found(word, term, typos)`` within the automatic budget of each word."""
     listed = ", ".join(f"'{w}'" for w in words)
+    if swaps:
+        distance, near = "damerau_levenshtein(word, term)", swap_within("word", "term", "edits")
+    else:
+        distance = "levenshtein(word, term)"
+        near = f"abs(length(word) - length(term)) <= edits AND {distance} <= edits"
     return f"""{_VOCABULARY},
-asked AS (SELECT word, CASE WHEN length(word) < {one} THEN 0 WHEN length(word) < {two} THEN 1
+asked AS (SELECT word, CASE WHEN length(word) < 3 THEN 0 WHEN length(word) < 6 THEN 1
                             ELSE 2 END AS edits FROM (SELECT unnest([{listed}]) AS word)),
-found AS (SELECT word, term, CAST({distance}(word, term) AS INTEGER) AS typos
-          FROM asked JOIN vocabulary ON abs(length(word) - length(term)) <= edits
-            AND {distance}(word, term) <= edits)"""
+found AS (SELECT word, term, CAST({distance} AS INTEGER) AS typos
+          FROM asked JOIN vocabulary ON {near})"""
 
 
 _FUZZY_WORDS = ["thanedble", "eriner", "anea", "it", "wiht"]
 
-FUZZY_EXPAND = f"""WITH {expansion(_FUZZY_WORDS, 'levenshtein')}
+FUZZY_EXPAND = f"""WITH {expansion(_FUZZY_WORDS, swaps=False)}
 SELECT word, term, typos FROM found"""
 
 TRANSPOSITION_EXPAND = f"""WITH {expansion(_FUZZY_WORDS)} SELECT word, term, typos FROM found"""
@@ -438,7 +463,7 @@ found AS (
               ELSE damerau_levenshtein(word, term) END AS typos,
          (word = '{last}' AND starts_with(term, word) AND term <> word) AS by_prefix
   FROM budget JOIN vocabulary
-    ON (abs(length(word) - length(term)) <= edits AND damerau_levenshtein(word, term) <= edits)
+    ON {swap_within('word', 'term', 'edits')}
        OR (word = '{last}' AND starts_with(term, word))),
 hits AS (SELECT f.no, f.typos, f.by_prefix, p.id, p.field, p.pos
          FROM found f JOIN places p ON f.term = p.term),
