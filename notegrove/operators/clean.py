@@ -137,7 +137,8 @@ def _reason(record: Column) -> Column:
             failed = raw.isNotNull() & _typed(record, f).isNull()
             checks.append(F.when(failed, F.lit(f"type:{f}")))
     points = to_integer(_value(record, "points"))
-    checks.append(F.when(points != points.try_cast("int").cast("bigint"), F.lit("type:points")))
+    too_big = points.isNotNull() & points.try_cast("int").isNull()
+    checks.append(F.when(too_big, F.lit("type:points")))
     found = F.array_join(F.array_compact(F.array(*checks)), ";")
     return F.when(record.isNull(), F.lit("not_json")).when(found != "", found)
 
