@@ -44,7 +44,7 @@ def expand_words(
         candidates = _by_shared_keys(wanted, vocabulary, transpositions)
     else:
         candidates = _by_scan(listed, vocabulary, transpositions)
-    return _measured(candidates, transpositions)
+    return _measured(candidates.distinct(), transpositions)
 
 
 def _reach(edits: Column, transpositions: bool) -> Column:
@@ -54,20 +54,18 @@ def _reach(edits: Column, transpositions: bool) -> Column:
 
 def _by_scan(listed, vocabulary: DataFrame, transpositions: bool) -> DataFrame:
     if not listed:
-        listed = []
-        vocabulary = vocabulary.where(F.lit(False))
+        listed, vocabulary = [("", 0, False)], vocabulary.where(F.lit(False))
     options = F.array(
         *[
             F.struct(
-                F.lit(r["word"]).alias("word"),
-                F.lit(r["edits"]).alias("edits"),
-                F.lit(r["prefix"]).alias("prefix"),
+                F.lit(word).alias("word"),
+                F.lit(edits).alias("edits"),
+                F.lit(prefix).alias("prefix"),
             )
-            for r in listed
+            for word, edits, prefix in listed
         ]
-        or [F.expr("named_struct('word', '', 'edits', 0, 'prefix', false)")]
     )
-    most = max([r["edits"] for r in listed], default=0) * (2 if transpositions else 1)
+    most = max(edits for _, edits, _ in listed) * (2 if transpositions else 1)
     term = F.col("term")
 
     def near(q: Column) -> Column:
@@ -95,7 +93,7 @@ def _by_shared_keys(
             "*", F.explode(deletions(F.col("word"), edits)).alias("key")
         )
         budgets = part if budgets is None else budgets.unionByName(part)
-    fuzzy = by_key.join(budgets, "key").drop("key").distinct()
+    fuzzy = by_key.join(budgets, "key").drop("key")
     fuzzy = fuzzy.where(F.abs(F.length("term") - F.length("word")) <= F.col("edits"))
 
     starts = wanted.where(F.col("prefix"))
@@ -107,7 +105,7 @@ def _by_shared_keys(
         ).alias("n"),
     ).select("term", F.col("term").substr(F.lit(1), F.col("n")).alias("word"))
     by_prefix = prefixes.join(starts, "word").select(*fuzzy.columns)
-    return fuzzy.unionByName(by_prefix).distinct()
+    return fuzzy.unionByName(by_prefix)
 
 
 def _measured(candidates: DataFrame, transpositions: bool) -> DataFrame:

@@ -30,7 +30,6 @@ from notegrove.schema import ANN_LISTS, ANN_PROBES, ANN_SUBVECTORS, TOP_K
 from notegrove.workspace import MAX_PARAMETER_ROWS, new_folder
 
 CODES = 256  # one byte per sub-vector
-LIST_SLICES = 8
 
 
 @dataclass(frozen=True)
@@ -74,14 +73,16 @@ def build_ann_index(
     centroids = _coarse(rows, min(lists, n), seed)
     books = _codebooks(rows, centroids, subvectors, max(1, min(codes, n // 4)), rounds)
 
-    # A list may hold a third of all rows: slices of the id spread it over several tasks.
+    # A list may hold a third of all rows: it is cut into slices of an even size.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = rows.mapInArrow(_list_sizes(spark, centroids), "list_id int, n long")
+    slices = [1] * len(centroids)
+    for r in sizes.groupBy("list_id").agg(F.sum("n").alias("n")).collect():
+        slices[r["list_id"]] = -(-r["n"] * 2 * tasks // n)
     schema = "id long, vector array<float>, codes binary, list_id int"
     encoded = rows.mapInArrow(_encoder(spark, centroids, books), schema)
-    (
-        encoded.repartition("list_id", F.pmod(F.xxhash64("id"), F.lit(LIST_SLICES)))
-        .write.partitionBy("list_id")
-        .parquet(f"{path}/lists")
-    )
+    cut = F.pmod(F.xxhash64("id"), F.get(F.lit(slices), F.col("list_id")))
+    encoded.repartition("list_id", cut).write.partitionBy("list_id").parquet(f"{path}/lists")
     return AnnIndex(path, centroids, books, spark.read.parquet(f"{path}/lists"))
 
 
@@ -104,7 +105,8 @@ def ann_search(
     search. ``nprobes`` beyond the number of lists means all of them.
     """
     found = None
-    for names, matrix in query_blocks(queries, vector_col, max_block_bytes):
+    dim = index.centroids.shape[1]
+    for names, matrix in query_blocks(queries, vector_col, dim, max_block_bytes):
         part = _search_block(index, names, matrix, queries, k, nprobes, refine, quantised)
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -216,6 +218,21 @@ def _partial_sums(shared):
     return run
 
 
+def _list_sizes(spark: SparkSession, centroids: np.ndarray):
+    shared = spark.sparkContext.broadcast(centroids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centroids = shared.value
+        counts = np.zeros(len(centroids), dtype=np.int64)
+        for batch in batches:
+            vectors = matrix_of(batch.column("vector"), centroids.shape[1])
+            counts += np.bincount(_residuals(vectors, centroids)[0], minlength=len(counts))
+        lists = np.arange(len(counts), dtype=np.int32)
+        yield pa.RecordBatch.from_pydict({"list_id": lists, "n": counts})
+
+    return run
+
+
 def _encoder(spark: SparkSession, centroids: np.ndarray, books: np.ndarray):
     shared = spark.sparkContext.broadcast((centroids, books))
 

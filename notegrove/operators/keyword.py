@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from notegrove.functions.edits import auto_edits, typo_edits
@@ -23,39 +23,47 @@ from notegrove.workspace import MAX_PARAMETER_ROWS, bounded_rows, small_frame
 
 # Longer lists of terms prune by bucket only.
 MAX_TERM_FILTER = 1000
+# Parts a term's postings are cut into when the query side is too large to broadcast.
+JOIN_SLICES = 16
 FAR = 8  # fixed value: the largest distance two query words are charged for
 
 
 def _lookup(index: TextIndex, words: DataFrame, fields: Sequence[str] | None) -> DataFrame:
     """``words`` joined to the statistics of their ``term``, per field."""
-    stats = index.terms_of(fields)
+    words = words.withColumn("bucket", bucket_of(F.col("term"), index.buckets))
     rows = bounded_rows(words)
+    stats = index.terms_of(fields)
     if rows is None:
-        return stats.join(words, "term")
+        return stats.join(words, ["bucket", "term"])
+    small = small_frame(index.term_stats.sparkSession, rows, words)
+    return _only(stats, rows).join(small, ["bucket", "term"])
+
+
+def _only(stored: DataFrame, rows: list[Row]) -> DataFrame:
+    """The part of a bucketed table that can hold the rows' terms: other folders are not
+    opened, and a short list of terms also skips row groups."""
+    stored = stored.where(F.col("bucket").isin(sorted({r["bucket"] for r in rows})))
     terms = sorted({r["term"] for r in rows})
-    if len(terms) <= MAX_TERM_FILTER:
-        stats = stats.where(F.col("term").isin(terms))
-    return stats.join(small_frame(index.term_stats.sparkSession, rows, words), "term")
+    return stored.where(F.col("term").isin(terms)) if len(terms) <= MAX_TERM_FILTER else stored
 
 
 def matches(index: TextIndex, wanted: DataFrame) -> tuple[DataFrame, int | None]:
-    """Postings of ``wanted(qid, word_no, term, field, ...)`` and the highest word number.
+    """Postings of ``wanted(qid, word_no, bucket, term, field, ...)`` and the highest word
+    number.
 
     The number is None when the wanted terms are too many to hold; then both sides shuffle.
     """
-    wanted = wanted.withColumn("bucket", bucket_of(F.col("term"), index.buckets))
+    keys = ["bucket", "term", "field"]
     rows = bounded_rows(wanted)
     if rows is None:
-        return index.postings.join(wanted, ["bucket", "term", "field"]), None
-    postings = index.postings.where(F.col("bucket").isin(sorted({r["bucket"] for r in rows})))
-    terms = sorted({r["term"] for r in rows})
-    if len(terms) <= MAX_TERM_FILTER:
-        postings = postings.where(F.col("term").isin(terms))
+        # The postings of a frequent term go to many tasks, its few wanted rows to each.
+        slices = F.sequence(F.lit(0), F.lit(JOIN_SLICES - 1)).cast("array<bigint>")
+        postings = index.postings.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(JOIN_SLICES)))
+        wanted = wanted.withColumn("slice", F.explode(slices))
+        return postings.join(wanted, [*keys, "slice"]).drop("slice"), None
     small = small_frame(index.postings.sparkSession, rows, wanted)
-    return (
-        postings.join(small, ["bucket", "term", "field"]),
-        max([r["word_no"] for r in rows], default=0),
-    )
+    last = max([r["word_no"] for r in rows], default=0)
+    return _only(index.postings, rows).join(small, keys), last
 
 
 def distinct_words(last: int | None) -> Column:
@@ -95,19 +103,15 @@ def phrase_match(
 ) -> DataFrame:
     """``qid, id`` of records where the query's words follow each other in one field."""
     wanted = _lookup(index, _plain_words(index, queries, distinct=False), fields)
-    hits, last = matches(index, wanted)
-    begins = hits.select(
-        "qid",
-        "id",
-        "field",
-        "word_no",
-        "n_words",
-        F.explode(F.transform("positions", lambda p: p - F.col("word_no"))).alias("begin"),
-    )
-    whole = begins.groupBy("qid", "id", "field", "begin", "n_words").agg(
-        distinct_words(last).alias("found")
+    hits, _ = matches(index, wanted)
+    # Where the phrase would begin for each place of each word; it stands where all agree.
+    begins = F.transform("positions", lambda p: p - F.col("word_no"))
+    grouped = hits.groupBy("qid", "id", "field", "n_words").agg(
+        F.collect_list(begins).alias("begins")
     )
-    return whole.where(F.col("found") == F.col("n_words")).select("qid", "id").distinct()
+    agreed = F.aggregate("begins", F.col("begins")[0], F.array_intersect)
+    whole = (F.size("begins") == F.col("n_words")) & (F.size(agreed) > 0)
+    return grouped.where(whole).select("qid", "id").distinct()
 
 
 def min_should_match(
@@ -148,6 +152,7 @@ def bm25_scores(
     weighted = wanted.join(sizes, "field").select(
         "qid",
         "word_no",
+        "bucket",
         "term",
         "field",
         "mean_len",
@@ -213,7 +218,8 @@ def ranked_search(
         F.col("is_last").alias("prefix"),
     )
     vocabulary = index.vocabulary(fields).where(~F.col("term").isin(list(spec.stop_words)))
-    found = expand_words(asked.groupBy("word", "edits").agg(F.max("prefix").alias("prefix")), vocabulary)
+    asked = asked.groupBy("word", "edits").agg(F.max("prefix").alias("prefix"))
+    found = expand_words(asked, vocabulary)
     resolved = words.join(found, "word").where(~F.col("by_prefix") | F.col("is_last"))
     wanted = _lookup(
         index,

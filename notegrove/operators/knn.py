@@ -86,13 +86,9 @@ class BestOf:
 
 
 def query_blocks(
-    queries: DataFrame, vector_col: str, max_bytes: int = QUERY_BLOCK_BYTES
+    queries: DataFrame, vector_col: str, dim: int, max_bytes: int = QUERY_BLOCK_BYTES
 ) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """The queries' ids and unit vectors, in blocks of bounded size."""
-    head = queries.select(F.size(vector_col).alias("dim")).first()
-    if head is None:
-        return
-    dim = head["dim"]
     name_type = to_arrow_type(queries.schema["qid"].dataType)
     most = max(1, max_bytes // (8 * dim))
     rows = queries.select("qid", vector_col).limit(most + 1).collect()
@@ -106,9 +102,11 @@ def query_blocks(
         )
     for block in blocks:
         if block:
-            vectors = np.array([r[vector_col] for r in block], dtype=np.float64)
+            vectors = [r[vector_col] for r in block]
+            if any(v is None or len(v) != dim for v in vectors):
+                raise ValueError(f"every query vector must have {dim} numbers")
             names = pa.array([r["qid"] for r in block], type=name_type)
-            yield names, unit_rows(vectors.reshape(len(block), dim))
+            yield names, unit_rows(np.array(vectors, dtype=np.float64))
 
 
 def knn(
@@ -126,6 +124,7 @@ def knn(
     ``prefilter`` is applied to the rows before the search, so k rows come back whenever
     that many pass. To filter afterwards, join the hits to their rows and use ``where``.
     """
+    head = vectors.where(F.col(vector_col).isNotNull()).select(F.size(vector_col).alias("n")).first()
     if prefilter is not None:
         vectors = vectors.where(prefilter)
     rows = vectors.select(
@@ -140,7 +139,8 @@ def knn(
         ]
     )
     found = None
-    for names, matrix in query_blocks(queries, vector_col, max_block_bytes):
+    blocks = query_blocks(queries, vector_col, head["n"], max_block_bytes) if head else ()
+    for names, matrix in blocks:
         part = top_k_per(
             rows.mapInArrow(_scan(rows.sparkSession, names, matrix, k), schema),
             ["qid"],

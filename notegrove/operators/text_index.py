@@ -1,8 +1,8 @@
 """The inverted index: built once as Parquet tables, then read by every text question.
 
 ``forward``      id, field, len, terms[term, tf, positions]   one row per text, no shuffle
+``term_stats``   bucket=..., term, field, df
 ``postings``     bucket=..., term, field, id, len, tf, positions
-``term_stats``   term, field, df
 ``field_stats``  field, n_docs, mean_len
 """
 
@@ -30,8 +30,8 @@ class TextIndex:
     field_stats: DataFrame
 
     def vocabulary(self, fields: Sequence[str] | None = None) -> DataFrame:
-        """The distinct indexed terms."""
-        return self.terms_of(fields).select("term").distinct()
+        """The indexed terms, once per field they occur in."""
+        return self.terms_of(fields).select("term")
 
     def terms_of(self, fields: Sequence[str] | None = None) -> DataFrame:
         stats = self.term_stats
@@ -102,38 +102,58 @@ def build_index(
     *,
     id_col: str = "id",
     buckets: int | None = None,
-    splits: int = 4,
     path: str | None = None,
 ) -> TextIndex:
     """Write the index of ``fields`` and open it.
 
-    The forward table needs no shuffle; the postings need one. They are hashed on the term
-    bucket and on ``splits`` slices of the id, so a term found in every record is written
-    by ``splits`` tasks instead of one. ``buckets`` defaults to the session's shuffle
-    partitions; aim at a few hundred MB per bucket and slice.
+    The texts are tokenised once, into the forward table, without a shuffle. The postings
+    then take one shuffle, hashed on the term's bucket; the terms too frequent for one
+    task are cut into slices of the id first, as many as their counts ask for. ``buckets``
+    defaults to the session's shuffle partitions; aim at a few hundred MB per bucket.
     """
     spark = reviews.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = path or new_folder(spark, "text-index")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or tasks
     forward_rows(reviews, fields, analyzer, id_col).write.parquet(f"{path}/forward")
     forward = spark.read.parquet(f"{path}/forward")
 
-    rows = (
-        forward.select("id", "field", "len", F.inline("terms"))
+    def place(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.repartition(tasks, "bucket", *keys)
+
+    counts = (
+        forward.select("field", F.explode("terms.term").alias("term"))
+        .groupBy("term", "field")
+        .agg(F.count(F.lit(1)).alias("df"))
         .withColumn("bucket", bucket_of(F.col("term"), buckets))
-        .withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(splits)))
+    )
+    place(counts).sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(
+        f"{path}/term_stats"
+    )
+    term_stats = spark.read.parquet(f"{path}/term_stats")
+
+    rows = forward.select("id", "field", "len", F.inline("terms")).withColumn(
+        "bucket", bucket_of(F.col("term"), buckets)
+    )
+    # At most ``4 * tasks`` terms can hold more than that share of all postings.
+    total = term_stats.agg(F.sum("df").alias("n")).first()["n"] or 0
+    share = max(1, total // (4 * tasks))
+    frequent = (
+        term_stats.groupBy("term")
+        .agg(F.sum("df").alias("n"))
+        .where(F.col("n") > share)
+        .select("term", F.ceil(F.col("n") / share).alias("slices"))
+    )
+    sliced = rows.join(F.broadcast(frequent), "term", "left").withColumn(
+        "slice", F.pmod(F.xxhash64("id"), F.coalesce("slices", F.lit(1)))
     )
     (
-        rows.repartition(buckets * splits, "bucket", "slice")
+        place(sliced, "slice")
         .sortWithinPartitions("bucket", "term", "field", "id")
         .select("bucket", "term", "field", "id", "len", "tf", "positions")
         .write.partitionBy("bucket")
         .parquet(f"{path}/postings")
     )
-    postings = spark.read.parquet(f"{path}/postings")
-
-    term_stats = postings.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"))
-    term_stats.write.parquet(f"{path}/term_stats")
     field_stats = forward.groupBy("field").agg(
         F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("mean_len")
     )

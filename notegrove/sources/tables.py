@@ -34,9 +34,11 @@ def append_rows(df: DataFrame, path: str) -> None:
 def write_lookup(
     df: DataFrame, path: str, sort_by: Sequence[str], partition_by: Sequence[str] = ()
 ) -> None:
-    """Rows sorted by their lookup keys inside each file, so Parquet statistics skip the
-    row groups (and folders, with ``partition_by``) an equality filter cannot match."""
-    out = df.sortWithinPartitions(*partition_by, *sort_by).write.mode("overwrite")
+    """Rows ordered by their lookup keys, so Parquet statistics skip the files and row
+    groups (and folders, with ``partition_by``) an equality filter cannot match. Ranges
+    over all keys cut a frequent value into several files."""
+    keys = [*partition_by, *sort_by]
+    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)

@@ -41,7 +41,7 @@ def reviews(spark):
 
 @pytest.fixture(scope="module")
 def index(reviews):
-    return build_index(reviews, ["title", "description", "variety"], buckets=4, splits=2)
+    return build_index(reviews, ["title", "description", "variety"], buckets=4)
 
 
 def ask(spark, *texts):

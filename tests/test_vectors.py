@@ -80,8 +80,12 @@ def test_filter_before_or_after(vectors, queries, data):
 
 def test_wrong_dimension_is_refused(spark, queries):
     bad = spark.createDataFrame([(1, [1.0, 2.0])], "id long, vector array<float>")
+    with pytest.raises(ValueError, match="every query vector must have 2 numbers"):
+        knn(bad, queries)
+    rows = [(1, [1.0] * DIM), (2, [1.0])]
+    mixed = spark.createDataFrame(rows, "id long, vector array<float>").coalesce(1)
     with pytest.raises(Exception, match="every vector must have 16 numbers"):
-        knn(bad, queries).collect()
+        knn(mixed, queries).collect()
 
 
 def test_no_vector_is_shuffled(vectors, queries, plan):
