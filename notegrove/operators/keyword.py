@@ -2,7 +2,9 @@
 
 A batch is a frame ``queries(qid, terms)``. The query side is resolved against the stored
 term statistics first; only its size-checked result is broadcast, and its buckets and
-terms prune the postings scan. Matches then shuffle by record, never whole postings.
+terms prune the postings scan. Matches, never whole postings, then shuffle once by record
+id: that one exchange serves the grouping by query and record, the windows, and the join
+with the records that pass the filters.
 """
 
 from __future__ import annotations
@@ -67,10 +69,8 @@ def matches(index: TextIndex, wanted: DataFrame) -> tuple[DataFrame, int | None]
 
 
 def distinct_words(last: int | None) -> Column:
-    """How many different words of a query a group of matches holds.
-
-    Word numbers become bits, so the count combines before the shuffle like a sum.
-    """
+    """How many different words of a query a group of matches holds: word numbers become
+    bits, so the count is as cheap as a sum."""
     if last is None:
         return F.size(F.collect_set("word_no"))
     parts = []
@@ -95,7 +95,7 @@ def any_match(
     """``qid, id`` of records with at least one query word in any of the fields."""
     wanted = _lookup(index, _plain_words(index, queries), fields)
     hits, _ = matches(index, wanted)
-    return hits.select("qid", "id").distinct()
+    return hits.select("qid", "id").repartition("id").distinct()
 
 
 def phrase_match(
@@ -106,8 +106,9 @@ def phrase_match(
     hits, _ = matches(index, wanted)
     # Where the phrase would begin for each place of each word; it stands where all agree.
     begins = F.transform("positions", lambda p: p - F.col("word_no"))
-    grouped = hits.groupBy("qid", "id", "field", "n_words").agg(
-        F.collect_list(begins).alias("begins")
+    placed = hits.select("qid", "id", "field", "n_words", begins.alias("begin"))
+    grouped = placed.repartition("id").groupBy("qid", "id", "field", "n_words").agg(
+        F.collect_list("begin").alias("begins")
     )
     agreed = F.aggregate("begins", F.col("begins")[0], F.array_intersect)
     whole = (F.size("begins") == F.col("n_words")) & (F.size(agreed) > 0)
@@ -134,6 +135,7 @@ def min_should_match(
         words = words.withColumn("term", F.col("word"))
     wanted = _lookup(index, words.select("qid", "word_no", "n_words", "term"), fields)
     hits, last = matches(index, wanted)
+    hits = hits.select("qid", "id", "field", "n_words", "word_no").repartition("id")
     counted = hits.groupBy("qid", "id", "field", "n_words").agg(distinct_words(last).alias("n"))
     enough = counted.where(F.col("n") >= F.least(F.lit(minimum), F.col("n_words")))
     return enough.select("qid", "id").distinct()
@@ -160,7 +162,8 @@ def bm25_scores(
     )
     hits, _ = matches(index, weighted)
     part = bm25(F.col("tf"), F.col("len"), F.col("mean_len"), F.col("weight"))
-    return hits.groupBy("qid", "id").agg(F.round(F.sum(part), 6).alias("score"))
+    parts = hits.select("qid", "id", part.alias("part")).repartition("id")
+    return parts.groupBy("qid", "id").agg(F.round(F.sum("part"), 6).alias("score"))
 
 
 def bm25_search(
@@ -226,32 +229,8 @@ def ranked_search(
         resolved.select("qid", "word_no", "n_words", "term", "typos", "by_prefix"),
         fields,
     )
-    hits, last = matches(index, wanted)
-    # One shuffle by query and record; every step below works inside its partitions.
-    hits = hits.select(
-        "qid", "id", "word_no", "n_words", "field", "typos", "by_prefix", "positions"
-    ).repartition("qid", "id")
-
-    place = F.element_at(
-        F.create_map(*[F.lit(x) for i, f in enumerate(fields) for x in (f, i)]), F.col("field")
-    )
-    per_word = hits.groupBy("qid", "id", "word_no").agg(
-        F.max("n_words").alias("n_words"),
-        F.min("typos").alias("typos"),
-        F.min(place).alias("place"),
-        F.max(((F.col("typos") == 0) & ~F.col("by_prefix")).cast("int")).alias("as_typed"),
-    )
-    per_record = per_word.groupBy("qid", "id").agg(
-        F.max("n_words").alias("n_words"),
-        F.count(F.lit(1)).alias("words"),
-        F.sum("typos").alias("typos"),
-        F.min("place").alias("attribute"),
-        F.sum("as_typed").alias("exactness"),
-    )
-    scored = per_record.join(_closeness(hits), ["qid", "id"], "left").withColumn(
-        "proximity",
-        F.lit(FAR) * (F.col("n_words") - 1) - F.coalesce(F.col("gained"), F.lit(0)),
-    )
+    hits, _ = matches(index, wanted)
+    scored = _rule_values(hits, fields)
     order = [
         F.desc("words"),
         F.asc("typos"),
@@ -262,42 +241,66 @@ def ranked_search(
         F.desc("points"),
         F.asc("id"),
     ]
-    ranked = top_k_per(scored.join(candidates, "id"), ["qid"], order, spec.cap(k))
-    return ranked.drop("n_words", "gained")
+    return top_k_per(scored.join(candidates, "id"), ["qid"], order, spec.cap(k))
 
 
-def _closeness(hits: DataFrame) -> DataFrame:
-    """``qid, id, gained``: how far below ``FAR`` the successive word pairs come in total.
+def _rule_values(hits: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """``qid, id, words, typos, proximity, attribute, exactness`` of every matched record.
 
-    Every position is compared only with the nearest earlier position of the other word
-    (a running maximum), never with all of them.
+    A position stands in two pairs of successive words, leading one and following in the
+    other. In its pair it is compared only with the nearest earlier position of the other
+    word (a running maximum), never with all of them. The leading rows of a pair also tell
+    about their word itself, so one pass yields all rules.
     """
-    at = hits.select("qid", "id", "field", "word_no", "n_words", F.explode("positions").alias("pos"))
+    attribute = F.element_at(
+        F.create_map(*[F.lit(x) for i, f in enumerate(fields) for x in (f, i)]), F.col("field")
+    )
+    # A lone word has no pair: one position of it is enough.
+    single = F.slice("positions", 1, 1)
+    found = hits.select(
+        "qid",
+        "id",
+        "word_no",
+        "n_words",
+        "typos",
+        attribute.alias("attribute"),
+        ((F.col("typos") == 0) & ~F.col("by_prefix")).cast("int").alias("as_typed"),
+        F.when(F.col("n_words") == 1, single).otherwise(F.col("positions")).alias("positions"),
+    ).repartition("id")
     roles = F.array(
         F.struct(F.col("word_no").alias("pair"), F.lit(True).alias("leads")),
         F.struct((F.col("word_no") - 1).alias("pair"), F.lit(False).alias("leads")),
     )
-    sides = at.select("qid", "id", "field", "pos", "n_words", F.inline(roles)).where(
-        (F.col("pair") >= 0) & (F.col("pair") < F.col("n_words") - 1)
-    )
+    placed = found.select("*", F.explode("positions").alias("pos")).drop("positions")
+    sides = placed.select("*", F.inline(roles))
+
+    leads = F.col("leads")
     earlier = (
-        Window.partitionBy("qid", "id", "field", "pair")
+        Window.partitionBy("qid", "id", "attribute", "pair")
         .orderBy("pos")
         .rangeBetween(Window.unboundedPreceding, -1)
     )
-    lead = F.max(F.when(F.col("leads"), F.col("pos"))).over(earlier)
-    follow = F.max(F.when(~F.col("leads"), F.col("pos"))).over(earlier)
-    gaps = sides.select(
-        "qid",
-        "id",
-        "pair",
-        F.when(F.col("leads"), F.col("pos") - follow + 1)
-        .otherwise(F.col("pos") - lead)
-        .alias("gap"),
-    )
-    per_pair = gaps.groupBy("qid", "id", "pair").agg(
-        (F.lit(FAR) - F.least(F.min("gap"), F.lit(FAR))).alias("gained")
+    lead_before = F.max(F.when(leads, F.col("pos"))).over(earlier)
+    follow_before = F.max(F.when(~leads, F.col("pos"))).over(earlier)
+    gap = F.when(leads, F.col("pos") - follow_before + 1).otherwise(F.col("pos") - lead_before)
+    per_pair = (
+        sides.withColumn("gap", gap)
+        .groupBy("qid", "id", "pair")
+        .agg(
+            F.max("n_words").alias("n_words"),
+            F.min(F.when(leads, F.col("typos"))).alias("typos"),
+            F.min(F.when(leads, F.col("attribute"))).alias("attribute"),
+            F.max(F.when(leads, F.col("as_typed"))).alias("as_typed"),
+            F.min("gap").alias("gap"),
+        )
     )
+    far = F.lit(FAR)
+    # Pairs without both words have no gap and gain nothing.
+    gained = F.when(F.col("gap").isNotNull(), far - F.least("gap", far)).otherwise(0)
     return per_pair.groupBy("qid", "id").agg(
-        F.sum(F.coalesce("gained", F.lit(0))).alias("gained")
+        F.count("typos").alias("words"),
+        F.sum("typos").alias("typos"),
+        (far * (F.max("n_words") - 1) - F.sum(gained)).alias("proximity"),
+        F.min("attribute").alias("attribute"),
+        F.sum("as_typed").alias("exactness"),
     )
