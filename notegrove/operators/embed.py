@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from notegrove.functions.vectors import unit
 from notegrove.schema import VECTOR_DIM
 
 
@@ -112,6 +113,14 @@ class OnnxEmbedder:
         return out
 
 
+def stored_vectors(df: DataFrame, dim: int, vector_col: str = "vector") -> DataFrame:
+    """``df`` with its vectors at unit length; a vector of another size stops the job."""
+    size = F.size(vector_col)
+    wrong = F.raise_error(F.concat(F.lit("vector size is not "), F.lit(str(dim))))
+    checked = F.when(size == dim, F.col(vector_col)).otherwise(wrong.cast("array<float>"))
+    return df.withColumn(vector_col, unit(checked))
+
+
 def embed(
     df: DataFrame, text_col: str, embedder: Embedder, vector_col: str = "vector"
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from notegrove.operators.clean import price_label
 from notegrove.operators.predicates import eq_ci, present
 from notegrove.operators.topk import by_points, count_by, top_k
 from notegrove.schema import TOP_K
-from notegrove.sources.tables import latest
+from notegrove.sources.tables import latest, upsert
 
 # The properties kept on a review vertex.
 REVIEW_PROPERTIES = (
@@ -80,6 +80,33 @@ def build_graph(
     )
 
 
+def merge_graph(graph: Graph, newer: Graph) -> Graph:
+    """Match or create: newer vertices replace those with the same key, edges are united."""
+
+    def vertices(name: str) -> DataFrame:
+        old, new = getattr(graph, name), getattr(newer, name)
+        return upsert(old, new, old.columns[0])
+
+    def edges(name: str) -> DataFrame:
+        return getattr(graph, name).unionByName(getattr(newer, name)).distinct()
+
+    return Graph(
+        review=vertices("review"),
+        person=vertices("person"),
+        **{
+            name: edges(name)
+            for name in (
+                "country",
+                "province",
+                "tasted_by",
+                "from_country",
+                "from_province",
+                "located_in",
+            )
+        },
+    )
+
+
 def write_graph(graph: Graph, path: str) -> None:
     for table in fields(graph):
         getattr(graph, table.name).write.mode("overwrite").parquet(f"{path}/{table.name}")

@@ -21,12 +21,15 @@ from notegrove.operators.expansion import expand_words, query_words
 from notegrove.operators.text_index import TextIndex, bucket_of
 from notegrove.operators.topk import by_score_then_points, top_k_per
 from notegrove.schema import RANKED_SPEC, TOP_K, SearchSpec
-from notegrove.workspace import MAX_PARAMETER_ROWS, bounded_rows, small_frame
+from notegrove.workspace import (
+    MAX_PARAMETER_ROWS,
+    bounded_rows,
+    join_parameters,
+    small_frame,
+)
 
 # Longer lists of terms prune by bucket only.
 MAX_TERM_FILTER = 1000
-# Parts a term's postings are cut into when the query side is too large to broadcast.
-JOIN_SLICES = 16
 FAR = 8  # fixed value: the largest distance two query words are charged for
 
 
@@ -58,11 +61,7 @@ def matches(index: TextIndex, wanted: DataFrame) -> tuple[DataFrame, int | None]
     keys = ["bucket", "term", "field"]
     rows = bounded_rows(wanted)
     if rows is None:
-        # The postings of a frequent term go to many tasks, its few wanted rows to each.
-        slices = F.sequence(F.lit(0), F.lit(JOIN_SLICES - 1)).cast("array<bigint>")
-        postings = index.postings.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(JOIN_SLICES)))
-        wanted = wanted.withColumn("slice", F.explode(slices))
-        return postings.join(wanted, [*keys, "slice"]).drop("slice"), None
+        return join_parameters(index.postings, wanted, keys), None
     small = small_frame(index.postings.sparkSession, rows, wanted)
     last = max([r["word_no"] for r in rows], default=0)
     return _only(index.postings, rows).join(small, keys), last
@@ -172,13 +171,17 @@ def bm25_search(
     candidates: DataFrame,
     k: int = TOP_K,
     fields: Sequence[str] | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
     """The k best records per query, by score, then points, then id.
 
     ``candidates`` holds ``id, points`` (and any columns to carry) of the records that
-    pass the filters; keep it narrow and fetch the rest with ``with_rows``.
+    pass the filters; keep it narrow and fetch the rest with ``with_rows``. ``where``
+    compares a record with its own query's columns, such as a price bound per query.
     """
     scored = bm25_scores(index, queries, fields).join(candidates, "id")
+    if where is not None:
+        scored = join_parameters(scored, queries.drop("terms"), ["qid"]).where(where)
     return top_k_per(scored, ["qid"], by_score_then_points(), k)
 
 

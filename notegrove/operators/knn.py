@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from notegrove.operators.topk import top_k_per
-from notegrove.schema import TOP_K
+from notegrove.schema import DEFAULT_LIMIT
 
 # Bytes of query vectors sent to the tasks at a time; more queries run block by block.
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
@@ -112,7 +112,7 @@ def query_blocks(
 def knn(
     vectors: DataFrame,
     queries: DataFrame,
-    k: int = TOP_K,
+    k: int = DEFAULT_LIMIT,
     *,
     prefilter: Column | None = None,
     id_col: str = "id",

@@ -12,6 +12,7 @@ from notegrove.functions.edits import auto_edits
 from notegrove.functions.text import ASCII_WORD, BOUNDED_WORDS, STANDARD, Analyzer, compose
 from notegrove.functions.vectors import certainty, cosine
 from notegrove.operators import graph as graphs
+from notegrove.operators.batch import count_by_filters, top_by_place
 from notegrove.operators.clean import (
     KEYWORD,
     VECTOR_PLACE,
@@ -23,7 +24,7 @@ from notegrove.operators.clean import (
     to_integer,
     to_number,
 )
-from notegrove.operators.embed import HashedEmbedder, embed
+from notegrove.operators.embed import HashedEmbedder, embed, stored_vectors
 from notegrove.operators.expansion import expand_words, query_words
 from notegrove.operators.facets import facet_counts
 from notegrove.operators.ivfpq import AnnIndex, ann_search, build_ann_index
@@ -65,7 +66,7 @@ from notegrove.plans.questions import (
     one_query,
 )
 from notegrove.plans.views import docs, parts, people, table, texts, vecs
-from notegrove.schema import RANKED_SPEC
+from notegrove.schema import RANKED_SPEC, TOP_K
 from notegrove.sources.readers import array_to_rows, first_rows, read_lines, replay, write_lines
 from notegrove.sources.tables import (
     append_rows,
@@ -533,6 +534,30 @@ def count_null_excluded(spark, folder):
     return count_rows(docs(spark, folder), in_range("price", hi=100.0), present("country"))
 
 
+@query("top_by_province_batch", sql.TOP_BY_PROVINCE_BATCH)
+def top_by_province_batch(spark, folder):
+    """The best five of every nation, asked for in another case."""
+    asked = table(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("qid"), F.lower("n_name").alias("province")
+    )
+    found = top_by_place(people(spark, folder), asked, "province")
+    return found.select("qid", "rank", "id", "points", "province")
+
+
+@query("count_by_filters_batch", sql.COUNT_BATCH)
+def count_by_filters_batch(spark, folder):
+    """One count per brand, with bounds that differ by brand."""
+    rows = parts(spark, folder).withColumnRenamed("winery", "country")
+    number = F.regexp_extract("country", "[0-9]+", 0).cast("int")
+    asked = rows.select("country").distinct().select(
+        number.alias("qid"),
+        "country",
+        (number * 2).alias("min_points"),
+        (F.lit(900.0) + number).alias("max_price"),
+    )
+    return count_by_filters(rows, asked)
+
+
 @query("facet_counts", sql.FACETS)
 def facets(spark, folder):
     return facet_counts(parts(spark, folder), ["price", "points", "variety"])
@@ -604,6 +629,15 @@ def graph_last_write(spark, folder):
     return graphs.build_graph(e, version=["version"]).review
 
 
+@query("graph_merged", sql.graph_edges(False))
+def graph_merged(spark, folder):
+    """The graph of the lower balances, brought up to date with that of the higher ones."""
+    rows = graph_rows(spark, folder)
+    low = graphs.build_graph(rows.where("points < 5000"))
+    high = graphs.build_graph(rows.where("points >= 3000"))
+    return edge_counts(graphs.merge_graph(low, high))
+
+
 @query("graph_top_by_country", sql.GRAPH_TOP_BY_COUNTRY)
 def graph_top_by_country(spark, folder):
     g = graphs.build_graph(graph_rows(spark, folder))
@@ -709,6 +743,18 @@ def bm25_batch(spark, folder):
     return found.select("qid", "id", "score", "points", "rank")
 
 
+@query("bm25_batch_bounds", sql.BM25_BATCH_BOUNDS)
+def bm25_batch_bounds(spark, folder):
+    """Every benchmark passage as a query with a points bound of its own."""
+    asked = benchmark_queries(spark, folder).withColumn("most", F.length("terms") * 10)
+    candidates = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), F.col("n_chars").alias("points")
+    )
+    near = F.col("points") <= F.col("most")
+    found = bm25_search(text_index(spark, folder), asked, candidates, where=near)
+    return found.select("qid", "id", "score", "points", "rank")
+
+
 @query("hit_cap", sql.HIT_CAP)
 def hit_cap(spark, folder):
     candidates = table(spark, folder, "documents").select(
@@ -859,23 +905,33 @@ def cosine_column(spark, folder):
     )
 
 
+@query("unit_vectors", sql.UNIT_VECTORS)
+def unit_vectors(spark, folder):
+    """Vectors of any length stored at unit length."""
+    v = vecs(spark, folder)
+    longer = v.withColumn("vector", F.transform("vector", lambda x: x * (F.col("points"))))
+    stored = stored_vectors(longer.withColumn("vector", F.col("vector").cast("array<float>")), 64)
+    first = F.round(F.element_at("vector", 1).cast("double"), 4)
+    return stored.select("id", F.size("vector").alias("dim"), first.alias("first"))
+
+
 @query("knn_exact", sql.KNN_EXACT)
 def knn_exact(spark, folder):
     v = vecs(spark, folder)
-    return knn(v, mean_vectors(v)).select("id", "score", "rank")
+    return knn(v, mean_vectors(v), TOP_K).select("id", "score", "rank")
 
 
 @query("knn_batch", sql.KNN_BATCH)
 def knn_batch(spark, folder):
     v = vecs(spark, folder)
-    return knn(v, mean_vectors(v, "country")).select("qid", "id", "score", "rank")
+    return knn(v, mean_vectors(v, "country"), TOP_K).select("qid", "id", "score", "rank")
 
 
 @query("knn_prefilter", sql.KNN_PREFILTER)
 def knn_prefilter(spark, folder):
     v = vecs(spark, folder)
     test = eq("country", 3) & in_range("points", lo=85) & in_range("price", hi=98.0)
-    return knn(v, mean_vectors(v), prefilter=test).select("id", "score", "rank")
+    return knn(v, mean_vectors(v), TOP_K, prefilter=test).select("id", "score", "rank")
 
 
 @query("knn_prefilter_strict", sql.KNN_PREFILTER_STRICT)
@@ -886,7 +942,7 @@ def knn_prefilter_strict(spark, folder):
         & in_range("points", lo=85, inclusive=False)
         & in_range("price", hi=98.0, inclusive=False)
     )
-    return knn(v, mean_vectors(v), prefilter=test).select("id", "score", "rank")
+    return knn(v, mean_vectors(v), TOP_K, prefilter=test).select("id", "score", "rank")
 
 
 @query("knn_postfilter", sql.KNN_POSTFILTER)
@@ -900,7 +956,7 @@ def knn_postfilter(spark, folder):
 @query("knn_certainty", sql.KNN_CERTAINTY)
 def knn_certainty(spark, folder):
     v = vecs(spark, folder)
-    hits = knn(v, mean_vectors(v, "country"))
+    hits = knn(v, mean_vectors(v, "country"), TOP_K)
     return hits.select("qid", "id", F.round(certainty(F.col("score")), 6).alias("certainty"))
 
 
@@ -915,7 +971,7 @@ def ivf_full_probe(spark, folder):
 def ivfpq_recall(spark, folder):
     """Share of the exact neighbours that the quantised search finds."""
     asked = mean_vectors(vecs(spark, folder), "country")
-    exact = knn(vecs(spark, folder), asked).select("qid", "id")
+    exact = knn(vecs(spark, folder), asked, TOP_K).select("qid", "id")
     found = ann_search(ann_index(spark, folder), asked).select("qid", "id", F.lit(1).alias("hit"))
     both = exact.join(found, ["qid", "id"], "left")
     return both.agg(F.round(F.count("hit") / F.count(F.lit(1)), 4).alias("recall"))

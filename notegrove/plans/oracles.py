@@ -215,6 +215,18 @@ SELECT count(*) AS count FROM parts WHERE variety = 'PROMO' AND points > 10 AND
 COUNT_NULL_EXCLUDED = f"""WITH {DOCS}
 SELECT count(*) AS count FROM docs WHERE price <= 100"""
 
+TOP_BY_PROVINCE_BATCH = f"""WITH {PEOPLE}
+SELECT n_nationkey AS qid, id, points, province,
+       CAST(row_number() OVER (PARTITION BY n_nationkey ORDER BY points DESC, id) AS INTEGER)
+         AS rank
+FROM people JOIN nation ON n_name = province QUALIFY rank <= 5"""
+
+COUNT_BATCH = f"""WITH {PARTS},
+asked AS (SELECT DISTINCT CAST(regexp_extract(winery, '[0-9]+') AS INTEGER) AS qid, winery
+          FROM parts)
+SELECT a.qid, count(*) FILTER (p.points >= 2 * a.qid AND p.price <= 900 + a.qid) AS count
+FROM asked a JOIN parts p USING (winery) GROUP BY 1"""
+
 FACETS = f"""WITH {PARTS},
 pairs AS (SELECT 'price' AS facet, CAST(price AS VARCHAR) AS value FROM parts
           UNION ALL SELECT 'points', CAST(points AS VARCHAR) FROM parts
@@ -348,6 +360,14 @@ ranked AS (SELECT qid, id, score, points,
 FROM scores JOIN docs USING (id))
 SELECT * FROM ranked WHERE rank <= 5"""
 
+BM25_BATCH_BOUNDS = f"""WITH {bm25(_BENCHMARK_TERMS)},
+ranked AS (SELECT qid, id, score, points,
+       CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, points DESC, id)
+            AS INTEGER) AS rank
+FROM scores JOIN docs USING (id) JOIN benchmark ON item_id = qid
+WHERE points <= 10 * length(benchmark.text))
+SELECT * FROM ranked WHERE rank <= 5"""
+
 HIT_CAP = f"""WITH {bm25("SELECT 0 AS qid, unnest(['the', 'and']) AS term")},
 ranked AS (SELECT id, score,
        CAST(row_number() OVER (ORDER BY score DESC, points DESC, id) AS INTEGER) AS rank
@@ -530,6 +550,12 @@ COSINE_COLUMN = f"""WITH {VECS}, {means('country')}
 SELECT id, round(list_cosine_similarity(vector, q), 6) AS score
 FROM vecs JOIN asked ON qid = country"""
 
+UNIT_VECTORS = """SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS dim,
+       round(CAST(embedding[1] AS DOUBLE)
+             / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 4)
+         AS first
+FROM embeddings"""
+
 KNN_EXACT = knn("0", 5) + " SELECT id, score, rank FROM best"
 KNN_BATCH = knn("country", 5) + " SELECT qid, id, score, rank FROM best"
 KNN_PREFILTER = (

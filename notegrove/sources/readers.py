@@ -23,9 +23,11 @@ def read_lines(
     return lines.repartition(partitions) if partitions else lines
 
 
-def write_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Gzip JSON lines, nulls written as explicit keys."""
-    df.write.mode(mode).option("ignoreNullFields", False).json(path, compression="gzip")
+def write_lines(
+    df: DataFrame, path: str, mode: str = "errorifexists", keep_nulls: bool = True
+) -> None:
+    """Gzip JSON lines; null fields are written as explicit keys or left out."""
+    df.write.mode(mode).option("ignoreNullFields", not keep_nulls).json(path, compression="gzip")
 
 
 def array_to_rows(spark: SparkSession, path: str, schema=None) -> DataFrame:

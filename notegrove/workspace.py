@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 # Most rows of a derived parameter table (resolved query terms, probed lists) that may
 # be held on the driver and broadcast. Beyond it every operator takes a shuffled path.
 MAX_PARAMETER_ROWS = 100_000
+# Parts the rows of one key are cut into on the shuffled path.
+JOIN_SLICES = 16
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -51,6 +54,27 @@ def small_frame(spark: SparkSession, rows: list[Row], like: DataFrame) -> DataFr
     return F.broadcast(spark.createDataFrame([tuple(r) for r in rows], like.schema))
 
 
+def join_parameters(
+    rows: DataFrame,
+    params: DataFrame,
+    keys: Sequence[str],
+    slice_by: Sequence[str] = ("id",),
+) -> DataFrame:
+    """Rows joined to a table of query parameters that is expected to be small.
+
+    Small enough, it is broadcast and the rows stay where they are. Otherwise both sides
+    shuffle; the rows of a frequent key go to ``JOIN_SLICES`` tasks instead of one, with a
+    copy of the few parameters for each.
+    """
+    found = bounded_rows(params)
+    if found is not None:
+        return rows.join(small_frame(rows.sparkSession, found, params), keys)
+    slices = F.sequence(F.lit(0), F.lit(JOIN_SLICES - 1)).cast("array<bigint>")
+    rows = rows.withColumn("_slice", F.pmod(F.xxhash64(*slice_by), F.lit(JOIN_SLICES)))
+    params = params.withColumn("_slice", F.explode(slices))
+    return rows.join(params, [*keys, "_slice"]).drop("_slice")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a frame read from fewer splits than there are cores one partition per core, so
     that costly per-row work uses them all. Larger inputs come back untouched."""
