@@ -71,14 +71,21 @@ def price_label(col: Column) -> Column:
 
 def parse(lines: DataFrame, profile: CleanProfile = KEYWORD) -> DataFrame:
     """``raw, input_file, reason`` plus the typed fields; ``reason`` is null for good rows."""
-    record = F.col("record")
-    # A generated column, so that no filter or projection is merged into the parsing and
+    # Generated columns, so that no filter or projection is merged into the parsing and
     # every line is parsed once however many fields and checks look at it.
-    once = F.explode(F.array(F.from_json("line", "map<string,string>"))).alias("record")
-    return lines.select("line", "input_file", once).select(
+    read = F.struct(
+        F.from_json("line", "map<string,string>").alias("fields"),
+        # The values as typed in the line: a map of strings no longer knows 5 from "5".
+        F.try_parse_json("line").alias("typed"),
+    )
+    lines = lines.select("line", "input_file", F.explode(F.array(read)).alias("read"))
+    last = _last_wins(F.col("read.fields"))
+    lines = lines.select("line", "input_file", "read.typed", F.explode(F.array(last)).alias("record"))
+    record = F.col("record")
+    return lines.select(
         F.col("line").alias("raw"),
         "input_file",
-        _reason(record).alias("reason"),
+        _reason(record, F.col("typed")).alias("reason"),
         *[_typed(record, f).alias(f) for f in FIELDS if f != "country"],
         strip(fill_missing(record["country"], profile.blanks)).alias("country"),
         _embed_text(record, profile).alias("to_vectorize"),
@@ -86,6 +93,21 @@ def parse(lines: DataFrame, profile: CleanProfile = KEYWORD) -> DataFrame:
     )
 
 
+def _last_wins(record: Column) -> Column:
+    """A key given twice keeps its last value."""
+
+    def once(entries: Column) -> Column:
+        def is_last(entry: Column, at: Column) -> Column:
+            later = F.slice(entries, at + 2, F.size(entries))
+            return ~F.exists(later, lambda other: other["key"] == entry["key"])
+
+        return F.map_from_entries(F.filter(entries, is_last))
+
+    keys = F.map_keys(record)
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.when(repeated, once(F.map_entries(record))).otherwise(record)
+
+
 def good_rows(parsed: DataFrame) -> DataFrame:
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in REVIEW.fields]
     return parsed.where(F.col("reason").isNull()).select(*typed)
@@ -124,7 +146,16 @@ def _typed(record: Column, field: str) -> Column:
     return strip(raw)
 
 
-def _reason(record: Column) -> Column:
+def _not_text(typed: Column, field: str) -> Column:
+    """The field holds something other than a JSON string or null."""
+    kinds = [
+        F.schema_of_variant(F.try_variant_get(typed, f"$.{name}", "variant"))
+        for name in _source_names(field)
+    ]
+    return ~F.coalesce(*kinds, F.lit("VOID")).isin("STRING", "VOID")
+
+
+def _reason(record: Column, typed: Column) -> Column:
     """All failed checks of a record, or null."""
     checks = []
     for f in FIELDS:
@@ -133,7 +164,9 @@ def _reason(record: Column) -> Column:
             checks.append(F.when(~_has_key(record, f), F.lit(f"missing:{f}")))
         if f in NOT_NULL:
             checks.append(F.when(_has_key(record, f) & raw.isNull(), F.lit(f"null:{f}")))
-        if f not in STRING_FIELDS:
+        if f in STRING_FIELDS:
+            checks.append(F.when(_not_text(typed, f), F.lit(f"type:{f}")))
+        else:
             failed = raw.isNotNull() & _typed(record, f).isNull()
             checks.append(F.when(failed, F.lit(f"type:{f}")))
     points = to_integer(_value(record, "points"))

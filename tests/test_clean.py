@@ -124,6 +124,21 @@ def test_bad_rows_are_set_aside_and_others_load(spark):
     )
 
 
+def test_text_fields_hold_text_only(spark):
+    parsed = parse(
+        lines(spark, with_(title=5), with_(winery=True), with_(designation={"a": 1}), with_(lot=[1]))
+    )
+    reasons = [r.reason for r in quarantine(parsed).collect()]
+    assert reasons == ["type:title", "type:winery", "type:vineyard"]
+    assert good_rows(parsed).first()["_extra"] == {"lot": "[1]"}
+
+
+def test_repeated_key_keeps_its_last_value(spark):
+    line = json.dumps(BASE)[:-1] + ', "points": "95", "title": "Later"}'
+    row = clean(spark, KEYWORD, line)[0]
+    assert (row.points, row.title, row.winery) == (95, "Later", "W")
+
+
 def test_gzip_glob(spark, tmp_path):
     import gzip
 
