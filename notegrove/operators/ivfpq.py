@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from notegrove.schema import ANN_LISTS, ANN_PROBES, ANN_SUBVECTORS, TOP_K
 from notegrove.workspace import MAX_PARAMETER_ROWS, new_folder
 
 CODES = 256  # one byte per sub-vector
+# Queries whose code shares a task remembers, about 64 KB each.
+KEPT_SHARES = 1000
 
 
 @dataclass(frozen=True)
@@ -68,6 +71,8 @@ def build_ann_index(
     if n == 0:
         raise ValueError("no vectors to index")
     dim = rows.select(F.size("vector").alias("dim")).first()["dim"]
+    if codes > CODES:
+        raise ValueError(f"a code is one byte: at most {CODES} codes")
     if dim % subvectors:
         raise ValueError(f"{subvectors} sub-vectors do not divide {dim} dimensions")
     centroids = _coarse(rows, min(lists, n), seed)
@@ -116,8 +121,7 @@ def ann_search(
 
 def _search_block(index, names, matrix, queries, k, nprobes, refine, quantised) -> DataFrame:
     spark = index.table.sparkSession
-    nprobes = min(nprobes, len(index.centroids))
-    near = np.argsort(-(matrix @ index.centroids.T), axis=1, kind="stable")[:, :nprobes]
+    near = _nearest_lists(matrix, index.centroids, nprobes)
     probed = sorted({int(i) for i in near.ravel()})
     table = index.table.where(F.col("list_id").isin(probed))
 
@@ -140,6 +144,17 @@ def _search_block(index, names, matrix, queries, k, nprobes, refine, quantised)
     return top_k_per(exact, ["qid"], order, k)
 
 
+def _nearest_lists(matrix: np.ndarray, centroids: np.ndarray, nprobes: int) -> np.ndarray:
+    """The lists each query probes, worked out for a few queries at a time."""
+    nprobes = min(nprobes, len(centroids))
+    step = max(1, TILE_SCORES // len(centroids))
+    parts = [
+        np.argsort(-(matrix[at : at + step] @ centroids.T), axis=1, kind="stable")[:, :nprobes]
+        for at in range(0, len(matrix), step)
+    ]
+    return np.concatenate(parts)
+
+
 def _coarse(rows: DataFrame, lists: int, seed: int) -> np.ndarray:
     points = rows.select(array_to_vector("vector").alias("features"))
     model = KMeans(k=lists, seed=seed, maxIter=10, distanceMeasure="cosine").fit(points)
@@ -269,10 +284,12 @@ def _prober(spark, names, matrix, near, index: AnnIndex, k: int, quantised: bool
         qids, q, asking, centroids, books = shared.value
         m, _, width = books.shape
         best = BestOf(len(qids), k)
-        # Share of each code in a query's score: table[query, book, code].
-        table = None
-        if quantised:
-            table = np.einsum("qmw,mcw->qmc", q.reshape(len(q), m, width), books)
+
+        @lru_cache(maxsize=KEPT_SHARES)
+        def shares(j: int) -> np.ndarray:
+            """Share of each code of each book in a query's score."""
+            return np.einsum("mw,mcw->mc", q[j].reshape(m, width), books)
+
         for batch in batches:
             ids = batch.column("id").to_numpy()
             lists = batch.column("list_id").to_numpy()
@@ -286,7 +303,7 @@ def _prober(spark, names, matrix, near, index: AnnIndex, k: int, quantised: bool
                 for j in asking.get(int(list_id), ()):
                     if quantised:
                         base = q[j] @ centroids[list_id]
-                        scores = base + table[j][np.arange(m), codes[at]].sum(axis=1)
+                        scores = base + shares(j)[np.arange(m), codes[at]].sum(axis=1)
                     else:
                         scores = rows[at] @ q[j]
                     best.add(j, ids[at], scores)

@@ -490,6 +490,11 @@ def count_by_country_ci(spark, folder):
     return count_rows(people(spark, folder), eq_ci("country", "asia"))
 
 
+@query("strict_count_by_country", sql.STRICT_COUNT_BY_COUNTRY)
+def strict_count_by_country(spark, folder):
+    return StrictVectorQuestions(people(spark, folder), None).count_by_country("east MIDDLE")
+
+
 @query("phrase_filter_count", sql.PHRASE_COUNT)
 def phrase_filter_count(spark, folder):
     return count_rows(people(spark, folder), phrase("country", "Middle East"))
@@ -654,6 +659,16 @@ def graph_top_by_province(spark, folder):
     )
 
 
+@query("graph_two_hops", sql.GRAPH_TWO_HOPS)
+def graph_two_hops(spark, folder):
+    """Reviews by province and country, and by country alone."""
+    g = graphs.build_graph(graph_rows(spark, folder))
+    n = F.count(F.lit(1)).alias("n")
+    places = graphs.reviews_in_province(g).groupBy("province", "country").agg(n)
+    countries = graphs.reviews_in_country(g).groupBy("country").agg(n)
+    return places.unionByName(countries.withColumn("province", F.lit(None).cast("string")))
+
+
 def supply_graph(spark: SparkSession, folder: str) -> graphs.Graph:
     """Parts as reviews, their suppliers as tasters."""
     line = table(spark, folder, "lineitem").select(
@@ -909,8 +924,12 @@ def cosine_column(spark, folder):
 def unit_vectors(spark, folder):
     """Vectors of any length stored at unit length."""
     v = vecs(spark, folder)
-    longer = v.withColumn("vector", F.transform("vector", lambda x: x * (F.col("points"))))
-    stored = stored_vectors(longer.withColumn("vector", F.col("vector").cast("array<float>")), 64)
+    # Powers of two stretch a float without rounding it.
+    stretch = F.pow(F.lit(2.0), F.col("points") % 5)
+    longer = v.withColumn(
+        "vector", F.transform("vector", lambda x: (x * stretch).cast("float"))
+    )
+    stored = stored_vectors(longer, 64)
     first = F.round(F.element_at("vector", 1).cast("double"), 4)
     return stored.select("id", F.size("vector").alias("dim"), first.alias("first"))
 
@@ -1020,6 +1039,45 @@ def vector_search_strict(spark, folder):
     return short(found, "country", "province", "points")
 
 
+@query("strict_search", sql.STRICT_SEARCH)
+def strict_search(spark, folder):
+    asked = StrictVectorQuestions(doc_vectors(spark, folder), HashedEmbedder())
+    return asked.search(SEARCH_TEXT).select("id", F.round("certainty", 4).alias("certainty"))
+
+
+@query("strict_search_by_country", sql.vector_search("country = 'fr'"))
+def strict_search_by_country(spark, folder):
+    asked = StrictVectorQuestions(doc_vectors(spark, folder), HashedEmbedder())
+    return short(asked.search_by_country(SEARCH_TEXT, "FR"), "country", "province", "points")
+
+
+@query("ann_full_probe", sql.vector_search())
+def ann_full_probe(spark, folder):
+    """All lists probed and every row scored on its vector: the exact answer."""
+    vectors, index = doc_vectors(spark, folder), doc_ann_index(spark, folder)
+    asked = AnnQuestions(vectors, HashedEmbedder(), index, quantised=False)
+    return short(asked.search(SEARCH_TEXT), "country", "province", "points")
+
+
+@query("ann_full_probe_by_country", sql.post_filtered("country = 'en'", sql.MIXED_TERMS))
+def ann_full_probe_by_country(spark, folder):
+    vectors, index = doc_vectors(spark, folder), doc_ann_index(spark, folder)
+    asked = AnnQuestions(vectors, HashedEmbedder(), index, quantised=False)
+    found = asked.search_by_country("the que de and", "en", k=50)
+    return short(found, "country", "province", "points")
+
+
+@query(
+    "ann_full_probe_by_filters",
+    sql.post_filtered("country = 'en' AND points >= 1000 AND price <= 1"),
+)
+def ann_full_probe_by_filters(spark, folder):
+    vectors, index = doc_vectors(spark, folder), doc_ann_index(spark, folder)
+    asked = AnnQuestions(vectors, HashedEmbedder(), index, quantised=False)
+    found = asked.search_by_filters(SEARCH_TEXT, "en", 1000, 1.0, k=50)
+    return short(found, "country", "province", "points")
+
+
 @query("ann_search_text")
 def ann_search_text(spark, folder):
     vectors = doc_vectors(spark, folder)

@@ -188,6 +188,10 @@ ORDER BY points DESC, price ASC NULLS LAST, id LIMIT 5"""
 COUNT_BY_COUNTRY = f"""WITH {PEOPLE}
 SELECT count(*) AS count FROM people WHERE country = 'ASIA'"""
 
+STRICT_COUNT_BY_COUNTRY = f"""WITH {PEOPLE}
+SELECT count(*) AS count FROM people
+WHERE list_has_all({tokens('country')}, ['east', 'middle'])"""
+
 PHRASE_COUNT = f"""WITH {PEOPLE}
 SELECT count(*) AS count FROM people
 WHERE contains(' ' || array_to_string({tokens('country')}, ' ') || ' ', ' middle east ')"""
@@ -283,6 +287,12 @@ SELECT r.id, l.country, r.province, r.title, r.points, r.variety
 FROM rows r JOIN located l ON r.province = l.province
 WHERE lower(r.province) = 'nation_4' ORDER BY r.points DESC, r.id, l.country LIMIT 5"""
 
+GRAPH_TWO_HOPS = f"""WITH {_GRAPH_ROWS},
+located AS (SELECT DISTINCT province, country FROM rows WHERE province IS NOT NULL)
+SELECT r.province, l.country, count(*) AS n
+FROM rows r JOIN located l ON r.province = l.province GROUP BY 1, 2
+UNION ALL SELECT NULL, country, count(*) FROM rows GROUP BY 2"""
+
 _SUPPLY = """supply AS (
   SELECT DISTINCT p_partkey AS id, p_name AS title, p_size AS points, p_retailprice AS price,
          p_brand AS country, s_name AS taster
@@ -551,8 +561,8 @@ SELECT id, round(list_cosine_similarity(vector, q), 6) AS score
 FROM vecs JOIN asked ON qid = country"""
 
 UNIT_VECTORS = """SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS dim,
-       round(CAST(embedding[1] AS DOUBLE)
-             / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 4)
+       round(CAST(CAST(CAST(embedding[1] AS DOUBLE) / sqrt(list_inner_product(
+         CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS FLOAT) AS DOUBLE), 4)
          AS first
 FROM embeddings"""
 
@@ -589,14 +599,14 @@ EMBED_HASHED = f"""WITH {embedding('slots', _DOC_WORDS)}
 SELECT id, CAST(slot AS INTEGER) AS slot, round(w, 4) AS weight FROM slots"""
 
 
-def _vector_scores(where: str = "true") -> str:
+def _vector_scores(where: str = "true", terms: str = _SEARCH_TERMS) -> str:
     """``scored(id, score)`` of documents against the search text, after ``docs``."""
     return f"""{embedding('slots', _DOC_WORDS)},
-{embedding('sought', _SEARCH_TERMS.replace('qid', 'id'))},
+{embedding('sought', terms.replace('qid', 'id'))},
 products AS (SELECT s.id, sum(s.w * a.w) AS p FROM slots s JOIN sought a USING (slot)
              GROUP BY 1),
 scored AS (
-  SELECT d.id, d.country, d.province, d.points,
+  SELECT d.id, d.country, d.province, d.points, d.price,
          round(coalesce(p.p / (n.norm * (SELECT norm FROM sought_norm)), 0), 6) AS score
   FROM docs d LEFT JOIN products p ON p.id = d.id LEFT JOIN slots_norm n ON n.id = d.id
   WHERE {where})"""
@@ -608,6 +618,18 @@ SELECT id, country, province, points, round(score, 4) AS score FROM scored
 ORDER BY scored.score DESC, id LIMIT 5"""
 
 
+def post_filtered(where: str, terms: str = _SEARCH_TERMS) -> str:
+    return f"""WITH {DOCS}, {_vector_scores(terms=terms)},
+nearest AS (SELECT * FROM scored ORDER BY score DESC, id LIMIT 50)
+SELECT id, country, province, points, round(score, 4) AS score FROM nearest WHERE {where}"""
+
+
+MIXED_TERMS = "SELECT 0 AS qid, unnest(['the', 'que', 'de', 'and']) AS term"
+
+STRICT_SEARCH = f"""WITH {DOCS}, {_vector_scores()}
+SELECT id, round((1 + score) / 2, 4) AS certainty FROM scored
+ORDER BY score DESC, id LIMIT 5"""
+
 HYBRID = f"""WITH {bm25(_SEARCH_TERMS)},
 words_list AS (SELECT id, row_number() OVER (ORDER BY score DESC, points DESC, id) AS rank
                FROM scores JOIN docs USING (id)),

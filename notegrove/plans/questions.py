@@ -228,9 +228,12 @@ class AnnQuestions(VectorQuestions):
 
     ann: AnnIndex = None
     nprobes: int = ANN_PROBES
+    quantised: bool = True
 
     def _search(self, terms: str, k: int, prefilter: Column | None = None) -> DataFrame:
-        hits = ann_search(self.ann, self._vector(terms), k, nprobes=self.nprobes)
+        hits = ann_search(
+            self.ann, self._vector(terms), k, nprobes=self.nprobes, quantised=self.quantised
+        )
         found = with_rows(hits.drop("qid"), self.reviews, PLACE_COLUMNS, at_most=k)
         return _show(found if prefilter is None else found.where(prefilter), PLACE_COLUMNS)
 
