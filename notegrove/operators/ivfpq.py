@@ -78,7 +78,8 @@ def build_ann_index(
     centroids = _coarse(rows, min(lists, n), seed)
     books = _codebooks(rows, centroids, subvectors, max(1, min(codes, n // 4)), rounds)
 
-    # A list may hold a third of all rows: it is cut into slices of an even size.
+    # A list may hold a third of all rows: it is cut into slices of an even size, one task
+    # for each.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = rows.mapInArrow(_list_sizes(spark, centroids), "list_id int, n long")
     slices = [1] * len(centroids)
@@ -86,8 +87,11 @@ def build_ann_index(
         slices[r["list_id"]] = -(-r["n"] * 2 * tasks // n)
     schema = "id long, vector array<float>, codes binary, list_id int"
     encoded = rows.mapInArrow(_encoder(spark, centroids, books), schema)
+    before = np.cumsum([0, *slices[:-1]]).tolist()
     cut = F.pmod(F.xxhash64("id"), F.get(F.lit(slices), F.col("list_id")))
-    encoded.repartition("list_id", cut).write.partitionBy("list_id").parquet(f"{path}/lists")
+    task = (F.get(F.lit(before), F.col("list_id")) + cut).cast("int")
+    placed = encoded.repartitionById(sum(slices), task)
+    placed.write.partitionBy("list_id").parquet(f"{path}/lists")
     return AnnIndex(path, centroids, books, spark.read.parquet(f"{path}/lists"))
 
 

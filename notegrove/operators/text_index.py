@@ -107,9 +107,10 @@ def build_index(
     """Write the index of ``fields`` and open it.
 
     The texts are tokenised once, into the forward table, without a shuffle. The postings
-    then take one shuffle, hashed on the term's bucket; the terms too frequent for one
-    task are cut into slices of the id first, as many as their counts ask for. ``buckets``
-    defaults to the session's shuffle partitions; aim at a few hundred MB per bucket.
+    then take one shuffle, a task per bucket of terms; the terms too frequent for one task
+    are cut into slices of the id first, as many as their counts ask for, and the slices
+    go to the tasks next to it. ``buckets`` defaults to the session's shuffle partitions;
+    aim at a few hundred MB per bucket.
     """
     spark = reviews.sparkSession
     path = path or new_folder(spark, "text-index")
@@ -118,17 +119,17 @@ def build_index(
     forward_rows(reviews, fields, analyzer, id_col).write.parquet(f"{path}/forward")
     forward = spark.read.parquet(f"{path}/forward")
 
-    def place(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.repartition(tasks, "bucket", *keys)
-
     counts = (
         forward.select("field", F.explode("terms.term").alias("term"))
         .groupBy("term", "field")
         .agg(F.count(F.lit(1)).alias("df"))
         .withColumn("bucket", bucket_of(F.col("term"), buckets))
     )
-    place(counts).sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(
-        f"{path}/term_stats"
+    (
+        counts.repartitionById(tasks, "bucket")
+        .sortWithinPartitions("bucket", "term")
+        .write.partitionBy("bucket")
+        .parquet(f"{path}/term_stats")
     )
     term_stats = spark.read.parquet(f"{path}/term_stats")
 
@@ -148,7 +149,7 @@ def build_index(
         "slice", F.pmod(F.xxhash64("id"), F.coalesce("slices", F.lit(1)))
     )
     (
-        place(sliced, "slice")
+        sliced.repartitionById(tasks, (F.col("bucket") + F.col("slice")).cast("int"))
         .sortWithinPartitions("bucket", "term", "field", "id")
         .select("bucket", "term", "field", "id", "len", "tf", "positions")
         .write.partitionBy("bucket")
