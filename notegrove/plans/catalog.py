@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notegrove.functions.edits import auto_edits
@@ -587,6 +587,11 @@ def graph_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def nothing(*names: str) -> list[Column]:
+    """Text columns that hold nulls only."""
+    return [F.lit(None).cast("string").alias(c) for c in names]
+
+
 def edge_counts(g: graphs.Graph) -> DataFrame:
     def counted(df: DataFrame, kind: str, key: str) -> DataFrame:
         return df.groupBy(F.col(key).alias("target")).agg(
@@ -604,11 +609,18 @@ def edge_counts(g: graphs.Graph) -> DataFrame:
 @query("graph_vertices", sql.GRAPH_VERTICES)
 def graph_vertices(spark, folder):
     g = graphs.build_graph(graph_rows(spark, folder))
+
+    def listed(df: DataFrame, kind: str, name: str, detail: str | None = None) -> DataFrame:
+        shown = F.col(detail) if detail else F.lit("")
+        return df.select(
+            F.lit(kind).alias("kind"), F.col(name).alias("name"), shown.alias("detail")
+        )
+
     return (
-        g.person.select(F.lit("person").alias("kind"), F.col("taster_name").alias("name"), F.col("taster_twitter_handle").alias("detail"))
-        .unionByName(g.country.select(F.lit("country").alias("kind"), F.col("country").alias("name"), F.lit("").alias("detail")))
-        .unionByName(g.province.select(F.lit("province").alias("kind"), F.col("province").alias("name"), F.lit("").alias("detail")))
-        .unionByName(g.review.select(F.lit("review").alias("kind"), F.col("title").alias("name"), F.col("variety").alias("detail")))
+        listed(g.person, "person", "taster_name", "taster_twitter_handle")
+        .unionByName(listed(g.country, "country", "country"))
+        .unionByName(listed(g.province, "province", "province"))
+        .unionByName(listed(g.review, "review", "title", "variety"))
     )
 
 
@@ -629,7 +641,7 @@ def graph_last_write(spark, folder):
         F.col("event_id").alias("version"),
         F.col("event_type").alias("title"),
         F.when(F.col("value") > 10, F.col("value")).alias("price"),
-        *[F.lit(None).cast("string").alias(c) for c in ("taster_name", "taster_twitter_handle", "country", "province")],
+        *nothing("taster_name", "taster_twitter_handle", "country", "province"),
     )
     return graphs.build_graph(e, version=["version"]).review
 
@@ -677,9 +689,8 @@ def supply_graph(spark: SparkSession, folder: str) -> graphs.Graph:
     names = table(spark, folder, "supplier").select("s_suppkey", F.col("s_name").alias("taster_name"))
     # Pairs first: one row per part and supplier goes into the joins.
     pairs = line.distinct().join(names, "s_suppkey")
-    rows = pairs.join(parts(spark, folder).withColumnRenamed("winery", "country"), "id").withColumns(
-        {c: F.lit(None).cast("string") for c in ("province", "taster_twitter_handle")}
-    )
+    goods = parts(spark, folder).withColumnRenamed("winery", "country")
+    rows = pairs.join(goods, "id").select("*", *nothing("province", "taster_twitter_handle"))
     return graphs.build_graph(rows, properties=("points", "title", "price", "variety"))
 
 
@@ -782,8 +793,8 @@ def hit_cap(spark, folder):
 
 @query("graph_search", sql.BM25_TOP_ROWS)
 def graph_search(spark, folder):
-    d = docs(spark, folder).withColumns(
-        {c: F.lit(None).cast("string") for c in ("variety", "winery", "taster_name", "taster_twitter_handle")}
+    d = docs(spark, folder).select(
+        "*", *nothing("variety", "winery", "taster_name", "taster_twitter_handle")
     )
     g = graphs.build_graph(d)
     found = GraphQuestions(g, text_index(spark, folder)).search(SEARCH_TEXT, 0.5)
@@ -799,9 +810,7 @@ def most_by_variety(spark, folder):
 
 @query("graph_most_by_variety", sql.MOST_BY_VARIETY)
 def graph_most_by_variety(spark, folder):
-    d = docs(spark, folder).withColumns(
-        {c: F.lit(None).cast("string") for c in ("taster_name", "taster_twitter_handle")}
-    )
+    d = docs(spark, folder).select("*", *nothing("taster_name", "taster_twitter_handle"))
     questions = GraphQuestions(graphs.build_graph(d), text_index(spark, folder))
     return questions.most_by_variety("anea thanedble", 1000)
 
@@ -999,7 +1008,8 @@ def ivfpq_recall(spark, folder):
 @query("embed_hashed", sql.EMBED_HASHED)
 def embed_hashed(spark, folder):
     rows = doc_vectors(spark, folder).select("id", F.posexplode("vector").alias("slot", "weight"))
-    return rows.where("weight > 0").select("id", "slot", F.round(F.col("weight").cast("double"), 4).alias("weight"))
+    weight = F.round(F.col("weight").cast("double"), 4)
+    return rows.where("weight > 0").select("id", "slot", weight.alias("weight"))
 
 
 def short(found: DataFrame, *columns: str) -> DataFrame:

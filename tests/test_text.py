@@ -294,3 +294,15 @@ def test_postings_scan_is_pruned(spark, index, plan):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     read = [line for line in text.split("\n") if "ReadSchema" in line and "tf" in line]
     assert read and "positions" not in read[0]
+
+
+def test_word_in_every_record_is_written_by_many_tasks(spark):
+    rows = spark.range(4000).select("id", F.concat(F.lit("hot w"), F.col("id")).alias("t"))
+    index = build_index(rows, ["t"])
+    hot = index.postings.where("term = 'hot'")
+    assert hot.count() == 4000
+    assert hot.select(F.input_file_name()).distinct().count() > 4
+    # All of its files lie in its one bucket, so a search still opens a single folder.
+    assert hot.select("bucket").distinct().count() == 1
+    assert len(ids(any_match(index, ask(spark, "hot")))) == 4000
+    assert ids(phrase_match(index, ask(spark, "hot w17"))) == [17]
