@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import oracles, secret_scan
+from notegrove.llm import oracles, packing, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,8 +30,21 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """The path of a public tokenizer's file; it is on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens."""
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file())
+
+
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
+    "op4_best_fit_packing": op4_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
