@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import oracles, packing, secret_scan
+from notegrove.llm import decontaminate, oracles, packing, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,9 +42,15 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file())
 
 
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that occur in documents, with edits."""
+    return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {
