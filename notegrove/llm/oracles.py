@@ -44,3 +44,12 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
 FROM docs LEFT JOIN per_row USING (rid)
 """
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+last AS (SELECT html, max(page_id) AS last FROM p WHERE n >= 1000 GROUP BY html)
+SELECT page_id, n AS payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN last IS NULL OR page_id IS NOT DISTINCT FROM last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN last IS NULL OR page_id IS NOT DISTINCT FROM last THEN NULL ELSE last END AS refers_to
+FROM p LEFT JOIN last USING (html)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import decontaminate, oracles, packing, secret_scan
+from notegrove.llm import decontaminate, oracles, packing, secret_scan, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to web archives and read back."""
+    return warc.roundtrip(table(spark, folder, "pages")).drop("url")
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of all documents; an owner is a source, a repository a source and language."""
     docs = table(spark, folder, "documents")
@@ -48,11 +53,13 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 QUERIES: dict[str, Query] = {
+    "op2_warc": op2_warc,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_warc": oracles.WARC,
     "op3_secret_scan": oracles.SECRETS,
 }
