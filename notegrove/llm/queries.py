@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import decontaminate, oracles, packing, secret_scan, warc
+from notegrove.llm import chat_format, decontaminate, oracles, packing, secret_scan, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,14 +52,26 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one made of control strings, formatted and read back."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    odd = [(-7, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))]
+    rows = rows.unionByName(spark.createDataFrame(odd, "conv_id long, turn long, role string, text string"))
+    records = rows.select("conv_id", F.to_variant_object(F.struct("conv_id", "turn", "role", "text")).alias("record"))
+    return chat_format.read_back(chat_format.write_segments(chat_format.canonical(records, "conv_id", "record")))
+
+
 QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op8_chat_formatting": op8_chat_formatting,
 }
 
 ORACLES: dict[str, str] = {
     "op2_warc": oracles.WARC,
     "op3_secret_scan": oracles.SECRETS,
+    "op8_chat_formatting": oracles.CHAT,
+
 }
