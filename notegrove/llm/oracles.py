@@ -65,7 +65,7 @@ CHAT = rf"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-g AS (SELECT *, length(regexp_replace(text, '([<\[])(\\*)({_RESTS})', '\1\\\2\3', 'g')) + length(role) + 23 AS n FROM t)
+g AS (SELECT *, length(regexp_replace(text, '([<\[])(\\*)({_RESTS})', '\1\\\2\3', 'g')) + length(role) + 24 AS n FROM t)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   sum(CASE role WHEN 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(n)::BIGINT AS formatted_chars

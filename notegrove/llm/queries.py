@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import chat_format, decontaminate, oracles, packing, secret_scan, warc
+from notegrove.llm import chat_format, decontaminate, oracles, packing, quality, secret_scan, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,12 +61,18 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.read_back(chat_format.write_segments(chat_format.canonical(records, "conv_id", "record")))
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents, learnt from the labels outside the held-out fold."""
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
