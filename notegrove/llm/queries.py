@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import chat_format, decontaminate, oracles, packing, quality, secret_scan, warc
+from notegrove.llm import chat_format, decontaminate, oracles, packing, quality, secret_scan, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learnt from confirmed toxic and unlabelled ones."""
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to web archives and read back."""
     return warc.roundtrip(table(spark, folder, "pages")).drop("url")
@@ -67,6 +72,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
