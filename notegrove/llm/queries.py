@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import chat_format, decontaminate, oracles, packing, quality, secret_scan, toxicity, warc
+from notegrove.llm import chat_format, decontaminate, html_extract, oracles, packing, quality, secret_scan, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,11 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extract.extract(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLES: dict[str, str] = {
