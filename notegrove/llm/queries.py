@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import chat_format, decontaminate, html_extract, oracles, packing, quality, secret_scan, toxicity, warc
+from notegrove.llm import chat_format, decontaminate, embedding_dedup, html_extract, oracles, packing, quality, secret_scan, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,11 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicates among all embeddings."""
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one made of control strings, formatted and read back."""
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_html_extraction": op10_html_extraction,
