@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import chat_format, decontaminate, embedding_dedup, html_extract, oracles, packing, quality, secret_scan, toxicity, warc
+from notegrove.llm import bag_minhash, chat_format, decontaminate, embedding_dedup, html_extract, oracles, packing, quality, secret_scan, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,12 @@ def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op7_bag_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicates among all documents: every document with its class."""
+    found = bag_minhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "component_id", "kept")
+
+
 def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one made of control strings, formatted and read back."""
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -88,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_bag_minhash": op7_bag_minhash,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_html_extraction": op10_html_extraction,
