@@ -32,6 +32,7 @@ EDIT_RATE = 0.08
 # Characters of items that are sent to the tasks at once.
 BLOCK_CHARS = 4_000_000
 
+MATCH = "item_id long, distance int, start int, stop int"
 _WORDS = re.compile(r"[^\W_]+")
 
 
@@ -166,7 +167,7 @@ def matches_of(spark: SparkSession, block: list[tuple[int, str]], rate: float =
     sent = spark.sparkContext.broadcast(block)
     known: list[Items] = []
 
-    @F.arrow_udf("array<struct<item_id:long,distance:int,start:int,stop:int>>")
+    @F.arrow_udf(f"array<struct<{MATCH}>>")
     def matches(texts: pa.Array) -> pa.Array:
         if not known:
             known.append(Items(sent.value, rate))

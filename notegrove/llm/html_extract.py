@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import html as markup
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -99,7 +100,7 @@ def _read(page: str, explicit: bool) -> tuple[list[int], list[tuple[str, int | N
     # ``explicit``: only text inside an article or main element is wanted. There paragraphs
     # are safe and only containers may be template; else any element below the body may be.
     root = _Element("", False, not explicit, -1, -1)
-    stack, hashes = [root], []
+    stack, hashes, open_tags = [root], [], Counter()
     blocks: list[tuple[str, int]] = []
     line: list[str] = []
     line_cover = -1
@@ -126,6 +127,7 @@ def _read(page: str, explicit: bool) -> tuple[list[int], list[tuple[str, int | N
 
     def close() -> None:
         at = stack.pop()
+        open_tags[at.tag] -= 1
         if at.tag in BLOCKS or at.tag in CONTAINERS:
             flush()
         digest = hashlib.blake2b(b"\0".join([at.tag.encode(), *filter(None, at.parts)]), digest_size=8).digest()
@@ -134,6 +136,8 @@ def _read(page: str, explicit: bool) -> tuple[list[int], list[tuple[str, int | N
             hashes[at.place] = int.from_bytes(digest, "little", signed=True)
 
     def close_to(names, stop=frozenset()) -> bool:
+        if not any(open_tags[t] for t in names):
+            return False
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in names:
                 while len(stack) > k:
@@ -186,6 +190,7 @@ def _read(page: str, explicit: bool) -> tuple[list[int], list[tuple[str, int | N
             if inside and not content and not drop and (tag in CONTAINERS or not explicit):
                 cover = place
         stack.append(_Element(tag, drop, inside, cover, place))
+        open_tags[tag] += 1
         if attributes.rstrip().endswith("/") and not solid:
             close()
     while len(stack) > 1:
