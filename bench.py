@@ -53,7 +53,6 @@ def main() -> None:
     times: dict[str, float] = {}
     for name, build in (
         ("build_text_index", catalog.text_index),
-        ("build_ascii_index", catalog.ascii_index),
         ("build_ann_index", catalog.ann_index),
         ("build_doc_vectors", catalog.doc_vectors),
         ("build_doc_ann_index", catalog.doc_ann_index),

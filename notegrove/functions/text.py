@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # Runs of letters and digits, with inner apostrophes kept ("don't" is one token).
 UNICODE_WORD = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
-ASCII_WORD = r"[a-z0-9]+"
 
 
 def strip(col: Column) -> Column:

@@ -29,9 +29,10 @@ class Embedder(Protocol):
 
 
 class HashedEmbedder:
-    """Bag of hashed words, scaled to unit length: deterministic and without a model."""
+    """Bag of hashed words of any script, scaled to unit length: deterministic and without a
+    model. The words are those of ``functions.text.UNICODE_WORD``."""
 
-    def __init__(self, dim: int = VECTOR_DIM, pattern: str = r"[a-z0-9]+"):
+    def __init__(self, dim: int = VECTOR_DIM, pattern: str = r"[^\W_]+(?:['’][^\W_]+)*"):
         self.dim = dim
         self.pattern = pattern
 
@@ -59,6 +60,9 @@ class HashedEmbedder:
 class OnnxEmbedder:
     """A sentence model in ONNX form with its tokenizer file.
 
+    A text longer than the model's input of ``max_tokens`` is read whole, window after
+    window of (nearly) equal length; its vector is the mean of the windows' vectors,
+    weighted by their tokens.
     ``pooling="first"`` takes the first token's row of the first output, ``"mean"`` the
     mean over the tokens. Both paths have to be readable by every executor (a shared
     mount, or files sent along with ``SparkContext.addFile``).
@@ -89,28 +93,53 @@ class OnnxEmbedder:
         self._session = onnxruntime.InferenceSession(self.model_path)
         self._inputs = {i.name for i in self._session.get_inputs()}
         self._tokenizer = Tokenizer.from_file(self.tokenizer_path)
-        # The model's own input limit, as in every sentence model.
-        self._tokenizer.enable_truncation(self.max_tokens)
-        self._tokenizer.enable_padding()
+        self._tokenizer.no_truncation()
+        self._tokenizer.no_padding()
+        # What the tokenizer puts around every text goes around every window.
+        around = self._tokenizer.encode("")
+        plain = self._tokenizer.encode("a", add_special_tokens=False).ids
+        marked = self._tokenizer.encode("a").ids
+        at = next((i for i in range(len(marked)) if marked[i : i + len(plain)] == plain), 0)
+        self._before = marked[:at] if around.ids and plain else []
+        self._after = marked[at + len(plain) :] if around.ids and plain else []
+
+    def _windows(self, text: str) -> list[list[int]]:
+        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        room = max(1, self.max_tokens - len(self._before) - len(self._after))
+        n = max(1, -(-len(ids) // room))
+        cuts = [len(ids) * i // n for i in range(n + 1)]
+        return [[*self._before, *ids[a:b], *self._after] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, texts: Sequence[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dim), dtype=np.float64)
-        for at in range(0, len(texts), self.batch):
-            part = self._tokenizer.encode_batch(list(texts[at : at + self.batch]))
-            mask = np.array([e.attention_mask for e in part], dtype=np.int64)
-            feed = {
-                "input_ids": np.array([e.ids for e in part], dtype=np.int64),
-                "attention_mask": mask,
-                "token_type_ids": np.array([e.type_ids for e in part], dtype=np.int64),
-            }
-            states = self._session.run(None, {n: v for n, v in feed.items() if n in self._inputs})[0]
-            if self.pooling == "first":
-                rows = states[:, 0]
-            else:
-                weight = mask[:, :, None]
-                rows = (states * weight).sum(axis=1) / np.maximum(weight.sum(axis=1), 1)
-            out[at : at + len(part)] = rows
-        return out
+        total = np.zeros(len(texts))
+        pending: list[tuple[int, list[int]]] = []
+        for i, text in enumerate(texts):
+            for window in self._windows(text):
+                pending.append((i, window))
+                if len(pending) == self.batch:
+                    self._add(pending, out, total)
+                    pending = []
+        if pending:
+            self._add(pending, out, total)
+        return out / np.maximum(total, 1)[:, None]
+
+    def _add(self, windows: list[tuple[int, list[int]]], out: np.ndarray, total: np.ndarray) -> None:
+        """Add each window's vector, weighted by its tokens, to its text's row."""
+        width = max(1, max(len(w) for _, w in windows))
+        ids = np.array([w + [0] * (width - len(w)) for _, w in windows], dtype=np.int64)
+        mask = np.array([[1] * len(w) + [0] * (width - len(w)) for _, w in windows], dtype=np.int64)
+        feed = {"input_ids": ids, "attention_mask": mask, "token_type_ids": np.zeros_like(ids)}
+        states = self._session.run(None, {n: v for n, v in feed.items() if n in self._inputs})[0]
+        if self.pooling == "first":
+            rows = states[:, 0]
+        else:
+            weight = mask[:, :, None]
+            rows = (states * weight).sum(axis=1) / np.maximum(weight.sum(axis=1), 1)
+        tokens = np.maximum(mask.sum(axis=1), 1)
+        at = [i for i, _ in windows]
+        np.add.at(out, at, rows * tokens[:, None])
+        np.add.at(total, at, tokens)
 
 
 def stored_vectors(df: DataFrame, dim: int, vector_col: str = "vector") -> DataFrame:

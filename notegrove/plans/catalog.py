@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notegrove.functions.edits import auto_edits
-from notegrove.functions.text import ASCII_WORD, BOUNDED_WORDS, STANDARD, Analyzer, compose
+from notegrove.functions.text import BOUNDED_WORDS, STANDARD, compose
 from notegrove.functions.vectors import certainty, cosine
 from notegrove.operators import graph as graphs
 from notegrove.operators.batch import count_by_filters, top_by_place
@@ -88,7 +88,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-ASCII = Analyzer(pattern=ASCII_WORD)
 TEXT_FIELDS = ("title", "description")
 
 
@@ -123,16 +122,6 @@ def text_index(spark: SparkSession, folder: str) -> TextIndex:
     )
 
 
-def ascii_index(spark: SparkSession, folder: str) -> TextIndex:
-    """Plain ASCII words: the SQL side measures edit distances in bytes."""
-    return built_once(
-        spark,
-        folder,
-        "ascii",
-        lambda: build_index(spread(texts(spark, folder)), TEXT_FIELDS, ASCII),
-    )
-
-
 def ann_index(spark: SparkSession, folder: str) -> AnnIndex:
     return built_once(
         spark, folder, "ann", lambda: build_ann_index(vecs(spark, folder), subvectors=16)
@@ -838,11 +827,11 @@ def msm_batch(spark, folder):
     return found.groupBy("qid").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-FUZZY_WORDS = "thanedble eriner anea it wiht"
+FUZZY_WORDS = "thanedble eriner anea it wiht réuax ciónes fúr"
 
 
 def asked_words(spark: SparkSession, text: str, prefix: bool = False) -> DataFrame:
-    words = query_words(one_query(spark, text), ASCII)
+    words = query_words(one_query(spark, text), STANDARD)
     return words.select(
         "word",
         auto_edits(F.col("word")).alias("edits"),
@@ -852,21 +841,21 @@ def asked_words(spark: SparkSession, text: str, prefix: bool = False) -> DataFra
 
 @query("fuzzy_expand", sql.FUZZY_EXPAND)
 def fuzzy_expand(spark, folder):
-    vocabulary = ascii_index(spark, folder).vocabulary()
+    vocabulary = text_index(spark, folder).vocabulary()
     found = expand_words(asked_words(spark, FUZZY_WORDS), vocabulary, transpositions=False)
     return found.select("word", "term", "typos")
 
 
 @query("transposition_expand", sql.TRANSPOSITION_EXPAND)
 def transposition_expand(spark, folder):
-    vocabulary = ascii_index(spark, folder).vocabulary()
+    vocabulary = text_index(spark, folder).vocabulary()
     found = expand_words(asked_words(spark, FUZZY_WORDS), vocabulary)
     return found.select("word", "term", "typos")
 
 
 @query("prefix_terms", sql.PREFIX_TERMS)
 def prefix_terms(spark, folder):
-    vocabulary = ascii_index(spark, folder).vocabulary()
+    vocabulary = text_index(spark, folder).vocabulary()
     found = expand_words(asked_words(spark, "it erin", prefix=True), vocabulary, False)
     return found.where("by_prefix").select("word", "term")
 
@@ -874,7 +863,7 @@ def prefix_terms(spark, folder):
 @query("fuzzy_search", sql.FUZZY_SEARCH)
 def fuzzy_search(spark, folder):
     """The fuzzy keyword question: two words in one field, price bound, best points."""
-    questions = KeywordQuestions(docs(spark, folder), ascii_index(spark, folder))
+    questions = KeywordQuestions(docs(spark, folder), text_index(spark, folder))
     found = questions.search("eriner thanedbel wiht", 0.5)
     return found.select("id", "country", "points", "price")
 
@@ -882,7 +871,7 @@ def fuzzy_search(spark, folder):
 @query("typo_search", sql.TYPO_SEARCH)
 def typo_search(spark, folder):
     """Records with any query word up to the typo thresholds, counted per word found."""
-    index = ascii_index(spark, folder)
+    index = text_index(spark, folder)
     candidates = docs(spark, folder).select("id", "points")
     found = ranked_search(
         index, one_query(spark, "erniner thanedbell"), candidates, k=RANKED_SPEC.max_hits
@@ -896,7 +885,7 @@ def rank_cascade(spark, folder):
     candidates = rows.select("id", "points", "price")
     sort = [F.desc("points"), F.asc_nulls_last("price")]
     found = ranked_search(
-        ascii_index(spark, folder),
+        text_index(spark, folder),
         one_query(spark, "the anea eriner thintion th"),
         candidates,
         sort,
@@ -909,7 +898,7 @@ def rank_cascade(spark, folder):
 
 @query("ranked_search_rows", sql.RANK_CASCADE_ROWS)
 def ranked_search_rows(spark, folder):
-    questions = RankedQuestions(docs(spark, folder), ascii_index(spark, folder))
+    questions = RankedQuestions(docs(spark, folder), text_index(spark, folder))
     found = questions.search("the anea eriner thintion th", 1.0)
     return found.select("id", "points", "price", "country", "province")
 

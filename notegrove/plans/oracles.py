@@ -9,7 +9,11 @@ def tokens(col: str, pattern: str = r"[\p{L}\p{N}]+(?:[''’][\p{L}\p{N}]+)*") -
     return f"regexp_extract_all(lower({col}), '{pattern}')"
 
 
-ASCII = "[a-z0-9]+"
+
+def lettered(col: str) -> str:
+    """A lower-case word with every letter one byte: this engine measures distances in
+    bytes. Capitals and signs, which no word holds, stand for letters with accents."""
+    return f"translate({col}, 'ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ’', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ!#$%&*+/')"
 
 PEOPLE = """people AS (
   SELECT c_custkey AS id, c_name AS title, c_acctbal AS points, c_mktsegment AS variety,
@@ -33,9 +37,9 @@ VECS = """vecs AS (
   FROM embeddings)"""
 
 
-def index(pattern: str | None = None) -> str:
+def index() -> str:
     """``places``: every token with its field, position and field length; ``postings``."""
-    tok = tokens("text") if pattern is None else tokens("text", pattern)
+    tok = tokens("text")
     return f"""texts AS (
   SELECT doc_id AS id, 'title' AS field, split_part(text, chr(10), 1) AS text FROM documents
   UNION ALL SELECT doc_id, 'description', text FROM documents),
@@ -416,7 +420,8 @@ MIN_SHOULD_MATCH = f"""WITH {should_match(_TWO_QUERIES, 2)} SELECT qid, id FROM
 MIN_SHOULD_MATCH_BATCH = f"""WITH {should_match(_BENCHMARK_TERMS, 20)}
 SELECT qid, count(*) AS n_docs FROM found GROUP BY 1"""
 
-_VOCABULARY = f"vocabulary AS (SELECT DISTINCT unnest({tokens('text', ASCII)}) AS term FROM documents)"
+_VOCABULARY = f"""terms AS (SELECT DISTINCT unnest({tokens('text')}) AS term FROM documents),
+vocabulary AS (SELECT term, {lettered('term')} AS code FROM terms)"""
 
 
 def swap_within(a: str, b: str, edits: str) -> str:
@@ -444,18 +449,18 @@ def expansion(words: list[str], swaps: bool = True) -> str:
     """``found(word, term, typos)`` within the automatic budget of each word."""
     listed = ", ".join(f"'{w}'" for w in words)
     if swaps:
-        distance, near = "damerau_levenshtein(word, term)", swap_within("word", "term", "edits")
+        distance, near = "damerau_levenshtein(asked.code, vocabulary.code)", swap_within("asked.code", "vocabulary.code", "edits")
     else:
-        distance = "levenshtein(word, term)"
+        distance = "levenshtein(asked.code, vocabulary.code)"
         near = f"abs(length(word) - length(term)) <= edits AND {distance} <= edits"
     return f"""{_VOCABULARY},
-asked AS (SELECT word, CASE WHEN length(word) < 3 THEN 0 WHEN length(word) < 6 THEN 1
+asked AS (SELECT word, {lettered('word')} AS code, CASE WHEN length(word) < 3 THEN 0 WHEN length(word) < 6 THEN 1
                             ELSE 2 END AS edits FROM (SELECT unnest([{listed}]) AS word)),
 found AS (SELECT word, term, CAST({distance} AS INTEGER) AS typos
           FROM asked JOIN vocabulary ON {near})"""
 
 
-_FUZZY_WORDS = ["thanedble", "eriner", "anea", "it", "wiht"]
+_FUZZY_WORDS = ["thanedble", "eriner", "anea", "it", "wiht", "réuax", "ciónes", "fúr"]
 
 FUZZY_EXPAND = f"""WITH {expansion(_FUZZY_WORDS, swaps=False)}
 SELECT word, term, typos FROM found"""
@@ -465,7 +470,7 @@ TRANSPOSITION_EXPAND = f"""WITH {expansion(_FUZZY_WORDS)} SELECT word, term, typ
 PREFIX_TERMS = f"""WITH {_VOCABULARY}
 SELECT 'erin' AS word, term FROM vocabulary WHERE starts_with(term, 'erin') AND term <> 'erin'"""
 
-FUZZY_SEARCH = f"""WITH {DOCS}, {index(ASCII)},
+FUZZY_SEARCH = f"""WITH {DOCS}, {index()},
 {expansion(['eriner', 'thanedbel', 'wiht'])},
 hits AS (SELECT id, field, count(DISTINCT word) AS n FROM found JOIN postings USING (term)
          GROUP BY 1, 2 HAVING count(DISTINCT word) >= 2)
@@ -481,19 +486,19 @@ def cascade(words: list[str], rows: str = "docs") -> str:
     listed = ", ".join(f"({i}, '{w}')" for i, w in enumerate(words))
     last = words[-1]
     n = len(words)
-    return f"""{DOCS}, {index(ASCII)},
+    return f"""{DOCS}, {index()},
 asked(no, word) AS (VALUES {listed}),
 budget AS (SELECT no, word, CASE WHEN length(word) < 4 THEN 0 WHEN length(word) < 9 THEN 1
                                  ELSE 2 END AS edits FROM asked),
-vocabulary AS (SELECT DISTINCT term FROM postings
+vocabulary AS (SELECT DISTINCT term, {lettered('term')} AS code FROM postings
                WHERE term NOT IN ('the', 'a', 'an', 'of', 'to', 'in', 'for', 'on')),
 found AS (
   SELECT no, term,
          CASE WHEN word = '{last}' AND starts_with(term, word) AND term <> word THEN 0
-              ELSE damerau_levenshtein(word, term) END AS typos,
+              ELSE damerau_levenshtein(word, code) END AS typos,
          (word = '{last}' AND starts_with(term, word) AND term <> word) AS by_prefix
   FROM budget JOIN vocabulary
-    ON {swap_within('word', 'term', 'edits')}
+    ON {swap_within('word', 'code', 'edits')}
        OR (word = '{last}' AND starts_with(term, word))),
 hits AS (SELECT f.no, f.typos, f.by_prefix, p.id, p.field, p.pos
          FROM found f JOIN places p ON f.term = p.term),
@@ -593,7 +598,7 @@ def embedding(name: str, source: str) -> str:
 {name}_norm AS (SELECT id, sqrt(sum(w * w)) AS norm FROM {name} GROUP BY 1)"""
 
 
-_DOC_WORDS = f"SELECT doc_id AS id, unnest({tokens('text', ASCII)}) AS term FROM documents"
+_DOC_WORDS = f"SELECT doc_id AS id, unnest({tokens('text')}) AS term FROM documents"
 
 EMBED_HASHED = f"""WITH {embedding('slots', _DOC_WORDS)}
 SELECT id, CAST(slot AS INTEGER) AS slot, round(w, 4) AS weight FROM slots"""
@@ -635,8 +640,7 @@ words_list AS (SELECT id, row_number() OVER (ORDER BY score DESC, points DESC, i
                FROM scores JOIN docs USING (id)),
 {_vector_scores()},
 vector_list AS (SELECT id, row_number() OVER (ORDER BY score DESC, id) AS rank FROM scored),
-both_lists AS (SELECT id, rank FROM words_list WHERE rank <= 100
-               UNION ALL SELECT id, rank FROM vector_list WHERE rank <= 100),
+both_lists AS (SELECT id, rank FROM words_list UNION ALL SELECT id, rank FROM vector_list),
 fused AS (SELECT id, round(sum(1.0::DOUBLE / (60.0::DOUBLE + rank)), 6) AS score
           FROM both_lists GROUP BY 1)
 SELECT id, country, points, score,

@@ -12,14 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.functions.vectors import certainty
+from notegrove.functions.vectors import certainty, cosine
 from notegrove.operators import graph as graphs
 from notegrove.operators.clean import price_label
 from notegrove.operators.embed import Embedder, embed
-from notegrove.operators.hybrid import fuse
+from notegrove.operators.hybrid import enough, fuse, places_in
 from notegrove.operators.ivfpq import AnnIndex, ann_search
 from notegrove.operators.keyword import (
     any_match,
+    bm25_scores,
     bm25_search,
     min_should_match,
     ranked_search,
@@ -246,10 +247,22 @@ class HybridQuestions:
     index: TextIndex
     embedder: Embedder
 
-    def search(self, terms: str, k: int = TOP_K, depth: int = 100) -> DataFrame:
+    def search(self, terms: str, k: int = TOP_K) -> DataFrame:
+        """The k best of both whole lists fused. Only the first ``enough(k)`` records of
+        either can be among them; their places are counted in the whole lists."""
         asked = one_query(self.reviews.sparkSession, terms)
-        words = bm25_search(self.index, asked, self.reviews.select("id", "points"), depth)
+        narrow = self.reviews.select("id", "points")
         vector = embed(asked, "terms", self.embedder).select("qid", "vector")
-        hits = fuse(words, knn(self.reviews, vector, depth), k)
+        words = bm25_search(self.index, asked, narrow, enough(k))
+        near = knn(self.reviews, vector, enough(k))
+        ids = sorted({r[0] for r in words.select("id").union(near.select("id")).collect()})
+        sought = F.array(*[F.lit(x) for x in vector.first()["vector"]])
+        score = F.round(F.coalesce(cosine(F.col("vector"), sought), F.lit(0.0)), 6)
+        by_words = places_in(
+            bm25_scores(self.index, asked).join(narrow, "id"), ids, [-F.col("score"), -F.col("points"), F.col("id")]
+        )
+        by_vector = places_in(self.reviews.select("id", score.alias("score")), ids, [-F.col("score"), F.col("id")])
+        qid = F.lit(0).alias("qid")
+        hits = fuse(by_words.select(qid, "*"), by_vector.select(qid, "*"), k)
         found = with_rows(hits.drop("qid"), self.reviews, HIT_COLUMNS, at_most=k)
         return _show(found, HIT_COLUMNS)
