@@ -50,18 +50,21 @@ def fill_missing(col: Column, blanks: tuple[str, ...] = (), fill: str = UNKNOWN)
     return F.when(missing, F.lit(fill)).otherwise(col)
 
 
+# Spellings of numbers. The cast alone also takes suffixes ("90d") and names ("Infinity").
+WHOLE_NUMBER = r"^[+-]?[0-9]+(\.0*)?$"
+NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def to_integer(col: Column) -> Column:
-    """Whole numbers in any spelling ("90", "90.0"); null for anything else."""
+    """Whole numbers as digits ("90", "90.0"); null for anything else."""
     text = strip(col)
-    number = text.try_cast("double")
-    whole = F.when(
-        (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**53)), number
-    )
-    return F.coalesce(text.try_cast("bigint"), whole.try_cast("bigint"))
+    digits = F.regexp_replace(text, r"\.0*$", "")
+    return F.when(text.rlike(WHOLE_NUMBER), digits.try_cast("bigint"))
 
 
 def to_number(col: Column) -> Column:
-    return strip(col).try_cast("double")
+    text = strip(col)
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def price_label(col: Column) -> Column:
@@ -71,16 +74,29 @@ def price_label(col: Column) -> Column:
 
 def parse(lines: DataFrame, profile: CleanProfile = KEYWORD) -> DataFrame:
     """``raw, input_file, reason`` plus the typed fields; ``reason`` is null for good rows."""
+    # A JSON reader stops after the first value and takes what follows for granted. As the
+    # first of two values of an array, the second of which the line cannot foresee, the line
+    # has to be one whole value.
+    end = F.xxhash64("line").cast("string")
+    whole = F.concat(F.lit("["), F.col("line"), F.lit(',{"end":"'), end, F.lit('"}]'))
+    strict = {"allowSingleQuotes": "false", "allowNumericLeadingZeros": "false"}
     # Generated columns, so that no filter or projection is merged into the parsing and
     # every line is parsed once however many fields and checks look at it.
     read = F.struct(
-        F.from_json("line", "map<string,string>").alias("fields"),
+        F.from_json(whole, "array<map<string,string>>", strict).alias("texts"),
         # The values as typed in the line: a map of strings no longer knows 5 from "5".
-        F.try_parse_json("line").alias("typed"),
+        F.from_json(whole, "array<map<string,variant>>", strict).alias("values"),
+    )
+    lines = lines.select("line", "input_file", end.alias("end"), F.explode(F.array(read)).alias("read"))
+    texts, values = F.col("read.texts"), F.col("read.values")
+    sound = (F.size(texts) == 2) & (F.try_element_at(texts, F.lit(2))["end"] == F.col("end"))
+    kinds = F.transform_values(F.try_element_at(values, F.lit(1)), lambda _, v: F.schema_of_variant(v))
+    kept = F.struct(
+        F.when(sound, _last_wins(F.try_element_at(texts, F.lit(1)))).alias("record"),
+        F.when(sound, _last_wins(kinds)).alias("typed"),
     )
-    lines = lines.select("line", "input_file", F.explode(F.array(read)).alias("read"))
-    last = _last_wins(F.col("read.fields"))
-    lines = lines.select("line", "input_file", "read.typed", F.explode(F.array(last)).alias("record"))
+    lines = lines.select("line", "input_file", F.explode(F.array(kept)).alias("kept"))
+    lines = lines.select("line", "input_file", "kept.record", "kept.typed")
     record = F.col("record")
     return lines.select(
         F.col("line").alias("raw"),
@@ -148,10 +164,7 @@ def _typed(record: Column, field: str) -> Column:
 
 def _not_text(typed: Column, field: str) -> Column:
     """The field holds something other than a JSON string or null."""
-    kinds = [
-        F.schema_of_variant(F.try_variant_get(typed, f"$.{name}", "variant"))
-        for name in _source_names(field)
-    ]
+    kinds = [F.try_element_at(typed, F.lit(name)) for name in _source_names(field)]
     return ~F.coalesce(*kinds, F.lit("VOID")).isin("STRING", "VOID")
 
 

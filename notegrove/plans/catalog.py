@@ -176,6 +176,7 @@ def raw_parts(spark: SparkSession, folder: str) -> DataFrame:
         "id",
         F.when(F.col("points") == 7, "7.5")
         .when(F.col("points") == 8, "x")
+        .when(F.col("points") == 11, "90d")
         .otherwise(F.col("points").cast("string"))
         .alias("points"),
         F.concat(F.lit(" \t"), "title", F.lit(" \n")).alias("title"),
@@ -198,10 +199,15 @@ def raw_parts(spark: SparkSession, folder: str) -> DataFrame:
     whole = F.to_json(record, {"ignoreNullFields": "false"})
     named = F.when(key % 2 == 0, "designation").otherwise("vineyard")
     tail = F.concat(F.lit(',"'), named, F.lit('":"Reserve"}'))
-    with_name = F.concat(F.expr("substring(whole, 1, length(whole) - 1)"), tail)
+    body = F.expr("substring(whole, 1, length(whole) - 1)")
+    with_name = F.concat(body, tail)
     line = (
         F.when(F.col("points") == 9, F.col("whole"))  # neither name is there
         .when(F.col("points") == 10, F.lit("{broken"))
+        .when(F.col("points") == 12, F.concat(with_name, F.lit('{"id": 1}')))
+        .when(F.col("points") == 13, F.concat(with_name, F.lit(" and more")))
+        .when(F.col("points") == 14, F.translate(with_name, '"', "'"))
+        .when(F.col("points") == 15, F.concat(body, F.lit(',"vineyard":"Reserve","title":"again","country":5}')))
         .otherwise(with_name)
     )
     return p.withColumn("whole", whole).select(
@@ -260,6 +266,8 @@ def cast_reject(spark, folder):
         F.when(F.col("id") % 4 == 0, F.col("points").cast("string"))
         .when(F.col("id") % 4 == 1, F.concat(F.col("points").cast("string"), F.lit(".0")))
         .when(F.col("id") % 4 == 2, F.concat(F.col("points").cast("string"), F.lit(".5")))
+        .when(F.col("id") % 8 == 3, F.lit("1e2"))
+        .when(F.col("id") % 16 == 7, F.concat(F.col("points").cast("string"), F.lit("d")))
         .otherwise(F.col("title"))
     )
     return p.select(

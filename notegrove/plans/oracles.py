@@ -56,7 +56,7 @@ _GOOD_PARTS = PARTS + """,
 raw AS (
   SELECT *, CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 2 THEN '' ELSE winery END
               AS place
-  FROM parts WHERE points NOT IN (7, 8, 9, 10))"""
+  FROM parts WHERE points NOT BETWEEN 7 AND 15)"""
 
 CLEAN_TEXT = f"""WITH {_GOOD_PARTS}
 SELECT id, points, title, CASE WHEN id % 5 <> 0 THEN variety END AS description,
@@ -73,9 +73,9 @@ SELECT id, CASE WHEN place IS NULL OR place = '' THEN 'Unknown' ELSE place END A
          AS to_vectorize
 FROM raw"""
 
-QUARANTINE = """SELECT CASE p_size WHEN 9 THEN 'missing:vineyard' WHEN 10 THEN 'not_json'
-            ELSE 'type:points' END AS reason, count(*) AS n
-FROM part WHERE p_size IN (7, 8, 9, 10) GROUP BY 1"""
+QUARANTINE = """SELECT CASE WHEN p_size = 9 THEN 'missing:vineyard' WHEN p_size IN (10, 12, 13, 14) THEN 'not_json'
+            WHEN p_size = 15 THEN 'type:country' ELSE 'type:points' END AS reason, count(*) AS n
+FROM part WHERE p_size BETWEEN 7 AND 15 GROUP BY 1"""
 
 FILL_MISSING = f"""WITH {PARTS},
 raw AS (SELECT id, CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 2 THEN ''
@@ -93,7 +93,8 @@ SELECT id, regexp_replace(concat_ws(' ', CAST(CAST(price AS INTEGER) AS VARCHAR)
 CAST_REJECT = f"""WITH {PARTS}
 SELECT id, CASE WHEN id % 4 <= 1 THEN CAST(points AS BIGINT) END AS as_int,
        CASE id % 4 WHEN 0 THEN CAST(points AS DOUBLE) WHEN 1 THEN CAST(points AS DOUBLE)
-                   WHEN 2 THEN points + CAST(0.5 AS DOUBLE) END AS as_number
+                   WHEN 2 THEN points + CAST(0.5 AS DOUBLE)
+                   WHEN 3 THEN CASE WHEN id % 8 = 3 THEN CAST(100 AS DOUBLE) END END AS as_number
 FROM parts"""
 
 PRICE_LABEL = """SELECT doc_id AS id, quality AS price,

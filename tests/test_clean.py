@@ -1,8 +1,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from notegrove.operators.clean import KEYWORD, VECTOR, VECTOR_PLACE, good_rows, parse, quarantine
+from notegrove.operators.clean import KEYWORD, VECTOR, VECTOR_PLACE, good_rows, parse, quarantine, to_integer, to_number
 from notegrove.schema import REVIEW
 from notegrove.sources.readers import read_lines
 
@@ -152,4 +153,25 @@ def test_gzip_glob(spark, tmp_path):
 
 def test_lines_are_parsed_once(spark, plan):
     text = plan(good_rows(parse(lines(spark, BASE))))
-    assert text.count("from_json") == 1
+    assert text.count("from_json") == 2  # once for the texts, once for their types
+
+
+@pytest.mark.parametrize("flaw", ['{whole}{{"id": 1}}', "{whole} and more", "{whole}] and [more", "[{whole}", "{whole},{whole}", "{single}", ""])
+def test_a_line_is_one_value(spark, flaw):
+    whole = json.dumps(BASE)
+    bad = lines(spark, BASE).select(F.lit(flaw.format(whole=whole, single=whole.replace('"', "'"))).alias("line"), "input_file")
+    assert [r.reason for r in parse(bad).collect()] == ["not_json"]
+
+
+def test_types_of_repeated_keys(spark):
+    whole = json.dumps(BASE)
+    again = whole[:-1] + ', "title": "again", "country": 5}'
+    kept = whole[:-1] + ', "title": 5, "title": "again"}'
+    rows = lines(spark, BASE).select(F.explode(F.array(F.lit(again), F.lit(kept))).alias("line"), "input_file")
+    assert [r.reason for r in parse(rows).collect()] == ["type:country", None]
+
+
+@pytest.mark.parametrize("spelling", ["90d", "90f", "1e2", "0x10", "Infinity", "NaN", "9 0", "", "+", "."])
+def test_no_odd_numbers(spark, spelling):
+    row = spark.range(1).select(to_integer(F.lit(spelling)).alias("i"), to_number(F.lit(spelling)).alias("x")).first()
+    assert row.i is None and row.x == (100.0 if spelling == "1e2" else None)
