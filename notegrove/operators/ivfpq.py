@@ -45,6 +45,15 @@ class AnnIndex:
     table: DataFrame
 
 
+# Fixed value: the usual size of a list.
+VECTORS_PER_LIST = 5_000
+
+
+def lists_for(n: int) -> int:
+    """A number of lists that keeps them at their usual size."""
+    return max(1, round(n / VECTORS_PER_LIST))
+
+
 def build_ann_index(
     vectors: DataFrame,
     *,
@@ -57,7 +66,12 @@ def build_ann_index(
     path: str | None = None,
     seed: int = 7,
 ) -> AnnIndex:
-    """Train on all vectors, encode them and write the index."""
+    """Train on all vectors, encode them and write the index.
+
+    ``lists`` and ``codes`` are taken as given (about one list per ``VECTORS_PER_LIST``
+    vectors is usual, see ``lists_for``); fewer vectors than either are refused, since each
+    list and each code needs a vector of its own to start from.
+    """
     spark = vectors.sparkSession
     path = path or new_folder(spark, "ann-index")
     rows = vectors.select(
@@ -75,8 +89,10 @@ def build_ann_index(
         raise ValueError(f"a code is one byte: at most {CODES} codes")
     if dim % subvectors:
         raise ValueError(f"{subvectors} sub-vectors do not divide {dim} dimensions")
-    centroids = _coarse(rows, min(lists, n), seed)
-    books = _codebooks(rows, centroids, subvectors, max(1, min(codes, n // 4)), rounds)
+    if n < max(lists, codes):
+        raise ValueError(f"{n} vectors are too few for {lists} lists and {codes} codes")
+    centroids = _coarse(rows, lists, seed)
+    books = _codebooks(rows, centroids, subvectors, codes, rounds)
 
     # A list may hold a third of all rows: it is cut into slices of an even size, one task
     # for each.

@@ -209,9 +209,9 @@ def ranked_search(
 ) -> DataFrame:
     """Typo-tolerant search ranked by the rule cascade.
 
-    Rules, each breaking the ties of the one before: most query words found, fewest typos,
-    words closest together, best attribute, the asked sort, most words found as typed,
-    points, id. Distance of two successive words: the smallest gap between them in one
+    Rules, each breaking the ties of the one before, in the order of ``spec.rules``: most
+    query words found, fewest typos, words closest together, best attribute, the asked
+    sort, most words found as typed, a column's own order; then id. Distance of two successive words: the smallest gap between them in one
     field, one more when they are in reverse order, ``FAR`` at most and when either is
     missing. The last word also matches as a prefix.
     """
@@ -234,17 +234,32 @@ def ranked_search(
     )
     hits, _ = matches(index, wanted)
     scored = _rule_values(hits, fields)
-    order = [
-        F.desc("words"),
-        F.asc("typos"),
-        F.asc("proximity"),
-        F.asc("attribute"),
-        *sort,
-        F.desc("exactness"),
-        F.desc("points"),
-        F.asc("id"),
-    ]
-    return top_k_per(scored.join(candidates, "id"), ["qid"], order, spec.cap(k))
+    return top_k_per(
+        scored.join(candidates, "id"), ["qid"], [*rule_order(spec.rules, sort), F.asc("id")], spec.cap(k)
+    )
+
+
+def rule_order(rules: Sequence[str], sort: Sequence[Column] = ()) -> list[Column]:
+    """The rules of a search profile as an order; ``column:asc`` and ``column:desc`` are
+    rules of their own."""
+    known = {
+        "words": [F.desc("words")],
+        "typo": [F.asc("typos")],
+        "proximity": [F.asc("proximity")],
+        "attribute": [F.asc("attribute")],
+        "sort": list(sort),
+        "exactness": [F.desc("exactness")],
+    }
+    order = []
+    for rule in rules:
+        name, _, direction = rule.partition(":")
+        if rule in known:
+            order += known[rule]
+        elif direction in ("asc", "desc"):
+            order.append(F.desc(name) if direction == "desc" else F.asc(name))
+        else:
+            raise ValueError(f"unknown rule: {rule}")
+    return order
 
 
 def _rule_values(hits: DataFrame, fields: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,12 +74,16 @@ from notegrove.sources.tables import (
     create_if_absent,
     latest,
     load_report,
+    open_alias,
+    part_of,
     publish,
     replace_table,
     unique_violations,
     upsert,
+    upsert_parts,
     upsert_table,
     write_lookup,
+    write_parts,
 )
 from notegrove.streaming.file_drop import current, ingest_files
 from notegrove.workspace import new_folder, spread
@@ -124,7 +129,7 @@ def text_index(spark: SparkSession, folder: str) -> TextIndex:
 
 def ann_index(spark: SparkSession, folder: str) -> AnnIndex:
     return built_once(
-        spark, folder, "ann", lambda: build_ann_index(vecs(spark, folder), subvectors=16)
+        spark, folder, "ann", lambda: build_ann_index(vecs(spark, folder), subvectors=16, codes=64)
     )
 
 
@@ -145,7 +150,7 @@ def doc_ann_index(spark: SparkSession, folder: str) -> AnnIndex:
         spark,
         folder,
         "doc-ann",
-        lambda: build_ann_index(doc_vectors(spark, folder), subvectors=32, rounds=3),
+        lambda: build_ann_index(doc_vectors(spark, folder), subvectors=32, codes=64, rounds=3),
     )
 
 
@@ -399,6 +404,44 @@ def upsert_merge(spark, folder):
     return upsert(stock, price_changes(spark, folder), "id", mode="merge")
 
 
+@query("upsert_ties", sql.UPSERT_TIES)
+def upsert_ties(spark, folder):
+    """Several changes of one key and version: the greatest by the other columns wins."""
+    e = table(spark, folder, "events").select("user_id", "event_type", "value")
+    start = e.where(F.col("event_type") == "none")
+    return upsert(start, e, "user_id")
+
+
+@query("upsert_vectors", sql.UPSERT_VECTORS)
+def upsert_vectors(spark, folder):
+    """Points of id, vector and payload, brought up to date in the parts that change."""
+    path = new_folder(spark, "points")
+    v = vecs(spark, folder).select("id", "vector", "country")
+    write_parts(v, path, "id", 16)
+    halved = F.transform("vector", lambda x: (x * F.lit(0.5)).cast("float"))
+    changed = v.where(part_of("id", 16) < 3).select("id", halved.alias("vector"), (F.col("country") + 100).alias("country"))
+    upsert_parts(spark, path, changed, "id", 16)
+    stored = spark.read.parquet(path)
+    untouched = F.col("part") >= 3
+    first = F.col("vector")[0].cast("double")
+    return stored.select(
+        "id",
+        F.when(untouched, F.col("country")).otherwise(F.col("country") - 100).alias("country"),
+        F.round(F.when(untouched, first).otherwise(first * 2), 6).alias("first"),
+    )
+
+
+@query("alias_survives_session", sql.ALIAS)
+def alias_survives_session(spark, folder):
+    """A name published by one session, opened by another that has no view of it."""
+    base = new_folder(spark, "names")
+    p = parts(spark, folder).select("id", "title", "price")
+    for n, rows in enumerate((p.limit(0), p)):
+        replace_table(rows, f"{base}/{n}")
+        publish(spark, "goods", f"{base}/{n}", base)
+    return open_alias(spark.newSession(), "goods", base)
+
+
 @query("dedupe_latest", sql.DEDUPE_LATEST)
 def dedupe_latest(spark, folder):
     e = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
@@ -904,6 +947,22 @@ def rank_cascade(spark, folder):
     )
 
 
+@query("rank_cascade_reordered", sql.RANK_CASCADE_REORDERED)
+def rank_cascade_reordered(spark, folder):
+    """The same search under other rules."""
+    spec = replace(RANKED_SPEC, rules=("typo", "exactness", "points:asc", "words", "attribute", "proximity"))
+    found = ranked_search(
+        text_index(spark, folder),
+        one_query(spark, "the anea eriner thintion th"),
+        docs(spark, folder).where(in_range("price", hi=1.0, inclusive=False)).select("id", "points"),
+        k=25,
+        spec=spec,
+    )
+    return found.select(
+        "id", "words", "typos", "proximity", "attribute", "exactness", "points", "rank"
+    )
+
+
 @query("ranked_search_rows", sql.RANK_CASCADE_ROWS)
 def ranked_search_rows(spark, folder):
     questions = RankedQuestions(docs(spark, folder), text_index(spark, folder))
@@ -992,6 +1051,15 @@ def ivf_full_probe(spark, folder):
     return found.select("qid", "id", "score", "rank")
 
 
+@query("ann_refine_all", sql.KNN_BATCH)
+def ann_refine_all(spark, folder):
+    """The quantised search, scoring again as many rows as there are: the exact answer."""
+    index = ann_index(spark, folder)
+    everything = -(-index.table.count() // TOP_K)
+    asked = mean_vectors(vecs(spark, folder), "country")
+    return ann_search(index, asked, TOP_K, refine=everything).select("qid", "id", "score", "rank")
+
+
 @query("ivfpq_recall")
 def ivfpq_recall(spark, folder):
     """Share of the exact neighbours that the quantised search finds."""

@@ -150,6 +150,14 @@ SELECT coalesce(d.id, p.id) AS id, coalesce(d.title, p.title) AS title,
        coalesce(d.price, p.price) AS price, coalesce(d.points, p.points) AS points
 FROM parts p FULL JOIN delta d ON p.id = d.id"""
 
+UPSERT_TIES = """SELECT user_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_type DESC, value DESC) = 1"""
+
+UPSERT_VECTORS = f"""WITH {VECS}
+SELECT id, country, round(vector[1], 6) AS first FROM vecs"""
+
+ALIAS = f"""WITH {PARTS} SELECT id, title, price FROM parts"""
+
 DEDUPE_LATEST = """SELECT event_id, user_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"""
 
@@ -537,6 +545,11 @@ SELECT id, words, typos, proximity, attribute, exactness, points,
        CAST(row_number() OVER (ORDER BY {_CASCADE_ORDER}) AS INTEGER) AS rank
 FROM cascade ORDER BY {_CASCADE_ORDER} LIMIT 25"""
 
+RANK_CASCADE_REORDERED = f"""WITH {cascade(['anea', 'eriner', 'thintion', 'th'], '(SELECT * FROM docs WHERE price < 1)')}
+SELECT id, words, typos, proximity, attribute, exactness, points, CAST(row_number() OVER (
+  ORDER BY typos, exactness DESC, points, words DESC, attribute, proximity, id) AS INTEGER) AS rank
+FROM cascade ORDER BY rank LIMIT 25"""
+
 RANK_CASCADE_ROWS = f"""WITH {cascade(['anea', 'eriner', 'thintion', 'th'], '(SELECT * FROM docs WHERE price < 1)')},
 best AS (SELECT id FROM cascade ORDER BY {_CASCADE_ORDER} LIMIT 5)
 SELECT id, points, price, country, province FROM docs WHERE id IN (SELECT id FROM best)"""

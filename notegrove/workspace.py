@@ -19,13 +19,15 @@ JOIN_SLICES = 16
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a fresh temporary folder; a cluster without
-    it is refused, because a machine-local folder would be lost with its machine.
+    A session that runs in one process and has no such setting gets a fresh temporary
+    folder; any cluster, one on this machine included, is refused without it, because a
+    machine-local folder would be lost with its machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="notegrove-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -43,6 +45,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def bounded_rows(df: DataFrame, max_rows: int = MAX_PARAMETER_ROWS) -> list[Row] | None:
     """All rows of a frame expected to be small, or None when it holds more than allowed."""
     rows = df.limit(max_rows + 1).collect()
