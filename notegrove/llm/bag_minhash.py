@@ -13,9 +13,11 @@ equal to their weighted Jaccard similarity.
 
 Search: equal texts are one class. Classes that agree in all rows of a band share a bucket. In
 each bucket every class is compared with one leader; buckets whose classes are one component
-by then are done, the others get other leaders, and what is still apart after ``ROUNDS`` is
-compared pair by pair, so no link between two classes of a bucket is lost. Every comparison
-is exact, over the whole multisets (of 64-bit hashes). At similarity 0.8 a pair shares a
+by then are done, the others get another leader. After ``ROUNDS`` of that, classes of a bucket
+that are still apart are compared with each other, but for those that cannot be similar:
+what two texts share is at most what either shares with any text that is left, so a text
+with many shingles of its own needs no comparison. So no link between two classes of a bucket
+is lost, and a group of copies is not compared pair by pair. Every comparison is exact, over the whole multisets (of 64-bit hashes). At similarity 0.8 a pair shares a
 bucket with probability 1 - (1 - 0.8^5)^25 = 0.99995.
 
 Defined results: null and empty texts are equal texts without shingles; a text of one to four
@@ -42,7 +44,9 @@ from notegrove.workspace import materialize
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 COMPONENTS = BANDS * ROWS
-ROUNDS = 3
+ROUNDS = 2
+# A bucket with more classes left than this is compared block by block.
+FEW, BLOCK = 32, 128
 # Characters of text whose shingles one task holds at once (or one text, if it is longer).
 BATCH_CHARS = 4_000_000
 KNOWN_WORDS = 200_000
@@ -219,39 +223,106 @@ def verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
     return materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "near-pairs")
 
 
+def merged(roots: DataFrame | None, near: DataFrame) -> DataFrame:
+    """(node, root) of all components so far, after further links (a, b)."""
+    if roots is None:
+        return components(near)
+    ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    known = roots.unionByName(ends.join(roots, "node", "left_anti").withColumn("root", F.col("node")))
+    at = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    over = near.join(at("a"), "a", "left").join(at("b"), "b", "left")
+    step = components(over.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    step = step.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return materialize(known.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "components")
+
+
+def shared_sizes(bags: DataFrame) -> DataFrame:
+    """(v, s): how much of each multiset is found in any other one."""
+    each = bags.select("v", F.explode("bag").alias("h")).groupBy("h").agg(F.min("v").alias("v"), F.max("v").alias("last"), F.count(F.lit(1)).alias("c"))
+    own = each.filter("v = last").groupBy("v").agg(F.sum("c").alias("own"))
+    return bags.select("v", F.size("bag").alias("n")).join(own, "v", "left").select("v", (F.col("n") - F.coalesce("own", F.lit(0))).alias("s"))
+
+
 def linked(members: DataFrame, bags: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame | None:
     """(node, root) for the vertices that are near-duplicates of others; None if none are.
 
     ``members`` is (bucket, v, n), stored; ``n`` is the size of the multiset.
     """
-    found = tested = roots = None
+    roots = None
     close = F.least("n", "m") >= least * F.greatest("n", "m")  # else no overlap will do
-    for number in range(rounds + 1):
+
+    def placed() -> DataFrame:
         if roots is None:
-            placed = members.withColumn("root", F.col("v"))
-        else:
-            placed = members.join(roots.withColumnRenamed("node", "v"), "v", "left").withColumn("root", F.coalesce("root", "v"))
-            placed = materialize(placed, "placed")
-        split = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("v", "n", "root"), F.xxhash64("v", F.lit(number))).alias("leader")).filter("lo <> hi")
-        if number < rounds:
-            other = split.select("bucket", F.col("leader.v").alias("w"), F.col("leader.n").alias("m"), F.col("leader.root").alias("other"))
-            pairs = placed.join(other, "bucket").filter("root <> other")
-        else:
-            left = placed.join(split.select("bucket"), "bucket", "left_semi")
-            pairs = left.join(left.select("bucket", F.col("v").alias("w"), F.col("n").alias("m"), F.col("root").alias("other")), "bucket").filter("root < other")
-        pairs = pairs.filter(close).select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "candidate-pairs")
-        if pairs.isEmpty():
-            if number < rounds and split.isEmpty():
-                break
-            continue
+            return members.withColumn("root", F.col("v"))
+        joined = members.join(roots.withColumnRenamed("node", "v"), "v", "left").withColumn("root", F.coalesce("root", "v"))
+        return materialize(joined, "placed")
+
+    for number in range(rounds):
+        rows = placed()
+        leader = F.min_by(F.struct("v", "n", "root"), F.xxhash64("v", F.lit(number)))
+        split = rows.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), leader.alias("x")).filter("lo <> hi")
+        other = split.select("bucket", F.col("x.v").alias("w"), F.col("x.n").alias("m"), F.col("x.root").alias("other"))
+        pairs = rows.join(other, "bucket").filter((F.col("root") != F.col("other")) & close)
+        pairs = materialize(pairs.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct(), "candidate-pairs")
         near = verified(pairs, bags, least)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = near if found is None else found.unionByName(near)
-        roots = components(found)
-    return roots
+        if not near.isEmpty():
+            roots = merged(roots, near)
+    # What is still apart. Two multisets have no more in common than either has with all
+    # others that are left, which rules out nearly all pairs of a group without a link.
+    rows = placed()
+    split = rows.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
+    left = rows.join(split, "bucket", "left_semi")
+    shared = shared_sizes(bags.join(left.select("v").distinct(), "v", "left_semi"))
+    left = left.join(shared, "v").filter(F.col("s") >= least * F.col("n"))
+    left = materialize(left.select("bucket", "v", "n", "s", "root"), "left")
+    sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    few = left.join(sizes.filter(F.col("members") <= FEW).select("bucket"), "bucket", "left_semi")
+    x, y = few.alias("x"), few.alias("y")
+    both = F.least("x.s", "y.s")
+    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root")) & (both >= least * (F.col("x.n") + F.col("y.n") - both))
+    pairs = x.join(y, apart).select(F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b")).distinct()
+    near = verified(pairs, bags, least).unionByName(among_many(left, sizes.filter(F.col("members") > FEW), bags, least))
+    return roots if near.isEmpty() else merged(roots, near)
+
+
+def among_many(left: DataFrame, sizes: DataFrame, bags: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) within large buckets (bucket, members) that join all that is near there,
+    stored. A bucket is cut into blocks and each pair of blocks is compared by one product
+    of their count tables; a task gives back no more links than it has vertices."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    rows = left.join(sizes, "bucket").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("v", "bucket"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "v", "root").join(bags, "v")
+    return materialize(rows.groupBy("bucket", "lo", "hi").applyInArrow(lambda t: near_in(t, least), "a long, b long"), "near-among-many")
+
+
+def near_in(table: pa.Table, least: float) -> pa.Table:
+    """Spanning links of the near pairs of different roots in a table (v, root, bag)."""
+    v, root = table["v"].to_numpy(), table["root"].to_numpy()
+    bags = table["bag"].combine_chunks()
+    sizes = np.diff(bags.offsets.to_numpy())
+    doc, hashes, counts = multiset(np.repeat(np.arange(len(v)), sizes), bags.flatten().to_numpy().view(np.uint64))
+    # The k-th occurrence of a hash is a token; those that two texts have fill the table.
+    which = np.repeat(np.arange(len(doc)), counts)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+    _, token, seen = np.unique(mixed(hashes[which] ^ mixed(nth.astype(np.uint64))), return_inverse=True, return_counts=True)
+    common = seen[token] > 1
+    _, token = np.unique(token[common], return_inverse=True)
+    has = np.zeros((len(v), int(token.max(initial=-1)) + 1), np.float32)
+    has[doc[which[common]], token] = 1
+    both = has @ has.T
+    i, j = np.nonzero(np.triu(both >= least * (sizes[:, None] + sizes[None, :] - both), 1) & (root[:, None] != root[None, :]))
+    first = np.arange(len(v))
+    while True:  # the least place that can be reached
+        new = first.copy()
+        np.minimum.at(new, i, first[j])
+        np.minimum.at(new, j, first[i])
+        new = new[new]
+        if (new == first).all():
+            break
+        first = new
+    at = np.flatnonzero(first != np.arange(len(v)))
+    return pa.table([pa.array(v[at]), pa.array(v[first[at]])], names=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
