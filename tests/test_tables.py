@@ -6,12 +6,18 @@ from notegrove.sources.readers import array_to_rows, first_rows, replay
 from notegrove.sources.tables import (
     latest,
     load_report,
+    open_alias,
+    part_of,
+    publish,
     replace_table,
     row_index,
     unique_violations,
     upsert,
+    upsert_parts,
     upsert_table,
+    write_parts,
 )
+from notegrove.workspace import shared_folder
 
 
 def table(spark, *rows):
@@ -88,3 +94,51 @@ def test_replay_and_prefix(spark):
     assert replay(spark.range(4), 3).groupBy("replay").count().count() == 3
     assert [r.id for r in first_rows(spark.range(9), 2).collect()] == [0, 1]
     assert first_rows(spark.range(9), 0).count() == 9
+
+
+def test_ties_do_not_hang_on_row_order(spark):
+    old = table(spark, (1, 1.0, "a", 0))
+    rows = [(1, 3.0, "b", 1), (1, 2.0, "d", 1), (1, None, "c", 1)]
+    for mode in ("replace", "merge"):
+        results = {
+            tuple(upsert(old, table(spark, *order).coalesce(1), "id", ["v"], mode).first())
+            for order in (rows, rows[::-1], [rows[1], rows[0], rows[2]])
+        }
+        assert results == {(1, 3.0, "b", 1)}
+
+
+def test_only_touched_parts_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    rows = spark.range(400).selectExpr("id", "cast(id as double) price", "'x' title", "0 v")
+    write_parts(rows, path, "id", 8)
+
+    def files():
+        return {f.parent.name: f.stat().st_mtime_ns for f in (tmp_path / "keyed").rglob("*.parquet")}
+
+    before = files()
+    part = rows.where("id = 17").select(part_of("id", 8)).first()[0]
+    changed = table(spark, (17, -1.0, "new", 1))
+    assert upsert_parts(spark, path, changed, "id", 8) == [part]
+    after = files()
+    assert {k for k in before if before[k] != after[k]} == {f"part={part}"}
+    now = spark.read.parquet(path)
+    assert now.count() == 400 and now.where("id = 17").first().price == -1.0
+    assert upsert_parts(spark, path, changed.limit(0), "id", 8) == []
+
+
+def test_alias_is_kept_beside_the_tables(spark, tmp_path):
+    base = str(tmp_path)
+    for n in (1, 2):
+        replace_table(table(spark, (n, 1.0, "a", 0)), f"{base}/{n}")
+        publish(spark, "stock", f"{base}/{n}", base)
+    assert open_alias(spark.newSession(), "stock", base).first().id == 2
+
+
+def test_reports_leave_only_their_result(spark):
+    from pathlib import Path
+
+    root = Path(shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in root.iterdir()}
+    report = load_report(spark.range(100), "id", 30)
+    left = {p.name for p in root.iterdir()} - before
+    assert report.count() == 4 and len(left) == 1 and left.pop().startswith("load-report")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from notegrove.functions.vectors import certainty, cosine, unit
 from notegrove.operators.embed import HashedEmbedder, OnnxEmbedder, embed
-from notegrove.operators.hybrid import fuse
+from notegrove.operators.hybrid import fuse, places_in
 from notegrove.operators.ivfpq import ann_search, build_ann_index
 from notegrove.operators.knn import knn
 from notegrove.plans.questions import AnnQuestions, StrictVectorQuestions, VectorQuestions
@@ -241,3 +241,40 @@ def test_onnx_model(spark, tmp_path, pooling):
     else:
         assert got[1] == pytest.approx(table[[1, 3]].mean(axis=0).tolist())
         assert got[2] == table[2].tolist()
+
+
+def test_long_texts_are_embedded_whole(tmp_path):
+    pytest.importorskip("onnxruntime")
+    tokenizers = pytest.importorskip("tokenizers")
+    table = np.arange(20, dtype=np.float32).reshape(5, 4)
+    (tmp_path / "m.onnx").write_bytes(tiny_model(table))
+    words = tokenizers.models.WordLevel({"[PAD]": 0, "red": 1, "dry": 2, "wine": 3, "[UNK]": 4}, "[UNK]")
+    tokenizer = tokenizers.Tokenizer(words)
+    tokenizer.pre_tokenizer = tokenizers.pre_tokenizers.Whitespace()
+    tokenizer.save(str(tmp_path / "t.json"))
+    model = OnnxEmbedder(str(tmp_path / "m.onnx"), str(tmp_path / "t.json"), dim=4, pooling="mean", max_tokens=3, batch=2)
+    model.load()
+    got = model.encode(["red red dry wine dry dry wine", "wine", ""])
+    assert got[0] == pytest.approx(table[[1, 1, 2, 3, 2, 2, 3]].mean(axis=0))
+    assert got[1] == pytest.approx(table[3])
+
+
+def test_words_of_any_script_count(spark):
+    df = spark.createDataFrame([(1, "café crème"), (2, "caf cr me"), (3, "ワイン"), (4, "Café CRÈME")], "id int, t string")
+    got = {r.id: np.array(r.vector) for r in embed(df, "t", HashedEmbedder()).collect()}
+    assert (got[1] == got[4]).all() and (got[1] != got[2]).any() and got[3].any()
+
+
+def test_too_few_vectors_for_the_codes(spark):
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "id long, vector array<float>")
+    with pytest.raises(ValueError, match="too few"):
+        build_ann_index(vectors, lists=2, subvectors=2, codes=64)
+
+
+def test_places_in_a_whole_list(spark):
+    rows = [(i, float((i * 7) % 13)) for i in range(100)]
+    scored = spark.createDataFrame(rows, "id long, score double")
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    want = {r[0]: i + 1 for i, r in enumerate(order)}
+    got = {r.id: r.rank for r in places_in(scored, [3, 50, 99, 12, 777], [-F.col("score"), F.col("id")]).collect()}
+    assert got == {i: want[i] for i in (3, 50, 99, 12)}
