@@ -141,9 +141,13 @@ def min_should_match(
 
 
 def bm25_scores(
-    index: TextIndex, queries: DataFrame, fields: Sequence[str] | None = None
+    index: TextIndex,
+    queries: DataFrame,
+    fields: Sequence[str] | None = None,
+    among: DataFrame | None = None,
 ) -> DataFrame:
-    """``qid, id, score`` of every record with a query word, summed over words and fields.
+    """``qid, id, score`` of every record with a query word, summed over words and fields;
+    with ``among`` (id), of those records only, and no other is scored.
 
     Scores are rounded to six digits, so ties do not hang on the order of additions.
     """
@@ -162,6 +166,8 @@ def bm25_scores(
     hits, _ = matches(index, weighted)
     part = bm25(F.col("tf"), F.col("len"), F.col("mean_len"), F.col("weight"))
     parts = hits.select("qid", "id", part.alias("part")).repartition("id")
+    if among is not None:
+        parts = parts.join(among.select("id"), "id", "left_semi")
     return parts.groupBy("qid", "id").agg(F.round(F.sum("part"), 6).alias("score"))
 
 
@@ -179,7 +185,7 @@ def bm25_search(
     pass the filters; keep it narrow and fetch the rest with ``with_rows``. ``where``
     compares a record with its own query's columns, such as a price bound per query.
     """
-    scored = bm25_scores(index, queries, fields).join(candidates, "id")
+    scored = bm25_scores(index, queries, fields, candidates).join(candidates, "id")
     if where is not None:
         scored = join_parameters(scored, queries.drop("terms"), ["qid"]).where(where)
     return top_k_per(scored, ["qid"], by_score_then_points(), k)
@@ -233,7 +239,7 @@ def ranked_search(
         fields,
     )
     hits, _ = matches(index, wanted)
-    scored = _rule_values(hits, fields)
+    scored = _rule_values(hits, fields, candidates)
     return top_k_per(
         scored.join(candidates, "id"), ["qid"], [*rule_order(spec.rules, sort), F.asc("id")], spec.cap(k)
     )
@@ -262,8 +268,9 @@ def rule_order(rules: Sequence[str], sort: Sequence[Column] = ()) -> list[Column
     return order
 
 
-def _rule_values(hits: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """``qid, id, words, typos, proximity, attribute, exactness`` of every matched record.
+def _rule_values(hits: DataFrame, fields: Sequence[str], among: DataFrame) -> DataFrame:
+    """``qid, id, words, typos, proximity, attribute, exactness`` of every matched record
+    of ``among``; the positions of others are never looked at.
 
     A position stands in two pairs of successive words, leading one and following in the
     other. In its pair it is compared only with the nearest earlier position of the other
@@ -284,7 +291,7 @@ def _rule_values(hits: DataFrame, fields: Sequence[str]) -> DataFrame:
         attribute.alias("attribute"),
         ((F.col("typos") == 0) & ~F.col("by_prefix")).cast("int").alias("as_typed"),
         F.when(F.col("n_words") == 1, single).otherwise(F.col("positions")).alias("positions"),
-    ).repartition("id")
+    ).repartition("id").join(among.select("id"), "id", "left_semi")
     roles = F.array(
         F.struct(F.col("word_no").alias("pair"), F.lit(True).alias("leads")),
         F.struct((F.col("word_no") - 1).alias("pair"), F.lit(False).alias("leads")),

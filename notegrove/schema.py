@@ -79,6 +79,10 @@ NO_PRICE = "Not available"
 UNKNOWN = "Unknown"
 
 
+# The rules that rank hits, each breaking the ties of the one before.
+RANK_RULES = ("words", "typo", "proximity", "attribute", "sort", "exactness", "points:desc")
+
+
 @dataclass(frozen=True)
 class SearchSpec:
     """Which attributes may be searched, filtered on, sorted by and shown."""
@@ -92,7 +96,7 @@ class SearchSpec:
     two_typos: int = 9
     max_hits: int = 500
     max_facet_values: int = 100
-    rules: tuple[str, ...] = ()
+    rules: tuple[str, ...] = RANK_RULES
 
     def check(self, *, search=(), filters=(), sort=(), show=()) -> None:
         """Refuse undeclared attributes before any plan is built."""
@@ -141,7 +145,7 @@ RANKED_SPEC = SearchSpec(
     two_typos=9,
     max_hits=500,
     max_facet_values=100,
-    rules=("words", "typo", "proximity", "attribute", "sort", "exactness", "points:desc"),
+    rules=RANK_RULES,
 )
 
 # Result sizes, index settings and the fields of the full-text index.
