@@ -1,15 +1,22 @@
 """Main text of web pages, without what a site repeats on its pages.
 
 Each page is read once. Every block or container element gets a hash of its whole subtree
-(tag, text and children); the blocks of text that may belong to the article are kept with
-the hashes of the elements around them. Spark counts each hash per host, over pages of
-different content, so that copies of one page count once; a subtree found on many pages of
-its host is a template, and text inside it is deleted. Markup that says what it is
-(navigation, forms, adverts, notices, comments ...) is left out by its name already, and
-paragraphs of an explicit article stay, however often they are quoted.
-
-Defined results: null or empty html gives the empty text; a page without an article or main
-element is judged as a whole; a null or odd url is a host of its own kind (the empty one);
+(tag, text and children), and so does a line of text beside other blocks in one element.
+Spark counts each hash per host, over pages of different content, so that copies of one page
+count once. The counts decide on every block of text of every page; an article or main
+element only moves the bar:
+
+* on a page without one, a subtree on ``TEMPLATE_PAGES`` pages of its host is a template;
+* inside one, so is a container on as many pages, and a single paragraph if these pages are
+  also ``TEMPLATE_SHARE`` of the host's (less may be a passage that articles quote);
+* beside one, a block stays only if no other page of the host has it, and the host has pages
+  enough (``TEMPLATE_PAGES``) to tell.
+
+Markup that says what it is (navigation, forms, adverts, notices, comments ...) is left out
+by its name already.
+
+Defined results: null or empty html gives the empty text; an article or main element without
+text counts as none; a null or odd url is a host of its own kind (the empty one);
 pages that repeat give the same text each; an empty table gives an empty result. Other
 columns of the input are never read.
 """
@@ -21,6 +28,7 @@ import html as markup
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,13 +38,16 @@ from notegrove.workspace import materialize
 
 # A subtree on so many pages of a host, of different content, is a template.
 TEMPLATE_PAGES = 10
+# The share of a host's pages that a paragraph of an article must stand on besides.
+TEMPLATE_SHARE = 0.2
+# Where a block stands: on a page without an article, in an article, beside one.
+PLAIN, IN_ARTICLE, BESIDE = 0, 1, 2
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>""", re.S
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-_CONTENT = re.compile(r"<(?:article|main)[\s>]|role\s*=\s*[\"']?main\b", re.I)
 
 RAW = frozenset("script style textarea title noscript xmp iframe template svg math noframes noembed".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -76,53 +87,66 @@ def unwanted(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+class Block(NamedTuple):
+    """A line of text, the hash of the closest subtree around it, that of the closest
+    container around it inside an article, and where it stands. (Wherever a wider subtree
+    recurs, the closest one recurs with it.)"""
+
+    text: str
+    cover: int
+    box: int | None
+    kind: int
+
+
 class _Element:
-    __slots__ = ("cover", "drop", "inside", "parts", "place", "tag")
+    __slots__ = ("box", "drop", "inside", "parts", "place", "solid", "tag")
 
-    def __init__(self, tag: str, drop: bool, inside: bool, cover: int, place: int):
-        self.tag, self.drop, self.inside, self.cover, self.place = tag, drop, inside, cover, place
+    def __init__(self, tag: str, drop: bool, inside: bool, place: int, solid: int, box: int):
+        self.tag, self.drop, self.inside, self.place, self.solid, self.box = tag, drop, inside, place, solid, box
         self.parts: list[bytes] = []
 
 
-def read_page(page: str | None) -> tuple[list[int], list[tuple[str, int | None]]]:
-    """The hashes of a page's block and container subtrees, and its blocks of text in page
-    order, each with the hash of the closest subtree around it that may turn out to be
-    template. (Wherever a wider one recurs, the closest one recurs with it.)"""
+def _hash(tag: str, parts) -> bytes:
+    return hashlib.blake2b(b"\0".join([tag.encode(), *parts]), digest_size=8).digest()
+
+
+def _number(digest: bytes) -> int:
+    return int.from_bytes(digest, "little", signed=True)
+
+
+def read_page(page: str | None) -> tuple[list[int], list[Block]]:
+    """The hashes of a page's subtrees and its blocks of text in page order."""
     page = page or ""
-    if _CONTENT.search(page):
-        hashes, blocks = _read(page, True)
-        if blocks:
-            return hashes, blocks
-    return _read(page, False)
-
-
-def _read(page: str, explicit: bool) -> tuple[list[int], list[tuple[str, int | None]]]:
-    # ``explicit``: only text inside an article or main element is wanted. There paragraphs
-    # are safe and only containers may be template; else any element below the body may be.
-    root = _Element("", False, not explicit, -1, -1)
-    stack, hashes, open_tags = [root], [], Counter()
-    blocks: list[tuple[str, int]] = []
+    # ``place``: the element's own number in ``hashes`` (-1 without one); ``solid``: that of the
+    # closest block or container, 0 being the page; ``mixed``: it holds more than one line.
+    root = _Element("", False, False, 0, 0, -1)
+    stack, hashes, tags, mixed, open_tags = [root], [0], [""], [True], Counter()
+    lines: list[tuple[str, int, int, bool]] = []
+    seen: set[int] = set()
     line: list[str] = []
-    line_cover = -1
+    line_at = root
 
     def flush() -> None:
         if line:
             text = " ".join("".join(line).split())
             if text:
-                blocks.append((text, line_cover))
+                at = line_at.solid
+                mixed[at] = mixed[at] or at in seen
+                seen.add(at)
+                lines.append((text, at, line_at.box, line_at.inside))
             line.clear()
 
     def text(raw: str) -> None:
-        nonlocal line_cover
+        nonlocal line_at
         at = stack[-1]
         if not raw or at.tag in ("html", "head") and not raw.strip():
             return
         if "&" in raw:
             raw = markup.unescape(raw)
         at.parts.append(" ".join(raw.split()).encode(errors="replace"))
-        if at.inside and not at.drop:
+        if not at.drop:
             if not line:
-                line_cover = at.cover
+                line_at = at
             line.append(raw)
 
     def close() -> None:
@@ -130,10 +154,10 @@ def _read(page: str, explicit: bool) -> tuple[list[int], list[tuple[str, int | N
         open_tags[at.tag] -= 1
         if at.tag in BLOCKS or at.tag in CONTAINERS:
             flush()
-        digest = hashlib.blake2b(b"\0".join([at.tag.encode(), *filter(None, at.parts)]), digest_size=8).digest()
+        digest = _hash(at.tag, filter(None, at.parts))
         stack[-1].parts.append(digest)
         if at.place >= 0:
-            hashes[at.place] = int.from_bytes(digest, "little", signed=True)
+            hashes[at.place] = _number(digest)
 
     def close_to(names, stop=frozenset()) -> bool:
         if not any(open_tags[t] for t in names):
@@ -182,30 +206,40 @@ def _read(page: str, explicit: bool) -> tuple[list[int], list[tuple[str, int | N
             flush()
         content = tag in ("article", "main") or "main" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))
         inside = above.inside or content and not above.drop
-        drop = above.drop or unwanted(tag, attributes, explicit and above.inside)
-        place, cover = -1, above.cover
-        if solid and tag not in ("html", "body"):
-            place = len(hashes)
+        drop = above.drop or unwanted(tag, attributes, above.inside)
+        place, near, box = -1, above.solid, above.box
+        if solid:
+            mixed[near] = True
+            place = near = len(hashes)
             hashes.append(0)
-            if inside and not content and not drop and (tag in CONTAINERS or not explicit):
-                cover = place
-        stack.append(_Element(tag, drop, inside, cover, place))
+            tags.append(tag)
+            mixed.append(tag in ("html", "body"))
+            if content:
+                box = -1
+            elif inside and tag in CONTAINERS:
+                box = place
+        stack.append(_Element(tag, drop, inside, place, near, box))
         open_tags[tag] += 1
         if attributes.rstrip().endswith("/") and not solid:
             close()
     while len(stack) > 1:
         close()
     flush()
-    return hashes, [(t, hashes[k] if k >= 0 else None) for t, k in blocks]
+    article = any(inside for *_, inside in lines)
+    blocks = []
+    for found, at, box, inside in lines:
+        cover = _number(_hash(tags[at], [found.encode(errors="replace")])) if mixed[at] else hashes[at]
+        blocks.append(Block(found, cover, hashes[box] if box >= 0 else None, IN_ARTICLE if inside else BESIDE if article else PLAIN))
+    return hashes[1:] + [b.cover for b in blocks], blocks
 
 
 ROWS = pa.schema(
     [
         ("page_id", pa.int64()), ("url", pa.string()), ("content", pa.int64()), ("subtrees", pa.list_(pa.int64())),
-        ("blocks", pa.list_(pa.struct([("text", pa.string()), ("cover", pa.int64())]))),
+        ("blocks", pa.list_(pa.struct([("text", pa.string()), ("cover", pa.int64()), ("box", pa.int64()), ("kind", pa.int8())]))),
     ]
 )
-ROWS_SQL = "page_id long, url string, content long, subtrees array<long>, blocks array<struct<text:string,cover:long>>"
+ROWS_SQL = "page_id long, url string, content long, subtrees array<long>, blocks array<struct<text:string,cover:long,box:long,kind:byte>>"
 
 
 def pages_read(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -216,10 +250,10 @@ def pages_read(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             content, subtrees, blocks = [], [], []
             for page in batch.column(2):
                 hashes, found = read_page(page.as_py())
-                whole = hashlib.blake2b("\n".join(t for t, _ in found).encode(errors="replace"), digest_size=8).digest()
+                whole = hashlib.blake2b("\n".join(b.text for b in found).encode(errors="replace"), digest_size=8).digest()
                 content.append(int.from_bytes(whole, "little", signed=True))
                 subtrees.append(sorted(set(hashes)))
-                blocks.append([{"text": t, "cover": c} for t, c in found])
+                blocks.append([b._asdict() for b in found])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1).cast(pa.string()), *(pa.array(x, ROWS.field(i + 2).type) for i, x in enumerate((content, subtrees, blocks)))], schema=ROWS
             )
@@ -227,25 +261,43 @@ def pages_read(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col)).mapInArrow(run, ROWS_SQL)
 
 
-def templates(read: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
-    """The subtrees (host, hash) that stand on ``least`` pages of a host or more, pages of
-    equal content counted once. Rows are joined per task before they are shuffled."""
+def counts(read: DataFrame) -> DataFrame:
+    """The subtrees (host, hash) that stand on two pages of a host or more, the number ``n`` of
+    these pages, pages of equal content counted once. Rows are joined per task before they
+    are shuffled."""
     each = read.select("host", "content", F.explode("subtrees").alias("hash")).distinct()
-    return each.groupBy("host", "hash").count().filter(F.col("count") >= least).select("host", "hash")
+    return each.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= 2)
+
+
+def sites(read: DataFrame) -> DataFrame:
+    """The hosts and their numbers of pages of different content."""
+    return read.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = TEMPLATE_PAGES) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     host = F.xxhash64(F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][\w+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit("")))
     read = pages_read(pages, id_col, url_col, html_col).withColumn("host", host)
     read = materialize(read.withColumn("rid", F.monotonically_increasing_id()), "page-blocks")
-    open_ = F.exists("blocks", lambda b: b["cover"].isNotNull())
-    # Only pages with text inside elements that may be template have to wait for the counts.
-    waiting = read.filter(open_)
-    around = waiting.select("rid", "host", F.explode(F.array_distinct(F.transform("blocks", lambda b: b["cover"]))).alias("hash"))
-    gone = around.join(templates(read, least), ["host", "hash"]).groupBy("rid").agg(F.collect_set("hash").alias("gone"))
-    left = waiting.join(gone, "rid", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
-    kept = left.select("page_id", "url", F.filter("blocks", lambda b: b["cover"].isNull() | ~F.array_contains("gone", b["cover"])).alias("blocks"))
-    final = read.filter(~open_).select("page_id", "url", "blocks").unionByName(kept)
+    # One count decides on both hashes of a block: the box has the bar of a plain page.
+    asked = F.concat(
+        F.transform("blocks", lambda b: F.struct(b["cover"].alias("hash"), b["kind"].alias("kind"))),
+        F.transform(F.filter("blocks", lambda b: b["box"].isNotNull()), lambda b: F.struct(b["box"].alias("hash"), F.lit(PLAIN).cast("byte").alias("kind"))),
+    )
+    around = read.select("rid", "host", F.explode(F.array_distinct(asked)).alias("asked")).select("rid", "host", "asked.hash", "asked.kind")
+    bar = F.when(F.col("kind") == BESIDE, F.lit(2.0)).when(F.col("kind") == IN_ARTICLE, F.greatest(F.lit(float(least)), F.col("pages") * share)).otherwise(float(least))
+    known = counts(read).join(sites(read), "host")
+    gone = around.join(known, ["host", "hash"]).filter(F.col("n") >= bar).select("rid", "hash", "kind", F.lit(False).alias("few"))
+    beside = read.filter(F.exists("blocks", lambda b: b["kind"] == BESIDE)).select("rid", "host")
+    few = beside.join(sites(read).filter(F.col("pages") < least), "host").select("rid", F.lit(None).cast("long").alias("hash"), F.lit(None).cast("byte").alias("kind"), F.lit(True).alias("few"))
+    told = gone.unionByName(few).groupBy("rid").agg(F.collect_set(F.when(~F.col("few"), F.struct("hash", "kind"))).alias("gone"), F.max("few").alias("few"))
+    # Stored first, so that its size is known: the texts move only if it is too large to send.
+    told = materialize(told, "page-templates")
+    stays = lambda b: F.col("gone").isNull() | ~(
+        F.array_contains("gone", F.struct(b["cover"].alias("hash"), b["kind"].alias("kind")))
+        | b["box"].isNotNull() & F.array_contains("gone", F.struct(b["box"].alias("hash"), F.lit(PLAIN).cast("byte").alias("kind")))
+        | F.col("few") & (b["kind"] == BESIDE)
+    )
+    kept = read.join(told, "rid", "left").select("page_id", "url", F.filter("blocks", stays).alias("blocks"))
     text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n")
-    return final.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+    return kept.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

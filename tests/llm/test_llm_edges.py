@@ -147,3 +147,21 @@ def test_pages(spark):
     got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
     assert got[1] == got[2] == "" and got[None] == "a" and got[3] == "x\ny" and got[4] == "deep"
     assert html_extract.extract(df).count() == 7 and html_extract.extract(df.limit(0)).count() == 0
+
+
+def test_site_without_telling_names(spark):
+    """Menus, notices and footers in plain div, p and span, inside and beside the article."""
+    menu, note, foot = "<div><p>Home</p><p>About us</p></div>", "<p>We use small files on your device.</p>", "<div><span>Example House, Main Street 1</span></div>"
+    own = lambda k: f"<h1>Title {k}</h1>{note}<p>Text of page {k}.</p>" + ("<p>A passage quoted.</p>" if k < 11 else "")
+    want = lambda k, quote: f"Title {k}\nText of page {k}." + ("\nA passage quoted." if quote and k < 11 else "")
+    rows = [(k, "http://articles/", f"<body>{menu}<article>{own(k)}</article>{foot}</body>") for k in range(60)]
+    rows += [(100 + k, "http://plain/", f"<body>Welcome<div>{menu}{own(k)}</div>{foot}</body>") for k in range(60)]
+    rows += [(200 + k, "http://small/", f"<body>{menu}<article>{own(k)}</article>{foot}</body>") for k in range(3)]
+    rows += [(300 + k, "http://cards/", f"<body>{menu}<div><p>Long story {k}.</p></div><article><p>Card {k}</p></article></body>") for k in range(10)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(60):
+        assert got[k] == want(k, True) and got[100 + k] == want(k, False)
+    for k in range(3):
+        assert got[200 + k] == f"Title {k}\nWe use small files on your device.\nText of page {k}.\nA passage quoted."
+    for k in range(10):
+        assert got[300 + k] == f"Long story {k}.\nCard {k}"
