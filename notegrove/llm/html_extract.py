@@ -12,8 +12,11 @@ element only moves the bar:
 * beside one, a block stays only if no other page of the host has it, and the host has pages
   enough (``TEMPLATE_PAGES``) to tell.
 
-Markup that says what it is (navigation, forms, adverts, notices, comments ...) is left out
-by its name already.
+Markup that says what it is (navigation, adverts, notices, comments ...) is left out by its
+name already. But a form or a word of a class or id never drops what is around an article or
+main element (around an h1, on a page without them), nor all text of a page: there the counts
+decide. Of several articles, those with such a word of their own (comments, cards) count only
+if no other is there.
 
 Defined results: null or empty html gives the empty text; an article or main element without
 text counts as none; a null or odd url is a host of its own kind (the empty one);
@@ -49,27 +52,29 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
-RAW = frozenset("script style textarea title noscript xmp iframe template svg math noframes noembed".split())
+RAW = frozenset("script style textarea title noscript xmp iframe template svg noframes noembed".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figcaption caption td th address summary legend option".split())
 CONTAINERS = frozenset(
     "html body div section article main header footer nav aside ul ol dl table thead tbody tfoot tr form fieldset figure details dialog menu center hgroup".split()
 )
 # Elements, roles and words of class or id that are no part of an article.
-NO_TEXT = frozenset("head nav footer aside form button select datalist dialog menu object audio video canvas label".split())
+NO_TEXT = frozenset("head nav footer aside button select datalist dialog menu object audio video canvas label annotation annotation-xml".split())
 NO_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 NO_WORDS = frozenset(
     """ad ads adv advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup popover modal overlay
     newsletter subscribe subscription signup login share sharing social sidebar widget widgets menu nav navbar navigation breadcrumb breadcrumbs pagination pager
     footer masthead toolbar related recommended recommendations comment comments disqus respond replies skip copyright""".split()
 )
+# With one of these, a word of a class tells of the page's state ("has-sidebar", "menu-open").
+STATES = frozenset("has no not with without open opened close closed collapsed hide off on".split())
 CLOSES_P = BLOCKS - {"dt", "dd", "td", "th", "li", "option", "legend", "summary", "caption", "figcaption"} | CONTAINERS | {"hr"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table select article main body html".split())
 
 
 def unwanted(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether the markup itself says that an element is no part of an article."""
+    """Whether the markup itself says that an element and all in it are no part of an article."""
     if tag in NO_TEXT or tag == "header" and not in_article:
         return True
     if not attributes.strip() or tag in ("html", "body", "article", "main"):
@@ -82,8 +87,19 @@ def unwanted(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value.lower() in NO_ROLES:
             return True
-        if name in ("class", "id") and not NO_WORDS.isdisjoint(w.lower() for w in _NAME_WORDS.findall(value)):
-            return True
+    return False
+
+
+def doubtful(tag: str, attributes: str) -> bool:
+    """Whether the element is a form, or its class or id holds a word of ``NO_WORDS``."""
+    if tag == "form":
+        return True
+    for name, *values in _ATTRIBUTE.findall(attributes) if attributes.strip() else ():
+        if name.lower() in ("class", "id"):
+            for token in "".join(values).split():
+                words = {w.lower() for w in _NAME_WORDS.findall(token)}
+                if not NO_WORDS.isdisjoint(words) and STATES.isdisjoint(words):
+                    return True
     return False
 
 
@@ -99,10 +115,10 @@ class Block(NamedTuple):
 
 
 class _Element:
-    __slots__ = ("box", "drop", "inside", "parts", "place", "solid", "tag")
+    __slots__ = ("box", "doubt", "drop", "inside", "parts", "place", "solid", "tag")
 
-    def __init__(self, tag: str, drop: bool, inside: bool, place: int, solid: int, box: int):
-        self.tag, self.drop, self.inside, self.place, self.solid, self.box = tag, drop, inside, place, solid, box
+    def __init__(self, tag: str, drop: bool, inside: bool, place: int, solid: int, box: int, doubt: int):
+        self.tag, self.drop, self.inside, self.place, self.solid, self.box, self.doubt = tag, drop, inside, place, solid, box, doubt
         self.parts: list[bytes] = []
 
 
@@ -119,9 +135,14 @@ def read_page(page: str | None) -> tuple[list[int], list[Block]]:
     page = page or ""
     # ``place``: the element's own number in ``hashes`` (-1 without one); ``solid``: that of the
     # closest block or container, 0 being the page; ``mixed``: it holds more than one line.
-    root = _Element("", False, False, 0, 0, -1)
+    root = _Element("", False, False, 0, 0, -1, -1)
     stack, hashes, tags, mixed, open_tags = [root], [0], [""], [True], Counter()
-    lines: list[tuple[str, int, int, bool]] = []
+    lines: list[tuple[str, _Element]] = []
+    # Doubtful elements: the one around each, and the least rank of content in it (0 an article
+    # or main element, 1 one that is doubtful itself, 2 an h1, 3 none).
+    outer: list[int] = []
+    holds: list[int] = []
+    best = 3
     seen: set[int] = set()
     line: list[str] = []
     line_at = root
@@ -133,7 +154,7 @@ def read_page(page: str | None) -> tuple[list[int], list[Block]]:
                 at = line_at.solid
                 mixed[at] = mixed[at] or at in seen
                 seen.add(at)
-                lines.append((text, at, line_at.box, line_at.inside))
+                lines.append((text, line_at))
             line.clear()
 
     def text(raw: str) -> None:
@@ -187,7 +208,11 @@ def read_page(page: str | None) -> tuple[list[int], list[Block]]:
             continue
         attributes = found[3] if found[2] else found[6] or ""
         if tag in RAW:
+            if tag == "svg" and attributes.rstrip().endswith("/"):
+                continue
             end = re.compile(rf"</{tag}[^>]*>", re.I).search(page, pos)
+            if tag == "svg" and not end:
+                continue
             pos = end.end() if end else size
             continue
         if tag in VOID:
@@ -207,6 +232,18 @@ def read_page(page: str | None) -> tuple[list[int], list[Block]]:
         content = tag in ("article", "main") or "main" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))
         inside = above.inside or content and not above.drop
         drop = above.drop or unwanted(tag, attributes, above.inside)
+        unsure = not drop and tag not in ("html", "body") and doubtful(tag, attributes)
+        doubt = above.doubt
+        if (content or tag == "h1") and not drop:
+            rank = int(unsure) if content else 2
+            best = min(best, rank)
+            while doubt >= 0 and holds[doubt] > rank:
+                holds[doubt], doubt = rank, outer[doubt]
+            doubt = above.doubt
+        if unsure and not content:
+            outer.append(doubt)
+            holds.append(3)
+            doubt = len(outer) - 1
         place, near, box = -1, above.solid, above.box
         if solid:
             mixed[near] = True
@@ -218,18 +255,26 @@ def read_page(page: str | None) -> tuple[list[int], list[Block]]:
                 box = -1
             elif inside and tag in CONTAINERS:
                 box = place
-        stack.append(_Element(tag, drop, inside, place, near, box))
+        stack.append(_Element(tag, drop, inside, place, near, box, doubt))
         open_tags[tag] += 1
         if attributes.rstrip().endswith("/") and not solid:
             close()
     while len(stack) > 1:
         close()
     flush()
-    article = any(inside for *_, inside in lines)
+    # How many doubtful elements are around, those around the content aside.
+    doubts = [0]
+    for around, rank in zip(outer, holds):
+        doubts.append(doubts[around + 1] + (rank > best or rank == 3))
+    least = min((doubts[at.doubt + 1] for _, at in lines), default=0)
+    lines = [(found, at) for found, at in lines if doubts[at.doubt + 1] == least]
+    article = any(at.inside for _, at in lines)
     blocks = []
-    for found, at, box, inside in lines:
-        cover = _number(_hash(tags[at], [found.encode(errors="replace")])) if mixed[at] else hashes[at]
-        blocks.append(Block(found, cover, hashes[box] if box >= 0 else None, IN_ARTICLE if inside else BESIDE if article else PLAIN))
+    for found, at in lines:
+        cover = _number(_hash(tags[at.solid], [found.encode(errors="replace")])) if mixed[at.solid] else hashes[at.solid]
+        # Inside a doubtful element an article has no higher bar.
+        kind = (IN_ARTICLE if at.doubt < 0 else PLAIN) if at.inside else BESIDE if article else PLAIN
+        blocks.append(Block(found, cover, hashes[at.box] if at.box >= 0 else None, kind))
     return hashes[1:] + [b.cover for b in blocks], blocks
 
 

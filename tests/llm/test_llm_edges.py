@@ -165,3 +165,22 @@ def test_site_without_telling_names(spark):
         assert got[200 + k] == f"Title {k}\nWe use small files on your device.\nText of page {k}.\nA passage quoted."
     for k in range(10):
         assert got[300 + k] == f"Long story {k}.\nCard {k}"
+
+
+def test_names_around_articles():
+    """A word of a class, a form or a self-closed icon costs no article; math stays."""
+    text = lambda page: "\n".join(b.text for b in html_extract.read_page(page)[1])
+    for name in ("layout has-sidebar", "no-sidebar", "with-banner", "menu-open", "content-sidebar", "widget"):
+        side = '<div class="sidebar"><p>Links</p></div><ol class="comments"><li><article class="comment">Me too</article></li></ol>'
+        for inner in ("<article><h1>T</h1><p>A</p></article>", "<main><div class='widget'><article class='post'><h1>T</h1><p>A</p></article></div></main>", "<h1>T</h1><p>A</p>"):
+            for page in (f'<div class="{name}">{inner}</div>', f'<form class="{name}">{inner}</form>'):
+                assert text(page) == "T\nA"
+                if "<article" in inner:
+                    assert text(f"<div class='{name}'>{inner}{side}</div>") == "T\nA"
+        assert text(f'<div class="{name}"><p>A</p><div class="sidebar">Links</div></div>') == "A"
+    assert text('<div class="comments"><article class="comment"><p>A</p></article></div>') == "A"
+    assert text('<div class="sidebar"><p>Links</p></div><form>Name</form><p>A</p>') == "A"
+    assert text("<article><p>a<svg class='i'/>b</p><p>c<svg viewBox='0 0'/></p><svg><p>d</p></article>") == "ab\nc\nd"
+    assert text("<article><p>x<svg><text>no</text></svg>y</p></article>") == "xy"
+    assert text("<article><p>If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>, y <math/>ends.</p></article>") == "If x=2, y ends."
+    assert text("<div class='ad'>" * 30_000 + "deep") == "deep"
