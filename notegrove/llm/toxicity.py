@@ -6,9 +6,9 @@ samples with the prior taken out of the unlabelled part, and that part is kept f
 below zero, which a model that only memorises would make it do.
 
 A text enters by the words that it holds and by their beginnings, so that words made from a
-known stem count too. Which of them the model knows is counted in Spark over the training
-sample; the weights are then fitted with numpy on the driver, on at most ``POSITIVES`` and
-``UNLABELLED`` texts (expected sizes of hashed samples), of which only the places of known
+known stem count too. Which of them the model knows is counted in Spark over all texts of the
+training fold; the weights are then fitted with numpy on the driver, on at most ``POSITIVES``
+and ``UNLABELLED`` texts (expected sizes of hashed samples), of which only the places of known
 features arrive there. Every whole text is scored, in one pass and without a shuffle.
 
 Defined results: null and empty texts hold no word and score by the bias; labels that are
@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bounds of the training sample, in texts.
+from notegrove.workspace import materialize
+
+# Bounds of the sample that weights are fitted on, in texts.
 POSITIVES = 6_000
 UNLABELLED = 12_000
-# Features that the model may know, and texts of the sample that have to hold one.
+# Features that the model may know, and texts of the training fold that have to hold one.
 FEATURES = 6_000
 LEAST_TEXTS = 6
-# A feature is known if its shares in both samples differ by so many standard errors.
+# A feature is known if its shares in both sides differ by so many standard errors.
 LEAST_GAP = 4.0
 STEMS = (4, 5, 6)
 FOLDS = 5
@@ -113,22 +115,25 @@ def _share(column: Column, seed: int, wanted: int, total: int) -> Column:
     return F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(1 << 30)) < int(cut * (1 << 30))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple[DataFrame, float]:
-    """The training texts (text, positive, unlabelled) and the class prior, which is the
-    share of toxic rows among the labelled ones outside the held-out fold."""
+def training(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple[DataFrame, float]:
+    """The texts of the training fold (text, positive, unlabelled, and whether the weights are
+    fitted on it as one of these: fit_p, fit_u) and the class prior, which is the share of
+    toxic rows among the labelled ones outside the held-out fold."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     known = known.filter("label IN (0, 1)").filter(~held_out(F.col("doc_id")))
     n, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     total = docs.count()
-    chosen = known.filter("label = 1").filter(_share(F.col("doc_id"), 1, POSITIVES, toxic)).select("doc_id").distinct()
-    rows = docs.withColumn("unlabelled", ~held_out(F.col("doc_id")) & _share(F.col("doc_id"), 2, UNLABELLED, total))
-    rows = rows.join(F.broadcast(chosen.withColumn("positive", F.lit(True))), "doc_id", "left")  # about POSITIVES ids
-    rows = rows.select("text", F.coalesce("positive", F.lit(False)).alias("positive"), F.coalesce("unlabelled", F.lit(False)).alias("unlabelled"))
-    return rows.filter("positive OR unlabelled"), toxic / max(n, 1)
+    # Stored first, so that its size is known: the texts move only if it is too large to send.
+    chosen = materialize(known.filter("label = 1").select("doc_id").distinct(), "toxic-ids").withColumn("positive", F.lit(True))
+    rows = docs.join(chosen, "doc_id", "left").withColumn("positive", F.coalesce("positive", F.lit(False)))
+    rows = rows.withColumn("unlabelled", ~held_out(F.col("doc_id"))).filter("positive OR unlabelled")
+    fit_p = F.coalesce(F.col("positive") & _share(F.col("doc_id"), 1, POSITIVES, toxic), F.lit(False))
+    fit_u = F.coalesce(F.col("unlabelled") & _share(F.col("doc_id"), 2, UNLABELLED, total), F.lit(False))
+    return rows.select("text", "positive", "unlabelled", fit_p.alias("fit_p"), fit_u.alias("fit_u")), toxic / max(n, 1)
 
 
 def counted(rows: DataFrame) -> DataFrame:
-    """In how many positive and unlabelled texts of the sample each feature is found; each
+    """In how many positive and unlabelled texts each feature is found; each
     task adds up its own first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +159,13 @@ def counted(rows: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Linear:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, label)."""
-    rows, prior = sample(docs, labels, label_col)
+    rows, prior = training(docs, labels, label_col)
     if not 0 < prior < 1:
         return Linear(-40.0 if prior <= 0 else 40.0)
-    n_p, n_u = rows.agg(F.count_if("positive"), F.count_if("unlabelled")).first()
-    if not n_p or not n_u:
+    n_p, n_u, fit_p, fit_u = rows.agg(*map(F.count_if, ("positive", "unlabelled", "fit_p", "fit_u"))).first()
+    if not fit_p or not fit_u:
         return Linear(-40.0)
-    # Features by the strength of the difference between both samples.
+    # Features by the strength of the difference between both sides.
     both = (F.col("p") + F.col("u")) / (n_p + n_u)
     gap = F.abs(F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
     known = counted(rows).filter((F.col("p") + F.col("u") >= LEAST_TEXTS) & (gap >= LEAST_GAP)).orderBy(gap.desc(), "feature").limit(FEATURES)
@@ -172,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Linear:
             at = [sorted(place[f] for f in features_of(t.as_py()) & place.keys()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(at, pa.list_(pa.int32()))], names=["positive", "unlabelled", "at"])
 
-    got = rows.mapInArrow(run, "positive boolean, unlabelled boolean, at array<int>").toArrow()
+    chosen = rows.filter("fit_p OR fit_u").select("text", F.col("fit_p").alias("positive"), F.col("fit_u").alias("unlabelled"))
+    got = chosen.mapInArrow(run, "positive boolean, unlabelled boolean, at array<int>").toArrow()
     order = sorted(range(got.num_rows), key=lambda i: (got["positive"][i].as_py(), got["unlabelled"][i].as_py(), got["at"][i].as_py()))
     at = [np.array(got["at"][i].as_py(), np.int64) for i in order]
     flags = [got[c].to_numpy()[order].astype(float) for c in ("positive", "unlabelled")]

@@ -184,3 +184,13 @@ def test_names_around_articles():
     assert text("<article><p>x<svg><text>no</text></svg>y</p></article>") == "xy"
     assert text("<article><p>If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>, y <math/>ends.</p></article>") == "If x=2, y ends."
     assert text("<div class='ad'>" * 30_000 + "deep") == "deep"
+
+
+def test_toxic_words_are_counted_over_all_texts(spark, monkeypatch):
+    """A word of many confirmed texts is known, though the sample holds fewer than six of them."""
+    monkeypatch.setattr(toxicity, "POSITIVES", 10)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 30)
+    rows = [(k, "plain words here" + (" vile" if k % 90 == 0 else "")) for k in range(1, 3001)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 30 == 0)) for k in range(1, 3001) if k % 10 == 0], "doc_id long, toxic int")
+    assert "vile" in toxicity.fit(docs, labels).weights
