@@ -3,7 +3,8 @@
 The tokenizer lower-cases, drops white space and never joins across it, so the ids of a text
 are those of its space-separated chunks in turn. Each chunk's ids are kept as bytes; a chunk
 that is new is cut into the tokenizer's own pieces, whose ids are kept too. Texts to which
-that reasoning doesn't apply (unnormalised, odd separators) are encoded whole.
+that reasoning doesn't apply (unnormalised, odd separators, added tokens like <|endoftext|>)
+are encoded whole.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import struct
 import unicodedata
 from functools import lru_cache
+from os.path import commonprefix
 
 import regex
 
@@ -28,8 +30,13 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        # Added tokens stand for one id wherever they are, white space or not; in any case of
+        # letters, for one may be looked for after lower-casing.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)", regex.IGNORECASE)
+        start = commonprefix(added)
+        self.start = start if start.lower() == start.upper() else ""
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -40,6 +47,8 @@ class WordTokens:
         """The ids of a text as little-endian unsigned 32-bit numbers."""
         if not text.isascii() and (ODD.search(text) or not unicodedata.is_normalized("NFC", text)) or text.isascii() and not text.isprintable() and ODD.search(text):
             return self._whole(text)
+        if self.start in text and self.added.search(text):
+            return self._whole(text)
         get, out = self.chunks.get, []
         for chunk in text.split():
             ids = get(chunk)

@@ -1,11 +1,14 @@
 """Nulls, empty and very long texts, ties and repeats, empty tables, clashing columns."""
 
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from notegrove.llm import bag_minhash, chat_format, decontaminate, embedding_dedup, html_extract, packing, quality, secret_scan, toxicity, warc
 from notegrove.llm.queries import tokenizer_file
+from notegrove.llm.tokens import word_tokens
 
 LONG = "word salad with a tail " * 20_000
 CLASH = ["key", "n", "bands", "score", "row", "rid", "v", "hash", "class", "label", "positive", "unlabelled", "x", "x_1", "id", "repo", "owner", "root", "count", "bucket", "_kept_id", "_kept_key", "item_id"]
@@ -194,3 +197,16 @@ def test_toxic_words_are_counted_over_all_texts(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(k, int(k % 30 == 0)) for k in range(1, 3001) if k % 10 == 0], "doc_id long, toxic int")
     assert "vile" in toxicity.fit(docs, labels).weights
+
+
+def test_added_tokens():
+    """The tokenizer's own ids for texts that hold <|endoftext|> and the like."""
+    from tokenizers import Tokenizer
+
+    plain, ours = Tokenizer.from_file(tokenizer_file()), word_tokens(tokenizer_file())
+    tokens = [t.content for t in plain.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in tokens
+    for t in [*tokens, *(x.upper() for x in tokens), "<|end", "<| endoftext |>"]:
+        for text in (t, f"a b {t} c", f"a{t}c", f"É {t}{t}\n", f"{t[:5]} {t[5:]}"):
+            ids = plain.encode(text, add_special_tokens=False).ids
+            assert list(struct.unpack(f"<{len(ids)}I", ours.encode(text))) == ids
