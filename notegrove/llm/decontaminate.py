@@ -93,6 +93,8 @@ class Items:
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item's place, edits, start, stop) of the closest passage for every item that
         occurs in a normal text; of equally close ones the first."""
+        if not self.items:  # an automaton without words cannot be asked
+            return []
         at: dict[int, set[int]] = {}
         for end, found in self.automaton.iter(text):
             for i, a, n in found:

@@ -210,3 +210,10 @@ def test_added_tokens():
         for text in (t, f"a b {t} c", f"a{t}c", f"É {t}{t}\n", f"{t[:5]} {t[5:]}"):
             ids = plain.encode(text, add_special_tokens=False).ids
             assert list(struct.unpack(f"<{len(ids)}I", ours.encode(text))) == ids
+
+
+def test_decontamination_without_words(spark, docs):
+    """Items that are all null, empty or punctuation match nothing."""
+    items = spark.createDataFrame([(1, ""), (2, None), (3, "***")], "item_id long, text string")
+    assert decontaminate.find(docs, items).count() == 0
+    assert ids(decontaminate.clean(docs, items).select("doc_id")) == ALL
