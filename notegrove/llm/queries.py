@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import bag_minhash, chat_format, decontaminate, embedding_dedup, html_extract, oracles, packing, quality, secret_scan, toxicity, warc
+from notegrove.llm import bag_minhash, chat_format, decontaminate, embedding_dedup, html_extract, interpolation, oracles, packing, quality, secret_scan, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,11 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract(table(spark, folder, "pages"))
 
 
+def op11_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents under a trigram mixture of the training fold."""
+    return interpolation.score(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_html_extraction": op10_html_extraction,
+    "op11_deleted_interpolation": op11_deleted_interpolation,
 }
 
 ORACLES: dict[str, str] = {
