@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import bag_minhash, chat_format, decontaminate, embedding_dedup, html_extract, interpolation, oracles, packing, quality, secret_scan, toxicity, warc
+from notegrove.llm import bag_minhash, chat_format, decontaminate, embedding_dedup, html_extract, interpolation, oracles, packing, quality, repair, secret_scan, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,11 @@ def op11_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     return interpolation.score(table(spark, folder, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged, with the cheapest edits that repair them."""
+    return repair.report_damaged(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_html_extraction": op10_html_extraction,
     "op11_deleted_interpolation": op11_deleted_interpolation,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
