@@ -108,19 +108,32 @@ def grams_of(tokens: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
     return grams
 
 
-def _lists(sizes, values: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values))
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes: small ones, and small steps, take little room."""
+    planes = np.ascontiguousarray(values.astype("<i8", copy=False).view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def _numbers(column) -> np.ndarray:
-    """All elements of a list column, row after row."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
-    return column.flatten().to_numpy(zero_copy_only=False)
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<i8").ravel()
 
 
-BLOCK = "doc_id array<bigint>, fold array<tinyint>, size array<int>, word array<int>, hash array<bigint>"
+def packed_hashes(sorted_: np.ndarray) -> bytes:
+    return packed(np.diff(sorted_, prepend=np.uint64(0)).view(np.int64))
+
+
+def unpacked_hashes(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data).view(np.uint64), dtype=np.uint64)
+
+
+def _joined(column) -> np.ndarray:
+    """All numbers of a column of packed ones, row after row."""
+    return np.concatenate([*map(unpacked, column.to_pylist()), np.empty(0, np.int64)])
+
+
+BLOCK = "doc_id array<bigint>, fold array<tinyint>, size array<int>, word binary, rank binary, hash binary"
 
 
 def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,10 +147,15 @@ def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         while lo < len(texts):
             hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + BLOCK_BYTES, "right")) - 1)
             tokens, sizes = tokens_of(data[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo])
-            hashes, word = np.unique(tokens, return_inverse=True)
+            hashes, word, n = np.unique(tokens, return_inverse=True, return_counts=True)
+            # Hashes are kept in order, tokens as the places of their words by frequency.
+            by_n = np.argsort(-n, kind="stable")
+            place = np.empty_like(by_n)
+            place[by_n] = np.arange(len(by_n))
             one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            columns = [ids[lo:hi], folds[lo:hi], pa.array(sizes, pa.int32()), pa.array(word, pa.int32()), pa.array(hashes.view(np.int64))]
-            yield pa.RecordBatch.from_arrays([one(c) for c in columns], names=["doc_id", "fold", "size", "word", "hash"])
+            lists = [one(c) for c in (ids[lo:hi], folds[lo:hi], pa.array(sizes, pa.int32()))]
+            packs = [pa.array([x], pa.binary()) for x in (packed(place[word]), packed(by_n), packed_hashes(hashes))]
+            yield pa.RecordBatch.from_arrays([*lists, *packs], names=["doc_id", "fold", "size", "word", "rank", "hash"])
             lo = hi
 
 
@@ -145,10 +163,11 @@ class Block:
     """One row of the blocks, its tokens' folds and its n-grams."""
 
     def __init__(self, rows, i: int = 0):
-        get = lambda name: rows.column(name)[i].values
-        self.doc_id = get("doc_id")
-        self.fold, self.sizes = get("fold").to_numpy(), get("size").to_numpy()
-        self.tokens = get("hash").to_numpy().view(np.uint64)[get("word").to_numpy()]
+        get = lambda name: rows.column(name)[i]
+        self.doc_id = get("doc_id").values
+        self.fold, self.sizes = (get(c).values.to_numpy() for c in ("fold", "size"))
+        word, rank = (unpacked(get(c).as_py()) for c in ("word", "rank"))
+        self.tokens = unpacked_hashes(get("hash").as_py())[rank[word]]
         self.first = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
         self.token_fold = np.repeat(self.fold, self.sizes)
 
@@ -171,25 +190,27 @@ def asked(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                 n = np.bincount(at[block.token_fold != HELD_OUT], minlength=len(grams))
                 m = np.bincount(at[block.token_fold == DELETED], minlength=len(grams))
                 bucket = (grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-                there, sizes = np.unique(bucket, return_counts=True)
-                lists = [_lists(sizes, x) for x in (grams.view(np.int64), n.astype(np.int32), m.astype(np.int32))]
+                there, start = np.unique(bucket, return_index=True)
+                parts = [[f(x) for x in np.split(values, start[1:])] for f, values in ((packed_hashes, grams), (packed, n), (packed, m))]
                 here = pa.array(np.full(len(there), batch.column("block")[i].as_py()), pa.int64())
-                yield pa.RecordBatch.from_arrays([here, pa.array(there.astype(np.int32)), *lists], names=["block", "bucket", "grams", "n", "m"])
+                yield pa.RecordBatch.from_arrays([here, pa.array(there.astype(np.int32)), *(pa.array(x, pa.binary()) for x in parts)], names=["block", "bucket", "grams", "n", "m"])
 
-    return blocks.mapInArrow(run, "block bigint, bucket int, grams array<bigint>, n array<int>, m array<int>")
+    return blocks.mapInArrow(run, "block bigint, bucket int, grams binary, n binary, m binary")
 
 
 def count_bucket(rows: pa.Table) -> pa.Table:
     """Counts over all blocks, in the order in which each block asked for them."""
-    grams, at = np.unique(_numbers(rows["grams"]).view(np.uint64), return_inverse=True)
-    sizes = np.concatenate([c.value_lengths().to_numpy(zero_copy_only=False) for c in rows["grams"].chunks])
-    sums = [np.bincount(at, _numbers(rows[c]), len(grams)).astype(np.int64) for c in ("n", "m")]
+    asked_for = [unpacked_hashes(x) for x in rows["grams"].to_pylist()]
+    grams, at = np.unique(np.concatenate(asked_for), return_inverse=True)
+    stops = np.cumsum([len(x) for x in asked_for])[:-1]
+    sums = [np.bincount(at, _joined(rows[c]), len(grams)).astype(np.int64) for c in ("n", "m")]
     known = np.zeros(rows.num_rows, np.int64)
     known[0] = np.count_nonzero(sums[0])
-    return pa.Table.from_arrays([rows["block"], rows["bucket"], *(_lists(sizes, s[at]) for s in sums), pa.array(known)], names=["block", "bucket", "n", "m", "known"])
+    answers = [pa.array([packed(x) for x in np.split(s[at], stops)], pa.binary()) for s in sums]
+    return pa.Table.from_arrays([rows["block"], rows["bucket"], *answers, pa.array(known)], names=["block", "bucket", "n", "m", "known"])
 
 
-ANSWER = "block bigint, bucket int, n array<bigint>, m array<bigint>, known bigint"
+ANSWER = "block bigint, bucket int, n binary, m binary, known bigint"
 
 
 def answered(block: Block, answers: pa.Table, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -200,7 +221,7 @@ def answered(block: Block, answers: pa.Table, order: int) -> list[tuple[np.ndarr
         rows = np.flatnonzero(which == k)
         rows = answers.take(pa.array(rows[np.argsort(bucket[rows])]))
         at = block.grams(k)[1]
-        out.append((_numbers(rows["n"])[at], _numbers(rows["m"])[at]))
+        out.append((_joined(rows["n"])[at], _joined(rows["m"])[at]))
     return out
 
 
@@ -261,7 +282,7 @@ def cells_of(held: DataFrame, mixture: Mixture, order: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = np.zeros(((CONTEXTS + 1) * RATIOS, 2)).T
         for batch in batches:
-            arrays = [_numbers(c) for c in batch.columns]
+            arrays = [_joined(c) for c in batch.columns]
             counts, contexts = arrays[:order], arrays[order:]
             if len(counts[0]):
                 f, bucket = mixture.estimate(order, counts, contexts)
@@ -310,7 +331,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
 
     def kept(df: DataFrame, label: str) -> DataFrame:
         stored.append(new_folder(spark, label))
-        df.write.option("compression", "zstd").parquet(stored[-1])
+        df.write.parquet(stored[-1])
         return spark.read.schema(df.schema).parquet(stored[-1])
 
     with shuffles_let_go(spark):
@@ -338,10 +359,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
             counts = [a - b for a, b in answered(block, right, order)]
             mine = block.token_fold == DELETED
             arrays = [*counts, *contexts_of(counts, block.first, texts_n - texts_m)]
-            return pa.Table.from_arrays([_lists([mine.sum()], a[mine]) for a in arrays], names=names)
+            return pa.Table.from_arrays([pa.array([packed(a[mine])], pa.binary()) for a in arrays], names=names)
 
         names = [f"c{k}" for k in range(1, order + 1)] + [f"x{k}" for k in range(2, order + 1)]
-        held = kept(together.applyInArrow(deleted_counts, ", ".join(f"{c} array<bigint>" for c in names)), "lm-deleted")
+        held = kept(together.applyInArrow(deleted_counts, ", ".join(f"{c} binary" for c in names)), "lm-deleted")
         weights: list[np.ndarray] = []
         for k in range(1, order + 1):
             weights.append(learnt_weights(cells_of(held, Mixture(n - m, vocabulary, list(weights)), k)))
