@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.llm import bag_minhash, chat_format, decontaminate, embedding_dedup, html_extract, interpolation, oracles, packing, quality, repair, secret_scan, toxicity, warc
+from notegrove.llm import bag_minhash, chat_format, decontaminate, embedding_dedup, html_extract, interpolation, oracles, packing, quality, repair, secret_scan, spelling, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,11 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.report_damaged(table(spark, folder, "conversations"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Frequent words of all documents, grouped with the spellings they are variants of."""
+    return spelling.misspelt_variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op10_html_extraction": op10_html_extraction,
     "op11_deleted_interpolation": op11_deleted_interpolation,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {

@@ -30,7 +30,7 @@ def test_registered(spark):
     import __spark_entry__ as contract
 
     names = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
     assert "pipeline" in names and set(contract.oracle_sql()) <= set(names)
 
 
