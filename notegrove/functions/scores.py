@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Usual BM25 constants.
 K1 = 1.2
 B = 0.75
+# Scores are rounded to so many digits before they are ranked.
+DIGITS = 6
 
 
 def idf(n_docs: Column, df: Column) -> Column:
@@ -20,6 +22,11 @@ def bm25(tf: Column, length: Column, mean_length: Column, weight: Column) -> Col
     return weight * tf / (tf + penalty)
 
 
+def share_of(tf, length, mean_length):
+    """``bm25`` of numpy arrays, before the term's weight."""
+    return tf / (tf + K1 * (1.0 - B + B * length / mean_length))
+
+
 def rrf(rank: Column, offset: int = 60) -> Column:
     """A list entry's share in reciprocal rank fusion."""
     return F.lit(1.0) / (F.lit(float(offset)) + rank)

@@ -1,36 +1,38 @@
 """Keyword questions over the inverted index, one or many queries at a time.
 
-A batch is a frame ``queries(qid, terms)``. The query side is resolved against the stored
-term statistics first; only its size-checked result is broadcast, and its buckets and
-terms prune the postings scan. Matches, never whole postings, then shuffle once by record
-id: that one exchange serves the grouping by query and record, the windows, and the join
-with the records that pass the filters.
+A batch is a frame ``queries(qid, terms)``. The query side is resolved against the stored term
+statistics first; what comes of it travels to the shards, in blocks of bounded size, and its
+terms prune the scan. Each shard of the records is scored in one task against all queries of
+the block: no posting and no pair of query and record is ever shuffled, only the k best
+records per query and shard (or, for plain matches, the records found).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from notegrove.functions.edits import auto_edits, typo_edits
-from notegrove.functions.scores import bm25, idf
+from notegrove.functions.scores import DIGITS, idf
 from notegrove.operators.expansion import expand_words, query_words
-from notegrove.operators.text_index import TextIndex, bucket_of
+from notegrove.operators.shards import Search, Shard, by_query, in_shards, with_shard
+from notegrove.operators.text_index import TextIndex, bucket_of, mean_lengths
 from notegrove.operators.topk import by_score_then_points, top_k_per
 from notegrove.schema import RANKED_SPEC, TOP_K, SearchSpec
 from notegrove.workspace import (
     MAX_PARAMETER_ROWS,
     bounded_rows,
     join_parameters,
+    materialize,
     small_frame,
 )
 
-# Longer lists of terms prune by bucket only.
+# Longer lists of terms are joined to the postings instead of being pushed into the scan.
 MAX_TERM_FILTER = 1000
-FAR = 8  # fixed value: the largest distance two query words are charged for
 
 
 def _lookup(index: TextIndex, words: DataFrame, fields: Sequence[str] | None) -> DataFrame:
@@ -40,47 +42,53 @@ def _lookup(index: TextIndex, words: DataFrame, fields: Sequence[str] | None) ->
     stats = index.terms_of(fields)
     if rows is None:
         return stats.join(words, ["bucket", "term"])
-    small = small_frame(index.term_stats.sparkSession, rows, words)
-    return _only(stats, rows).join(small, ["bucket", "term"])
+    stats = stats.where(F.col("bucket").isin(sorted({r["bucket"] for r in rows})))
+    terms = sorted({r["term"] for r in rows})
+    stats = stats.where(F.col("term").isin(terms)) if len(terms) <= MAX_TERM_FILTER else stats
+    return stats.join(small_frame(index.term_stats.sparkSession, rows, words), ["bucket", "term"])
 
 
-def _only(stored: DataFrame, rows: list[Row]) -> DataFrame:
-    """The part of a bucketed table that can hold the rows' terms: other folders are not
-    opened, and a short list of terms also skips row groups."""
-    stored = stored.where(F.col("bucket").isin(sorted({r["bucket"] for r in rows})))
-    terms = sorted({r["term"] for r in rows})
-    return stored.where(F.col("term").isin(terms)) if len(terms) <= MAX_TERM_FILTER else stored
+def _query_blocks(wanted: DataFrame) -> Iterator[list[Row]]:
+    """The rows of whole queries, at most about ``MAX_PARAMETER_ROWS`` at a time."""
+    rows = bounded_rows(wanted)
+    if rows is not None:
+        yield rows
+        return
+    wanted = materialize(wanted, "query-terms")
+    n = 1 + 2 * wanted.count() // MAX_PARAMETER_ROWS
+    for i in range(n):
+        yield wanted.where(F.pmod(F.xxhash64("qid"), F.lit(n)) == i).collect()
 
 
-def matches(index: TextIndex, wanted: DataFrame) -> tuple[DataFrame, int | None]:
-    """Postings of ``wanted(qid, word_no, bucket, term, field, ...)`` and the highest word
-    number.
+def _searched(
+    index: TextIndex,
+    wanted: DataFrame,
+    search_of: Callable[[list[Row]], Search],
+    values: str = "",
+    candidates: DataFrame | None = None,
+    columns: Sequence[str] = (),
+) -> DataFrame:
+    """What ``search_of`` the wanted terms' rows finds in every shard.
 
-    The number is None when the wanted terms are too many to hold; then both sides shuffle.
+    ``candidates`` are rows of ``index.records`` or others with an ``id``; the latter are
+    dealt to the shards first.
     """
-    keys = ["bucket", "term", "field"]
-    rows = bounded_rows(wanted)
-    if rows is None:
-        return join_parameters(index.postings, wanted, keys), None
-    small = small_frame(index.postings.sparkSession, rows, wanted)
-    last = max([r["word_no"] for r in rows], default=0)
-    return _only(index.postings, rows).join(small, keys), last
-
-
-def distinct_words(last: int | None) -> Column:
-    """How many different words of a query a group of matches holds: word numbers become
-    bits, so the count is as cheap as a sum."""
-    if last is None:
-        return F.size(F.collect_set("word_no"))
-    parts = []
-    for block in range(last // 62 + 1):
-        bit = F.expr("shiftleft(1L, word_no % 62)")
-        mine = F.floor(F.col("word_no") / 62) == block
-        parts.append(F.coalesce(F.bit_count(F.bit_or(F.when(mine, bit))), F.lit(0)))
-    total = parts[0]
-    for part in parts[1:]:
-        total = total + part
-    return total
+    spark = wanted.sparkSession
+    if candidates is not None:
+        candidates = with_shard(candidates, index.shards)
+    means = mean_lengths(index.field_stats)
+    found = None
+    for rows in _query_blocks(wanted):
+        terms = sorted({r["term"] for r in rows})
+        blocks = index.blocks.select("shard", "term", "field", "first", "last", "peak", "ids", "lens", "tfs", *columns)
+        if len(terms) <= MAX_TERM_FILTER:
+            blocks = blocks.where(F.col("term").isin(terms))
+        else:
+            few = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string"))
+            blocks = blocks.join(few, "term", "left_semi")
+        part = in_shards(blocks, search_of(rows), wanted.schema["qid"], values, candidates, means)
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def _plain_words(index: TextIndex, queries: DataFrame, distinct: bool = True) -> DataFrame:
@@ -92,26 +100,53 @@ def any_match(
     index: TextIndex, queries: DataFrame, fields: Sequence[str] | None = None
 ) -> DataFrame:
     """``qid, id`` of records with at least one query word in any of the fields."""
-    wanted = _lookup(index, _plain_words(index, queries), fields)
-    hits, _ = matches(index, wanted)
-    return hits.select("qid", "id").repartition("id").distinct()
+    wanted = _plain_words(index, queries).select("qid", "word_no", "n_words", "term")
+    return _with_words(index, wanted, fields, 1)
+
+
+def _with_words(
+    index: TextIndex,
+    wanted: DataFrame,
+    fields: Sequence[str] | None,
+    minimum: int,
+    among: DataFrame | None = None,
+) -> DataFrame:
+    fields = list(fields or index.fields)
+
+    def search_of(rows: list[Row]) -> Search:
+        asked = by_query(rows, "word_no", "n_words", "term")
+
+        def search(shard: Shard):
+            for qid, terms in asked.items():
+                words: dict[int, list[str]] = {}
+                for no, _, term in terms:
+                    words.setdefault(no, []).append(term)
+                yield qid, shard.enough_words(words, fields, min(minimum, terms[0][1])), {}
+
+        return search
+
+    return _searched(index, wanted, search_of, candidates=among)
 
 
 def phrase_match(
     index: TextIndex, queries: DataFrame, fields: Sequence[str] | None = None
 ) -> DataFrame:
     """``qid, id`` of records where the query's words follow each other in one field."""
-    wanted = _lookup(index, _plain_words(index, queries, distinct=False), fields)
-    hits, _ = matches(index, wanted)
-    # Where the phrase would begin for each place of each word; it stands where all agree.
-    begins = F.transform("positions", lambda p: p - F.col("word_no"))
-    placed = hits.select("qid", "id", "field", "n_words", begins.alias("begin"))
-    grouped = placed.repartition("id").groupBy("qid", "id", "field", "n_words").agg(
-        F.collect_list("begin").alias("begins")
-    )
-    agreed = F.aggregate("begins", F.col("begins")[0], F.array_intersect)
-    whole = (F.size("begins") == F.col("n_words")) & (F.size(agreed) > 0)
-    return grouped.where(whole).select("qid", "id").distinct()
+    fields = list(fields or index.fields)
+    wanted = _plain_words(index, queries, distinct=False).select("qid", "word_no", "term")
+
+    def search_of(rows: list[Row]) -> Search:
+        asked = by_query(rows, "word_no", "term")
+
+        def search(shard: Shard):
+            for qid, terms in asked.items():
+                words = [t for _, t in sorted(terms)]
+                hits = {int(i) for f in fields for i in shard.phrase(words, f)}
+                yield qid, np.array(sorted(hits), int), {}
+
+        return search
+
+    return _searched(index, wanted, search_of, columns=["positions"])
 
 
 def min_should_match(
@@ -120,9 +155,11 @@ def min_should_match(
     fields: Sequence[str] | None = None,
     minimum: int = 2,
     fuzzy: bool = True,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """``qid, id`` where some single field holds at least ``minimum`` different query words
-    (or all of them, when there are fewer), each up to its automatic edit budget."""
+    (or all of them, when there are fewer), each up to its automatic edit budget; with
+    ``among`` (id, ...), of those records only, with their columns."""
     words = query_words(queries, index.analyzer)
     if fuzzy:
         asked = words.select(
@@ -132,12 +169,8 @@ def min_should_match(
         words = words.join(found, "word")
     else:
         words = words.withColumn("term", F.col("word"))
-    wanted = _lookup(index, words.select("qid", "word_no", "n_words", "term"), fields)
-    hits, last = matches(index, wanted)
-    hits = hits.select("qid", "id", "field", "n_words", "word_no").repartition("id")
-    counted = hits.groupBy("qid", "id", "field", "n_words").agg(distinct_words(last).alias("n"))
-    enough = counted.where(F.col("n") >= F.least(F.lit(minimum), F.col("n_words")))
-    return enough.select("qid", "id").distinct()
+    wanted = words.select("qid", "word_no", "n_words", "term")
+    return _with_words(index, wanted, fields, minimum, among)
 
 
 def bm25_scores(
@@ -145,30 +178,33 @@ def bm25_scores(
     queries: DataFrame,
     fields: Sequence[str] | None = None,
     among: DataFrame | None = None,
+    k: int | None = None,
 ) -> DataFrame:
     """``qid, id, score`` of every record with a query word, summed over words and fields;
-    with ``among`` (id), of those records only, and no other is scored.
+    with ``among`` (id, ...), of those records only, with their columns; with ``k``, of those
+    that are among the k best of their shard or level with them.
 
     Scores are rounded to six digits, so ties do not hang on the order of additions.
     """
     wanted = _lookup(index, _plain_words(index, queries), fields)
     # One row per indexed field, a number fixed when the index is declared.
-    sizes = F.broadcast(index.field_stats.select("field", "n_docs", "mean_len"))
+    sizes = F.broadcast(index.field_stats.select("field", "n_docs"))
     weighted = wanted.join(sizes, "field").select(
-        "qid",
-        "word_no",
-        "bucket",
-        "term",
-        "field",
-        "mean_len",
-        idf(F.col("n_docs"), F.col("df")).alias("weight"),
+        "qid", "term", "field", idf(F.col("n_docs"), F.col("df")).alias("weight")
     )
-    hits, _ = matches(index, weighted)
-    part = bm25(F.col("tf"), F.col("len"), F.col("mean_len"), F.col("weight"))
-    parts = hits.select("qid", "id", part.alias("part")).repartition("id")
-    if among is not None:
-        parts = parts.join(among.select("id"), "id", "left_semi")
-    return parts.groupBy("qid", "id").agg(F.round(F.sum("part"), 6).alias("score"))
+
+    def search_of(rows: list[Row]) -> Search:
+        asked = by_query(rows, "term", "field", "weight")
+
+        def search(shard: Shard):
+            for qid, terms in asked.items():
+                hits, scores = shard.relevance([((t, f), w) for t, f, w in terms], k)
+                yield qid, hits, {"score": scores}
+
+        return search
+
+    found = _searched(index, weighted, search_of, "score double", among)
+    return found.withColumn("score", F.round("score", DIGITS))
 
 
 def bm25_search(
@@ -181,11 +217,12 @@ def bm25_search(
 ) -> DataFrame:
     """The k best records per query, by score, then points, then id.
 
-    ``candidates`` holds ``id, points`` (and any columns to carry) of the records that
-    pass the filters; keep it narrow and fetch the rest with ``with_rows``. ``where``
-    compares a record with its own query's columns, such as a price bound per query.
+    ``candidates`` are the records that pass the filters, with ``id, points`` and any columns
+    to carry: best a part of ``index.records``, which needs no shuffle; fetch other columns
+    with ``with_rows``. ``where`` compares a record with its own query's columns, such as a
+    price bound per query.
     """
-    scored = bm25_scores(index, queries, fields, candidates).join(candidates, "id")
+    scored = bm25_scores(index, queries, fields, candidates, k if where is None else None)
     if where is not None:
         scored = join_parameters(scored, queries.drop("terms"), ["qid"]).where(where)
     return top_k_per(scored, ["qid"], by_score_then_points(), k)
@@ -233,16 +270,27 @@ def ranked_search(
     asked = asked.groupBy("word", "edits").agg(F.max("prefix").alias("prefix"))
     found = expand_words(asked, vocabulary)
     resolved = words.join(found, "word").where(~F.col("by_prefix") | F.col("is_last"))
-    wanted = _lookup(
-        index,
-        resolved.select("qid", "word_no", "n_words", "term", "typos", "by_prefix"),
-        fields,
-    )
-    hits, _ = matches(index, wanted)
-    scored = _rule_values(hits, fields, candidates)
-    return top_k_per(
-        scored.join(candidates, "id"), ["qid"], [*rule_order(spec.rules, sort), F.asc("id")], spec.cap(k)
-    )
+    wanted = resolved.select("qid", "word_no", "n_words", "term", "typos", "by_prefix")
+    rules = [r if ":" not in r else "column" for r in spec.rules if r != "sort" or sort]
+    k = spec.cap(k)
+
+    def search_of(rows: list[Row]) -> Search:
+        queries_ = by_query(rows, "word_no", "n_words", "term", "typos", "by_prefix")
+
+        def search(shard: Shard):
+            for qid, terms in queries_.items():
+                of_word: dict[int, list[tuple[str, int, bool]]] = {}
+                for no, _, *term in terms:
+                    of_word.setdefault(no, []).append(tuple(term))
+                hits, values = shard.cascade(of_word, terms[0][1], fields, rules, k)
+                yield qid, hits, values
+
+        return search
+
+    names = "words bigint, typos bigint, proximity bigint, attribute bigint, exactness bigint"
+    scored = _searched(index, wanted, search_of, names, candidates, ["positions"])
+    ints = {c: F.col(c).cast("int") for c in ("attribute",)}
+    return top_k_per(scored.withColumns(ints), ["qid"], [*rule_order(spec.rules, sort), F.asc("id")], k)
 
 
 def rule_order(rules: Sequence[str], sort: Sequence[Column] = ()) -> list[Column]:
@@ -266,66 +314,3 @@ def rule_order(rules: Sequence[str], sort: Sequence[Column] = ()) -> list[Column
         else:
             raise ValueError(f"unknown rule: {rule}")
     return order
-
-
-def _rule_values(hits: DataFrame, fields: Sequence[str], among: DataFrame) -> DataFrame:
-    """``qid, id, words, typos, proximity, attribute, exactness`` of every matched record
-    of ``among``; the positions of others are never looked at.
-
-    A position stands in two pairs of successive words, leading one and following in the
-    other. In its pair it is compared only with the nearest earlier position of the other
-    word (a running maximum), never with all of them. The leading rows of a pair also tell
-    about their word itself, so one pass yields all rules.
-    """
-    attribute = F.element_at(
-        F.create_map(*[F.lit(x) for i, f in enumerate(fields) for x in (f, i)]), F.col("field")
-    )
-    # A lone word has no pair: one position of it is enough.
-    single = F.slice("positions", 1, 1)
-    found = hits.select(
-        "qid",
-        "id",
-        "word_no",
-        "n_words",
-        "typos",
-        attribute.alias("attribute"),
-        ((F.col("typos") == 0) & ~F.col("by_prefix")).cast("int").alias("as_typed"),
-        F.when(F.col("n_words") == 1, single).otherwise(F.col("positions")).alias("positions"),
-    ).repartition("id").join(among.select("id"), "id", "left_semi")
-    roles = F.array(
-        F.struct(F.col("word_no").alias("pair"), F.lit(True).alias("leads")),
-        F.struct((F.col("word_no") - 1).alias("pair"), F.lit(False).alias("leads")),
-    )
-    placed = found.select("*", F.explode("positions").alias("pos")).drop("positions")
-    sides = placed.select("*", F.inline(roles))
-
-    leads = F.col("leads")
-    earlier = (
-        Window.partitionBy("qid", "id", "attribute", "pair")
-        .orderBy("pos")
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-    lead_before = F.max(F.when(leads, F.col("pos"))).over(earlier)
-    follow_before = F.max(F.when(~leads, F.col("pos"))).over(earlier)
-    gap = F.when(leads, F.col("pos") - follow_before + 1).otherwise(F.col("pos") - lead_before)
-    per_pair = (
-        sides.withColumn("gap", gap)
-        .groupBy("qid", "id", "pair")
-        .agg(
-            F.max("n_words").alias("n_words"),
-            F.min(F.when(leads, F.col("typos"))).alias("typos"),
-            F.min(F.when(leads, F.col("attribute"))).alias("attribute"),
-            F.max(F.when(leads, F.col("as_typed"))).alias("as_typed"),
-            F.min("gap").alias("gap"),
-        )
-    )
-    far = F.lit(FAR)
-    # Pairs without both words have no gap and gain nothing.
-    gained = F.when(F.col("gap").isNotNull(), far - F.least("gap", far)).otherwise(0)
-    return per_pair.groupBy("qid", "id").agg(
-        F.count("typos").alias("words"),
-        F.sum("typos").alias("typos"),
-        (far * (F.max("n_words") - 1) - F.sum(gained)).alias("proximity"),
-        F.min("attribute").alias("attribute"),
-        F.sum("as_typed").alias("exactness"),
-    )

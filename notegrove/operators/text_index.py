@@ -2,20 +2,37 @@
 
 ``forward``      id, field, len, terms[term, tf, positions]   one row per text, no shuffle
 ``term_stats``   bucket=..., term, field, df
-``postings``     bucket=..., term, field, id, len, tf, positions
+``blocks``       shard, term, field, first, last, peak, ids, lens, tfs, positions
+``records``      shard, id, and the columns to filter and sort by
 ``field_stats``  field, n_docs, mean_len
+
+Postings and records are stored by shard of the records and bucketed by it, so a search meets
+both without a shuffle. A word that every record holds is in all shards, not in one task. The
+files are sorted by term: a search for few terms reads the pages that hold them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notegrove.functions.scores import share_of
 from notegrove.functions.text import STANDARD, Analyzer
-from notegrove.workspace import new_folder
+from notegrove.operators.shards import with_shard
+from notegrove.workspace import new_folder, read_bucketed, write_bucketed
+
+# Most postings in a block, the unit that a search can skip, and shards per task's bucket.
+BLOCK_POSTINGS = 128
+SHARDS_PER_BUCKET = 4
+BLOCKS = (
+    "shard int, term string, field string, first bigint, last bigint, peak double, "
+    "ids array<bigint>, lens array<int>, tfs array<int>, positions array<int>"
+)
 
 
 @dataclass(frozen=True)
@@ -25,10 +42,21 @@ class TextIndex:
     fields: tuple[str, ...]
     buckets: int
     forward: DataFrame
-    postings: DataFrame
+    blocks: DataFrame
+    records: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
 
+    @property
+    def shards(self) -> int:
+        return self.buckets * SHARDS_PER_BUCKET
+
+    def among(self, reviews: DataFrame, *columns: str) -> DataFrame:
+        """``id`` and columns of the records as they lie in the shards, or of ``reviews`` when
+        the index was built without one of the columns."""
+        stored = set(columns) <= set(self.records.columns)
+        return self.records.select("shard", "id", *columns) if stored else reviews.select("id", *columns)
+
     def vocabulary(self, fields: Sequence[str] | None = None) -> DataFrame:
         """The indexed terms, once per field they occur in."""
         return self.terms_of(fields).select("term")
@@ -95,27 +123,56 @@ def forward_rows(
     return rows.where(F.col("len") > 0)
 
 
+def to_blocks(means: dict[str, float]):
+    """Sorted postings, a row each, as blocks of one shard, term and field."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(c).dictionary_encode().indices.to_numpy() for c in ("shard", "term", "field")]
+            new = np.any([np.diff(k, prepend=-1) != 0 for k in keys], axis=0)
+            begun = np.flatnonzero(new)
+            place = np.arange(batch.num_rows) - np.repeat(begun, np.diff(np.append(begun, batch.num_rows)))
+            start = np.flatnonzero(place % BLOCK_POSTINGS == 0)
+            bound = np.append(start, batch.num_rows)
+            offsets = pa.array(bound, pa.int32())
+            ids, lens, tfs = (batch.column(c).to_numpy() for c in ("id", "len", "tf"))
+            mean = np.array([means[f] for f in batch.column("field").to_pylist()])
+            peak = np.maximum.reduceat(share_of(tfs, lens, mean), start)
+            positions = batch.column("positions")
+            inner = np.append(0, np.cumsum(tfs))[bound]
+            lists = [pa.ListArray.from_arrays(offsets, batch.column(c)) for c in ("id", "len", "tf")]
+            lists.append(pa.ListArray.from_arrays(pa.array(inner, pa.int32()), positions.flatten()))
+            head = [batch.column(c).take(pa.array(start)) for c in ("shard", "term", "field")]
+            values = [*head, pa.array(ids[start]), pa.array(ids[bound[1:] - 1]), pa.array(peak), *lists]
+            yield pa.RecordBatch.from_arrays(values, names=[c.split()[0] for c in BLOCKS.split(", ")])
+
+    return run
+
+
 def build_index(
     reviews: DataFrame,
     fields: Sequence[str],
     analyzer: Analyzer = STANDARD,
     *,
     id_col: str = "id",
+    records: DataFrame | None = None,
     buckets: int | None = None,
     path: str | None = None,
 ) -> TextIndex:
-    """Write the index of ``fields`` and open it.
+    """Write the index of ``fields`` and open it. ``records`` has an ``id`` and the columns to
+    filter and sort by; a record may stand in several rows.
 
     The texts are tokenised once, into the forward table, without a shuffle. The postings
-    then take one shuffle, a task per bucket of terms; the terms too frequent for one task
-    are cut into slices of the id first, as many as their counts ask for, and the slices
-    go to the tasks next to it. ``buckets`` defaults to the session's shuffle partitions;
-    aim at a few hundred MB per bucket.
+    then take one shuffle, by shard of the record. ``buckets`` defaults to the session's
+    shuffle partitions; aim at a few hundred MB per bucket.
     """
     spark = reviews.sparkSession
     path = path or new_folder(spark, "text-index")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = buckets or tasks
+    shards = buckets * SHARDS_PER_BUCKET
     forward_rows(reviews, fields, analyzer, id_col).write.parquet(f"{path}/forward")
     forward = spark.read.parquet(f"{path}/forward")
 
@@ -131,37 +188,25 @@ def build_index(
         .write.partitionBy("bucket")
         .parquet(f"{path}/term_stats")
     )
-    term_stats = spark.read.parquet(f"{path}/term_stats")
-
-    rows = forward.select("id", "field", "len", F.inline("terms")).withColumn(
-        "bucket", bucket_of(F.col("term"), buckets)
-    )
-    # At most ``4 * tasks`` terms can hold more than that share of all postings.
-    total = term_stats.agg(F.sum("df").alias("n")).first()["n"] or 0
-    share = max(1, total // (4 * tasks))
-    frequent = (
-        term_stats.groupBy("term")
-        .agg(F.sum("df").alias("n"))
-        .where(F.col("n") > share)
-        .select("term", F.ceil(F.col("n") / share).alias("slices"))
-    )
-    sliced = rows.join(F.broadcast(frequent), "term", "left").withColumn(
-        "slice", F.pmod(F.xxhash64("id"), F.coalesce("slices", F.lit(1)))
-    )
-    (
-        sliced.repartitionById(tasks, (F.col("bucket") + F.col("slice")).cast("int"))
-        .sortWithinPartitions("bucket", "term", "field", "id")
-        .select("bucket", "term", "field", "id", "len", "tf", "positions")
-        .write.partitionBy("bucket")
-        .parquet(f"{path}/postings")
-    )
     field_stats = forward.groupBy("field").agg(
         F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("mean_len")
     )
     field_stats.withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/field_stats")
+
+    means = mean_lengths(spark.read.parquet(f"{path}/field_stats"))
+    rows = with_shard(forward.select("id", "field", "len", F.inline("terms")), shards)
+    rows = rows.repartition(buckets, "shard").sortWithinPartitions("term", "field", "shard", "id")
+    write_bucketed(rows.mapInArrow(to_blocks(means), BLOCKS), f"{path}/blocks", buckets, "shard", "term")
+    records = reviews.select(F.col(id_col).alias("id")) if records is None else records
+    write_bucketed(with_shard(records, shards).repartition(buckets, "shard"), f"{path}/records", buckets, "shard", "id")
     return open_index(spark, path, fields, analyzer)
 
 
+def mean_lengths(field_stats: DataFrame) -> dict[str, float]:
+    """One number per indexed field."""
+    return {r["field"]: r["mean_len"] for r in field_stats.collect()}
+
+
 def open_index(
     spark: SparkSession,
     path: str,
@@ -175,13 +220,19 @@ def open_index(
 
     field_stats = table("field_stats")
     settings = field_stats.select("buckets").first()
+    buckets = settings["buckets"] if settings else 1
+    blocks, records = (
+        read_bucketed(spark, f"{path}/{name}", buckets, "shard", order)
+        for name, order in (("blocks", "term"), ("records", "id"))
+    )
     return TextIndex(
         path,
         analyzer,
         tuple(fields),
-        settings["buckets"] if settings else 1,
+        buckets,
         table("forward"),
-        table("postings"),
+        blocks,
+        records,
         table("term_stats"),
         field_stats,
     )

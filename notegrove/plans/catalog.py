@@ -123,7 +123,12 @@ def text_index(spark: SparkSession, folder: str) -> TextIndex:
         spark,
         folder,
         "text",
-        lambda: build_index(spread(texts(spark, folder)), TEXT_FIELDS, STANDARD),
+        lambda: build_index(
+            spread(texts(spark, folder)),
+            TEXT_FIELDS,
+            STANDARD,
+            records=docs(spark, folder).select("id", "points", "price", "country", "province"),
+        ),
     )
 
 
@@ -794,18 +799,16 @@ SEARCH_TEXT = "the anea eriner thintion"
 @query("bm25_top", sql.BM25_TOP)
 def bm25_top(spark, folder):
     """The relevance question with its price bound and country hop."""
-    d = docs(spark, folder).where(in_range("price", hi=0.5))
-    candidates = d.select("id", "points", "country", "price")
-    found = bm25_search(text_index(spark, folder), one_query(spark, SEARCH_TEXT), candidates)
+    index = text_index(spark, folder)
+    candidates = index.records.where(in_range("price", hi=0.5))
+    found = bm25_search(index, one_query(spark, SEARCH_TEXT), candidates)
     return found.select("id", "score", "points", "country", "rank")
 
 
 @query("bm25_batch", sql.BM25_BATCH)
 def bm25_batch(spark, folder):
-    candidates = table(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"), F.col("n_chars").alias("points")
-    )
-    found = bm25_search(text_index(spark, folder), benchmark_queries(spark, folder), candidates)
+    index = text_index(spark, folder)
+    found = bm25_search(index, benchmark_queries(spark, folder), index.records.select("shard", "id", "points"))
     return found.select("qid", "id", "score", "points", "rank")
 
 
@@ -813,21 +816,16 @@ def bm25_batch(spark, folder):
 def bm25_batch_bounds(spark, folder):
     """Every benchmark passage as a query with a points bound of its own."""
     asked = benchmark_queries(spark, folder).withColumn("most", F.length("terms") * 10)
-    candidates = table(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"), F.col("n_chars").alias("points")
-    )
-    near = F.col("points") <= F.col("most")
-    found = bm25_search(text_index(spark, folder), asked, candidates, where=near)
+    index, near = text_index(spark, folder), F.col("points") <= F.col("most")
+    found = bm25_search(index, asked, index.records.select("shard", "id", "points"), where=near)
     return found.select("qid", "id", "score", "points", "rank")
 
 
 @query("hit_cap", sql.HIT_CAP)
 def hit_cap(spark, folder):
-    candidates = table(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"), F.col("n_chars").alias("points")
-    )
+    index = text_index(spark, folder)
     asked = one_query(spark, "the and")
-    found = bm25_search(text_index(spark, folder), asked, candidates, RANKED_SPEC.cap(1000))
+    found = bm25_search(index, asked, index.records.select("shard", "id", "points"), RANKED_SPEC.cap(1000))
     return found.select("id", "score", "rank")
 
 
@@ -923,7 +921,7 @@ def fuzzy_search(spark, folder):
 def typo_search(spark, folder):
     """Records with any query word up to the typo thresholds, counted per word found."""
     index = text_index(spark, folder)
-    candidates = docs(spark, folder).select("id", "points")
+    candidates = index.records.select("shard", "id", "points")
     found = ranked_search(
         index, one_query(spark, "erniner thanedbell"), candidates, k=RANKED_SPEC.max_hits
     )
@@ -932,11 +930,11 @@ def typo_search(spark, folder):
 
 @query("rank_cascade", sql.RANK_CASCADE)
 def rank_cascade(spark, folder):
-    rows = docs(spark, folder).where(in_range("price", hi=1.0, inclusive=False))
-    candidates = rows.select("id", "points", "price")
+    index = text_index(spark, folder)
+    candidates = index.records.where(in_range("price", hi=1.0, inclusive=False))
     sort = [F.desc("points"), F.asc_nulls_last("price")]
     found = ranked_search(
-        text_index(spark, folder),
+        index,
         one_query(spark, "the anea eriner thintion th"),
         candidates,
         sort,
@@ -951,10 +949,11 @@ def rank_cascade(spark, folder):
 def rank_cascade_reordered(spark, folder):
     """The same search under other rules."""
     spec = replace(RANKED_SPEC, rules=("typo", "exactness", "points:asc", "words", "attribute", "proximity"))
+    index = text_index(spark, folder)
     found = ranked_search(
-        text_index(spark, folder),
+        index,
         one_query(spark, "the anea eriner thintion th"),
-        docs(spark, folder).where(in_range("price", hi=1.0, inclusive=False)).select("id", "points"),
+        index.records.where(in_range("price", hi=1.0, inclusive=False)),
         k=25,
         spec=spec,
     )
@@ -1178,9 +1177,10 @@ def hybrid_search(spark, folder):
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Relevance search for a batch of queries under a price bound, with displayed columns."""
-    cheap = docs(spark, folder).where(in_range("price", hi=1.0)).select("id", "points")
+    index = text_index(spark, folder)
+    cheap = index.records.where(in_range("price", hi=1.0)).select("shard", "id", "points")
     asked = benchmark_queries(spark, folder)
-    hits = bm25_search(text_index(spark, folder), asked, cheap)
+    hits = bm25_search(index, asked, cheap)
     rows = docs(spark, folder).select("id", "title", "country", "province", "price")
     return rows.join(hits, "id").select(
         "qid", "rank", "id", "score", "points", "title", "country", "province", "price"

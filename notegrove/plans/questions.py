@@ -76,9 +76,9 @@ class KeywordQuestions:
 
     def search(self, terms: str, max_price: float = 100.0, k: int = TOP_K) -> DataFrame:
         asked = one_query(self.reviews.sparkSession, terms)
-        found = min_should_match(self.index, asked).select("id")
-        cheap = self.reviews.where(in_range("price", hi=max_price)).select("id", "points")
-        hits = top_k(cheap.join(found, "id", "left_semi"), by_points(), k)
+        rows = self.index.among(self.reviews, "points", "price")
+        found = min_should_match(self.index, asked, among=rows.where(in_range("price", hi=max_price)))
+        hits = top_k(found.select("id", "points"), by_points(), k)
         return _show(with_rows(hits, self.reviews, HIT_COLUMNS, at_most=k), HIT_COLUMNS)
 
     def top_by_country(self, country: str, k: int = TOP_K) -> DataFrame:
@@ -117,11 +117,10 @@ class RankedQuestions:
     def search(self, terms: str, max_price: float = 100.0, k: int = TOP_K) -> DataFrame:
         self.spec.check(filters=["price"], sort=["points", "price"])
         asked = one_query(self.reviews.sparkSession, terms)
-        cheap = self.reviews.where(in_range("price", hi=max_price, inclusive=False))
+        rows = self.index.among(self.reviews, "points", "price")
+        cheap = rows.where(in_range("price", hi=max_price, inclusive=False))
         sort = [F.desc("points"), F.asc_nulls_last("price")]
-        hits = ranked_search(
-            self.index, asked, cheap.select("id", "points", "price"), sort, k, self.spec
-        )
+        hits = ranked_search(self.index, asked, cheap, sort, k, self.spec)
         hits = hits.select("id", "rank")
         return self._displayed(with_rows(hits, self.reviews, self.spec.displayed, at_most=k))
 

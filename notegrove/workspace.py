@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -45,6 +46,31 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _bucketed_name(path: str) -> str:
+    return "notegrove_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+
+
+def write_bucketed(df: DataFrame, path: str, buckets: int, key: str, sort: str) -> None:
+    """Write ``df`` bucketed by ``key``, so that grouping or joining by it needs no shuffle.
+
+    Bucketing is known to a catalog only; the table's name there follows from its folder.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(sort)
+    writer.option("path", path).format("parquet").saveAsTable(_bucketed_name(path))
+
+
+def read_bucketed(spark: SparkSession, path: str, buckets: int, key: str, sort: str) -> DataFrame:
+    """A table of ``write_bucketed``, also in a session whose catalog does not know it yet."""
+    name = _bucketed_name(path)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({sort}) "
+            f"INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(name)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from notegrove.functions.edits import auto_edits, swap_distance, typo_edits
+from notegrove.functions.scores import share_of
 from notegrove.functions.text import BOUNDED_WORDS, STANDARD, Analyzer, compose
 from notegrove.operators import expansion
 from notegrove.operators.expansion import expand_words, query_words
@@ -16,6 +19,7 @@ from notegrove.operators.keyword import (
     ranked_search,
     with_rows,
 )
+from notegrove.operators.shards import FAR, Shard
 from notegrove.operators.text_index import build_index, open_index
 from notegrove.plans.questions import GraphQuestions, KeywordQuestions, RankedQuestions
 from notegrove.schema import SearchSpec
@@ -67,7 +71,15 @@ def test_analyzers(spark):
 
 
 def test_index_holds_every_token_once(index, reviews):
-    rows = index.postings.where("field = 'description'").collect()
+    listed = F.arrays_zip("ids", "lens", "tfs").alias("p")
+    blocks = index.blocks.where("field = 'description'")
+    rows = blocks.select("term", F.posexplode(listed).alias("i", "p"), "tfs", "positions").select(
+        "term",
+        F.col("p.ids").alias("id"),
+        F.col("p.lens").alias("len"),
+        F.col("p.tfs").alias("tf"),
+        F.expr("slice(positions, int(aggregate(slice(tfs, 1, i), 0L, (a, x) -> a + x)) + 1, p.tfs)").alias("positions"),
+    ).collect()
     got = {(r.id, r.term): (r.tf, list(r.positions), r.len) for r in rows}
     assert got[(3, "hills")] == (3, [0, 1, 2], 3)
     assert got[(1, "red")] == (1, [5], 8)
@@ -82,7 +94,9 @@ def test_index_holds_every_token_once(index, reviews):
 def test_index_reopens(spark, index):
     again = open_index(spark, index.path, index.fields)
     assert again.buckets == 4
-    assert again.postings.count() == index.postings.count()
+    assert again.blocks.count() == index.blocks.count() > 0
+    other = open_index(spark.newSession(), index.path, index.fields)
+    assert other.records.count() == len(ROWS)
 
 
 def test_phrase_all_any_nest(spark, index):
@@ -203,14 +217,15 @@ def test_scores_against_a_plain_computation(spark, index):
     assert got == pytest.approx({k: round(v, 6) for k, v in expected.items()}, abs=1e-6)
 
 
-def test_many_query_terms_take_the_shuffled_path(spark, index, reviews, monkeypatch):
+def test_many_query_terms_run_in_blocks(spark, index, reviews, monkeypatch):
     from notegrove.operators import keyword
 
-    asked = ask(spark, "dry red blend", "crisp hills")
+    asked = ask(spark, "dry red blend", "crisp hills", "quiet", "zzz")
     rows = reviews.select("id", "points")
     small = bm25_search(index, asked, rows).orderBy("qid", "rank").collect()
     msm = {q: ids(min_should_match(index, asked), q) for q in (0, 1)}
     monkeypatch.setattr(keyword, "bounded_rows", lambda df, *a: None)
+    monkeypatch.setattr(keyword, "MAX_PARAMETER_ROWS", 4)
     assert bm25_search(index, asked, rows).orderBy("qid", "rank").collect() == small
     assert {q: ids(min_should_match(index, asked), q) for q in (0, 1)} == msm
 
@@ -288,21 +303,104 @@ def test_hits_are_broadcast_only_when_bounded(spark, reviews, plan):
 
 def test_postings_scan_is_pruned(spark, index, plan):
     text = plan(bm25_scores(index, ask(spark, "dry red")))
-    scan = text[text.index("postings") :]
-    assert "In(term" in text or "term#" in scan
-    assert "PartitionFilters: [bucket#" in text.replace("\n", "")
+    assert "In(term" in text and "Bucketed: true" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    read = [line for line in text.split("\n") if "ReadSchema" in line and "tf" in line]
+    read = [line for line in text.split("\n") if "ReadSchema" in line and "tfs" in line]
     assert read and "positions" not in read[0]
 
 
-def test_word_in_every_record_is_written_by_many_tasks(spark):
+def test_only_the_best_are_shuffled(spark, index, plan):
+    """Postings and records lie by shard; what moves is k rows per query and task."""
+    rows = index.records
+    assert "Exchange" not in plan(bm25_scores(index, ask(spark, "dry red"), among=rows))
+    assert "Exchange" not in plan(min_should_match(index, ask(spark, "dry red"), fuzzy=False))
+    assert "Exchange" not in plan(phrase_match(index, ask(spark, "dry red")))
+    with_points = rows.withColumn("points", F.col("id"))
+    text = plan(bm25_search(index, ask(spark, "dry red"), with_points))
+    tree = text[: text.index("(1) ")]
+    assert tree.count("Exchange") == 1 and tree.index("WindowGroupLimit") < tree.index("Exchange") < tree.rindex("WindowGroupLimit")
+
+
+def test_word_in_every_record_is_in_every_shard(spark):
     rows = spark.range(4000).select("id", F.concat(F.lit("hot w"), F.col("id")).alias("t"))
-    index = build_index(rows, ["t"])
-    hot = index.postings.where("term = 'hot'")
-    assert hot.count() == 4000
+    index = build_index(rows, ["t"], buckets=8)
+    hot = index.blocks.where("term = 'hot'")
+    assert hot.agg(F.sum(F.size("ids"))).first()[0] == 4000
+    assert hot.select("shard").distinct().count() == index.shards
     assert hot.select(F.input_file_name()).distinct().count() > 4
-    # All of its files lie in its one bucket, so a search still opens a single folder.
-    assert hot.select("bucket").distinct().count() == 1
     assert len(ids(any_match(index, ask(spark, "hot")))) == 4000
     assert ids(phrase_match(index, ask(spark, "hot w17"))) == [17]
+
+
+# --- One shard ---
+
+
+def shard_of(texts, candidates=None):
+    """A shard of word lists, in blocks of four postings."""
+    rows = []
+    for term in sorted({w for t in texts.values() for w in t}):
+        held = [(i, len(t), [p for p, w in enumerate(t) if w == term]) for i, t in sorted(texts.items()) if term in t]
+        for k in range(0, len(held), 4):
+            ids_, lens, places = zip(*held[k : k + 4])
+            tfs = [len(p) for p in places]
+            peak = max(share_of(np.array(tfs), np.array(lens), 10.0))
+            rows.append((term, "t", ids_[0], ids_[-1], peak, ids_, lens, tfs, sum(places, [])))
+    names = ["term", "field", "first", "last", "peak", "ids", "lens", "tfs", "positions"]
+    blocks = pa.table(dict(zip(names, map(list, zip(*rows)))))
+    records = None if candidates is None else pa.table({"id": pa.array(candidates, pa.int64())})
+    return Shard(blocks, records, {"t": 10.0})
+
+
+def random_texts(rng, n):
+    weights = [2.0**-i for i in range(12)]
+    return {10 * i: rng.choices("abcdefghijkl", weights, k=rng.randint(1, 25)) for i in range(n)}
+
+
+@pytest.mark.parametrize("k", [1, 5, 40])
+def test_cutting_early_loses_nothing(k):
+    """The k best and all level with them, as a search without a cut finds them."""
+    rng, skipped = random.Random(k), 0
+    for _ in range(40):
+        texts = random_texts(rng, 200)
+        among = sorted(rng.sample(sorted(texts), 150)) + [7]
+        terms = [(("abcdefghijkl"[i], "t"), 0.2 + i * i) for i in rng.sample(range(12), rng.randint(1, 8))]
+        whole = shard_of(texts, among)
+        hits, scores = whole.relevance(terms, None)
+        assert set(whole.ids[hits]) == {i for i in among if i in texts and set(texts[i]) & {t for (t, _), _ in terms}}
+        cut = shard_of(texts, among)
+        best, best_scores = cut.relevance(terms, k)
+        skipped += cut.skipped
+        floor = sorted(scores)[-k] if len(scores) >= k else 0
+        want = {i for i, s in zip(hits, scores) if s >= floor - 1e-9}
+        assert want <= set(best)
+        assert np.allclose(best_scores[np.isin(best, hits)], scores[np.searchsorted(hits, best)])
+    assert skipped > 0 or k == 40
+
+
+def test_smallest_gaps():
+    rng = random.Random(4)
+    for _ in range(30):
+        texts = random_texts(rng, 40)
+        shard = shard_of(texts)
+        among = np.array(sorted(rng.sample(range(len(shard.ids)), 20)))
+        got = shard.gaps([("a", "t"), ("c", "t")], [("b", "t")], among)
+        for i, gap in zip(among, got):
+            t = texts[shard.ids[i]]
+            lead, follow = ([p for p, w in enumerate(t) if w in s] for s in ("ac", "b"))
+            pairs = [b - a if b > a else a - b + 1 for a in lead for b in follow]
+            assert gap == min(pairs + [FAR])
+
+
+def test_cascade_cuts_only_what_is_behind():
+    rng = random.Random(9)
+    rules = ("words", "typo", "proximity", "attribute", "sort")
+    for k in (1, 4, 15):
+        texts = random_texts(rng, 120)
+        words = {0: [("k", 0, False), ("c", 1, False)], 1: [("b", 0, False)], 2: [("l", 0, False), ("d", 0, True)]}
+        shard = shard_of(texts)
+        hits, whole = shard.cascade(words, 3, ["t"], rules, 10**6)
+        best, cut = shard.cascade(words, 3, ["t"], rules, k)
+        key = lambda v, i: (-v["words"][i], v["typos"][i], v["proximity"][i], v["attribute"][i])
+        keys = {h: key(whole, i) for i, h in enumerate(hits)}
+        last = sorted(keys.values())[k - 1]
+        assert {h: key(cut, i) for i, h in enumerate(best)} == {h: x for h, x in keys.items() if x <= last}
