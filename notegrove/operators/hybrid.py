@@ -35,6 +35,15 @@ def enough(k: int) -> int:
     return 2 * k + OFFSET
 
 
+def _below(key: Column, cuts: Sequence[Column], at: int = 0) -> Column:
+    """How many of the ascending ``cuts`` lie below the key: a binary search in the row."""
+    if not cuts:
+        return F.lit(at)
+    mid = len(cuts) // 2
+    right = _below(key, cuts[mid + 1 :], at + mid + 1)
+    return F.when(cuts[mid] < key, right).otherwise(_below(key, cuts[:mid], at))
+
+
 def places_in(scored: DataFrame, ids: Sequence[int], ahead: Sequence[Column]) -> DataFrame:
     """``id, rank``: the place that each of a few records has in a whole list.
 
@@ -47,10 +56,8 @@ def places_in(scored: DataFrame, ids: Sequence[int], ahead: Sequence[Column]) ->
     if not few:
         return spark.createDataFrame([], kind)
     names = keyed.schema["key"].dataType.fields
-    cut = F.array(
-        *[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(key, names)]) for key, _ in few]
-    )
-    before = F.size(F.filter(cut, lambda c: c < F.col("key"))).alias("before")
+    cuts = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(key, names)]) for key, _ in few]
+    before = _below(F.col("key"), cuts).alias("before")
     counts = {r["before"]: r["count"] for r in keyed.select(before).groupBy("before").count().collect()}
     rows, rank = [], 0
     for i, (_, id_) in enumerate(few):

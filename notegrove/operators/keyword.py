@@ -23,6 +23,7 @@ from notegrove.operators.shards import Search, Shard, by_query, in_shards, with_
 from notegrove.operators.text_index import TextIndex, bucket_of, mean_lengths
 from notegrove.operators.topk import by_score_then_points, top_k_per
 from notegrove.schema import RANKED_SPEC, TOP_K, SearchSpec
+from notegrove.sources.store import MAX_IDS, ReviewStore
 from notegrove.workspace import (
     MAX_PARAMETER_ROWS,
     bounded_rows,
@@ -229,16 +230,28 @@ def bm25_search(
 
 
 def with_rows(
-    hits: DataFrame, reviews: DataFrame, columns: Sequence[str], at_most: int | None = None
+    hits: DataFrame,
+    reviews: DataFrame,
+    columns: Sequence[str],
+    at_most: int | None = None,
+    store: ReviewStore | None = None,
 ) -> DataFrame:
     """Hits with those of the displayed columns that their records have.
 
-    With ``at_most``, the proven number of hits (queries times k), a small list of hits is
-    broadcast and the records are not shuffled.
+    With ``at_most``, the proven number of hits (queries times k), a short list of hits is
+    collected first: its ids reach the scan, or the files of a ``store`` that hold them. A
+    longer bounded list is broadcast, and only an unbounded one shuffles the records.
     """
+    spark = reviews.sparkSession
+    side = hits
+    if at_most is not None and at_most <= MAX_IDS:
+        found = hits.collect()
+        ids = sorted({r["id"] for r in found if r["id"] is not None})
+        reviews = reviews.where(F.col("id").isin(ids)) if store is None else store.at(ids)
+        side = F.broadcast(spark.createDataFrame(found, hits.schema))
+    elif at_most is not None and at_most <= MAX_PARAMETER_ROWS:
+        side = F.broadcast(hits)
     keep = [c for c in columns if c in reviews.columns and c not in hits.columns]
-    small = at_most is not None and at_most <= MAX_PARAMETER_ROWS
-    side = F.broadcast(hits) if small else hits
     return reviews.select("id", *keep).join(side, "id")
 
 

@@ -69,6 +69,7 @@ from notegrove.plans.questions import (
 from notegrove.plans.views import docs, parts, people, table, texts, vecs
 from notegrove.schema import RANKED_SPEC, TOP_K
 from notegrove.sources.readers import array_to_rows, first_rows, read_lines, replay, write_lines
+from notegrove.sources.store import ReviewStore, write_store
 from notegrove.sources.tables import (
     append_rows,
     create_if_absent,
@@ -159,6 +160,18 @@ def doc_ann_index(spark: SparkSession, folder: str) -> AnnIndex:
     )
 
 
+def store_of(spark: SparkSession, folder: str, name: str) -> ReviewStore:
+    """People or documents as stored reviews, laid out for lookups once."""
+
+    def build() -> ReviewStore:
+        if name == "docs":
+            return write_store(docs(spark, folder), ("country", "province"))
+        rows = people(spark, folder).withColumn("price", F.lit(None).cast("double"))
+        return write_store(rows, ("country", "province", "variety"))
+
+    return built_once(spark, folder, f"store-{name}", build)
+
+
 def mean_vectors(vectors: DataFrame, *keys: str) -> DataFrame:
     """The mean embedding per key, as query vectors."""
     at = vectors.select(*keys, F.posexplode("vector").alias("i", "x"))
@@ -480,29 +493,33 @@ def stream_upsert(spark, folder):
 
 # --- Filters, counts and top lists ---
 
+PERSON = ("id", "title", "points", "variety", "province", "country")
+
 
 @query("top_by_country", sql.TOP_BY_COUNTRY)
 def top_by_country(spark, folder):
-    rows = people(spark, folder).where(eq_ci("country", "middle east"))
-    return top_k(rows, by_points())
+    store = store_of(spark, folder, "people")
+    best = top_k(store.places.where(store.eq_ci("country", "middle east")), by_points())
+    return with_rows(best.select("id"), store.rows, PERSON, TOP_K, store)
 
 
 @query("top_by_province", sql.TOP_BY_PROVINCE)
 def top_by_province(spark, folder):
-    rows = people(spark, folder).where(eq_ci("province", "nation_7"))
-    return top_k(rows, by_points())
+    store = store_of(spark, folder, "people")
+    best = top_k(store.places.where(store.eq_ci("province", "nation_7")), by_points())
+    return with_rows(best.select("id"), store.rows, PERSON, TOP_K, store)
 
 
 @query("keyword_top_by_country", sql.KEYWORD_TOP_BY_COUNTRY)
 def keyword_top_by_country(spark, folder):
-    rows = people(spark, folder).withColumn("price", F.lit(None).cast("double"))
-    return KeywordQuestions(rows, None).top_by_country("east")
+    store = store_of(spark, folder, "people")
+    return KeywordQuestions(store.rows, None, store=store).top_by_country("east")
 
 
 @query("keyword_top_by_province", sql.KEYWORD_TOP_BY_PROVINCE)
 def keyword_top_by_province(spark, folder):
-    d = docs(spark, folder)
-    return KeywordQuestions(d, None).top_by_province("SRC7").select(
+    store = store_of(spark, folder, "docs")
+    return KeywordQuestions(store.rows, None, store=store).top_by_province("SRC7").select(
         "id", "country", "province", "points", "price_label"
     )
 
@@ -515,56 +532,66 @@ def top_points_price(spark, folder):
 
 @query("ranked_top_by_country", sql.RANKED_TOP_BY_COUNTRY)
 def ranked_top_by_country(spark, folder):
-    shown = RankedQuestions(docs(spark, folder), None).top_by_country("EN")
+    store = store_of(spark, folder, "docs")
+    shown = RankedQuestions(store.rows, None, store=store).top_by_country("EN")
     return shown.select("id", "points", "price", "country", "province")
 
 
 @query("ranked_top_by_province", sql.RANKED_TOP_BY_PROVINCE)
 def ranked_top_by_province(spark, folder):
-    shown = RankedQuestions(docs(spark, folder), None).top_by_province("src3")
+    store = store_of(spark, folder, "docs")
+    shown = RankedQuestions(store.rows, None, store=store).top_by_province("src3")
     return shown.select("id", "points", "price", "country", "province")
 
 
 @query("count_by_country", sql.COUNT_BY_COUNTRY)
 def count_by_country(spark, folder):
-    return count_rows(people(spark, folder), eq("country", "ASIA"))
+    return count_rows(store_of(spark, folder, "people").places, eq("country", "ASIA"))
 
 
 @query("count_by_country_ci", sql.COUNT_BY_COUNTRY)
 def count_by_country_ci(spark, folder):
-    return count_rows(people(spark, folder), eq_ci("country", "asia"))
+    store = store_of(spark, folder, "people")
+    return count_rows(store.places, store.eq_ci("country", "asia"))
 
 
 @query("strict_count_by_country", sql.STRICT_COUNT_BY_COUNTRY)
 def strict_count_by_country(spark, folder):
-    return StrictVectorQuestions(people(spark, folder), None).count_by_country("east MIDDLE")
+    store = store_of(spark, folder, "people")
+    return StrictVectorQuestions(store.rows, None, store=store).count_by_country("east MIDDLE")
 
 
 @query("phrase_filter_count", sql.PHRASE_COUNT)
 def phrase_filter_count(spark, folder):
-    return count_rows(people(spark, folder), phrase("country", "Middle East"))
+    store = store_of(spark, folder, "people")
+    return count_rows(store.places, store.phrase("country", "Middle East"))
 
 
 @query("phrase_text_count", sql.PHRASE_TEXT_COUNT)
 def phrase_text_count(spark, folder):
-    rows = spread(texts(spark, folder))
-    return count_rows(rows, phrase("description", "The anea eriner"))
+    asked = one_query(spark, "The anea eriner")
+    return count_rows(phrase_match(text_index(spark, folder), asked, ["description"]))
 
 
 @query("any_token_count", sql.ANY_TOKEN_COUNT)
 def any_token_count(spark, folder):
-    return count_rows(people(spark, folder), any_token("country", "East Africa"))
+    store = store_of(spark, folder, "people")
+    return count_rows(store.places, store.any_token("country", "East Africa"))
 
 
 @query("all_token_count", sql.ALL_TOKEN_COUNT)
 def all_token_count(spark, folder):
-    rows = spread(texts(spark, folder))
-    return count_rows(rows, all_tokens("description", "the anea eriner thanedble"))
+    words = "the anea eriner thanedble"
+    found = min_should_match(
+        text_index(spark, folder), one_query(spark, words), ["description"], len(words.split()), fuzzy=False
+    )
+    return count_rows(found)
 
 
 @query("keyword_count_by_filters", sql.KEYWORD_COUNT_BY_FILTERS)
 def keyword_count_by_filters(spark, folder):
-    return KeywordQuestions(docs(spark, folder), None).count_by_filters("en fr", 1500, 0.5)
+    store = store_of(spark, folder, "docs")
+    return KeywordQuestions(store.rows, None, store=store).count_by_filters("en fr", 1500, 0.5)
 
 
 @query("count_by_filters_incl", sql.COUNT_INCL)
@@ -912,7 +939,8 @@ def prefix_terms(spark, folder):
 @query("fuzzy_search", sql.FUZZY_SEARCH)
 def fuzzy_search(spark, folder):
     """The fuzzy keyword question: two words in one field, price bound, best points."""
-    questions = KeywordQuestions(docs(spark, folder), text_index(spark, folder))
+    store = store_of(spark, folder, "docs")
+    questions = KeywordQuestions(store.rows, text_index(spark, folder), store=store)
     found = questions.search("eriner thanedbel wiht", 0.5)
     return found.select("id", "country", "points", "price")
 
@@ -964,7 +992,8 @@ def rank_cascade_reordered(spark, folder):
 
 @query("ranked_search_rows", sql.RANK_CASCADE_ROWS)
 def ranked_search_rows(spark, folder):
-    questions = RankedQuestions(docs(spark, folder), text_index(spark, folder))
+    store = store_of(spark, folder, "docs")
+    questions = RankedQuestions(store.rows, text_index(spark, folder), store=store)
     found = questions.search("the anea eriner thintion th", 1.0)
     return found.select("id", "points", "price", "country", "province")
 
@@ -1083,13 +1112,13 @@ def short(found: DataFrame, *columns: str) -> DataFrame:
 
 @query("vector_search", sql.vector_search())
 def vector_search(spark, folder):
-    asked = VectorQuestions(doc_vectors(spark, folder), HashedEmbedder())
+    asked = VectorQuestions(doc_vectors(spark, folder), HashedEmbedder(), store=store_of(spark, folder, "docs"))
     return short(asked.search(SEARCH_TEXT), "country", "province", "points")
 
 
 @query("vector_search_by_country", sql.vector_search("country = 'fr'"))
 def vector_search_by_country(spark, folder):
-    asked = VectorQuestions(doc_vectors(spark, folder), HashedEmbedder())
+    asked = VectorQuestions(doc_vectors(spark, folder), HashedEmbedder(), store=store_of(spark, folder, "docs"))
     return short(asked.search_by_country(SEARCH_TEXT, "fr"), "country", "province", "points")
 
 
@@ -1098,7 +1127,7 @@ def vector_search_by_country(spark, folder):
     sql.vector_search("country = 'en' AND points >= 1500 AND price <= 1"),
 )
 def vector_search_by_filters(spark, folder):
-    asked = VectorQuestions(doc_vectors(spark, folder), HashedEmbedder())
+    asked = VectorQuestions(doc_vectors(spark, folder), HashedEmbedder(), store=store_of(spark, folder, "docs"))
     found = asked.search_by_filters(SEARCH_TEXT, "en", 1500, 1.0)
     return short(found, "country", "province", "points")
 
@@ -1108,20 +1137,20 @@ def vector_search_by_filters(spark, folder):
     sql.vector_search("country = 'en' AND points > 1500 AND price < 1"),
 )
 def vector_search_strict(spark, folder):
-    asked = StrictVectorQuestions(doc_vectors(spark, folder), HashedEmbedder())
+    asked = StrictVectorQuestions(doc_vectors(spark, folder), HashedEmbedder(), store=store_of(spark, folder, "docs"))
     found = asked.search_by_filters(SEARCH_TEXT, "EN", 1500, 1.0)
     return short(found, "country", "province", "points")
 
 
 @query("strict_search", sql.STRICT_SEARCH)
 def strict_search(spark, folder):
-    asked = StrictVectorQuestions(doc_vectors(spark, folder), HashedEmbedder())
+    asked = StrictVectorQuestions(doc_vectors(spark, folder), HashedEmbedder(), store=store_of(spark, folder, "docs"))
     return asked.search(SEARCH_TEXT).select("id", F.round("certainty", 4).alias("certainty"))
 
 
 @query("strict_search_by_country", sql.vector_search("country = 'fr'"))
 def strict_search_by_country(spark, folder):
-    asked = StrictVectorQuestions(doc_vectors(spark, folder), HashedEmbedder())
+    asked = StrictVectorQuestions(doc_vectors(spark, folder), HashedEmbedder(), store=store_of(spark, folder, "docs"))
     return short(asked.search_by_country(SEARCH_TEXT, "FR"), "country", "province", "points")
 
 
@@ -1129,14 +1158,14 @@ def strict_search_by_country(spark, folder):
 def ann_full_probe(spark, folder):
     """All lists probed and every row scored on its vector: the exact answer."""
     vectors, index = doc_vectors(spark, folder), doc_ann_index(spark, folder)
-    asked = AnnQuestions(vectors, HashedEmbedder(), index, quantised=False)
+    asked = AnnQuestions(vectors, HashedEmbedder(), index, quantised=False, store=store_of(spark, folder, "docs"))
     return short(asked.search(SEARCH_TEXT), "country", "province", "points")
 
 
 @query("ann_full_probe_by_country", sql.post_filtered("country = 'en'", sql.MIXED_TERMS))
 def ann_full_probe_by_country(spark, folder):
     vectors, index = doc_vectors(spark, folder), doc_ann_index(spark, folder)
-    asked = AnnQuestions(vectors, HashedEmbedder(), index, quantised=False)
+    asked = AnnQuestions(vectors, HashedEmbedder(), index, quantised=False, store=store_of(spark, folder, "docs"))
     found = asked.search_by_country("the que de and", "en", k=50)
     return short(found, "country", "province", "points")
 
@@ -1147,7 +1176,7 @@ def ann_full_probe_by_country(spark, folder):
 )
 def ann_full_probe_by_filters(spark, folder):
     vectors, index = doc_vectors(spark, folder), doc_ann_index(spark, folder)
-    asked = AnnQuestions(vectors, HashedEmbedder(), index, quantised=False)
+    asked = AnnQuestions(vectors, HashedEmbedder(), index, quantised=False, store=store_of(spark, folder, "docs"))
     found = asked.search_by_filters(SEARCH_TEXT, "en", 1000, 1.0, k=50)
     return short(found, "country", "province", "points")
 
@@ -1155,22 +1184,23 @@ def ann_full_probe_by_filters(spark, folder):
 @query("ann_search_text")
 def ann_search_text(spark, folder):
     vectors = doc_vectors(spark, folder)
-    asked = AnnQuestions(vectors, HashedEmbedder(), doc_ann_index(spark, folder))
+    asked = AnnQuestions(vectors, HashedEmbedder(), doc_ann_index(spark, folder), store=store_of(spark, folder, "docs"))
     return short(asked.search(SEARCH_TEXT), "country", "province", "points")
 
 
 @query("ann_search_post_filtered")
 def ann_search_post_filtered(spark, folder):
     vectors = doc_vectors(spark, folder)
-    asked = AnnQuestions(vectors, HashedEmbedder(), doc_ann_index(spark, folder))
+    asked = AnnQuestions(vectors, HashedEmbedder(), doc_ann_index(spark, folder), store=store_of(spark, folder, "docs"))
     found = asked.search_by_filters(SEARCH_TEXT, "en", 1000, 1.0, k=50)
     return short(found, "country", "province", "points")
 
 
 @query("hybrid_search", sql.HYBRID)
 def hybrid_search(spark, folder):
+    store = store_of(spark, folder, "docs")
     asked = HybridQuestions(
-        doc_vectors(spark, folder), text_index(spark, folder), HashedEmbedder()
+        doc_vectors(spark, folder), text_index(spark, folder), HashedEmbedder(), store=store
     )
     return asked.search(SEARCH_TEXT).select("id", "country", "points", "score", "rank")
 

@@ -7,13 +7,15 @@ as they are asked: text, place names, lower points bound, upper price bound.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notegrove.functions.scores import DIGITS
 from notegrove.functions.vectors import certainty, cosine
 from notegrove.operators import graph as graphs
+from notegrove.operators import predicates
 from notegrove.operators.clean import price_label
 from notegrove.operators.embed import Embedder, embed
 from notegrove.operators.hybrid import enough, fuse, places_in
@@ -27,15 +29,7 @@ from notegrove.operators.keyword import (
     with_rows,
 )
 from notegrove.operators.knn import knn
-from notegrove.operators.predicates import (
-    all_tokens,
-    any_token,
-    eq,
-    eq_ci,
-    every,
-    in_range,
-    phrase,
-)
+from notegrove.operators.predicates import eq, every, in_range
 from notegrove.operators.text_index import TextIndex
 from notegrove.operators.topk import (
     by_points,
@@ -51,6 +45,8 @@ from notegrove.schema import (
     TOP_K,
     SearchSpec,
 )
+from notegrove.sources.store import ReviewStore
+from notegrove.workspace import new_folder, remove
 
 
 def one_query(spark: SparkSession, terms: str) -> DataFrame:
@@ -67,49 +63,68 @@ def _labelled(df: DataFrame) -> DataFrame:
     return df.withColumn("price_label", price_label(F.col("price")))
 
 
+class _Stored:
+    """Questions over ``reviews`` that use their ``store`` where there is one."""
+
+    def _holds(self, test: str, column: str, text: str) -> Column:
+        """A test of a short column, on its distinct values if they are stored."""
+        return getattr(predicates if self.store is None else self.store, test)(column, text)
+
+    def _best(self, test: Column, order, k: int, columns) -> DataFrame:
+        """The first k that pass; in a store the narrow table is searched for them."""
+        if self.store is None:
+            return top_k(self.reviews.where(test), order, k)
+        hits = top_k(self.store.places.where(test), order, k).select("id")
+        return with_rows(hits, self.reviews, columns, k, self.store)
+
+    def _count(self, *tests: Column) -> DataFrame:
+        return count_rows(self.reviews if self.store is None else self.store.places, *tests)
+
+
 @dataclass(frozen=True)
-class KeywordQuestions:
+class KeywordQuestions(_Stored):
     """Fuzzy words and phrases; inclusive bounds; the best points first."""
 
     reviews: DataFrame
     index: TextIndex
+    store: ReviewStore | None = field(default=None, kw_only=True)
 
     def search(self, terms: str, max_price: float = 100.0, k: int = TOP_K) -> DataFrame:
         asked = one_query(self.reviews.sparkSession, terms)
         rows = self.index.among(self.reviews, "points", "price")
         found = min_should_match(self.index, asked, among=rows.where(in_range("price", hi=max_price)))
         hits = top_k(found.select("id", "points"), by_points(), k)
-        return _show(with_rows(hits, self.reviews, HIT_COLUMNS, at_most=k), HIT_COLUMNS)
+        return _show(with_rows(hits, self.reviews, HIT_COLUMNS, k, self.store), HIT_COLUMNS)
 
     def top_by_country(self, country: str, k: int = TOP_K) -> DataFrame:
-        rows = self.reviews.where(phrase("country", country))
-        return _show(_labelled(top_k(rows, by_points(), k)), HIT_COLUMNS)
+        found = self._best(self._holds("phrase", "country", country), by_points(), k, HIT_COLUMNS)
+        return _show(_labelled(found), HIT_COLUMNS)
 
     def top_by_province(self, province: str, k: int = TOP_K) -> DataFrame:
-        rows = self.reviews.where(phrase("province", province))
-        return _show(_labelled(top_k(rows, by_points(), k)), PLACE_COLUMNS)
+        found = self._best(self._holds("phrase", "province", province), by_points(), k, PLACE_COLUMNS)
+        return _show(_labelled(found), PLACE_COLUMNS)
 
     def count_by_country(self, country: str) -> DataFrame:
-        return count_rows(self.reviews, any_token("country", country))
+        return self._count(self._holds("any_token", "country", country))
 
     def count_by_filters(
         self, country: str, points: float = 85, price: float = 100.0
     ) -> DataFrame:
-        return count_rows(
-            self.reviews,
-            any_token("country", country),
+        return self._count(
+            self._holds("any_token", "country", country),
             in_range("points", lo=points),
             in_range("price", hi=price),
         )
 
 
 @dataclass(frozen=True)
-class RankedQuestions:
+class RankedQuestions(_Stored):
     """Typo-tolerant search by the rule cascade; strict price bound."""
 
     reviews: DataFrame
     index: TextIndex
     spec: SearchSpec = RANKED_SPEC
+    store: ReviewStore | None = field(default=None, kw_only=True)
 
     def _displayed(self, df: DataFrame) -> DataFrame:
         return df.select(*[c for c in self.spec.displayed if c in df.columns])
@@ -122,7 +137,7 @@ class RankedQuestions:
         sort = [F.desc("points"), F.asc_nulls_last("price")]
         hits = ranked_search(self.index, asked, cheap, sort, k, self.spec)
         hits = hits.select("id", "rank")
-        return self._displayed(with_rows(hits, self.reviews, self.spec.displayed, at_most=k))
+        return self._displayed(with_rows(hits, self.reviews, self.spec.displayed, k, self.store))
 
     def top_by_country(self, country: str, k: int = TOP_K) -> DataFrame:
         return self._top("country", country, k)
@@ -132,8 +147,8 @@ class RankedQuestions:
 
     def _top(self, place: str, name: str, k: int) -> DataFrame:
         self.spec.check(filters=[place], sort=["points", "price"])
-        rows = self.reviews.where(eq_ci(place, name))
-        return self._displayed(top_k(rows, by_points_then_price(), self.spec.cap(k)))
+        test = self._holds("eq_ci", place, name)
+        return self._displayed(self._best(test, by_points_then_price(), self.spec.cap(k), self.spec.displayed))
 
 
 @dataclass(frozen=True)
@@ -164,11 +179,12 @@ class GraphQuestions:
 
 
 @dataclass(frozen=True)
-class VectorQuestions:
+class VectorQuestions(_Stored):
     """Exact nearest neighbours; filters run before the search; inclusive bounds."""
 
     reviews: DataFrame
     embedder: Embedder
+    store: ReviewStore | None = field(default=None, kw_only=True)
 
     inclusive = True
 
@@ -189,7 +205,7 @@ class VectorQuestions:
     def _search(self, terms: str, k: int, prefilter: Column | None = None) -> DataFrame:
         hits = knn(self.reviews, self._vector(terms), k, prefilter=prefilter)
         hits = hits.withColumn("certainty", certainty(F.col("score")))
-        found = with_rows(hits.drop("qid"), self.reviews, PLACE_COLUMNS, at_most=k)
+        found = with_rows(hits.drop("qid"), self.reviews, PLACE_COLUMNS, k, self.store)
         return _show(found, PLACE_COLUMNS)
 
     def search(self, terms: str, k: int = TOP_K) -> DataFrame:
@@ -204,12 +220,12 @@ class VectorQuestions:
         return self._search(terms, k, self._filters(country, points, price))
 
     def count_by_country(self, country: str) -> DataFrame:
-        return count_rows(self.reviews, self._in_country(country))
+        return self._count(self._in_country(country))
 
     def count_by_filters(
         self, country: str, points: float = 85, price: float = 100.0
     ) -> DataFrame:
-        return count_rows(self.reviews, self._filters(country, points, price))
+        return self._count(self._filters(country, points, price))
 
 
 class StrictVectorQuestions(VectorQuestions):
@@ -219,7 +235,7 @@ class StrictVectorQuestions(VectorQuestions):
     inclusive = False
 
     def _in_country(self, country: str) -> Column:
-        return all_tokens("country", country)
+        return self._holds("all_tokens", "country", country)
 
 
 @dataclass(frozen=True)
@@ -234,7 +250,7 @@ class AnnQuestions(VectorQuestions):
         hits = ann_search(
             self.ann, self._vector(terms), k, nprobes=self.nprobes, quantised=self.quantised
         )
-        found = with_rows(hits.drop("qid"), self.reviews, PLACE_COLUMNS, at_most=k)
+        found = with_rows(hits.drop("qid"), self.reviews, PLACE_COLUMNS, k, self.store)
         return _show(found if prefilter is None else found.where(prefilter), PLACE_COLUMNS)
 
 
@@ -245,23 +261,32 @@ class HybridQuestions:
     reviews: DataFrame
     index: TextIndex
     embedder: Embedder
+    store: ReviewStore | None = field(default=None, kw_only=True)
 
     def search(self, terms: str, k: int = TOP_K) -> DataFrame:
         """The k best of both whole lists fused. Only the first ``enough(k)`` records of
         either can be among them; their places are counted in the whole lists."""
-        asked = one_query(self.reviews.sparkSession, terms)
-        narrow = self.reviews.select("id", "points")
+        spark = self.reviews.sparkSession
+        asked = one_query(spark, terms)
         vector = embed(asked, "terms", self.embedder).select("qid", "vector")
-        words = bm25_search(self.index, asked, narrow, enough(k))
-        near = knn(self.reviews, vector, enough(k))
-        ids = sorted({r[0] for r in words.select("id").union(near.select("id")).collect()})
         sought = F.array(*[F.lit(x) for x in vector.first()["vector"]])
-        score = F.round(F.coalesce(cosine(F.col("vector"), sought), F.lit(0.0)), 6)
-        by_words = places_in(
-            bm25_scores(self.index, asked).join(narrow, "id"), ids, [-F.col("score"), -F.col("points"), F.col("id")]
-        )
-        by_vector = places_in(self.reviews.select("id", score.alias("score")), ids, [-F.col("score"), F.col("id")])
+        score = F.round(F.coalesce(cosine(F.col("vector"), sought), F.lit(0.0)), DIGITS)
+        rows = self.index.among(self.reviews, "points")
+        # Every score is computed once; the lists are two or three numbers a record.
+        lists = [
+            (bm25_scores(self.index, asked, among=rows).select("id", "points", "score"), ("score", "points")),
+            (self.reviews.select("id", score.alias("score")), ("score",)),
+        ]
+        paths, stored = [new_folder(spark, "whole-list") for _ in lists], []
+        for path, (scored, best_first) in zip(paths, lists):
+            scored.write.parquet(path)
+            stored.append((spark.read.parquet(path), [-F.col(c) for c in best_first] + [F.col("id")]))
+        first = [top_k(scored, order, enough(k)).select("id") for scored, order in stored]
+        ids = sorted({r["id"] for r in first[0].union(first[1]).collect()})
         qid = F.lit(0).alias("qid")
-        hits = fuse(by_words.select(qid, "*"), by_vector.select(qid, "*"), k)
-        found = with_rows(hits.drop("qid"), self.reviews, HIT_COLUMNS, at_most=k)
+        places = [places_in(scored, ids, order).select(qid, "*") for scored, order in stored]
+        hits = fuse(*places, k)
+        for path in paths:
+            remove(spark, path)
+        found = with_rows(hits.drop("qid"), self.reviews, HIT_COLUMNS, k, self.store)
         return _show(found, HIT_COLUMNS)
