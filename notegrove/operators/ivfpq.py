@@ -1,15 +1,17 @@
 """Approximate nearest neighbours: coarse lists plus product-quantised residuals.
 
 Training and encoding are Spark jobs over all vectors; only the codebooks, whose size is
-fixed by the settings, are held on the driver and sent to the tasks. The table is laid out
-by list, so a search opens the folders of the probed lists only.
+fixed by the settings, are held on the driver and sent to the tasks. The vectors lie in order
+of their list and have a place there. The codes lie in a folder per list and carry the place;
+a vector about as near to a second list's centre is filed there too, so that a search that
+probes few lists does not miss it at the border. A search reads the codes of the probed lists,
+and then the vectors at the places of the few best only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notegrove.operators.knn import (
+    DIGITS,
     QUERY_BLOCK_BYTES,
     TILE_SCORES,
     BestOf,
@@ -28,21 +31,26 @@ from notegrove.operators.knn import (
 )
 from notegrove.operators.topk import top_k_per
 from notegrove.schema import ANN_LISTS, ANN_PROBES, ANN_SUBVECTORS, TOP_K
-from notegrove.workspace import MAX_PARAMETER_ROWS, new_folder
+from notegrove.sources.store import MAX_IDS, OrderedRows, write_ordered
+from notegrove.workspace import MAX_PARAMETER_ROWS, bounded_rows, new_folder, remove
 
 CODES = 256  # one byte per sub-vector
-# Queries whose code shares a task remembers, about 64 KB each.
-KEPT_SHARES = 1000
+# Queries scored at a time against a list.
+TILE_QUERIES = 64
+# A vector is filed in a second list whose centre is at most so many times as far.
+SECOND_LIST = 1.1
 
 
 @dataclass(frozen=True)
 class AnnIndex:
-    """``table``: id, vector, codes by ``list_id``; ``centroids``; ``books[m, code, dim/m]``."""
+    """``vectors``: place, id, list_id, vector; ``codes``: place, codes by ``list_id``, a
+    second time for vectors at a border; ``centroids``; ``books[m, code, dim/m]``."""
 
     path: str
     centroids: np.ndarray
     books: np.ndarray
-    table: DataFrame
+    vectors: OrderedRows
+    codes: DataFrame
 
 
 # Fixed value: the usual size of a list.
@@ -50,14 +58,14 @@ VECTORS_PER_LIST = 5_000
 
 
 def lists_for(n: int) -> int:
-    """A number of lists that keeps them at their usual size."""
-    return max(1, round(n / VECTORS_PER_LIST))
+    """A number of lists that keeps them at their usual size, ``ANN_LISTS`` at least."""
+    return max(min(ANN_LISTS, n), round(n / VECTORS_PER_LIST))
 
 
 def build_ann_index(
     vectors: DataFrame,
     *,
-    lists: int = ANN_LISTS,
+    lists: int | None = None,
     subvectors: int = ANN_SUBVECTORS,
     codes: int = CODES,
     rounds: int = 8,
@@ -68,9 +76,9 @@ def build_ann_index(
 ) -> AnnIndex:
     """Train on all vectors, encode them and write the index.
 
-    ``lists`` and ``codes`` are taken as given (about one list per ``VECTORS_PER_LIST``
-    vectors is usual, see ``lists_for``); fewer vectors than either are refused, since each
-    list and each code needs a vector of its own to start from.
+    The number of lists follows the number of vectors (``lists_for``) unless it is given;
+    fewer vectors than lists or codes are refused, since each needs a vector of its own to
+    start from.
     """
     spark = vectors.sparkSession
     path = path or new_folder(spark, "ann-index")
@@ -84,6 +92,7 @@ def build_ann_index(
     n = rows.count()
     if n == 0:
         raise ValueError("no vectors to index")
+    lists = lists or lists_for(n)
     dim = rows.select(F.size("vector").alias("dim")).first()["dim"]
     if codes > CODES:
         raise ValueError(f"a code is one byte: at most {CODES} codes")
@@ -94,21 +103,31 @@ def build_ann_index(
     centroids = _coarse(rows, lists, seed)
     books = _codebooks(rows, centroids, subvectors, codes, rounds)
 
-    # A list may hold a third of all rows: it is cut into slices of an even size, one task
-    # for each.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sizes = rows.mapInArrow(_list_sizes(spark, centroids), "list_id int, n long")
-    slices = [1] * len(centroids)
-    for r in sizes.groupBy("list_id").agg(F.sum("n").alias("n")).collect():
-        slices[r["list_id"]] = -(-r["n"] * 2 * tasks // n)
-    schema = "id long, vector array<float>, codes binary, list_id int"
+    schema = "id long, vector array<float>, list_id int, filed array<struct<list_id:int,codes:binary>>"
     encoded = rows.mapInArrow(_encoder(spark, centroids, books), schema)
+    # Ranges over list and id cut a list with a third of all rows into many files.
+    ordered = encoded.repartitionByRange("list_id", "id").sortWithinPartitions("list_id", "id")
+    ordered.withColumn("place", F.monotonically_increasing_id()).write.parquet(f"{path}/encoded")
+    encoded = spark.read.parquet(f"{path}/encoded")
+    stored = write_ordered(
+        encoded.select("place", "id", "list_id", "vector").repartitionByRange("place").sortWithinPartitions("place"),
+        "place",
+        f"{path}/by-place",
+    )
+
+    # In the codes a list is cut into slices of an even size, one task for each.
+    filed = encoded.select("place", F.inline("filed"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = {r["list_id"]: r["count"] for r in filed.groupBy("list_id").count().collect()}
+    total = sum(sizes.values())
+    slices = [-(-sizes.get(i, 0) * 2 * tasks // total) or 1 for i in range(len(centroids))]
     before = np.cumsum([0, *slices[:-1]]).tolist()
-    cut = F.pmod(F.xxhash64("id"), F.get(F.lit(slices), F.col("list_id")))
+    cut = F.pmod(F.xxhash64("place"), F.get(F.lit(slices), F.col("list_id")))
     task = (F.get(F.lit(before), F.col("list_id")) + cut).cast("int")
-    placed = encoded.repartitionById(sum(slices), task)
-    placed.write.partitionBy("list_id").parquet(f"{path}/lists")
-    return AnnIndex(path, centroids, books, spark.read.parquet(f"{path}/lists"))
+    filed.repartitionById(sum(slices), task).write.partitionBy("list_id").parquet(f"{path}/lists")
+    remove(spark, f"{path}/encoded")
+    remove(spark, f"{path}/vectors")
+    return AnnIndex(path, centroids, books, stored, spark.read.parquet(f"{path}/lists"))
 
 
 def ann_search(
@@ -124,10 +143,11 @@ def ann_search(
 ) -> DataFrame:
     """``qid, id, score, rank`` from the ``nprobes`` lists nearest to each query.
 
-    With ``quantised`` the first pass reads the codes only, keeps ``refine * k`` rows per
-    query and scores those again on the stored vectors (``refine=None`` trusts the codes).
-    Without it every probed row is scored exactly; with all lists probed that is the exact
-    search. ``nprobes`` beyond the number of lists means all of them.
+    With ``quantised`` the first pass reads the codes only and keeps the ``refine * k`` best
+    places per query (of equal ones the lower); the second scores the vectors at these places
+    exactly (``refine=None`` trusts the codes). Without it every vector whose first list is
+    probed is scored exactly; with all lists probed that is the exact search. ``nprobes``
+    beyond the number of lists means all of them.
     """
     found = None
     dim = index.centroids.shape[1]
@@ -140,28 +160,46 @@ def ann_search(
 
 
 def _search_block(index, names, matrix, queries, k, nprobes, refine, quantised) -> DataFrame:
-    spark = index.table.sparkSession
+    spark = index.codes.sparkSession
     near = _nearest_lists(matrix, index.centroids, nprobes)
-    probed = sorted({int(i) for i in near.ravel()})
-    table = index.table.where(F.col("list_id").isin(probed))
-
     qid = queries.schema["qid"].dataType.simpleString()
     schema = f"qid {qid}, id long, score double"
     order = [F.desc("score"), F.asc("id")]
-    best = k if not quantised or refine is None else k * refine
-    columns = ["id", "list_id", "codes" if quantised else "vector"]
-    scan = _prober(spark, names, matrix, near, index, best, quantised)
-    hits = top_k_per(table.select(*columns).mapInArrow(scan, schema), ["qid"], order, best)
-    if not quantised or refine is None:
-        return hits
-
-    # Second pass: the few survivors are matched to their stored vectors and scored again.
-    survivors = hits.select("qid", "id")
-    if len(names) * best <= MAX_PARAMETER_ROWS:
-        survivors = F.broadcast(survivors)
-    again = table.select("id", "vector").join(survivors, "id")
-    exact = again.mapInArrow(_rescorer(spark, names, matrix), schema)
-    return top_k_per(exact, ["qid"], order, k)
+    if not quantised:
+        probed = sorted({int(i) for i in near.ravel()})
+        rows = index.vectors.rows.where(F.col("list_id").isin(probed)).select("id", "list_id", "vector")
+        scan = _prober(spark, names, matrix, near, index, k, False)
+        return top_k_per(rows.mapInArrow(scan, schema), ["qid"], order, k)
+    best = first_pass(index, names, matrix, near, schema, k * (refine or 1))
+
+    if refine is None:
+        rows = _at_places(index, best, len(names) * k).select("qid", "id", "score")
+    else:
+        rows = _at_places(index, best, len(names) * k * refine).select("qid", "id", "vector")
+        rows = rows.mapInArrow(_rescorer(spark, names, matrix), schema)
+    return top_k_per(rows, ["qid"], order, k)
+
+
+def first_pass(index: AnnIndex, names, matrix, near, schema: str, keep: int) -> DataFrame:
+    """``qid, place, score`` of the best by their codes. Every task sends ``keep`` different
+    places per query; a place that is filed twice counts by its better score."""
+    probed = sorted({int(i) for i in near.ravel()})
+    rows = index.codes.where(F.col("list_id").isin(probed)).select(F.col("place").alias("id"), "list_id", "codes")
+    scan = _prober(index.codes.sparkSession, names, matrix, near, index, 2 * keep, True)
+    once = rows.mapInArrow(scan, schema).groupBy("qid", "id").agg(F.max("score").alias("score"))
+    found = top_k_per(once, ["qid"], [F.desc("score"), F.asc("id")], keep)
+    return found.select("qid", F.col("id").alias("place"), "score")
+
+
+def _at_places(index: AnnIndex, best: DataFrame, at_most: int) -> DataFrame:
+    """``best`` with the stored columns. A bounded list is collected and opens the files (a
+    short one, the pages) of its places only."""
+    rows = bounded_rows(best) if at_most <= MAX_PARAMETER_ROWS else None
+    if rows is None:
+        return index.vectors.rows.join(best, "place")
+    places = sorted({r["place"] for r in rows})
+    few = index.vectors.at(places) if len(places) <= MAX_IDS else index.vectors.within(places)
+    return few.join(F.broadcast(best.sparkSession.createDataFrame(rows, best.schema)), "place")
 
 
 def _nearest_lists(matrix: np.ndarray, centroids: np.ndarray, nprobes: int) -> np.ndarray:
@@ -253,19 +291,36 @@ def _partial_sums(shared):
     return run
 
 
-def _list_sizes(spark: SparkSession, centroids: np.ndarray):
-    shared = spark.sparkContext.broadcast(centroids)
+def two_lists(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest list of each unit vector, and the second one or -1 where it is too far."""
+    near = vectors @ centroids.T
+    first = np.argmax(near, axis=1)
+    if len(centroids) < 2:
+        return first, np.full(len(first), -1)
+    rows = np.arange(len(first))
+    # Squared distances of unit vectors.
+    nearest = 2 - 2 * near[rows, first]
+    near[rows, first] = -np.inf
+    second = np.argmax(near, axis=1)
+    far = 2 - 2 * near[rows, second] > SECOND_LIST**2 * np.maximum(nearest, 1e-12)
+    return first, np.where(far, -1, second)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centroids = shared.value
-        counts = np.zeros(len(centroids), dtype=np.int64)
-        for batch in batches:
-            vectors = matrix_of(batch.column("vector"), centroids.shape[1])
-            counts += np.bincount(_residuals(vectors, centroids)[0], minlength=len(counts))
-        lists = np.arange(len(counts), dtype=np.int32)
-        yield pa.RecordBatch.from_pydict({"list_id": lists, "n": counts})
 
-    return run
+def encode(vectors: np.ndarray, lists: np.ndarray, centroids: np.ndarray, books: np.ndarray) -> np.ndarray:
+    """The codes of unit vectors in the given lists."""
+    m, _, width = books.shape
+    rest = vectors - centroids[lists]
+    codes = np.empty((len(rest), m), dtype=np.uint8)
+    for j in range(m):
+        codes[:, j] = _nearest(rest[:, j * width : (j + 1) * width], books[j])
+    return codes
+
+
+def _binary(codes: np.ndarray) -> pa.Array:
+    """Rows of bytes as an Arrow column, without a copy per row."""
+    offsets = np.arange(len(codes) + 1, dtype=np.int32) * codes.shape[1]
+    data = pa.py_buffer(np.ascontiguousarray(codes))
+    return pa.Array.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer(offsets), data])
 
 
 def _encoder(spark: SparkSession, centroids: np.ndarray, books: np.ndarray):
@@ -275,18 +330,23 @@ def _encoder(spark: SparkSession, centroids: np.ndarray, books: np.ndarray):
         centroids, books = shared.value
         m, _, width = books.shape
         for batch in batches:
-            lists, rest = _residuals(matrix_of(batch.column("vector"), m * width), centroids)
-            codes = np.empty((len(rest), m), dtype=np.uint8)
-            for j in range(m):
-                codes[:, j] = _nearest(rest[:, j * width : (j + 1) * width], books[j])
+            vectors = unit_rows(matrix_of(batch.column("vector"), m * width))
+            both = np.stack(two_lists(vectors, centroids), axis=1)
+            row, which = np.nonzero(both >= 0)
+            lists = both[row, which]
+            filed = pa.StructArray.from_arrays(
+                [pa.array(lists, pa.int32()), _binary(encode(vectors[row], lists, centroids, books))],
+                names=["list_id", "codes"],
+            )
+            offsets = pa.array(np.append(0, np.cumsum((both >= 0).sum(axis=1))), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     batch.column("vector"),
-                    pa.array([c.tobytes() for c in codes], type=pa.binary()),
-                    pa.array(lists, type=pa.int32()),
+                    pa.array(both[:, 0], type=pa.int32()),
+                    pa.ListArray.from_arrays(offsets, filed),
                 ],
-                names=["id", "vector", "codes", "list_id"],
+                names=["id", "vector", "list_id", "filed"],
             )
 
     return run
@@ -304,34 +364,43 @@ def _prober(spark, names, matrix, near, index: AnnIndex, k: int, quantised: bool
         qids, q, asking, centroids, books = shared.value
         m, _, width = books.shape
         best = BestOf(len(qids), k)
-
-        @lru_cache(maxsize=KEPT_SHARES)
-        def shares(j: int) -> np.ndarray:
-            """Share of each code of each book in a query's score."""
-            return np.einsum("mw,mcw->mc", q[j].reshape(m, width), books)
-
         for batch in batches:
             ids = batch.column("id").to_numpy()
             lists = batch.column("list_id").to_numpy()
-            if quantised:
-                raw = b"".join(batch.column("codes").to_pylist())
-                codes = np.frombuffer(raw, dtype=np.uint8).reshape(-1, m)
-            else:
-                rows = unit_rows(matrix_of(batch.column("vector"), m * width))
+            column = batch.column("codes" if quantised else "vector")
+            rows = _codes_of(column, m) if quantised else unit_rows(matrix_of(column, m * width))
             for list_id in np.unique(lists):
                 at = np.nonzero(lists == list_id)[0]
-                for j in asking.get(int(list_id), ()):
+                mine = np.array(asking.get(int(list_id), ()), dtype=np.int64)
+                for i in range(0, len(mine), TILE_QUERIES):
+                    some = mine[i : i + TILE_QUERIES]
                     if quantised:
-                        base = q[j] @ centroids[list_id]
-                        scores = base + shares(j)[np.arange(m), codes[at]].sum(axis=1)
+                        scores = code_scores(q[some], centroids[list_id], books, rows[at])
                     else:
-                        scores = rows[at] @ q[j]
-                    best.add(j, ids[at], scores)
+                        scores = q[some] @ rows[at].T
+                    for j, s in zip(some, scores):
+                        enough = np.round(s, DIGITS) >= best.floor[j]
+                        if enough.any():
+                            best.add(j, ids[at[enough]], s[enough])
         yield best.rows(qids)
 
     return run
 
 
+def _codes_of(column: pa.Array, m: int) -> np.ndarray:
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(-1, m) if len(column) else np.empty((0, m), np.uint8)
+
+
+def code_scores(q: np.ndarray, centroid: np.ndarray, books: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Scores of all codes of a list for each query: its centre's share and each book's."""
+    m, _, width = books.shape
+    scores = np.repeat((q @ centroid)[:, None], len(codes), axis=1)
+    for j in range(m):
+        scores += (q[:, j * width : (j + 1) * width] @ books[j].T)[:, codes[:, j]]
+    return scores
+
+
 def _rescorer(spark, names, matrix):
     shared = spark.sparkContext.broadcast((names, matrix))
 

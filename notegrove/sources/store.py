@@ -25,29 +25,69 @@ from notegrove.workspace import new_folder
 # Longer lists of ids or values are not sent to the scan one by one.
 MAX_IDS = 1_000
 MAX_VALUES = 10_000
+# A list of so many values is compared value by value with a page's statistics; a longer one
+# only by its ends.
+PUSHED_VALUES = 10
+
+
+@dataclass(frozen=True)
+class OrderedRows:
+    """Rows in ascending order of a number, with the numbers that each file holds."""
+
+    key: str
+    rows: DataFrame
+    ranges: DataFrame  # file, first, last
+
+    def within(self, keys: Sequence[int]) -> DataFrame:
+        """The files that can hold one of the keys; all of their rows."""
+        # The ranges hardly overlap: about as many files as keys at most.
+        wanted = F.array(*[F.lit(int(i)) for i in sorted(set(keys))]).cast("array<bigint>")
+        here = F.exists(wanted, lambda x: x.between(F.col("first"), F.col("last")))
+        files = [r["file"] for r in self.ranges.where(here).select("file").collect()] if len(keys) else []
+        if not files:
+            return self.rows.where(F.lit(False))
+        return self.rows.sparkSession.read.schema(self.rows.schema).parquet(*files)
+
+    def at(self, keys: Sequence[int]) -> DataFrame:
+        """The rows of at most ``MAX_IDS`` keys; only files and pages that can hold one are read."""
+        if len(keys) > MAX_IDS:
+            raise ValueError(f"more than {MAX_IDS} keys: join instead")
+        keys = sorted(set(keys))
+        tests = [F.col(self.key).isin(list(keys[i : i + PUSHED_VALUES])) for i in range(0, len(keys), PUSHED_VALUES)]
+        while len(tests) > 1:
+            tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) // 2 * 2 :]
+        return self.within(keys).where(tests[0]) if tests else self.rows.where(F.lit(False))
+
+
+def write_ordered(ordered: DataFrame, key: str, path: str) -> OrderedRows:
+    """Store rows whose partitions are in order of ``key`` already."""
+    spark = ordered.sparkSession
+    ordered.write.mode("overwrite").parquet(f"{path}/rows")
+    held = spark.read.parquet(f"{path}/rows").select(key, F.col("_metadata.file_path").alias("file"))
+    ranges = held.where(F.col(key).isNotNull()).groupBy("file").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    ranges.write.mode("overwrite").parquet(f"{path}/ranges")
+    return open_ordered(spark, key, path)
+
+
+def open_ordered(spark: SparkSession, key: str, path: str) -> OrderedRows:
+    return OrderedRows(key, spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/ranges"))
 
 
 @dataclass(frozen=True)
 class ReviewStore:
     path: str
     analyzer: Analyzer
-    rows: DataFrame
-    ranges: DataFrame
+    by_id: OrderedRows
     places: DataFrame
     values: DataFrame
 
+    @property
+    def rows(self) -> DataFrame:
+        return self.by_id.rows
+
     def at(self, ids: Sequence[int]) -> DataFrame:
-        """The rows of at most ``MAX_IDS`` ids; only files that can hold one are opened."""
-        if len(ids) > MAX_IDS:
-            raise ValueError(f"more than {MAX_IDS} ids: join instead")
-        spark = self.rows.sparkSession
-        wanted = F.array(*[F.lit(int(i)) for i in ids]).cast("array<bigint>")
-        within = F.exists(wanted, lambda x: x.between(F.col("first"), F.col("last")))
-        # The ranges hardly overlap: about as many files as ids at most.
-        files = [r["file"] for r in self.ranges.where(within).select("file").collect()] if ids else []
-        if not files:
-            return self.rows.where(F.lit(False))
-        return spark.read.schema(self.rows.schema).parquet(*files).where(F.col("id").isin(list(ids)))
+        """The rows of at most ``MAX_IDS`` ids."""
+        return self.by_id.at(ids)
 
     def _listed(self, column: str, test: Column, otherwise: Column) -> Column:
         """The test as a list of values; ``otherwise`` where it would be too long."""
@@ -83,12 +123,8 @@ def write_store(
     """Store ``reviews``; ``short`` are its columns of few different values."""
     spark = reviews.sparkSession
     path = path or new_folder(spark, "reviews")
-    ordered = reviews.repartitionByRange("id").sortWithinPartitions("id")
-    ordered.write.mode("overwrite").parquet(f"{path}/rows")
-    rows = spark.read.parquet(f"{path}/rows")
-    held = rows.select("id", F.col("_metadata.file_path").alias("file")).where(F.col("id").isNotNull())
-    ranges = held.groupBy("file").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    ranges.write.mode("overwrite").parquet(f"{path}/ranges")
+    by_id = write_ordered(reviews.repartitionByRange("id").sortWithinPartitions("id"), "id", path)
+    rows = by_id.rows
     keys = [*short, "id"]
     narrow = rows.select("id", *short, *[c for c in sort_by if c in rows.columns])
     narrow.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{path}/places")
@@ -99,5 +135,5 @@ def write_store(
 
 
 def open_store(spark: SparkSession, path: str, analyzer: Analyzer = STANDARD) -> ReviewStore:
-    tables = (spark.read.parquet(f"{path}/{name}") for name in ("rows", "ranges", "places", "values"))
-    return ReviewStore(path, analyzer, *tables)
+    places, values = (spark.read.parquet(f"{path}/{name}") for name in ("places", "values"))
+    return ReviewStore(path, analyzer, open_ordered(spark, "id", path), places, values)

@@ -59,10 +59,12 @@ def test_lookup_opens_what_it_needs(spark, store, plan):
     found = store.at(ids)
     assert "In(id, [17,18,19500])" in plan(found)
     assert sorted(r.id for r in found.collect()) == ids
-    assert store.ranges.count() > 3
+    assert store.by_id.ranges.count() > 3
     (scan,) = scans(found)
     assert scan["numFiles"] == 2 and scan["numOutputRows"] < 20_000 / 2
     assert store.at([]).count() == store.at([-5]).count() == 0
+    many = list(range(0, 20_000, 50))
+    assert sorted(r.id for r in store.at(many).collect()) == many
     with pytest.raises(ValueError):
         store.at(range(stores.MAX_IDS + 1))
 

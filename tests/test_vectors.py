@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from notegrove.functions.vectors import certainty, cosine, unit
+from notegrove.operators import ivfpq
 from notegrove.operators.embed import HashedEmbedder, OnnxEmbedder, embed
 from notegrove.operators.hybrid import fuse, places_in
 from notegrove.operators.ivfpq import ann_search, build_ann_index
@@ -129,14 +131,70 @@ def test_codes_with_refinement_find_most(ann, vectors, queries, data):
 
 
 def test_fewer_probes_read_fewer_lists(ann, queries, plan):
-    text = plan(ann_search(ann, queries, 5, nprobes=1, refine=None))
+    matrix = ivfpq.unit_rows(np.array([r.vector for r in queries.collect()]))
+    near = np.zeros((3, 1), int)
+    text = plan(ivfpq.first_pass(ann, pa.array(["a", "b", "c"]), matrix, near, "qid string, id long, score double", 5))
     assert "PartitionFilters: [" in text and "list_id" in text
     read = [line for line in text.split("\n") if "ReadSchema" in line][0]
     assert "codes" in read and "vector" not in read
 
 
+def test_second_pass_reads_places(ann, queries, plan):
+    """Vectors are fetched by place, and the codes alone need no vector at all."""
+    text = plan(ann_search(ann, queries, 5, refine=2))
+    assert "place" in text and "PushedFilters: [Or(" in text.replace("In(place", "Or(In(place", 1)
+    text = plan(ann_search(ann, queries, 5, nprobes=1, refine=None))
+    read = [line for line in text.split("\n") if "ReadSchema" in line]
+    assert read and not any("vector" in line for line in read)
+
+
 def test_index_keeps_every_row_once(ann):
-    assert ann.table.count() == 600 and ann.table.select("id").distinct().count() == 600
+    rows = ann.vectors.rows
+    assert rows.count() == 600 and rows.select("id").distinct().count() == 600
+    assert rows.select("place").distinct().count() == 600
+    filed = ann.codes.groupBy("place").count()
+    assert filed.count() == 600 and filed.agg(F.max("count")).first()[0] == 2
+
+
+def test_number_of_lists_follows_the_vectors():
+    assert [ivfpq.lists_for(n) for n in (3, 1000, 20_000, 10**6, 10**9)] == [3, 4, 4, 200, 200_000]
+
+
+@pytest.mark.parametrize("nprobes", [1, 2, 3])
+@pytest.mark.parametrize("refine", [None, 4])
+def test_against_a_plain_quantiser(ann, queries, data, nprobes, refine):
+    """The same lists, codes and books, searched in numpy."""
+    m = data.astype(np.float64)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    centres, books = ann.centroids, ann.books
+    place = {r.id: r.place for r in ann.vectors.rows.collect()}
+    distance = np.maximum(2 - 2 * m @ centres.T, 0)
+    order = np.argsort(distance, axis=1, kind="stable")
+    codes = {}
+    for i, v in enumerate(m):
+        first, second = order[i][:2]
+        near = [first] + [second] * int(distance[i, second] <= 1.1**2 * max(distance[i, first], 1e-12))
+        for c in near:
+            parts = (v - centres[c]).reshape(len(books), -1)
+            codes[i, c] = [int(np.argmin(((b - p) ** 2).sum(1))) for p, b in zip(parts, books)]
+    want, k = {}, 5
+    for r in queries.collect():
+        q = np.array(r.vector) / np.linalg.norm(r.vector)
+        probed = set(np.argsort(-(q @ centres.T), kind="stable")[:nprobes])
+        share = np.einsum("mw,mcw->mc", q.reshape(len(books), -1), books)
+        scores = {}
+        for (i, c), code in codes.items():
+            if c in probed:
+                s = round(float(q @ centres[c] + sum(share[j, x] for j, x in enumerate(code))), 6)
+                scores[i] = max(s, scores.get(i, -9))
+        kept = sorted(scores, key=lambda i: (-scores[i], place[i]))[: k * (refine or 1)]
+        final = {i: scores[i] if refine is None else round(float(m[i] @ q), 6) for i in kept}
+        want[r.qid] = [(i, final[i]) for i in sorted(final, key=lambda i: (-final[i], i))[:k]]
+    got = by_query(ann_search(ann, queries, k, nprobes=nprobes, refine=refine))
+    for q, rows in want.items():
+        assert np.allclose([s for _, s in got[q]], [s for _, s in rows], atol=2e-6)
+        sure = {i for i, s in rows if s > rows[-1][1] + 2e-6}
+        assert sure <= {i for i, _ in got[q]}
 
 
 def test_embedding_is_deterministic_and_unit(spark):
