@@ -1,21 +1,50 @@
 """Query words to indexed terms: exact, within an edit budget, or by prefix.
 
-Words are matched against the vocabulary, which is far smaller than the texts and grows
-ever more slowly than they do.
+Words are matched against the vocabulary, which is far smaller than the texts and grows ever
+more slowly than they do. It is stored twice: in order, so that a prefix is a range of it, and
+by the hashed deletion keys of its terms, so that a typo is an equality join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.functions.edits import deletions, swap_distances
+from notegrove.functions.edits import MOST_EDITS, deletion_keys, swap_distances
 from notegrove.functions.text import Analyzer
-from notegrove.workspace import bounded_rows
+from notegrove.workspace import bounded_rows, read_bucketed, small_frame, write_bucketed
+
+# Up to so many keys or prefixes reach the scan of the stored vocabulary themselves.
+MAX_PUSHED_KEYS = 1000
+MAX_PUSHED_PREFIXES = 50
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """``terms``: term, once each and in order; ``keys``: key, term, bucketed by key."""
+
+    terms: DataFrame
+    keys: DataFrame
 
-# Up to so many distinct words ride along as a literal and one pass over the vocabulary
-# tests them all; more words are matched by an equality join on shared deletion keys.
-SCAN_WORDS = 256
+
+def write_vocabulary(terms: DataFrame, path: str, buckets: int) -> Vocabulary:
+    """Store the different values of ``terms(term)`` in order and by their deletion keys."""
+    spark = terms.sparkSession
+    ordered = terms.select("term").distinct().repartitionByRange("term").sortWithinPartitions("term")
+    ordered.write.mode("overwrite").parquet(f"{path}/terms")
+    stored = spark.read.parquet(f"{path}/terms")
+    keys = stored.select(F.explode(deletion_keys(F.col("term"), MOST_EDITS)).alias("key"), "term")
+    write_bucketed(keys.repartition(buckets, "key"), f"{path}/keys", buckets, "key", "key")
+    return open_vocabulary(spark, path, buckets)
+
+
+def open_vocabulary(spark: SparkSession, path: str, buckets: int) -> Vocabulary:
+    return Vocabulary(
+        spark.read.parquet(f"{path}/terms"), read_bucketed(spark, f"{path}/keys", buckets, "key", "key")
+    )
 
 
 def query_words(queries: DataFrame, analyzer: Analyzer, distinct: bool = True) -> DataFrame:
@@ -30,82 +59,51 @@ def query_words(queries: DataFrame, analyzer: Analyzer, distinct: bool = True) -
 
 
 def expand_words(
-    words: DataFrame, vocabulary: DataFrame, transpositions: bool = True
+    words: DataFrame, vocabulary: Vocabulary, transpositions: bool = True
 ) -> DataFrame:
     """``word, term, typos, by_prefix`` for ``words(word, edits, prefix)``.
 
-    A term matches when it is within ``edits`` of the word, or starts with it where
-    ``prefix`` is set (then with no typo). Exchanged neighbours count as one edit with
-    ``transpositions``. Nothing is capped: every term of the vocabulary that fits is kept.
+    A term matches when it is within ``edits`` (at most ``MOST_EDITS``) of the word, or starts
+    with it where ``prefix`` is set (then with no typo). Exchanged neighbours count as one
+    edit with ``transpositions``. Nothing is capped: every term that fits is kept.
     """
     wanted = words.select("word", "edits", "prefix").distinct()
-    listed = bounded_rows(wanted, SCAN_WORDS)
-    if listed is None:
-        candidates = _by_shared_keys(wanted, vocabulary, transpositions)
-    else:
-        candidates = _by_scan(listed, vocabulary, transpositions)
+    near = _by_keys(wanted, vocabulary.keys)
+    candidates = near.unionByName(_by_prefix(wanted.where(F.col("prefix")), vocabulary.terms))
     return _measured(candidates.distinct(), transpositions)
 
 
-def _reach(edits: Column, transpositions: bool) -> Column:
-    """An exchange is two plain edits, so allow twice as many before the exact check."""
-    return edits * 2 if transpositions else edits
-
-
-def _by_scan(listed, vocabulary: DataFrame, transpositions: bool) -> DataFrame:
-    if not listed:
-        listed, vocabulary = [("", 0, False)], vocabulary.where(F.lit(False))
-    options = F.array(
-        *[
-            F.struct(
-                F.lit(word).alias("word"),
-                F.lit(edits).alias("edits"),
-                F.lit(prefix).alias("prefix"),
-            )
-            for word, edits, prefix in listed
-        ]
-    )
-    most = max(edits for _, edits, _ in listed) * (2 if transpositions else 1)
-    term = F.col("term")
-
-    def near(q: Column) -> Column:
-        close = F.abs(F.length(term) - F.length(q["word"])) <= q["edits"]
-        distance = F.levenshtein(term, q["word"], most)
-        within = close & (distance >= 0) & (distance <= _reach(q["edits"], transpositions))
-        return (term == q["word"]) | within | (q["prefix"] & term.startswith(q["word"]))
-
-    return vocabulary.select("term", F.inline(F.filter(options, near)))
-
-
-def _by_shared_keys(
-    wanted: DataFrame, vocabulary: DataFrame, transpositions: bool
-) -> DataFrame:
-    """Two terms within two edits share a string that deletions alone make of both."""
-    longest = wanted.agg(
-        F.max("edits").alias("edits"), F.max(F.length("word") + F.col("edits")).alias("chars")
-    ).first()
-    most = longest["edits"] or 0
-    reachable = vocabulary.where(F.length("term") <= (longest["chars"] or 0))
-    by_key = reachable.select("term", F.explode(deletions(F.col("term"), most)).alias("key"))
-    budgets = None
-    for edits in range(most + 1):
-        part = wanted.where(F.col("edits") == edits).select(
-            "*", F.explode(deletions(F.col("word"), edits)).alias("key")
-        )
-        budgets = part if budgets is None else budgets.unionByName(part)
-    fuzzy = by_key.join(budgets, "key").drop("key")
-    fuzzy = fuzzy.where(F.abs(F.length("term") - F.length("word")) <= F.col("edits"))
-
-    starts = wanted.where(F.col("prefix"))
-    lengths = starts.agg(F.max(F.length("word")).alias("n")).first()["n"] or 0
-    prefixes = vocabulary.select(
-        "term",
-        F.explode(
-            F.sequence(F.lit(1), F.least(F.length("term"), F.lit(max(lengths, 1))))
-        ).alias("n"),
-    ).select("term", F.col("term").substr(F.lit(1), F.col("n")).alias("word"))
-    by_prefix = prefixes.join(starts, "word").select(*fuzzy.columns)
-    return fuzzy.unionByName(by_prefix)
+def _by_keys(wanted: DataFrame, keys: DataFrame) -> DataFrame:
+    """Terms that share a deletion key with a word, its budget's number of deletions deep."""
+    key = F.when(F.col("edits") <= 0, deletion_keys(F.col("word"), 0))
+    for n in range(1, MOST_EDITS + 1):
+        key = key.when(F.col("edits") == n, deletion_keys(F.col("word"), n))
+    asked = wanted.select("*", F.explode(key).alias("key"))
+    rows = bounded_rows(asked)
+    if rows is not None:
+        some = sorted({r["key"] for r in rows})
+        if len(some) <= MAX_PUSHED_KEYS:
+            keys = keys.where(F.col("key").isin(some))
+        asked = small_frame(wanted.sparkSession, rows, asked)
+    close = F.abs(F.length("term") - F.length("word")) <= F.col("edits")
+    return keys.join(asked, "key").where(close).select("word", "edits", "prefix", "term")
+
+
+def _by_prefix(starts: DataFrame, terms: DataFrame) -> DataFrame:
+    """Terms that begin with a word. Few words are ranges of the stored order; any number are
+    joined on as many first letters as they have, a join for each length."""
+    rows = bounded_rows(starts)
+    lengths = starts.select(F.length("word").alias("n")).distinct().collect()
+    if rows is not None:
+        if len(rows) <= MAX_PUSHED_PREFIXES:
+            tests = [F.col("term").startswith(r["word"]) for r in rows]
+            terms = terms.where(reduce(lambda a, b: a | b, tests, F.lit(False)))
+        starts = small_frame(terms.sparkSession, rows, starts)
+    found = terms.select("term").where(F.lit(False)).join(starts.limit(0), F.lit(True))
+    for (n,) in lengths:
+        same = F.substring("term", 1, n) == F.col("word")
+        found = found.unionByName(terms.join(starts.where(F.length("word") == n), same))
+    return found.select("word", "edits", "prefix", "term")
 
 
 def _measured(candidates: DataFrame, transpositions: bool) -> DataFrame:

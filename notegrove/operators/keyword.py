@@ -166,7 +166,7 @@ def min_should_match(
         asked = words.select(
             "word", auto_edits(F.col("word")).alias("edits"), F.lit(False).alias("prefix")
         )
-        found = expand_words(asked, index.vocabulary(fields)).select("word", "term")
+        found = expand_words(asked, index.vocabulary).select("word", "term")
         words = words.join(found, "word")
     else:
         words = words.withColumn("term", F.col("word"))
@@ -279,9 +279,8 @@ def ranked_search(
         typo_edits(F.col("word"), spec.one_typo, spec.two_typos).alias("edits"),
         F.col("is_last").alias("prefix"),
     )
-    vocabulary = index.vocabulary(fields).where(~F.col("term").isin(list(spec.stop_words)))
     asked = asked.groupBy("word", "edits").agg(F.max("prefix").alias("prefix"))
-    found = expand_words(asked, vocabulary)
+    found = expand_words(asked, index.vocabulary).where(~F.col("term").isin(list(spec.stop_words)))
     resolved = words.join(found, "word").where(~F.col("by_prefix") | F.col("is_last"))
     wanted = resolved.select("qid", "word_no", "n_words", "term", "typos", "by_prefix")
     rules = [r if ":" not in r else "column" for r in spec.rules if r != "sort" or sort]

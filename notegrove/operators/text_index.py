@@ -5,6 +5,7 @@
 ``blocks``       shard, term, field, first, last, peak, ids, lens, tfs, positions
 ``records``      shard, id, and the columns to filter and sort by
 ``field_stats``  field, n_docs, mean_len
+``terms, keys``  the vocabulary in order and by deletion keys
 
 Postings and records are stored by shard of the records and bucketed by it, so a search meets
 both without a shuffle. A word that every record holds is in all shards, not in one task. The
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from notegrove.functions.scores import share_of
 from notegrove.functions.text import STANDARD, Analyzer
+from notegrove.operators.expansion import Vocabulary, open_vocabulary, write_vocabulary
 from notegrove.operators.shards import with_shard
 from notegrove.workspace import new_folder, read_bucketed, write_bucketed
 
@@ -46,6 +48,7 @@ class TextIndex:
     records: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
+    vocabulary: Vocabulary
 
     @property
     def shards(self) -> int:
@@ -57,10 +60,6 @@ class TextIndex:
         stored = set(columns) <= set(self.records.columns)
         return self.records.select("shard", "id", *columns) if stored else reviews.select("id", *columns)
 
-    def vocabulary(self, fields: Sequence[str] | None = None) -> DataFrame:
-        """The indexed terms, once per field they occur in."""
-        return self.terms_of(fields).select("term")
-
     def terms_of(self, fields: Sequence[str] | None = None) -> DataFrame:
         stats = self.term_stats
         return stats if fields is None else stats.where(F.col("field").isin(list(fields)))
@@ -193,6 +192,8 @@ def build_index(
     )
     field_stats.withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/field_stats")
 
+    write_vocabulary(spark.read.parquet(f"{path}/term_stats"), path, buckets)
+
     means = mean_lengths(spark.read.parquet(f"{path}/field_stats"))
     rows = with_shard(forward.select("id", "field", "len", F.inline("terms")), shards)
     rows = rows.repartition(buckets, "shard").sortWithinPartitions("term", "field", "shard", "id")
@@ -235,4 +236,5 @@ def open_index(
         records,
         table("term_stats"),
         field_stats,
+        open_vocabulary(spark, path, buckets),
     )

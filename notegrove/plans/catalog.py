@@ -917,21 +917,21 @@ def asked_words(spark: SparkSession, text: str, prefix: bool = False) -> DataFra
 
 @query("fuzzy_expand", sql.FUZZY_EXPAND)
 def fuzzy_expand(spark, folder):
-    vocabulary = text_index(spark, folder).vocabulary()
+    vocabulary = text_index(spark, folder).vocabulary
     found = expand_words(asked_words(spark, FUZZY_WORDS), vocabulary, transpositions=False)
     return found.select("word", "term", "typos")
 
 
 @query("transposition_expand", sql.TRANSPOSITION_EXPAND)
 def transposition_expand(spark, folder):
-    vocabulary = text_index(spark, folder).vocabulary()
+    vocabulary = text_index(spark, folder).vocabulary
     found = expand_words(asked_words(spark, FUZZY_WORDS), vocabulary)
     return found.select("word", "term", "typos")
 
 
 @query("prefix_terms", sql.PREFIX_TERMS)
 def prefix_terms(spark, folder):
-    vocabulary = text_index(spark, folder).vocabulary()
+    vocabulary = text_index(spark, folder).vocabulary
     found = expand_words(asked_words(spark, "it erin", prefix=True), vocabulary, False)
     return found.where("by_prefix").select("word", "term")
 

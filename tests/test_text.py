@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from notegrove.functions.edits import auto_edits, swap_distance, typo_edits
+from notegrove.functions.edits import auto_edits, batch_swap_distances, typo_edits
 from notegrove.functions.scores import share_of
 from notegrove.functions.text import BOUNDED_WORDS, STANDARD, Analyzer, compose
 from notegrove.operators import expansion
@@ -123,7 +123,7 @@ def test_no_budget_means_exact(spark, index):
     words = query_words(asked, STANDARD).select(
         "word", F.lit(0).alias("edits"), F.lit(False).alias("prefix")
     )
-    found = expand_words(words, index.vocabulary()).collect()
+    found = expand_words(words, index.vocabulary).collect()
     assert sorted((r.word, r.term, r.typos) for r in found) == [("dry", "dry", 0), ("red", "red", 0)]
 
 
@@ -151,19 +151,53 @@ def words_of(rng, n, letters="abc"):
     return sorted({"".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(n)})
 
 
+def table_swap_distance(a, b):
+    before, last = [], list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            cost = min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                cost = min(cost, before[j - 2] + 1)
+            row.append(cost)
+        before, last = last, row
+    return last[-1]
+
+
 def test_swap_distance_is_right():
     rng = random.Random(5)
-    for a in words_of(rng, 25):
-        for b in words_of(rng, 25):
-            assert swap_distance(a, b) == slow_swap_distance(a, b), (a, b)
+    pairs = [(a, b) for a in ["", *words_of(rng, 25)] for b in ["", *words_of(rng, 25)]]
+    for (a, b), got in zip(pairs, batch_swap_distances(*map(list, zip(*pairs)))):
+        assert got == table_swap_distance(a, b) == slow_swap_distance(a, b), (a, b)
+
+
+def test_swap_distance_of_long_words():
+    """Words of one, two and more machine words, near ones and others, any script."""
+    rng, pairs = random.Random(6), []
+    for n in (3, 63, 64, 65, 127, 128, 129, 200, 300):
+        for letters in ("ab", "abcdé\U0001f600"):
+            for _ in range(12):
+                a = b = "".join(rng.choices(letters, k=n))
+                for _ in range(rng.randint(0, 6)):
+                    i = rng.randrange(len(b) or 1)
+                    b = rng.choice([b[:i] + b[i + 1 :], b[:i] + rng.choice(letters) + b[i:], b[:i] + b[i : i + 2][::-1] + b[i + 2 :]])
+                pairs += [(a, b), (b, a), (a, "".join(rng.choices(letters, k=rng.randint(0, n))))]
+    got = batch_swap_distances(*map(list, zip(*pairs)))
+    assert list(got) == [table_swap_distance(a, b) for a, b in pairs]
 
 
 @pytest.mark.parametrize("transpositions", [True, False])
-def test_both_ways_of_expanding_match_brute_force(spark, monkeypatch, transpositions):
+@pytest.mark.parametrize("pushed", [True, False])
+def test_expanding_matches_brute_force(spark, monkeypatch, tmp_path, transpositions, pushed):
     rng = random.Random(11)
     vocabulary, asked = words_of(rng, 400, "abcdé"), words_of(rng, 40, "abcdé")
-    wanted = [(w, i % 3, i % 5 == 0) for i, w in enumerate(asked)]
-    vocab = spark.createDataFrame([(v,) for v in vocabulary], "term string")
+    # Longer than the keys' beginning, with edits before, across and behind its end.
+    stem = "thanedblerines"
+    vocabulary += [stem, stem + "x", stem[:7] + stem[8:], stem[:7] + stem[8] + stem[7] + stem[9:], stem[1:], "x" + stem[1:], stem[:9] + "zz" + stem[9:]]
+    asked += [stem, stem[:6] + stem[7:-1], "zz" + stem]
+    wanted = [(w, i % 3, i % 5 == 0) for i, w in enumerate(asked)] + [(stem + "y", 2, True)]
+    terms = spark.createDataFrame([(v,) for v in vocabulary + vocabulary[:50]], "term string")
+    vocab = expansion.write_vocabulary(terms, str(tmp_path), 3)
     words = spark.createDataFrame(wanted, "word string, edits int, prefix boolean")
 
     def plain(a, b):
@@ -174,7 +208,7 @@ def test_both_ways_of_expanding_match_brute_force(spark, monkeypatch, transposit
                 row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
         return row[-1]
 
-    measure = swap_distance if transpositions else plain
+    measure = table_swap_distance if transpositions else plain
     expected = set()
     for w, edits, prefix in wanted:
         for v in vocabulary:
@@ -182,15 +216,21 @@ def test_both_ways_of_expanding_match_brute_force(spark, monkeypatch, transposit
                 expected.add((w, v, 0, True))
             elif measure(w, v) <= edits:
                 expected.add((w, v, measure(w, v), False))
-
-    def got():
-        rows = expand_words(words, vocab, transpositions).collect()
-        assert len(rows) == len(set(rows))
-        return {(r.word, r.term, r.typos, r.by_prefix) for r in rows}
-
-    assert got() == expected
-    monkeypatch.setattr(expansion, "SCAN_WORDS", 3)
-    assert got() == expected
+    if not pushed:
+        monkeypatch.setattr(expansion, "bounded_rows", lambda df: None)
+    rows = expand_words(words, vocab, transpositions).collect()
+    assert len(rows) == len(set(rows))
+    assert {(r.word, r.term, r.typos, r.by_prefix) for r in rows} == expected
+    assert expand_words(words.limit(0), vocab, transpositions).count() == 0
+
+
+def test_expansion_reads_its_part_of_the_vocabulary(spark, plan, tmp_path):
+    terms = spark.range(5000).select(F.format_string("w%05d", "id").alias("term"))
+    vocab = expansion.write_vocabulary(terms, str(tmp_path), 32)
+    words = spark.createDataFrame([("w00", 0, True)], "word string, edits int, prefix boolean")
+    text = plan(expand_words(words, vocab))
+    assert "StringStartsWith(term,w00)" in text and "SelectedBucketsCount: 1 out of 32" in text
+    assert "deletion" not in text and "Generate" not in text
 
 
 def test_scores_against_a_plain_computation(spark, index):
