@@ -3,14 +3,11 @@
 Each page is read once. Every block or container element gets a hash of its whole subtree
 (tag, text and children), and so does a line of text beside other blocks in one element.
 Spark counts each hash per host, over pages of different content, so that copies of one page
-count once. The counts decide on every block of text of every page; an article or main
-element only moves the bar:
-
-* on a page without one, a subtree on ``TEMPLATE_PAGES`` pages of its host is a template;
-* inside one, so is a container on as many pages, and a single paragraph if these pages are
-  also ``TEMPLATE_SHARE`` of the host's (less may be a passage that articles quote);
-* beside one, a block stays only if no other page of the host has it, and the host has pages
-  enough (``TEMPLATE_PAGES``) to tell.
+count once. The counts decide on every block of text of every page, by one rule for hosts of
+any size: a subtree is a template on ``TEMPLATE_SHARE`` of its host's pages and a few
+(``TEMPLATE_MORE``) more, so a heading or table that articles have in common stays whatever
+their number, and on too few pages to tell everything stays. Beside an article or main element
+the bar is lower (``BESIDE_SHARE``, ``BESIDE_MORE``).
 
 Markup that says what it is (navigation, adverts, notices, comments ...) is left out by its
 name already. But a form or a word of a class or id never drops what is around an article or
@@ -39,10 +36,10 @@ from pyspark.sql import functions as F
 
 from notegrove.workspace import materialize
 
-# A subtree on so many pages of a host, of different content, is a template.
-TEMPLATE_PAGES = 10
-# The share of a host's pages that a paragraph of an article must stand on besides.
-TEMPLATE_SHARE = 0.2
+# A subtree on this share of a host's pages, of different content, and as many pages more is
+# a template; beside an article it takes less.
+TEMPLATE_SHARE, TEMPLATE_MORE = 0.2, 3
+BESIDE_SHARE, BESIDE_MORE = 0.01, 2
 # Where a block stands: on a page without an article, in an article, beside one.
 PLAIN, IN_ARTICLE, BESIDE = 0, 1, 2
 
@@ -319,7 +316,7 @@ def sites(read: DataFrame) -> DataFrame:
     return read.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", share: float = TEMPLATE_SHARE) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     host = F.xxhash64(F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][\w+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit("")))
     read = pages_read(pages, id_col, url_col, html_col).withColumn("host", host)
@@ -330,18 +327,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.transform(F.filter("blocks", lambda b: b["box"].isNotNull()), lambda b: F.struct(b["box"].alias("hash"), F.lit(PLAIN).cast("byte").alias("kind"))),
     )
     around = read.select("rid", "host", F.explode(F.array_distinct(asked)).alias("asked")).select("rid", "host", "asked.hash", "asked.kind")
-    bar = F.when(F.col("kind") == BESIDE, F.lit(2.0)).when(F.col("kind") == IN_ARTICLE, F.greatest(F.lit(float(least)), F.col("pages") * share)).otherwise(float(least))
+    pages_ = F.col("pages")
+    bar = F.when(F.col("kind") == BESIDE, BESIDE_MORE + pages_ * BESIDE_SHARE).otherwise(TEMPLATE_MORE + pages_ * share)
     known = counts(read).join(sites(read), "host")
-    gone = around.join(known, ["host", "hash"]).filter(F.col("n") >= bar).select("rid", "hash", "kind", F.lit(False).alias("few"))
-    beside = read.filter(F.exists("blocks", lambda b: b["kind"] == BESIDE)).select("rid", "host")
-    few = beside.join(sites(read).filter(F.col("pages") < least), "host").select("rid", F.lit(None).cast("long").alias("hash"), F.lit(None).cast("byte").alias("kind"), F.lit(True).alias("few"))
-    told = gone.unionByName(few).groupBy("rid").agg(F.collect_set(F.when(~F.col("few"), F.struct("hash", "kind"))).alias("gone"), F.max("few").alias("few"))
+    gone = around.join(known, ["host", "hash"]).filter(F.col("n") >= bar).select("rid", "hash", "kind")
+    told = gone.groupBy("rid").agg(F.collect_set(F.struct("hash", "kind")).alias("gone"))
     # Stored first, so that its size is known: the texts move only if it is too large to send.
     told = materialize(told, "page-templates")
     stays = lambda b: F.col("gone").isNull() | ~(
         F.array_contains("gone", F.struct(b["cover"].alias("hash"), b["kind"].alias("kind")))
         | b["box"].isNotNull() & F.array_contains("gone", F.struct(b["box"].alias("hash"), F.lit(PLAIN).cast("byte").alias("kind")))
-        | F.col("few") & (b["kind"] == BESIDE)
     )
     kept = read.join(told, "rid", "left").select("page_id", "url", F.filter("blocks", stays).alias("blocks"))
     text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n")
