@@ -7,13 +7,16 @@ below zero, which a model that only memorises would make it do.
 
 A text enters by the words that it holds and by their beginnings, so that words made from a
 known stem count too. Which of them the model knows is counted in Spark over all texts of the
-training fold; the weights are then fitted with numpy on the driver, on at most ``POSITIVES``
-and ``UNLABELLED`` texts (expected sizes of hashed samples), of which only the places of known
-features arrive there. Every whole text is scored, in one pass and without a shuffle.
+training fold. The weights are those that minimise the risk over all of these texts: numpy on
+the driver finds a beginning on samples of rows (of about ``POSITIVES`` and ``UNLABELLED``),
+then each of ``WHOLE_STEPS`` steps is a pass over the places of known features in all texts,
+whose tasks add up their part of the gradient. Every whole text is scored, in one pass and
+without a shuffle.
 
 Defined results: null and empty texts hold no word and score by the bias; labels that are
-null or of an unknown text are not learnt; labels that repeat count once; without positives
-every score is 0; an empty table gives an empty result. Other columns are never read.
+null or of an unknown text are not learnt; an id with several labels counts once, as toxic if
+one of them is; without positives every score is 0; an empty table gives an empty result.
+Other columns are never read.
 """
 
 from __future__ import annotations
@@ -29,9 +32,10 @@ from pyspark.sql import functions as F
 
 from notegrove.workspace import materialize
 
-# Bounds of the sample that weights are fitted on, in texts.
+# Texts of the samples that the weights begin with; the steps over all texts, and their rate.
 POSITIVES = 6_000
 UNLABELLED = 12_000
+WHOLE_STEPS, WHOLE_RATE = 12, 0.02
 # Features that the model may know, and texts of the training fold that have to hold one.
 FEATURES = 6_000
 LEAST_TEXTS = 6
@@ -109,27 +113,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % FOLDS == 0, F.lit(False))
 
 
-def _share(column: Column, seed: int, wanted: int, total: int) -> Column:
-    """A hashed sample of about ``wanted`` of ``total`` rows."""
+def _share(seed: int, wanted: int, total: int) -> Column:
+    """A sample of about ``wanted`` of ``total`` stored rows, whatever they hold."""
     cut = min(1.0, wanted / max(total, 1))
-    return F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(1 << 30)) < int(cut * (1 << 30))
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(1 << 30)) < int(cut * (1 << 30))
 
 
 def training(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple[DataFrame, float]:
-    """The texts of the training fold (text, positive, unlabelled, and whether the weights are
-    fitted on it as one of these: fit_p, fit_u) and the class prior, which is the share of
-    toxic rows among the labelled ones outside the held-out fold."""
+    """The texts of the training fold (text, positive, unlabelled) and the class prior, which
+    is the share of toxic ids among the labelled ones outside the held-out fold."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-    known = known.filter("label IN (0, 1)").filter(~held_out(F.col("doc_id")))
+    known = known.filter("label IN (0, 1)").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
     n, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
-    total = docs.count()
     # Stored first, so that its size is known: the texts move only if it is too large to send.
-    chosen = materialize(known.filter("label = 1").select("doc_id").distinct(), "toxic-ids").withColumn("positive", F.lit(True))
+    chosen = materialize(known.filter("label = 1").select("doc_id"), "toxic-ids").withColumn("positive", F.lit(True))
     rows = docs.join(chosen, "doc_id", "left").withColumn("positive", F.coalesce("positive", F.lit(False)))
     rows = rows.withColumn("unlabelled", ~held_out(F.col("doc_id"))).filter("positive OR unlabelled")
-    fit_p = F.coalesce(F.col("positive") & _share(F.col("doc_id"), 1, POSITIVES, toxic), F.lit(False))
-    fit_u = F.coalesce(F.col("unlabelled") & _share(F.col("doc_id"), 2, UNLABELLED, total), F.lit(False))
-    return rows.select("text", "positive", "unlabelled", fit_p.alias("fit_p"), fit_u.alias("fit_u")), toxic / max(n, 1)
+    return rows.select("text", "positive", "unlabelled"), toxic / max(n, 1)
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -157,13 +157,42 @@ def counted(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "feature string, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
 
 
+def whole_gradient(places: DataFrame, theta: np.ndarray, prior: float, n_p: int, n_u: int) -> np.ndarray:
+    """The gradient of the risk over all stored rows (positive, unlabelled, at); every task
+    sends sums by feature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # By feature: slope of the positive loss, then of the negative loss on either sample;
+        # behind the bias the negative losses themselves.
+        sums = np.zeros((3, len(theta) + 1))
+        for batch in batches:
+            at = batch.column("at")
+            sizes = at.value_lengths().to_numpy(zero_copy_only=False)
+            cols, doc = at.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+            z = np.bincount(doc, theta[cols], len(sizes)) + theta[-1]
+            s, loss = 1 / (1 + np.exp(-np.clip(z, -40, 40))), np.logaddexp(0, z)
+            p, u = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("positive", "unlabelled"))
+            for row, w in zip(sums, (p * (s - 1), p * s, u * s), strict=True):
+                row[: len(theta)] += np.append(np.bincount(cols, w[doc], len(theta) - 1), w.sum())
+            sums[1:, -1] += p @ loss, u @ loss
+        at = np.flatnonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), *map(pa.array, sums[:, at])], names=["feature", "a", "b", "c"])
+
+    parts = places.mapInArrow(run, "feature bigint, a double, b double, c double").groupBy("feature").agg(*(F.sum(c).alias(c) for c in "abc"))
+    total = np.zeros((3, len(theta) + 1))
+    for feature, *sums in parts.collect():  # a row for each known feature at most
+        total[:, feature] = sums
+    positive, negative = prior / max(n_p, 1) * total[0, :-1], total[2] / max(n_u, 1) - prior / max(n_p, 1) * total[1]
+    return positive + negative[:-1] if negative[-1] >= -SLACK else -negative[:-1]
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Linear:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, label)."""
     rows, prior = training(docs, labels, label_col)
     if not 0 < prior < 1:
         return Linear(-40.0 if prior <= 0 else 40.0)
-    n_p, n_u, fit_p, fit_u = rows.agg(*map(F.count_if, ("positive", "unlabelled", "fit_p", "fit_u"))).first()
-    if not fit_p or not fit_u:
+    n_p, n_u = rows.agg(*map(F.count_if, ("positive", "unlabelled"))).first()
+    if not n_p or not n_u:
         return Linear(-40.0)
     # Features by the strength of the difference between both sides.
     both = (F.col("p") + F.col("u")) / (n_p + n_u)
@@ -177,13 +206,20 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Linear:
             at = [sorted(place[f] for f in features_of(t.as_py()) & place.keys()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(at, pa.list_(pa.int32()))], names=["positive", "unlabelled", "at"])
 
-    chosen = rows.filter("fit_p OR fit_u").select("text", F.col("fit_p").alias("positive"), F.col("fit_u").alias("unlabelled"))
-    got = chosen.mapInArrow(run, "positive boolean, unlabelled boolean, at array<int>").toArrow()
+    places = materialize(rows.mapInArrow(run, "positive boolean, unlabelled boolean, at array<int>"), "toxicity-places")
+    drawn = places.select("at", (F.col("positive") & _share(1, POSITIVES, n_p)).alias("positive"), (F.col("unlabelled") & _share(2, UNLABELLED, n_u)).alias("unlabelled"))
+    got = drawn.filter("positive OR unlabelled").toArrow()
     order = sorted(range(got.num_rows), key=lambda i: (got["positive"][i].as_py(), got["unlabelled"][i].as_py(), got["at"][i].as_py()))
     at = [np.array(got["at"][i].as_py(), np.int64) for i in order]
     flags = [got[c].to_numpy()[order].astype(float) for c in ("positive", "unlabelled")]
-    weights, bias = fit_nonnegative(at, *flags, prior, len(names))
-    return Linear(bias, {f: float(w) for f, w in zip(names, weights, strict=True) if abs(w) > 1e-3})
+    theta = np.append(*fit_nonnegative(at, *flags, prior, len(names)))
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    for step in range(1, WHOLE_STEPS + 1):
+        g = whole_gradient(places, theta, prior, n_p, n_u)
+        g[:-1] += DECAY * theta[:-1]
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        theta -= WHOLE_RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    return Linear(float(theta[-1]), {f: float(w) for f, w in zip(names, theta[:-1], strict=True) if abs(w) > 1e-3})
 
 
 def score_column(docs: DataFrame, model: Linear):
