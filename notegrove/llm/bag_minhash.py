@@ -325,27 +325,52 @@ def near_in(table: pa.Table, least: float) -> pa.Table:
     return pa.table([pa.array(v[at]), pa.array(v[first[at]])], names=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """One row per input row: doc_id, key (of its text), component_id (the least id of all
-    near-duplicates, by way of others too), kept (whether it is that one)."""
+def grouped(docs: DataFrame, id_col: str, text_col: str, least: float) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, key of the text) and the root of each key's component."""
     rows = materialize(signed(docs, id_col, text_col), "signatures")
-    classes = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = rows.groupBy("key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = materialize(classes.withColumn("v", F.monotonically_increasing_id()), "classes")
     each = classes.select("v", F.col("n").cast("int").alias("n"), F.posexplode("bands").alias("band", "hash")).select("v", "n", F.xxhash64("band", "hash").alias("bucket"))
     shared = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("bucket")
     members = materialize(each.join(shared, "bucket").select("bucket", "v", "n"), "members")
     bags = contents(docs, classes.join(members.select("v").distinct(), "v", "left_semi"), text_col)
     roots = linked(members, bags, least)
-    told = classes.select("key", "v", "first").withColumn("root", F.col("v"))
+    told = classes.select("key", "v").withColumn("root", F.col("v"))
     if roots is not None:
         told = told.drop("root").join(roots.withColumnRenamed("node", "v"), "v", "left").withColumn("root", F.coalesce("root", "v"))
+    return rows.select("doc_id", "key"), told.select("key", "root")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """One row per input row: doc_id, key (of its text), component_id (the least id of all
+    near-duplicates, by way of others too), kept (whether it is that one)."""
+    rows, told = grouped(docs, id_col, text_col, least)
+    firsts = rows.groupBy("key").agg(F.min("doc_id").alias("first"))
+    told = told.join(firsts, "key")
     least_id = told.groupBy("root").agg(F.min("first").alias("component_id"))
     told = told.join(least_id, "root").select("key", "component_id")
-    return rows.select("doc_id", "key").join(told, "key").select("doc_id", "key", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return rows.join(told, "key").select("doc_id", "key", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def distinct_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """The rows of one document of each component, with all their columns."""
-    kept = near_duplicates(docs, id_col, text_col, least).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("key").alias("_kept_key")).distinct()
-    same = text_key(docs[text_col]).eqNullSafe(kept["_kept_key"]) & docs[id_col].cast("long").eqNullSafe(kept["_kept_id"])
-    return docs.join(kept, same, "left_semi")
+    """One row of each component, with all its columns: of the least id (a null one only where
+    there is no other), then of the text with the least key; of rows that share both any one."""
+    rows, told = grouped(docs, id_col, text_col, least)
+    # Rows that share id and text are one line here, with their number.
+    lines = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    best = lines.join(told, "key").groupBy("root").agg(F.min_by(F.struct("doc_id", "key", "copies"), order).alias("best"))
+    best = materialize(best.select(F.col("best.doc_id").alias("_kept_id"), F.col("best.key").alias("_kept_key"), F.col("best.copies").alias("_copies")), "kept-lines")
+
+    def of(lines: DataFrame) -> DataFrame:
+        same = text_key(docs[f"`{text_col}`"]).eqNullSafe(lines["_kept_key"]) & docs[f"`{id_col}`"].cast("long").eqNullSafe(lines["_kept_id"])
+        return docs.join(lines, same, "left_semi")
+
+    repeated = best.filter("_copies > 1")
+    if repeated.isEmpty():
+        return of(best)
+    single, many = of(best.filter("_copies = 1")), of(repeated)
+    whole = F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")
+    id_, key = F.col(f"`{id_col}`").cast("long"), text_key(F.col(f"`{text_col}`"))
+    one = many.groupBy(id_.alias("_kept_id"), key.alias("_kept_key")).agg(whole).select("row.*")
+    return single.unionByName(one)

@@ -95,10 +95,22 @@ def test_near_duplicates(docs):
     found = {r.doc_id: r.component_id for r in got.collect()}
     assert ids(got) == ALL and found == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 5, 7: 7, 8: 8, 9: 9, 10: 10, 11: 11, None: None}
     kept = bag_minhash.distinct_rows(docs)
-    assert kept.dtypes == docs.dtypes and ids(kept.select("doc_id")) == [1, 3, 5, 5, 7, 8, 9, 10, 11, None]
+    assert kept.dtypes == docs.dtypes and ids(kept.select("doc_id")) == [1, 3, 5, 7, 8, 9, 10, 11, None]
     assert bag_minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component(spark):
+    """Repeated and null ids, and two near texts that share the least id."""
+    words = [f"w{i}" for i in range(60)]
+    near, other = " ".join(words), " ".join([*words[:-1], "end"])
+    rows = [(5, near, "a"), (5, near, "b"), (None, near, "c"), (None, near, "d"), (5, other, "e"), (7, other, "f")]
+    rows += [(None, "only null ids", "g")] * 3 + [(8, "alone", "h"), (9, "twice", "i"), (9, "twice", "i")]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    got = sorted(((r.doc_id, r.text) for r in bag_minhash.distinct_rows(df).collect()), key=str)
+    assert [r[0] for r in got] == [5, 8, 9, None] and got[0][1] in (near, other) and got[3][1] == "only null ids"
+    assert bag_minhash.distinct_rows(df).dtypes == df.dtypes
+
+
 def test_pipeline_stages(spark, docs, labels, items, tmp_path):
     folder = str(tmp_path)
     labels.write.parquet(f"{folder}/labels.parquet")
@@ -163,13 +175,31 @@ def test_site_without_telling_names(spark):
     rows += [(300 + k, "http://cards/", f"<body>{menu}<div><p>Long story {k}.</p></div><article><p>Card {k}</p></article></body>") for k in range(10)]
     got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for k in range(60):
-        assert got[k] == want(k, True) and got[100 + k] == want(k, False)
+        assert got[k] == want(k, True) and got[100 + k] == want(k, True)
     for k in range(3):
         assert got[200 + k] == f"Title {k}\nWe use small files on your device.\nText of page {k}.\nA passage quoted."
     for k in range(10):
         assert got[300 + k] == f"Long story {k}.\nCard {k}"
 
 
+def test_what_few_of_many_pages_share_stays(spark):
+    """A heading and a table on 12 of 1,000 pages, with and without articles; a lead beside the
+    article on hosts of 9 and of 10 pages."""
+    shared = "<h2>Summary</h2>" + "<ul><li>Rule one holds.</li><li>Rule two holds.</li></ul>"
+    menu = "<div><p>Home</p><p>About us</p></div>"
+    page = lambda k, tag: f"<body>{menu}<{tag}><h1>Title {k}</h1><p>Text {k}.</p>{shared if k < 12 else ''}</{tag}></body>"
+    rows = [(k, "http://articles/", page(k, "article")) for k in range(1000)]
+    rows += [(1000 + k, "http://plain/", page(k, "div")) for k in range(1000)]
+    for n, first in ((9, 3000), (10, 4000)):
+        rows += [(first + k, f"http://lead{n}/", f"<body>{menu}<p>Lead {k}.</p><article><p>Text {k}.</p></article></body>") for k in range(n)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(1000):
+        want = f"Title {k}\nText {k}." + ("\nSummary\nRule one holds.\nRule two holds." if k < 12 else "")
+        assert got[k] == got[1000 + k] == want
+    for n, first in ((9, 3000), (10, 4000)):
+        assert all(got[first + k] == f"Lead {k}.\nText {k}." for k in range(n))
+
+
 def test_names_around_articles():
     """A word of a class, a form or a self-closed icon costs no article; math stays."""
     text = lambda page: "\n".join(b.text for b in html_extract.read_page(page)[1])
@@ -189,6 +219,32 @@ def test_names_around_articles():
     assert text("<div class='ad'>" * 30_000 + "deep") == "deep"
 
 
+def test_risk_over_all_rows(spark):
+    """The gradient of the whole table's risk against one computed plainly, and an id that
+    many rows share."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows = [(bool(p), bool(u), sorted(int(x) for x in set(rng.integers(0, 7, n)))) for p, u, n in zip(rng.integers(0, 2, 300), rng.integers(0, 2, 300), rng.integers(0, 6, 300), strict=True)]
+    df = spark.createDataFrame(rows, "positive boolean, unlabelled boolean, at array<int>").repartition(5)
+    theta, prior = rng.normal(size=8), 0.2
+    n_p, n_u = (sum(r[i] for r in rows) for i in (0, 1))
+    got = toxicity.whole_gradient(df, theta, prior, n_p, n_u)
+    x = np.zeros((300, 8))
+    for i, r in enumerate(rows):
+        x[i, [*r[2], 7]] = 1
+    p, u = (np.array([r[i] for r in rows]) / n for i, n in ((0, n_p), (1, n_u)))
+    z = x @ theta
+    s = 1 / (1 + np.exp(-z))
+    negative = u @ np.log1p(np.exp(z)) - prior * p @ np.log1p(np.exp(z))
+    slope = (u - prior * p) * s
+    want = x.T @ (-prior * p * (1 - s) + slope) if negative >= 0 else -x.T @ slope
+    assert np.allclose(got, want)
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(k, "vile words") for k in range(2, 200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 200)] + [(1, 0)], "doc_id long, toxic int")
+    assert toxicity.classify(docs, labels).filter("score BETWEEN 0 AND 1").count() == 698
+
+
 def test_toxic_words_are_counted_over_all_texts(spark, monkeypatch):
     """A word of many confirmed texts is known, though the sample holds fewer than six of them."""
     monkeypatch.setattr(toxicity, "POSITIVES", 10)
