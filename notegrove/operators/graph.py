@@ -1,17 +1,17 @@
-"""A property graph as vertex and edge tables, and one- and two-hop questions over it."""
+"""A property graph as vertex and edge tables, built from rows and merged.
+
+``adjacency.store_graph`` lays it out for questions.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notegrove.operators.clean import price_label
-from notegrove.operators.predicates import eq_ci, present
-from notegrove.operators.topk import by_points, count_by, top_k
-from notegrove.schema import TOP_K
+from notegrove.operators.predicates import present
 from notegrove.sources.tables import latest, upsert
 
 # The properties kept on a review vertex.
@@ -106,85 +106,3 @@ def merge_graph(graph: Graph, newer: Graph) -> Graph:
         },
     )
 
-
-def write_graph(graph: Graph, path: str) -> None:
-    for table in fields(graph):
-        getattr(graph, table.name).write.mode("overwrite").parquet(f"{path}/{table.name}")
-
-
-def read_graph(spark: SparkSession, path: str) -> Graph:
-    return Graph(**{t.name: spark.read.parquet(f"{path}/{t.name}") for t in fields(Graph)})
-
-
-def reviews_in_country(graph: Graph) -> DataFrame:
-    """One hop: review vertices with their country."""
-    return graph.review.join(graph.from_country, "id")
-
-
-def reviews_in_province(graph: Graph, province: str | None = None) -> DataFrame:
-    """Two hops: review vertices with their province and its countries, one row for each
-    country the province lies in."""
-    located, edges = graph.located_in, graph.from_province
-    if province is not None:
-        # The end of the path is fixed, so both edge tables shrink before they meet.
-        located = located.where(eq_ci("province", province))
-        edges = edges.where(eq_ci("province", province))
-    return graph.review.join(edges.join(located, "province"), "id")
-
-
-def top_by_country(graph: Graph, country: str, k: int = TOP_K) -> DataFrame:
-    edges = graph.from_country.where(eq_ci("country", country))
-    return _labelled(top_k(graph.review.join(edges, "id"), by_points(), k))
-
-
-def top_by_province(graph: Graph, province: str, k: int = TOP_K) -> DataFrame:
-    rows = reviews_in_province(graph, province)
-    return _labelled(top_k(rows, [*by_points(), F.asc("country")], k))
-
-
-def _labelled(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("price_label", price_label(F.col("price")))
-
-
-def most_by_country(
-    graph: Graph, hits: DataFrame, min_points: float, k: int = TOP_K
-) -> DataFrame:
-    """``country, n_reviews`` of the countries with most of the ``hits(id)`` that reach the
-    points."""
-    good = graph.review.where(F.col("points") >= min_points).select("id")
-    found = graph.from_country.join(good, "id").join(hits.select("id"), "id", "left_semi")
-    return count_by(found, "country", k, "n_reviews")
-
-
-def with_several_tasters(
-    graph: Graph, country: str | None = None, at_least: int = 2
-) -> DataFrame:
-    """``id, n_tasters, country`` of reviews tasted by several people. The edges are
-    distinct already, so counting them is enough."""
-    tasters = (
-        graph.tasted_by.groupBy("id")
-        .agg(F.count(F.lit(1)).alias("n_tasters"))
-        .where(F.col("n_tasters") >= at_least)
-    )
-    edges = graph.from_country
-    if country is not None:
-        edges = edges.where(eq_ci("country", country))
-    return tasters.join(edges, "id")
-
-
-def shared_variety(
-    graph: Graph, country: str, favourites: DataFrame, k: int = TOP_K
-) -> DataFrame:
-    """The best reviews of a country whose variety occurs among ``favourites(id)``."""
-    liked = graph.review.join(favourites.select("id"), "id", "left_semi")
-    varieties = liked.where(present("variety")).select("variety").distinct()
-    edges = graph.from_country.where(eq_ci("country", country))
-    rows = graph.review.join(edges, "id").join(varieties, "variety", "left_semi")
-    return top_k(rows, by_points(), k)
-
-
-def by_taster(graph: Graph, taster: str, where: Column | None = None) -> DataFrame:
-    """Review vertices tasted by one person."""
-    edges = graph.tasted_by.where(F.col("taster_name") == taster)
-    rows = graph.review.join(edges, "id")
-    return rows if where is None else rows.where(where)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from notegrove.functions.edits import auto_edits
 from notegrove.functions.text import BOUNDED_WORDS, STANDARD, Analyzer, compose
 from notegrove.functions.vectors import certainty, cosine
-from notegrove.operators import graph as graphs
+from notegrove.operators import adjacency, graph as graphs
 from notegrove.operators.batch import count_by_filters, top_by_place
 from notegrove.operators.clean import (
     KEYWORD,
@@ -659,28 +659,44 @@ def graph_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def people_graph(spark: SparkSession, folder: str) -> adjacency.StoredGraph:
+    """The graph of all people, stored once."""
+    return built_once(
+        spark, folder, "people-graph", lambda: adjacency.store_graph(graphs.build_graph(graph_rows(spark, folder)))
+    )
+
+
+def docs_graph(spark: SparkSession, folder: str) -> adjacency.StoredGraph:
+    def build() -> adjacency.StoredGraph:
+        missing = nothing("variety", "winery", "taster_name", "taster_twitter_handle")
+        return adjacency.store_graph(graphs.build_graph(docs(spark, folder).select("*", *missing)))
+
+    return built_once(spark, folder, "docs-graph", build)
+
+
 def nothing(*names: str) -> list[Column]:
     """Text columns that hold nulls only."""
     return [F.lit(None).cast("string").alias(c) for c in names]
 
 
-def edge_counts(g: graphs.Graph) -> DataFrame:
+def edge_counts(g: adjacency.StoredGraph) -> DataFrame:
     def counted(df: DataFrame, kind: str, key: str) -> DataFrame:
         return df.groupBy(F.col(key).alias("target")).agg(
             F.count(F.lit(1)).alias("n")
         ).select(F.lit(kind).alias("kind"), "target", "n")
 
+    located = g.located.select("province", F.explode("countries").alias("name"))
     return (
-        counted(g.tasted_by, "tasted_by", "taster_name")
-        .unionByName(counted(g.from_country, "from_country", "country"))
-        .unionByName(counted(g.from_province, "from_province", "province"))
-        .unionByName(counted(g.located_in, "located_in", "country"))
+        counted(adjacency.edges(g, "taster"), "tasted_by", "name")
+        .unionByName(counted(adjacency.edges(g, "country"), "from_country", "name"))
+        .unionByName(counted(adjacency.edges(g, "province"), "from_province", "name"))
+        .unionByName(counted(located, "located_in", "name"))
     )
 
 
 @query("graph_vertices", sql.GRAPH_VERTICES)
 def graph_vertices(spark, folder):
-    g = graphs.build_graph(graph_rows(spark, folder))
+    g = people_graph(spark, folder)
 
     def listed(df: DataFrame, kind: str, name: str, detail: str | None = None) -> DataFrame:
         shown = F.col(detail) if detail else F.lit("")
@@ -690,20 +706,21 @@ def graph_vertices(spark, folder):
 
     return (
         listed(g.person, "person", "taster_name", "taster_twitter_handle")
-        .unionByName(listed(g.country, "country", "country"))
-        .unionByName(listed(g.province, "province", "province"))
-        .unionByName(listed(g.review, "review", "title", "variety"))
+        .unionByName(listed(adjacency.names(g, "country"), "country", "name"))
+        .unionByName(listed(adjacency.names(g, "province"), "province", "name"))
+        .unionByName(listed(g.reviews, "review", "title", "variety"))
     )
 
 
 @query("graph_edges", sql.graph_edges(False))
 def graph_edges(spark, folder):
-    return edge_counts(graphs.build_graph(graph_rows(spark, folder)))
+    return edge_counts(people_graph(spark, folder))
 
 
 @query("graph_chain_filtered", sql.graph_edges(True))
 def graph_chain_filtered(spark, folder):
-    return edge_counts(graphs.build_graph(graph_rows(spark, folder), chain_filters=True))
+    rows = graphs.build_graph(graph_rows(spark, folder), chain_filters=True)
+    return edge_counts(adjacency.store_graph(rows))
 
 
 @query("graph_last_write", sql.GRAPH_LAST_WRITE)
@@ -724,12 +741,12 @@ def graph_merged(spark, folder):
     rows = graph_rows(spark, folder)
     low = graphs.build_graph(rows.where("points < 5000"))
     high = graphs.build_graph(rows.where("points >= 3000"))
-    return edge_counts(graphs.merge_graph(low, high))
+    return edge_counts(adjacency.merge_stored(adjacency.store_graph(low), adjacency.store_graph(high)))
 
 
 @query("graph_top_by_country", sql.GRAPH_TOP_BY_COUNTRY)
 def graph_top_by_country(spark, folder):
-    g = graphs.build_graph(graph_rows(spark, folder))
+    g = people_graph(spark, folder)
     return GraphQuestions(g, None).top_by_country("europe").select(
         "id", "country", "title", "points", "price_label", "variety"
     )
@@ -737,7 +754,7 @@ def graph_top_by_country(spark, folder):
 
 @query("graph_top_by_province", sql.GRAPH_TOP_BY_PROVINCE)
 def graph_top_by_province(spark, folder):
-    g = graphs.build_graph(graph_rows(spark, folder))
+    g = people_graph(spark, folder)
     return GraphQuestions(g, None).top_by_province("nation_4").select(
         "id", "country", "province", "title", "points", "variety"
     )
@@ -746,15 +763,19 @@ def graph_top_by_province(spark, folder):
 @query("graph_two_hops", sql.GRAPH_TWO_HOPS)
 def graph_two_hops(spark, folder):
     """Reviews by province and country, and by country alone."""
-    g = graphs.build_graph(graph_rows(spark, folder))
+    g = people_graph(spark, folder)
     n = F.count(F.lit(1)).alias("n")
-    places = graphs.reviews_in_province(g).groupBy("province", "country").agg(n)
-    countries = graphs.reviews_in_country(g).groupBy("country").agg(n)
+    places = adjacency.reviews_in_province(g).groupBy("province", "country").agg(n)
+    countries = adjacency.reviews_in_country(g).groupBy("country").agg(n)
     return places.unionByName(countries.withColumn("province", F.lit(None).cast("string")))
 
 
-def supply_graph(spark: SparkSession, folder: str) -> graphs.Graph:
-    """Parts as reviews, their suppliers as tasters."""
+def supply_graph(spark: SparkSession, folder: str) -> adjacency.StoredGraph:
+    """Parts as reviews, their suppliers as tasters, stored once."""
+    return built_once(spark, folder, "supply-graph", lambda: adjacency.store_graph(supply_rows(spark, folder)))
+
+
+def supply_rows(spark: SparkSession, folder: str) -> graphs.Graph:
     line = table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("s_suppkey")
     )
@@ -768,21 +789,21 @@ def supply_graph(spark: SparkSession, folder: str) -> graphs.Graph:
 
 @query("two_tasters", sql.TWO_TASTERS)
 def two_tasters(spark, folder):
-    return graphs.with_several_tasters(supply_graph(spark, folder), "brand#7")
+    return adjacency.with_several_tasters(supply_graph(spark, folder), "brand#7")
 
 
 @query("by_taster", sql.BY_TASTER)
 def by_taster(spark, folder):
-    found = graphs.by_taster(supply_graph(spark, folder), "Supplier#000000003")
+    found = adjacency.by_taster(supply_graph(spark, folder), "Supplier#000000003")
     return found.select("id", "title", "points", "price")
 
 
 @query("shared_variety", sql.SHARED_VARIETY)
 def shared_variety(spark, folder):
-    g = graphs.build_graph(graph_rows(spark, folder))
+    g = people_graph(spark, folder)
     rows = people(spark, folder)
     best = top_k(rows.where(eq("country", "ASIA")), by_points(), 2)
-    return graphs.shared_variety(g, "Africa", best, 10).select(
+    return adjacency.shared_variety(g, "Africa", best, 10).select(
         "id", "title", "points", "variety", "country"
     )
 
@@ -858,11 +879,7 @@ def hit_cap(spark, folder):
 
 @query("graph_search", sql.BM25_TOP_ROWS)
 def graph_search(spark, folder):
-    d = docs(spark, folder).select(
-        "*", *nothing("variety", "winery", "taster_name", "taster_twitter_handle")
-    )
-    g = graphs.build_graph(d)
-    found = GraphQuestions(g, text_index(spark, folder)).search(SEARCH_TEXT, 0.5)
+    found = GraphQuestions(docs_graph(spark, folder), text_index(spark, folder)).search(SEARCH_TEXT, 0.5)
     return found.select("id", "country", "title", "points", "price", "score")
 
 
@@ -875,8 +892,7 @@ def most_by_variety(spark, folder):
 
 @query("graph_most_by_variety", sql.MOST_BY_VARIETY)
 def graph_most_by_variety(spark, folder):
-    d = docs(spark, folder).select("*", *nothing("taster_name", "taster_twitter_handle"))
-    questions = GraphQuestions(graphs.build_graph(d), text_index(spark, folder))
+    questions = GraphQuestions(docs_graph(spark, folder), text_index(spark, folder))
     return questions.most_by_variety("anea thanedble", 1000)
 
 

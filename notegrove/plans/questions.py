@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from notegrove.functions.scores import DIGITS
 from notegrove.functions.vectors import certainty, cosine
-from notegrove.operators import graph as graphs
+from notegrove.operators import adjacency as graphs
 from notegrove.operators import predicates
 from notegrove.operators.clean import price_label
 from notegrove.operators.embed import Embedder, embed
@@ -153,18 +153,19 @@ class RankedQuestions(_Stored):
 
 @dataclass(frozen=True)
 class GraphQuestions:
-    """Relevance search and top lists over vertices and edges."""
+    """Relevance search and top lists over a stored graph."""
 
-    graph: graphs.Graph
+    graph: graphs.StoredGraph
     index: TextIndex
 
     def search(self, terms: str, max_price: float = 100.0, k: int = TOP_K) -> DataFrame:
-        asked = one_query(self.graph.review.sparkSession, terms)
-        cheap = self.graph.review.where(in_range("price", hi=max_price)).select("id", "points")
+        rows = self.graph.reviews
+        asked = one_query(rows.sparkSession, terms)
         # A review in two countries is two hits, so the hop comes before the cut.
-        placed = cheap.join(self.graph.from_country, "id")
+        cheap = rows.where(in_range("price", hi=max_price))
+        placed = cheap.select("id", "points", F.explode("countries").alias("country"))
         hits = bm25_search(self.index, asked, placed, k)
-        found = _labelled(with_rows(hits, self.graph.review, HIT_COLUMNS, at_most=k))
+        found = _labelled(with_rows(hits, rows.select(*self.graph.properties), HIT_COLUMNS, at_most=k))
         return _show(found, HIT_COLUMNS)
 
     def top_by_country(self, country: str, k: int = TOP_K) -> DataFrame:
@@ -174,7 +175,7 @@ class GraphQuestions:
         return _show(graphs.top_by_province(self.graph, province, k), PLACE_COLUMNS)
 
     def most_by_variety(self, variety: str, points: float = 85, k: int = TOP_K) -> DataFrame:
-        asked = one_query(self.graph.review.sparkSession, variety)
+        asked = one_query(self.graph.reviews.sparkSession, variety)
         return graphs.most_by_country(self.graph, any_match(self.index, asked), points, k)
 
 

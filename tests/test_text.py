@@ -323,12 +323,13 @@ def test_questions_respect_the_price_bound(spark, index, reviews):
 
 
 def test_graph_questions(spark, index, reviews):
+    from notegrove.operators.adjacency import store_graph
     from notegrove.operators.graph import build_graph
 
     full = reviews.withColumns(
         {c: F.lit(None).cast("string") for c in ("province", "taster_name", "taster_twitter_handle", "winery")}
     )
-    asked = GraphQuestions(build_graph(full), index)
+    asked = GraphQuestions(store_graph(build_graph(full), buckets=2), index)
     found = asked.search("dry", 50.0).collect()
     assert {r.id for r in found} == {1, 4} and all(r.country in "XY" for r in found)
     # The words may stand in any indexed field, not only the variety.
