@@ -68,7 +68,8 @@ from notegrove.plans.questions import (
 )
 from notegrove.plans.views import docs, parts, people, table, texts, vecs
 from notegrove.schema import RANKED_SPEC, TOP_K
-from notegrove.sources.readers import array_to_rows, first_rows, read_lines, replay, write_lines
+from notegrove.sources.json_arrays import array_to_rows
+from notegrove.sources.readers import first_rows, read_lines, replay, write_lines
 from notegrove.sources.store import ReviewStore, write_store
 from notegrove.sources.tables import (
     append_rows,

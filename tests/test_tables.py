@@ -2,7 +2,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from notegrove.sources.readers import array_to_rows, first_rows, replay
+from notegrove.sources.json_arrays import array_to_rows
+from notegrove.sources.readers import first_rows, replay
 from notegrove.sources.tables import (
     latest,
     load_report,
