@@ -636,6 +636,33 @@ def count_by_filters_batch(spark, folder):
     return count_by_filters(rows, asked)
 
 
+@query("default_limit", sql.DEFAULT_LIMIT)
+def default_limit(spark, folder):
+    """A search that names no limit gives as many records as the default says."""
+    v = vecs(spark, folder)
+    return knn(v, mean_vectors(v)).select("id", "rank")
+
+
+@query("attribute_whitelist", sql.ATTRIBUTE_WHITELIST)
+def attribute_whitelist(spark, folder):
+    """Of the columns of the stored documents those that may be searched, filtered, sorted by
+    and shown; a search by any other is refused before it is planned."""
+    columns = store_of(spark, folder, "docs").rows.columns
+
+    def allowed(**asked) -> bool:
+        try:
+            RANKED_SPEC.check(**asked)
+        except ValueError:
+            return False
+        return True
+
+    rows = [(c, allowed(search=[c]), allowed(filters=[c]), allowed(sort=[c]), allowed(show=[c])) for c in columns]
+    flags = spark.createDataFrame(rows, "column string, searchable boolean, filterable boolean, sortable boolean, displayed boolean")
+    held = store_of(spark, folder, "docs").rows.agg(*[F.count(c).alias(c) for c in columns])
+    counts = held.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in columns])))
+    return flags.join(counts, "column")
+
+
 @query("facet_counts", sql.FACETS)
 def facets(spark, folder):
     return facet_counts(parts(spark, folder), ["price", "points", "variety"])
@@ -837,6 +864,32 @@ def token_len_bounds(spark, folder):
     return term_counts(spark, folder, BOUNDED_WORDS)
 
 
+def word_index(spark: SparkSession, folder: str) -> TextIndex:
+    """The index of descriptions by bounded words."""
+    return built_once(
+        spark,
+        folder,
+        "words",
+        lambda: build_index(
+            spread(texts(spark, folder)), ["description"], BOUNDED_WORDS,
+            records=docs(spark, folder).select("id", "points", "price", "country", "province"),
+        ),
+    )
+
+
+@query("bounded_word_index", sql.BOUNDED_WORD_INDEX)
+def bounded_word_index(spark, folder):
+    """Documents frequencies in an index that holds words of 3 to 15 letters only."""
+    return word_index(spark, folder).term_stats.select("term", "df")
+
+
+@query("bounded_word_match", sql.BOUNDED_WORD_MATCH)
+def bounded_word_match(spark, folder):
+    """Records by words of the bounded index; too short a word is no word of the query."""
+    asked = spark.createDataFrame([(0, "it anea"), (1, "it"), (2, "thanedble eriner")], "qid int, terms string")
+    return any_match(word_index(spark, folder), asked).select("qid", "id")
+
+
 @query("stopword_terms", sql.STOPWORD_TERMS)
 def stopword_terms(spark, folder):
     return term_counts(spark, folder, Analyzer(stop_words=RANKED_SPEC.stop_words))

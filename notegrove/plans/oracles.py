@@ -244,6 +244,23 @@ asked AS (SELECT DISTINCT CAST(regexp_extract(winery, '[0-9]+') AS INTEGER) AS q
 SELECT a.qid, count(*) FILTER (p.points >= 2 * a.qid AND p.price <= 900 + a.qid) AS count
 FROM asked a JOIN parts p USING (winery) GROUP BY 1"""
 
+DEFAULT_LIMIT = f"""WITH {VECS},
+parts_ AS (SELECT i, avg(vector[i]) AS x FROM vecs, range(1, 65) AS r(i) GROUP BY 1),
+mean AS (SELECT list(x ORDER BY i) AS m FROM parts_),
+scored AS (SELECT id, round(list_cosine_similarity(vector, m), 6) AS score FROM vecs, mean)
+SELECT id, CAST(row_number() OVER (ORDER BY score DESC, id) AS INTEGER) AS rank FROM scored
+QUALIFY rank <= 25"""
+
+ATTRIBUTE_WHITELIST = f"""WITH {DOCS},
+flags AS (SELECT * FROM (VALUES
+  ('id', false, false, false, true), ('title', true, false, false, true),
+  ('description', true, false, false, true), ('points', false, true, true, true),
+  ('country', true, true, false, true), ('province', true, true, false, true),
+  ('price', false, true, true, true)) AS f("column", searchable, filterable, sortable, displayed)),
+held AS (SELECT unnest(['id', 'title', 'description', 'points', 'country', 'province', 'price']) AS "column",
+  unnest([count(id), count(title), count(description), count(points), count(country), count(province), count(price)]) AS n FROM docs)
+SELECT "column", searchable, filterable, sortable, displayed, n FROM flags JOIN held USING ("column")"""
+
 FACETS = f"""WITH {PARTS},
 pairs AS (SELECT 'price' AS facet, CAST(price AS VARCHAR) AS value FROM parts
           UNION ALL SELECT 'points', CAST(points AS VARCHAR) FROM parts
@@ -338,6 +355,16 @@ _DOC_TERMS = f"""terms AS (SELECT unnest({tokens('text')}) AS term FROM document
 TOKEN_LEN_BOUNDS = f"""WITH {_DOC_TERMS}
 SELECT term, count(*) AS n FROM terms WHERE length(term) BETWEEN 3 AND 15 GROUP BY 1"""
 
+_BOUNDED = f"""bounded AS (
+  SELECT DISTINCT id, term FROM (SELECT doc_id AS id, unnest({tokens('text')}) AS term FROM documents)
+  WHERE length(term) BETWEEN 3 AND 15)"""
+
+BOUNDED_WORD_INDEX = f"""WITH {_BOUNDED} SELECT term, count(*) AS df FROM bounded GROUP BY 1"""
+
+BOUNDED_WORD_MATCH = f"""WITH {_BOUNDED},
+asked AS (SELECT CAST(unnest([0, 2, 2]) AS INTEGER) AS qid, unnest(['anea', 'thanedble', 'eriner']) AS term)
+SELECT DISTINCT qid, id FROM asked JOIN bounded USING (term)"""
+
 STOPWORD_TERMS = f"""WITH {_DOC_TERMS}
 SELECT term, count(*) AS n FROM terms
 WHERE term NOT IN ('the', 'a', 'an', 'of', 'to', 'in', 'for', 'on') GROUP BY 1"""
