@@ -56,6 +56,12 @@ def main() -> None:
         ("build_ann_index", catalog.ann_index),
         ("build_doc_vectors", catalog.doc_vectors),
         ("build_doc_ann_index", catalog.doc_ann_index),
+        ("build_word_index", catalog.word_index),
+        ("build_doc_store", lambda s, f: catalog.store_of(s, f, "docs")),
+        ("build_people_store", lambda s, f: catalog.store_of(s, f, "people")),
+        ("build_people_graph", catalog.people_graph),
+        ("build_doc_graph", catalog.docs_graph),
+        ("build_supply_graph", catalog.supply_graph),
     ):
         times[name] = timed(lambda build=build: build(spark, folder))
     for name, run in catalog.QUERIES.items():
