@@ -39,12 +39,9 @@ from notegrove.operators.keyword import (
 )
 from notegrove.operators.knn import knn
 from notegrove.operators.predicates import (
-    all_tokens,
-    any_token,
     eq,
     eq_ci,
     in_range,
-    phrase,
     present,
 )
 from notegrove.operators.text_index import TextIndex, build_index
