@@ -1106,6 +1106,14 @@ def knn_batch(spark, folder):
     return knn(v, mean_vectors(v, "country"), TOP_K).select("qid", "id", "score", "rank")
 
 
+@query("knn_batch_stored", sql.KNN_BATCH)
+def knn_batch_stored(spark, folder):
+    # Blocks smaller than the batch: its queries are stored, and pass the vectors in one scan.
+    v = vecs(spark, folder)
+    found = knn(v, mean_vectors(v, "country"), TOP_K, max_block_bytes=2048)
+    return found.select("qid", "id", "score", "rank")
+
+
 @query("knn_prefilter", sql.KNN_PREFILTER)
 def knn_prefilter(spark, folder):
     v = vecs(spark, folder)

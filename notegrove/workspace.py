@@ -39,6 +39,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A folder's whole address, scheme included, for tasks that open its files by Arrow."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    address = files.makeQualified(target).toUri()
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(address.getScheme(), address.getScheme())
+    return f"{scheme}://{address.getAuthority() or ''}{address.getPath()}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, cutting its lineage."""
     path = new_folder(df.sparkSession, label)

@@ -8,7 +8,7 @@ from notegrove.operators import ivfpq
 from notegrove.operators.embed import HashedEmbedder, OnnxEmbedder, embed
 from notegrove.operators.hybrid import fuse, places_in
 from notegrove.operators.ivfpq import ann_search, build_ann_index
-from notegrove.operators.knn import knn
+from notegrove.operators.knn import _slabs, knn, store_queries, stored_blocks
 from notegrove.plans.questions import AnnQuestions, StrictVectorQuestions, VectorQuestions
 
 DIM = 16
@@ -73,6 +73,41 @@ def test_blocks_of_queries_agree(vectors, queries):
     assert by_query(knn(vectors, queries, 5, max_block_bytes=8 * DIM)) == whole
 
 
+def test_many_queries_take_one_scan(vectors, queries, data, plan, monkeypatch):
+    stored = knn(vectors, queries, 7, max_block_bytes=8 * DIM)
+    text = plan(stored)
+    assert text.count("MapInArrow") == plan(knn(vectors, queries, 7)).count("MapInArrow")
+    assert "Union" not in text and "NestedLoop" not in text
+    same(by_query(stored), brute(data, queries, 7))
+    many = vectors.select(F.concat(F.lit("m"), F.col("id").cast("string")).alias("qid"), "vector")
+    monkeypatch.setattr("notegrove.operators.knn.query_blocks", None)  # nothing is collected in blocks
+    found = by_query(knn(vectors, many, 1, max_block_bytes=100 * 8 * DIM))
+    assert len(found) == len(data)
+    assert all(hits[0][0] == (100 if int(q[1:]) >= 400 else int(q[1:])) for q, hits in found.items())
+
+
+def test_slabs_do_not_change_the_answer(vectors, queries, data):
+    path = store_queries(queries, "vector", DIM)
+    table = pa.table({"id": np.arange(len(data)), "vector": list(data)})
+    table = table.cast(pa.schema([("id", pa.int64()), ("vector", pa.list_(pa.float32()))]))
+    batches = table.to_batches(max_chunksize=50)
+    sizes = [len(ids) for ids, _ in _slabs(iter(batches), DIM, 8 * DIM * 120)]
+    assert sizes == [150] * 4
+    names = sorted(r.qid for r in queries.collect())
+    for block in (1, 2, 100):
+        blocks = list(stored_blocks(path, DIM, block))
+        assert max(len(q) for q, _ in blocks) <= block
+        assert sorted(n for q, _ in blocks for n in q.to_pylist()) == names
+
+
+def test_stored_queries_of_a_wrong_length_are_refused(vectors, queries):
+    short = queries.unionByName(queries.limit(1).select(F.lit("short").alias("qid"), F.slice("vector", 1, 3).alias("vector")))
+    empty = queries.unionByName(queries.limit(1).select(F.lit("none").alias("qid"), F.lit(None).cast("array<float>").alias("vector")))
+    for bad in (short, empty):
+        with pytest.raises(Exception, match=f"every query vector must have {DIM} numbers"):
+            knn(vectors, bad, 3, max_block_bytes=8 * DIM).collect()
+
+
 def test_filter_before_or_after(vectors, queries, data):
     before = by_query(knn(vectors, queries, 5, prefilter=F.col("country") == "A"))
     same(before, brute(data, queries, 5, keep=lambda i: i % 2))
