@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,22 +82,66 @@ def hashed(vertices: DataFrame) -> DataFrame:
     return vertices.select("v", "vector").mapInArrow(run, VERTEX_SQL)
 
 
-def _compare(table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Compare the two sides of a group (or one side with itself): places of linked pairs
-    that no earlier table brings together."""
-    t = table["table"][0].as_py()
-    side = table["side"].to_numpy()
-    n = table.num_rows
-    flat = lambda c: table[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-    x, keys = flat("vector"), flat("keys")
+def _pairs(x: np.ndarray, keys: np.ndarray, side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The linked pairs of one group (between its two sides, or within its only one) that no
+    earlier table brings together. ``keys``: those of the earlier tables."""
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     if len(right):
         i, j = np.nonzero(x[left] @ x[right].T >= least)
         i, j = left[i], right[j]
     else:
         i, j = np.nonzero(np.triu(x @ x.T >= least, 1))
-    fresh = ~(keys[i, :t] == keys[j, :t]).any(1) if t else np.ones(len(i), bool)
-    return i[fresh], j[fresh], table["n"].to_numpy()
+    if len(i) and keys.shape[1]:
+        fresh = ~(keys[i] == keys[j]).any(1)
+        i, j = i[fresh], j[fresh]
+    return i, j
+
+
+GROUP = ("table", "label", "d", "key", "lo", "hi")
+SEEN = pa.schema([("v", pa.int64()), ("linked", pa.int64()), ("to", pa.int64())])
+
+
+def _starts(rows: pa.Table) -> np.ndarray:
+    """Where the groups of sorted rows begin."""
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for name in GROUP:
+        column = rows[name].combine_chunks()
+        new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _links_of(rows: pa.Table, starts: np.ndarray, least: float) -> pa.RecordBatch:
+    """What whole groups tell of their vertices: links counted, and one that can be reached."""
+    flat = lambda c: rows[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    vector, keys, side = flat("vector"), flat("keys"), rows["side"].to_numpy()
+    ends = np.append(starts[1:], rows.num_rows)
+    d, t = rows["d"].to_numpy()[starts].astype(np.int64), rows["table"].to_numpy()[starts].astype(np.int64)
+    members = ends - starts
+    x_at, k_at = np.append(0, np.cumsum(members * d)), np.append(0, np.cumsum(members * t))
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for g, (s, e) in enumerate(zip(starts, ends, strict=True)):
+        x, k = vector[x_at[g] : x_at[g + 1]].reshape(e - s, d[g]), keys[k_at[g] : k_at[g + 1]].reshape(e - s, t[g])
+        i, j = _pairs(x, k, side[s:e], least)
+        if len(i):
+            left.append(i + s)
+            right.append(j + s)
+    i, j = np.concatenate(left), np.concatenate(right)
+    n, v = rows["n"].to_numpy(), rows["v"].to_numpy()
+    linked = np.zeros(len(v), np.int64)
+    np.add.at(linked, i, n[j])
+    np.add.at(linked, j, n[i])
+    root = np.arange(len(v))
+    while True:  # least place that can be reached
+        new = root.copy()
+        np.minimum.at(new, i, root[j])
+        np.minimum.at(new, j, root[i])
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    at = np.flatnonzero(linked > 0)
+    return pa.RecordBatch.from_arrays([pa.array(v[at]), pa.array(linked[at]), pa.array(v[root[at]])], schema=SEEN)
 
 
 def links(vertices: DataFrame, least: float = COSINE) -> DataFrame:
@@ -115,27 +160,26 @@ def links(vertices: DataFrame, least: float = COSINE) -> DataFrame:
     pairs = found.withColumn("other", other).select(
         "v", *group, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("side")
     )
-    rows = pairs.join(vertices.select("v", "vector", "keys", "n"), "v")
-
-    schema = pa.schema([("v", pa.int64()), ("linked", pa.int64()), ("to", pa.int64())])
-
-    def run(table: pa.Table) -> pa.Table:
-        i, j, n = _compare(table, least)
-        v = table["v"].to_numpy()
-        linked = np.bincount(i, n[j], len(v)) + np.bincount(j, n[i], len(v))
-        root = np.arange(len(v))
-        while True:  # least place that can be reached
-            new = root.copy()
-            np.minimum.at(new, i, root[j])
-            np.minimum.at(new, j, root[i])
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
-        at = np.flatnonzero(linked > 0)
-        return pa.table([pa.array(v[at]), pa.array(linked[at].astype(np.int64)), pa.array(v[root[at]])], schema=schema)
-
-    return rows.groupBy(*group, "lo", "hi").applyInArrow(run, "v long, linked long, to long")
+    # Of the keys only those of earlier tables are looked at.
+    earlier = F.slice("keys", 1, F.col("table")).alias("keys")
+    rows = pairs.join(vertices.select("v", "vector", "keys", "n"), "v").select("v", "n", "side", *GROUP, "vector", earlier)
+    rows = rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Most groups are two or three rows: all that end within a batch are told at once.
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = pa.Table.from_batches([*held, batch])
+            starts = _starts(rows)
+            if len(starts) > 1:
+                yield _links_of(rows.slice(0, starts[-1]), starts[:-1], least)
+            held = rows.slice(starts[-1]).to_batches()
+        if held:
+            yield _links_of(pa.Table.from_batches(held), np.zeros(1, np.int64), least)
+
+    return rows.mapInArrow(run, "v long, linked long, to long")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = COSINE) -> DataFrame:
