@@ -1,8 +1,11 @@
 """Chat formatting by schema fingerprints.
 
-A record's layout is the set of its nested field paths. The hash of those paths picks a
-declarative mapping (``LAYOUTS``), which names where the turns, their roles, texts and order
-lie; so records of many layouts become canonical turns with one expression and no parser.
+A record's layout is the set of those of its nested field paths that some mapping names. The
+hash of these paths picks a declarative mapping (``LAYOUTS``), which names where the turns,
+their roles, texts and order lie; so records of many layouts become canonical turns with one
+expression and no parser. A mapping requires some paths and allows others, and has a hash
+for each choice of those; fields that no mapping names (ids, names, scores) change nothing.
+A record that two mappings claim parts of has a hash of neither.
 Turns are then written with a template of control strings. A control string inside a text
 gets one more backslash after its first character, which reading takes away again.
 
@@ -11,14 +14,18 @@ to hold a conversation. ``read_back`` goes through the segments in order, a batc
 
 Defined results: a null text is empty, a null role is the empty role; turns of a
 conversation come by (turn, role, text), nulls first; turns that repeat all stay; a null
-conversation id is a conversation of its own; records of an unknown layout are returned by
-``unmapped`` and give no turn; an empty table gives an empty result. Other top-level columns
-are part of a record's layout only if they are passed in.
+conversation id is a conversation of its own; an empty list of turns is known and gives no
+turn; a list that is null or no list has no layout; of content that comes in parts the texts
+of the parts are joined; a field that a mapping only allows gives no turn if it is null or
+empty; records of an unknown layout are returned by ``unmapped``, counted by ``by_layout``
+and give no turn; an empty table gives an empty result. Other top-level columns are part of
+a record only if they are passed in.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,15 +47,21 @@ LEARNED = "assistant"
 ROLES = {"human": "user", "user": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "assistant": "assistant", "system": "system"}
 
 
+# Fields nested deeper are told apart by nothing.
+DEPTH = 5
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the canonical turns of a record lie, as variant paths.
 
     ``turns`` is an array of ``role`` and ``text`` paths; or ``fields`` lists (role, path)
-    pairs in order; or the record is one turn itself, with ``turn`` as its place.
+    pairs in order; or the record is one turn itself, with ``turn`` as its place. ``paths``
+    have to be there, ``optional`` ones may be.
     """
 
     paths: tuple[str, ...]
+    optional: tuple[str, ...] = ()
     turns: str = ""
     role: str = ""
     text: str = ""
@@ -56,56 +69,81 @@ class Layout:
     fields: tuple[tuple[str, str], ...] = ()
 
 
+_PARTS = tuple(f"messages[].content[]{x}" for x in ("", ".text", ".type"))
+
 LAYOUTS = (
-    Layout(("conv_id", "role", "text", "turn"), role="$.role", text="$.text", turn="$.turn"),
-    Layout(("messages[]", "messages[].content", "messages[].role"), turns="$.messages", role="$.role", text="$.content"),
-    Layout(("conversations[]", "conversations[].from", "conversations[].value"), turns="$.conversations", role="$.from", text="$.value"),
-    Layout(("completion", "prompt"), fields=(("user", "$.prompt"), ("assistant", "$.completion"))),
-    Layout(("prompt", "response"), fields=(("user", "$.prompt"), ("assistant", "$.response"))),
-    Layout(("instruction", "output"), fields=(("user", "$.instruction"), ("assistant", "$.output"))),
-    Layout(("input", "instruction", "output"), fields=(("user", "$.instruction"), ("user", "$.input"), ("assistant", "$.output"))),
-    Layout(("instruction", "output", "system"), fields=(("system", "$.system"), ("user", "$.instruction"), ("assistant", "$.output"))),
+    Layout(("role", "text", "turn"), role="$.role", text="$.text", turn="$.turn"),
+    Layout(("messages[].content", "messages[].role"), _PARTS, turns="$.messages", role="$.role", text="$.content"),
+    Layout(("messages[].content[].text", "messages[].role"), (_PARTS[0], _PARTS[2]), turns="$.messages", role="$.role", text="$.content"),
+    Layout(("messages[]",), turns="$.messages", role="$.role", text="$.content"),
+    Layout(("conversations[].from", "conversations[].value"), turns="$.conversations", role="$.from", text="$.value"),
+    Layout(("conversations[]",), turns="$.conversations", role="$.from", text="$.value"),
+    Layout(("completion", "prompt"), ("system",), fields=(("system", "$.system"), ("user", "$.prompt"), ("assistant", "$.completion"))),
+    Layout(("prompt", "response"), ("system",), fields=(("system", "$.system"), ("user", "$.prompt"), ("assistant", "$.response"))),
+    Layout(("instruction", "output"), ("input", "system"), fields=(("system", "$.system"), ("user", "$.instruction"), ("user", "$.input"), ("assistant", "$.output"))),
 )
 
 
-def field_paths(record: Column) -> Column:
-    """The sorted nested field paths of a variant, as text: the names of its schema with
-    their nesting, without the types of the leaves."""
-    ddl = F.schema_of_variant(record)
-    return F.regexp_replace(ddl, r": (?!OBJECT<|ARRAY<)[A-Z]+(\([0-9, ]+\))?", "")
+def field_paths(record: Column, depth: int = DEPTH) -> Column:
+    """The nested field paths of a variant: names after dots, ``[]`` for a list's elements."""
 
+    def node(path: Column, value: Column) -> Column:
+        return F.struct(path.alias("path"), value.alias("value"))
 
-def shape_of(paths: tuple[str, ...]) -> str:
-    """What ``field_paths`` gives for a record with these paths."""
-    tree: dict = {}
-    for path in paths:
-        at = tree
-        for part in path.replace("[]", ".[]").split("."):
-            at = at.setdefault(part, {})
+    def opened(n: Column) -> Column:
+        """A node's children, one level down; a leaf stays as it is."""
+        path, value = n["path"], n["value"]
+        kind = F.schema_of_variant(value)
+        entries = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+        elements = F.try_variant_get(value, "$", "array<variant>")
+        inside = F.concat(path, F.lit("[]"))
+        empty = F.array(node(inside, F.lit(None).cast("variant")))
+        return (
+            F.when(kind.startswith("OBJECT<") & (F.size(entries) > 0), F.transform(entries, lambda e: node(F.concat(path, F.lit("."), e["key"]), e["value"])))
+            .when(kind.startswith("ARRAY<") & (F.size(elements) > 0), F.transform(elements, lambda x: node(inside, x)))
+            .when(kind.startswith("ARRAY<"), empty)
+            .otherwise(F.array(n))
+        )
 
-    def shown(node: dict) -> str:
-        if set(node) == {"[]"}:
-            return f"ARRAY<{shown(node['[]'])}>"
-        return "OBJECT<" + ", ".join(f"{k}: {shown(v)}" if v else k for k, v in sorted(node.items())) + ">" if node else ""
+    nodes = F.array(node(F.lit(""), record))
+    for _ in range(depth):
+        nodes = F.flatten(F.transform(nodes, opened))
+    return F.array_distinct(F.transform(nodes, lambda n: F.ltrim(n["path"], F.lit("."))))
 
-    return shown(tree)
 
+def paths_named(layouts: tuple[Layout, ...]) -> list[str]:
+    """All paths that a mapping requires or allows."""
+    return sorted({p for t in layouts for p in t.paths + t.optional})
 
-def fingerprint(record: Column) -> Column:
-    """The hash of a record's nested field paths."""
-    return F.substring(F.sha2(field_paths(record), 256), 1, 16)
 
+def fingerprint(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """The hash of those of a record's nested field paths that a mapping names."""
+    named = F.array(*map(F.lit, paths_named(layouts)))
+    # In the order of ``named``, so in order.
+    return F.substring(F.sha2(F.array_join(F.array_intersect(named, field_paths(record)), "\n"), 256), 1, 16)
 
-def fingerprint_of(paths: tuple[str, ...]) -> str:
-    """The fingerprint of all records with these paths."""
-    return hashlib.sha256(shape_of(paths).encode()).hexdigest()[:16]
+
+def fingerprints_of(layout: Layout) -> list[str]:
+    """The fingerprints of all records that a mapping fits."""
+    chosen = (c for n in range(len(layout.optional) + 1) for c in itertools.combinations(layout.optional, n))
+    return [hashlib.sha256("\n".join(sorted({*layout.paths, *c})).encode()).hexdigest()[:16] for c in chosen]
 
 
 def layout_of(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
     """The place in ``layouts`` whose fingerprint is the record's; null if none is."""
-    known = {fingerprint_of(t.paths): i for i, t in enumerate(layouts)}
+    known: dict[str, int] = {}
+    for i, layout in enumerate(layouts):
+        for key in fingerprints_of(layout):
+            known.setdefault(key, i)
     places = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    return F.try_element_at(places, fingerprint(record))
+    return F.try_element_at(places, fingerprint(record, layouts))
+
+
+def text_of(value: Column) -> Column:
+    """The text of a variant: itself, or the texts of its parts."""
+    part = lambda x: F.coalesce(F.try_variant_get(x, "$.text", "string"), F.lit(""))
+    parts = F.array_join(F.transform(F.try_variant_get(value, "$", "array<variant>"), part), "")
+    return F.when(F.schema_of_variant(value).startswith("ARRAY<"), parts).otherwise(F.try_variant_get(value, "$", "string"))
 
 
 def canonical(records: DataFrame, conv_id: str, record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
@@ -119,12 +157,13 @@ def canonical(records: DataFrame, conv_id: str, record: str, layouts: tuple[Layo
     turns = F.array().cast(f"array<{turn}>")
     for i, layout in enumerate(layouts):
         if layout.turns:
-            one = partial(lambda t, x, k: F.struct(k.cast("long").alias("turn"), called(get(x, t.role, "string")).alias("role"), get(x, t.text, "string").alias("text")), layout)
+            one = partial(lambda t, x, k: F.struct(k.cast("long").alias("turn"), called(get(x, t.role, "string")).alias("role"), text_of(get(x, t.text, "variant")).alias("text")), layout)
             inner = F.transform(get(v, layout.turns, "array<variant>"), lambda x, k: one(x, k))  # noqa: B023
         elif layout.fields:
+            always = [k for k, (_, path) in enumerate(layout.fields) if path.removeprefix("$.") in layout.paths]
             inner = F.filter(
                 F.array(*(F.struct(F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role"), get(v, path, "string").alias("text")) for k, (role, path) in enumerate(layout.fields))),
-                lambda t: (F.coalesce(t["text"], F.lit("")) != "") | (t["role"] != "user"),
+                partial(lambda ks, t: (F.coalesce(t["text"], F.lit("")) != "") | t["turn"].isin(ks), always),
             )
         else:
             inner = F.array(F.struct(get(v, layout.turn, "long").alias("turn"), get(v, layout.role, "string").alias("role"), get(v, layout.text, "string").alias("text")))
@@ -139,6 +178,11 @@ def unmapped(records: DataFrame, record: str, layouts: tuple[Layout, ...] = LAYO
     return records.filter(layout_of(F.col(record), layouts).isNull())
 
 
+def by_layout(records: DataFrame, record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """How many records each layout has: layout (null: none fits), n."""
+    return records.groupBy(layout_of(F.col(record), layouts).alias("layout")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def guard(text: str) -> str:
     return _GUARD.sub(r"\1\\\2\3", text)
 
