@@ -439,11 +439,12 @@ def upsert_vectors(spark, folder):
     upsert_parts(spark, path, changed, "id", 16)
     stored = spark.read.parquet(path)
     untouched = F.col("part") >= 3
-    first = F.col("vector")[0].cast("double")
+    whole = F.when(untouched, F.col("vector")).otherwise(F.transform("vector", lambda x: x * F.lit(2)))
+    millionths = F.transform(whole, lambda x: F.round(x.cast("double") * 1_000_000).cast("long").cast("string"))
     return stored.select(
         "id",
         F.when(untouched, F.col("country")).otherwise(F.col("country") - 100).alias("country"),
-        F.round(F.when(untouched, first).otherwise(first * 2), 6).alias("first"),
+        F.array_join(millionths, ",").alias("millionths"),
     )
 
 

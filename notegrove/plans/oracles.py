@@ -154,7 +154,9 @@ UPSERT_TIES = """SELECT user_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_type DESC, value DESC) = 1"""
 
 UPSERT_VECTORS = f"""WITH {VECS}
-SELECT id, country, round(vector[1], 6) AS first FROM vecs"""
+SELECT id, country, array_to_string(
+    list_transform(vector, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ',') AS millionths
+FROM vecs"""
 
 ALIAS = f"""WITH {PARTS} SELECT id, title, price FROM parts"""
 

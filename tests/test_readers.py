@@ -76,3 +76,15 @@ def test_one_array_is_many_tasks(spark, tmp_path, small_ranges, indent):
     assert [r.id for r in rows] == list(range(1, 76))
     assert [(r.key, r.t) for r in rows] == [(r["key"], r["t"]) for r in got]
     assert {f.name for f in array_to_rows(spark, path).schema} == {"id", "key", "t", "nested"}
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_null_fields_are_kept_or_left_out(spark, tmp_path, keep):
+    rows = spark.createDataFrame([(1, None, 2.5), (2, "a", None), (3, None, None)], "id long, title string, price double")
+    readers.write_lines(rows, str(tmp_path / "lines"), keep_nulls=keep)
+    lines = readers.read_lines(spark, str(tmp_path / "lines" / "*.gz"))
+    got = {v["id"]: v for v in (json.loads(r.line) for r in lines.collect())}
+    whole = {r.id: r.asDict() for r in rows.collect()}
+    assert got == {i: {k: x for k, x in v.items() if keep or x is not None} for i, v in whole.items()}
+    read = lines.select(F.from_json("line", rows.schema).alias("r")).select("r.*")
+    assert sorted(map(tuple, read.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
