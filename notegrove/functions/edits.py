@@ -93,6 +93,11 @@ def swap_distances(a: Column, b: Column) -> Column:
     return F.pandas_udf(measure, "int")(a, b)
 
 
+def beginning(term: Column) -> Column:
+    """The part of a term that its deletion keys are made of."""
+    return term.substr(1, KEY_LETTERS)
+
+
 def deletion_keys(term: Column, edits: int) -> Column:
     """Hashes of every string left of the first ``KEY_LETTERS`` characters after removing up
     to ``edits`` of them.
@@ -101,7 +106,7 @@ def deletion_keys(term: Column, edits: int) -> Column:
     at least one such string: of what is not matched within both beginnings no more has to
     go than there are edits. That turns the fuzzy join into an equality join.
     """
-    keys = F.array(term.substr(1, KEY_LETTERS))
+    keys = F.array(beginning(term))
     step = keys
     for _ in range(edits):
         step = F.flatten(F.transform(step, _drop_each))

@@ -1,8 +1,9 @@
 """Query words to indexed terms: exact, within an edit budget, or by prefix.
 
 Words are matched against the vocabulary, which is far smaller than the texts and grows ever
-more slowly than they do. It is stored twice: in order, so that a prefix is a range of it, and
-by the hashed deletion keys of its terms, so that a typo is an equality join.
+more slowly than they do. It is stored in order, so that a prefix is a range of it. Beside it
+lie the hashed deletion keys of its terms' beginnings, so that a typo is an equality join; many
+terms share a beginning, and its keys are stored once.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegrove.functions.edits import MOST_EDITS, deletion_keys, swap_distances
+from notegrove.functions.edits import MOST_EDITS, beginning, deletion_keys, swap_distances
 from notegrove.functions.text import Analyzer
 from notegrove.workspace import bounded_rows, read_bucketed, small_frame, write_bucketed
 
@@ -24,19 +25,22 @@ MAX_PUSHED_PREFIXES = 50
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """``terms``: term, once each and in order; ``keys``: key, term, bucketed by key."""
+    """``terms``: term, once each and in order; ``keys``: key, beginning, bucketed by key."""
 
     terms: DataFrame
     keys: DataFrame
 
 
 def write_vocabulary(terms: DataFrame, path: str, buckets: int) -> Vocabulary:
-    """Store the different values of ``terms(term)`` in order and by their deletion keys."""
+    """Store the different values of ``terms(term)`` in order, and the deletion keys of their
+    different beginnings."""
     spark = terms.sparkSession
     ordered = terms.select("term").distinct().repartitionByRange("term").sortWithinPartitions("term")
     ordered.write.mode("overwrite").parquet(f"{path}/terms")
     stored = spark.read.parquet(f"{path}/terms")
-    keys = stored.select(F.explode(deletion_keys(F.col("term"), MOST_EDITS)).alias("key"), "term")
+    # A number of parts is named: each beginning grows to dozens of keys in the same task.
+    begun = stored.select(beginning(F.col("term")).alias("beginning")).repartition(buckets, "beginning").distinct()
+    keys = begun.select(F.explode(deletion_keys(F.col("beginning"), MOST_EDITS)).alias("key"), "beginning")
     write_bucketed(keys.repartition(buckets, "key"), f"{path}/keys", buckets, "key", "key")
     return open_vocabulary(spark, path, buckets)
 
@@ -68,25 +72,29 @@ def expand_words(
     edit with ``transpositions``. Nothing is capped: every term that fits is kept.
     """
     wanted = words.select("word", "edits", "prefix").distinct()
-    near = _by_keys(wanted, vocabulary.keys)
+    near = _by_keys(wanted, vocabulary)
     candidates = near.unionByName(_by_prefix(wanted.where(F.col("prefix")), vocabulary.terms))
     return _measured(candidates.distinct(), transpositions)
 
 
-def _by_keys(wanted: DataFrame, keys: DataFrame) -> DataFrame:
-    """Terms that share a deletion key with a word, its budget's number of deletions deep."""
+def _by_keys(wanted: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Terms whose beginning shares a deletion key with a word's, its budget's number of
+    deletions deep."""
     key = F.when(F.col("edits") <= 0, deletion_keys(F.col("word"), 0))
     for n in range(1, MOST_EDITS + 1):
         key = key.when(F.col("edits") == n, deletion_keys(F.col("word"), n))
     asked = wanted.select("*", F.explode(key).alias("key"))
-    rows = bounded_rows(asked)
+    rows, keys, few = bounded_rows(asked), vocabulary.keys, False
     if rows is not None:
         some = sorted({r["key"] for r in rows})
-        if len(some) <= MAX_PUSHED_KEYS:
+        if few := len(some) <= MAX_PUSHED_KEYS:
             keys = keys.where(F.col("key").isin(some))
         asked = small_frame(wanted.sparkSession, rows, asked)
+    begun = keys.join(asked, "key").select("word", "edits", "prefix", "beginning").distinct()
+    terms = vocabulary.terms.select("term", beginning(F.col("term")).alias("beginning"))
+    found = terms.join(F.broadcast(begun) if few else begun, "beginning")
     close = F.abs(F.length("term") - F.length("word")) <= F.col("edits")
-    return keys.join(asked, "key").where(close).select("word", "edits", "prefix", "term")
+    return found.where(close).select("word", "edits", "prefix", "term")
 
 
 def _by_prefix(starts: DataFrame, terms: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -373,6 +374,50 @@ def test_word_in_every_record_is_in_every_shard(spark):
     assert ids(phrase_match(index, ask(spark, "hot w17"))) == [17]
 
 
+@pytest.mark.parametrize("most", [1, 40, 10**6])
+def test_shards_larger_than_a_run_are_laid_out_in_order(spark, monkeypatch, most):
+    """Whole texts travel to the shards; each run of them gives blocks of ascending ids."""
+    from notegrove.operators import text_index
+
+    rng = random.Random(3)
+    texts = {i: [rng.choice(["aa", "b", "ç", "dd", f"w{i}"]) for _ in range(rng.randrange(40))] for i in range(150)}
+    rows = [(i, " ".join(t), "B aa" if i % 3 else None) for i, t in texts.items()]
+    monkeypatch.setattr(text_index, "MOST_TOKENS", most)
+    means = {"t": 7.0, "u": 2.0}
+    held = {(i, "t"): t for i, t in texts.items() if t} | {(i, "u"): ["b", "aa"] for i in texts if i % 3}
+    # Both steps as tasks run them, in one process so that they see the limit.
+    frame = spark.createDataFrame(rows, "id long, t string, u string")
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in ("t", "u")])
+    tokens = frame.select("id", F.inline(pairs)).select("id", "field", STANDARD.tokens(F.col("text")).alias("tokens"))
+    batches = tokens.toArrow().combine_chunks().to_batches(max_chunksize=64)
+    forward = pa.Table.from_batches(list(text_index.group_tokens(iter(batches))))
+    assert forward.num_rows == len(held)
+    dealt = forward.append_column("shard", pc.cast(pc.equal(pc.bit_wise_and(forward["id"], 1), 1), pa.int32()))
+    dealt = dealt.sort_by([("shard", "ascending"), ("id", "ascending")]).combine_chunks()
+    got, seen = {}, {}
+    for block in text_index.to_blocks(means)(iter(dealt.to_batches(max_chunksize=50))):
+        for b in block.to_pylist():
+            key, places = (b["shard"], b["term"], b["field"]), iter(b["positions"])
+            assert b["first"] == b["ids"][0] >= seen.get(key, -1) and b["last"] == b["ids"][-1] and len(b["ids"]) <= 128
+            seen[key] = b["last"] + 1
+            assert b["peak"] == max(share_of(np.array(b["tfs"]), np.array(b["lens"]), means[b["field"]]))
+            for i, size, tf in zip(b["ids"], b["lens"], b["tfs"], strict=True):
+                assert i % 2 == b["shard"] and (i, b["field"], b["term"]) not in got
+                got[i, b["field"], b["term"]] = (size, [next(places) for _ in range(tf)])
+            assert next(places, None) is None
+    assert got == {(i, f, w): (len(t), [p for p, x in enumerate(t) if x == w]) for (i, f), t in held.items() for w in set(t)}
+    # One row a text is what is shuffled, not one row a posting.
+    index = build_index(frame, ["t", "u"], buckets=2)
+    assert index.forward.count() == len(held)
+
+
+def test_terms_with_one_beginning_share_its_keys(spark, tmp_path):
+    terms = spark.range(500).select(F.format_string("beginning%d", "id").alias("term"))
+    one = expansion.write_vocabulary(terms.limit(1), str(tmp_path / "one"), 3)
+    many = expansion.write_vocabulary(terms, str(tmp_path / "many"), 3)
+    assert many.keys.count() == one.keys.count() > 0 and many.terms.count() == 500
+
+
 # --- One shard ---
 
 
