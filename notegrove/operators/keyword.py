@@ -58,7 +58,9 @@ def _query_blocks(wanted: DataFrame) -> Iterator[list[Row]]:
     wanted = materialize(wanted, "query-terms")
     n = 1 + 2 * wanted.count() // MAX_PARAMETER_ROWS
     for i in range(n):
-        yield wanted.where(F.pmod(F.xxhash64("qid"), F.lit(n)) == i).collect()
+        # A query lies in one block: with few queries of many terms most blocks are empty.
+        if rows := wanted.where(F.pmod(F.xxhash64("qid"), F.lit(n)) == i).collect():
+            yield rows
 
 
 def _searched(
