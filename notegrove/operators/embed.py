@@ -9,13 +9,16 @@ from functools import lru_cache
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notegrove.functions.vectors import unit
 from notegrove.schema import VECTOR_DIM
 
+# Texts that are Python strings at once in a task.
+TEXTS_AT_ONCE = 256
+
 
 class Embedder(Protocol):
     """Anything that turns texts into rows of a float matrix. It is pickled to the tasks,
@@ -155,17 +158,22 @@ def embed(
 ) -> DataFrame:
     """``df`` with the embedding of its lower-cased text; null text embeds as empty.
 
-    The model is loaded once per Python worker and fed whole Arrow batches.
+    The model is loaded once per Python worker and fed ``TEXTS_AT_ONCE`` texts at a time, so
+    that a task holds few texts as Python strings, however many an Arrow batch has.
     """
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         embedder.load()
         for texts in batches:
-            matrix = np.asarray(embedder.encode(texts.tolist()), dtype=np.float32)
-            yield pd.Series(list(matrix))
-
-    # Declared here so that pandas_udf reads the iterator type from the hints.
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    to_vector = F.pandas_udf(run, "array<float>")
+            matrix = np.empty((len(texts), embedder.dim), dtype=np.float32)
+            for lo in range(0, len(texts), TEXTS_AT_ONCE):
+                some = texts.slice(lo, TEXTS_AT_ONCE).to_pylist()
+                matrix[lo : lo + len(some)] = embedder.encode(some)
+            offsets = np.arange(len(texts) + 1, dtype=np.int32) * embedder.dim
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
+
+    # Declared here so that arrow_udf reads the iterator type from the hints.
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    to_vector = F.arrow_udf(run, "array<float>")
     text = F.coalesce(F.lower(F.col(text_col)), F.lit(""))
     return df.withColumn(vector_col, to_vector(text))

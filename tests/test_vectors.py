@@ -371,3 +371,23 @@ def test_places_in_a_whole_list(spark):
     want = {r[0]: i + 1 for i, r in enumerate(order)}
     got = {r.id: r.rank for r in places_in(scored, [3, 50, 99, 12, 777], [-F.col("score"), F.col("id")]).collect()}
     assert got == {i: want[i] for i in (3, 50, 99, 12)}
+
+
+def test_embedding_takes_few_texts_at_a_time(spark):
+    """A batch of Arrow may hold thousands of long texts; a model gets slices of it."""
+    from notegrove.operators.embed import TEXTS_AT_ONCE
+
+    class Sizes:
+        dim = 2
+
+        def load(self):
+            pass
+
+        def encode(self, texts):
+            return np.array([[len(texts), len(t)] for t in texts], dtype=float)
+
+    rows = spark.range(0, 1000, 1, 1).select("id", F.when(F.col("id") != 7, F.concat(F.lit("A"), "id")).alias("t"))
+    got = {r.id: r.v for r in embed(rows, "t", Sizes(), "v").collect()}
+    assert len(got) == 1000 and max(v[0] for v in got.values()) <= TEXTS_AT_ONCE
+    assert got[7][1] == 0 and got[999][1] == 4
+    assert embed(rows.limit(0), "t", Sizes(), "v").count() == 0
