@@ -53,6 +53,8 @@ class AnnIndex:
     codes: DataFrame
 
 
+# Vectors that a task keeps in memory, in double precision, while the lists' centres are found.
+VECTORS_PER_TASK = 10_000
 # Fixed value: the usual size of a list.
 VECTORS_PER_LIST = 5_000
 
@@ -100,7 +102,7 @@ def build_ann_index(
         raise ValueError(f"{subvectors} sub-vectors do not divide {dim} dimensions")
     if n < max(lists, codes):
         raise ValueError(f"{n} vectors are too few for {lists} lists and {codes} codes")
-    centroids = _coarse(rows, lists, seed)
+    centroids = _coarse(rows, n, lists, seed)
     books = _codebooks(rows, centroids, subvectors, codes, rounds)
 
     schema = "id long, vector array<float>, list_id int, filed array<struct<list_id:int,codes:binary>>"
@@ -213,8 +215,15 @@ def _nearest_lists(matrix: np.ndarray, centroids: np.ndarray, nprobes: int) -> n
     return np.concatenate(parts)
 
 
-def _coarse(rows: DataFrame, lists: int, seed: int) -> np.ndarray:
-    points = rows.select(array_to_vector("vector").alias("features"))
+def training_parts(rows: DataFrame, n: int) -> DataFrame:
+    """The vectors in parts of about ``VECTORS_PER_TASK``. Spark's files are split by their
+    compressed size, of which sparse vectors take many times as much in memory."""
+    parts = -(-n // VECTORS_PER_TASK)
+    return rows if rows.rdd.getNumPartitions() >= parts else rows.repartition(parts, "id")
+
+
+def _coarse(rows: DataFrame, n: int, lists: int, seed: int) -> np.ndarray:
+    points = training_parts(rows, n).select(array_to_vector("vector").alias("features"))
     model = KMeans(k=lists, seed=seed, maxIter=10, distanceMeasure="cosine").fit(points)
     return unit_rows(np.array(model.clusterCenters(), dtype=np.float64))
 

@@ -391,3 +391,23 @@ def test_embedding_takes_few_texts_at_a_time(spark):
     assert len(got) == 1000 and max(v[0] for v in got.values()) <= TEXTS_AT_ONCE
     assert got[7][1] == 0 and got[999][1] == 4
     assert embed(rows.limit(0), "t", Sizes(), "v").count() == 0
+
+
+def test_training_keeps_a_bounded_number_of_vectors_a_task(spark, monkeypatch, tmp_path):
+    """Equal vectors shrink to a small file, one split of it; in memory they do not."""
+    rows = spark.range(0, 3000, 1, 1).select("id", F.array([F.lit(1.0).cast("float")] + [(F.col("id") % 7).cast("float")] * 7).alias("vector"))
+    rows.write.parquet(str(tmp_path / "v"))
+    stored = spark.read.parquet(str(tmp_path / "v"))
+    monkeypatch.setattr(ivfpq, "VECTORS_PER_TASK", 100)
+    sizes = []
+    parts = ivfpq.training_parts
+
+    def spy(*args):
+        dealt = parts(*args)
+        sizes.extend(dealt.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect())
+        return dealt
+
+    monkeypatch.setattr(ivfpq, "training_parts", spy)
+    index = build_ann_index(stored, lists=4, subvectors=2, codes=4, rounds=1)
+    assert sum(sizes) == 3000 and max(sizes) <= 200 and index.vectors.rows.count() == 3000
+    assert parts(stored, 50).rdd.getNumPartitions() == stored.rdd.getNumPartitions()
