@@ -411,6 +411,15 @@ def test_shards_larger_than_a_run_are_laid_out_in_order(spark, monkeypatch, most
     assert index.forward.count() == len(held)
 
 
+def test_blocks_without_a_query_are_not_searched(spark, monkeypatch):
+    from notegrove.operators import keyword
+
+    wanted = spark.createDataFrame([(1, f"w{i}") for i in range(9)], "qid int, term string")
+    monkeypatch.setattr(keyword, "bounded_rows", lambda df, *a: None)
+    monkeypatch.setattr(keyword, "MAX_PARAMETER_ROWS", 4)
+    assert [len(rows) for rows in keyword._query_blocks(wanted)] == [9]
+
+
 def test_terms_with_one_beginning_share_its_keys(spark, tmp_path):
     terms = spark.range(500).select(F.format_string("beginning%d", "id").alias("term"))
     one = expansion.write_vocabulary(terms.limit(1), str(tmp_path / "one"), 3)
