@@ -102,7 +102,7 @@ def build_ann_index(
         raise ValueError(f"{subvectors} sub-vectors do not divide {dim} dimensions")
     if n < max(lists, codes):
         raise ValueError(f"{n} vectors are too few for {lists} lists and {codes} codes")
-    centroids = _coarse(rows, n, lists, seed)
+    centroids = _coarse(rows, n, dim, lists, seed)
     books = _codebooks(rows, centroids, subvectors, codes, rounds)
 
     schema = "id long, vector array<float>, list_id int, filed array<struct<list_id:int,codes:binary>>"
@@ -222,7 +222,12 @@ def training_parts(rows: DataFrame, n: int) -> DataFrame:
     return rows if rows.rdd.getNumPartitions() >= parts else rows.repartition(parts, "id")
 
 
-def _coarse(rows: DataFrame, n: int, lists: int, seed: int) -> np.ndarray:
+def _coarse(rows: DataFrame, n: int, dim: int, lists: int, seed: int) -> np.ndarray:
+    # The vector of a text without a word is zero: it has no direction to move a centre in, and
+    # KMeans refuses it. It is filed like any other, in the first list, since it is near to none.
+    rows = rows.where(F.exists("vector", lambda x: x != 0))
+    if rows.isEmpty():
+        return np.zeros((1, dim))
     points = training_parts(rows, n).select(array_to_vector("vector").alias("features"))
     model = KMeans(k=lists, seed=seed, maxIter=10, distanceMeasure="cosine").fit(points)
     return unit_rows(np.array(model.clusterCenters(), dtype=np.float64))

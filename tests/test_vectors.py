@@ -183,6 +183,20 @@ def test_second_pass_reads_places(ann, queries, plan):
     assert read and not any("vector" in line for line in read)
 
 
+@pytest.mark.parametrize("zeros", [3, 599, 600])
+def test_vectors_without_direction_are_filed(spark, data, queries, zeros):
+    """A text without a word embeds as zeros; it trains no centre, but is indexed and found."""
+    m = data.copy()
+    m[:zeros] = 0
+    rows = [(i, v.tolist()) for i, v in enumerate(m)]
+    stored = spark.createDataFrame(rows, "id long, vector array<float>").repartition(5)
+    index = build_ann_index(stored, lists=4, subvectors=4, codes=64, rounds=2)
+    assert index.vectors.rows.count() == 600 and np.isfinite(index.centroids).all()
+    want = by_query(knn(stored, queries, 600))
+    same(by_query(ann_search(index, queries, 600, quantised=False)), want)
+    same(by_query(ann_search(index, queries, 600, refine=2)), want)
+
+
 def test_index_keeps_every_row_once(ann):
     rows = ann.vectors.rows
     assert rows.count() == 600 and rows.select("id").distinct().count() == 600
