@@ -137,7 +137,7 @@ def ann_search(
     queries: DataFrame,
     k: int = TOP_K,
     *,
-    nprobes: int = ANN_PROBES,
+    nprobes: int | None = ANN_PROBES,
     refine: int | None = 10,
     quantised: bool = True,
     vector_col: str = "vector",
@@ -148,8 +148,8 @@ def ann_search(
     With ``quantised`` the first pass reads the codes only and keeps the ``refine * k`` best
     places per query (of equal ones the lower); the second scores the vectors at these places
     exactly (``refine=None`` trusts the codes). Without it every vector whose first list is
-    probed is scored exactly; with all lists probed that is the exact search. ``nprobes``
-    beyond the number of lists means all of them.
+    probed is scored exactly; with all lists probed that is the exact search. ``nprobes=None``
+    probes all lists, however many there are, and so does a number beyond theirs.
     """
     found = None
     dim = index.centroids.shape[1]
@@ -163,13 +163,13 @@ def ann_search(
 
 def _search_block(index, names, matrix, queries, k, nprobes, refine, quantised) -> DataFrame:
     spark = index.codes.sparkSession
-    near = _nearest_lists(matrix, index.centroids, nprobes)
+    every = nprobes is None or nprobes >= len(index.centroids)
+    near = None if every else _nearest_lists(matrix, index.centroids, nprobes)
     qid = queries.schema["qid"].dataType.simpleString()
     schema = f"qid {qid}, id long, score double"
     order = [F.desc("score"), F.asc("id")]
     if not quantised:
-        probed = sorted({int(i) for i in near.ravel()})
-        rows = index.vectors.rows.where(F.col("list_id").isin(probed)).select("id", "list_id", "vector")
+        rows = _probed(index.vectors.rows, near).select("id", "list_id", "vector")
         scan = _prober(spark, names, matrix, near, index, k, False)
         return top_k_per(rows.mapInArrow(scan, schema), ["qid"], order, k)
     best = first_pass(index, names, matrix, near, schema, k * (refine or 1))
@@ -185,8 +185,7 @@ def _search_block(index, names, matrix, queries, k, nprobes, refine, quantised)
 def first_pass(index: AnnIndex, names, matrix, near, schema: str, keep: int) -> DataFrame:
     """``qid, place, score`` of the best by their codes. Every task sends ``keep`` different
     places per query; a place that is filed twice counts by its better score."""
-    probed = sorted({int(i) for i in near.ravel()})
-    rows = index.codes.where(F.col("list_id").isin(probed)).select(F.col("place").alias("id"), "list_id", "codes")
+    rows = _probed(index.codes, near).select(F.col("place").alias("id"), "list_id", "codes")
     scan = _prober(index.codes.sparkSession, names, matrix, near, index, 2 * keep, True)
     once = rows.mapInArrow(scan, schema).groupBy("qid", "id").agg(F.max("score").alias("score"))
     found = top_k_per(once, ["qid"], [F.desc("score"), F.asc("id")], keep)
@@ -204,9 +203,13 @@ def _at_places(index: AnnIndex, best: DataFrame, at_most: int) -> DataFrame:
     return few.join(F.broadcast(best.sparkSession.createDataFrame(rows, best.schema)), "place")
 
 
+def _probed(rows: DataFrame, near: np.ndarray | None) -> DataFrame:
+    """The rows of the lists that any query probes; of all lists without ``near``."""
+    return rows if near is None else rows.where(F.col("list_id").isin(sorted({int(i) for i in near.ravel()})))
+
+
 def _nearest_lists(matrix: np.ndarray, centroids: np.ndarray, nprobes: int) -> np.ndarray:
     """The lists each query probes, worked out for a few queries at a time."""
-    nprobes = min(nprobes, len(centroids))
     step = max(1, TILE_SCORES // len(centroids))
     parts = [
         np.argsort(-(matrix[at : at + step] @ centroids.T), axis=1, kind="stable")[:, :nprobes]
@@ -367,9 +370,9 @@ def _encoder(spark: SparkSession, centroids: np.ndarray, books: np.ndarray):
 
 
 def _prober(spark, names, matrix, near, index: AnnIndex, k: int, quantised: bool):
-    """Scores the rows of each list against the queries that probe it."""
-    asking = {}
-    for q, row in enumerate(near):
+    """Scores the rows of each list against the queries that probe it; without ``near`` all do."""
+    asking = None if near is None else {}
+    for q, row in enumerate(() if near is None else near):
         for list_id in row:
             asking.setdefault(int(list_id), []).append(q)
     shared = spark.sparkContext.broadcast((names, matrix, asking, index.centroids, index.books))
@@ -377,7 +380,7 @@ def _prober(spark, names, matrix, near, index: AnnIndex, k: int, quantised: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, q, asking, centroids, books = shared.value
         m, _, width = books.shape
-        best = BestOf(len(qids), k)
+        best, everyone = BestOf(len(qids), k), range(len(qids))
         for batch in batches:
             ids = batch.column("id").to_numpy()
             lists = batch.column("list_id").to_numpy()
@@ -385,7 +388,7 @@ def _prober(spark, names, matrix, near, index: AnnIndex, k: int, quantised: bool
             rows = _codes_of(column, m) if quantised else unit_rows(matrix_of(column, m * width))
             for list_id in np.unique(lists):
                 at = np.nonzero(lists == list_id)[0]
-                mine = np.array(asking.get(int(list_id), ()), dtype=np.int64)
+                mine = np.array(everyone if asking is None else asking.get(int(list_id), ()), dtype=np.int64)
                 for i in range(0, len(mine), TILE_QUERIES):
                     some = mine[i : i + TILE_QUERIES]
                     if quantised:

@@ -241,10 +241,11 @@ class StrictVectorQuestions(VectorQuestions):
 
 @dataclass(frozen=True)
 class AnnQuestions(VectorQuestions):
-    """Approximate neighbours; filters run after the search, so fewer than k may remain."""
+    """Approximate neighbours; filters run after the search, so fewer than k may remain.
+    ``nprobes=None`` probes all lists; with ``quantised=False`` that is the exact answer."""
 
     ann: AnnIndex = None
-    nprobes: int = ANN_PROBES
+    nprobes: int | None = ANN_PROBES
     quantised: bool = True
 
     def _search(self, terms: str, k: int, prefilter: Column | None = None) -> DataFrame:

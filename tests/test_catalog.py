@@ -3,6 +3,7 @@
 import pytest
 from check_oracles import compare, connect
 
+from notegrove.operators import ivfpq
 from notegrove.plans import catalog
 
 
@@ -20,6 +21,20 @@ def test_query(spark, folder, con, name):
         assert df.count() > 0
 
 
+@pytest.fixture
+def many_lists(monkeypatch):
+    """Indexes of many more lists than a search probes by default, as large tables have."""
+    monkeypatch.setattr(ivfpq, "VECTORS_PER_LIST", 2)
+    built = {key: made for key, made in catalog._built.items() if key[2] not in ("ann", "doc-ann")}
+    monkeypatch.setattr(catalog, "_built", built)
+
+
+def test_full_probe_of_documents_reads_every_list(spark, folder, con, many_lists):
+    for name in ("ann_full_probe", "ann_full_probe_by_country", "ann_full_probe_by_filters"):
+        assert compare(catalog.QUERIES[name](spark, folder), con, catalog.ORACLES[name]) is None, name
+    assert len(catalog.doc_ann_index(spark, folder).centroids) > 50
+
+
 def test_contract(spark):
     import __spark_entry__ as contract
 

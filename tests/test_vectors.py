@@ -157,6 +157,15 @@ def test_all_lists_probed_without_codes_is_exact(ann, vectors, queries, data):
     same(by_query(ann_search(ann, queries, 7, nprobes=20, quantised=False)), brute(data, queries, 7))
 
 
+@pytest.mark.parametrize("quantised", [False, True])
+def test_all_lists_are_probed_however_many(vectors, queries, data, quantised):
+    many = build_ann_index(vectors, lists=30, subvectors=4, codes=64, rounds=1)
+    assert len(many.centroids) > 20
+    found = by_query(ann_search(many, queries, 600, nprobes=None, refine=1, quantised=quantised))
+    same(found, brute(data, queries, 600))
+    assert all(len(hits) < 600 for hits in by_query(ann_search(many, queries, 600, quantised=quantised)).values())
+
+
 def test_codes_with_refinement_find_most(ann, vectors, queries, data):
     got = by_query(ann_search(ann, queries, 5, refine=60))
     want = brute(data, queries, 5)
