@@ -39,6 +39,8 @@ CODES = 256  # one byte per sub-vector
 TILE_QUERIES = 64
 # A vector is filed in a second list whose centre is at most so many times as far.
 SECOND_LIST = 1.1
+# Stands for a missing id in a task: it comes behind every other.
+NO_ID = 2**63 - 1
 
 
 @dataclass(frozen=True)
@@ -140,6 +142,7 @@ def ann_search(
     nprobes: int | None = ANN_PROBES,
     refine: int | None = 10,
     quantised: bool = True,
+    named: bool = False,
     vector_col: str = "vector",
     max_block_bytes: int = QUERY_BLOCK_BYTES,
 ) -> DataFrame:
@@ -149,29 +152,33 @@ def ann_search(
     places per query (of equal ones the lower); the second scores the vectors at these places
     exactly (``refine=None`` trusts the codes). Without it every vector whose first list is
     probed is scored exactly; with all lists probed that is the exact search. ``nprobes=None``
-    probes all lists, however many there are, and so does a number beyond theirs.
+    probes all lists, however many there are, and so does a number beyond theirs. A row without
+    an id comes behind all that are level with it; ``named`` leaves it out, where hits are to be
+    joined to their rows.
     """
     found = None
     dim = index.centroids.shape[1]
     for names, matrix in query_blocks(queries, vector_col, dim, max_block_bytes):
-        part = _search_block(index, names, matrix, queries, k, nprobes, refine, quantised)
+        part = _search_block(index, names, matrix, queries, k, nprobes, refine, quantised, named)
         found = part if found is None else found.unionByName(part)
     if found is None:
         raise ValueError("no queries")
     return found
 
 
-def _search_block(index, names, matrix, queries, k, nprobes, refine, quantised) -> DataFrame:
+def _search_block(index, names, matrix, queries, k, nprobes, refine, quantised, named) -> DataFrame:
     spark = index.codes.sparkSession
     every = nprobes is None or nprobes >= len(index.centroids)
     near = None if every else _nearest_lists(matrix, index.centroids, nprobes)
     qid = queries.schema["qid"].dataType.simpleString()
     schema = f"qid {qid}, id long, score double"
-    order = [F.desc("score"), F.asc("id")]
+    order = [F.desc("score"), F.asc_nulls_last("id")]
+    kept = F.col("id").isNotNull() if named else F.lit(True)
     if not quantised:
-        rows = _probed(index.vectors.rows, near).select("id", "list_id", "vector")
+        rows = _probed(index.vectors.rows, near).where(kept).select("id", "list_id", "vector")
         scan = _prober(spark, names, matrix, near, index, k, False)
-        return top_k_per(rows.mapInArrow(scan, schema), ["qid"], order, k)
+        found = top_k_per(rows.mapInArrow(scan, schema), ["qid"], order, k)
+        return found.withColumn("id", F.nullif(F.col("id"), F.lit(NO_ID)))
     best = first_pass(index, names, matrix, near, schema, k * (refine or 1))
 
     if refine is None:
@@ -179,7 +186,7 @@ def _search_block(index, names, matrix, queries, k, nprobes, refine, quantised)
     else:
         rows = _at_places(index, best, len(names) * k * refine).select("qid", "id", "vector")
         rows = rows.mapInArrow(_rescorer(spark, names, matrix), schema)
-    return top_k_per(rows, ["qid"], order, k)
+    return top_k_per(rows.where(kept), ["qid"], order, k)
 
 
 def first_pass(index: AnnIndex, names, matrix, near, schema: str, keep: int) -> DataFrame:
@@ -382,7 +389,7 @@ def _prober(spark, names, matrix, near, index: AnnIndex, k: int, quantised: bool
         m, _, width = books.shape
         best, everyone = BestOf(len(qids), k), range(len(qids))
         for batch in batches:
-            ids = batch.column("id").to_numpy()
+            ids = batch.column("id").fill_null(NO_ID).to_numpy()
             lists = batch.column("list_id").to_numpy()
             column = batch.column("codes" if quantised else "vector")
             rows = _codes_of(column, m) if quantised else unit_rows(matrix_of(column, m * width))

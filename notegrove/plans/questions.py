@@ -250,7 +250,7 @@ class AnnQuestions(VectorQuestions):
 
     def _search(self, terms: str, k: int, prefilter: Column | None = None) -> DataFrame:
         hits = ann_search(
-            self.ann, self._vector(terms), k, nprobes=self.nprobes, quantised=self.quantised
+            self.ann, self._vector(terms), k, nprobes=self.nprobes, quantised=self.quantised, named=True
         )
         found = with_rows(hits.drop("qid"), self.reviews, PLACE_COLUMNS, k, self.store)
         return _show(found if prefilter is None else found.where(prefilter), PLACE_COLUMNS)

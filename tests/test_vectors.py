@@ -206,6 +206,19 @@ def test_vectors_without_direction_are_filed(spark, data, queries, zeros):
     same(by_query(ann_search(index, queries, 600, refine=2)), want)
 
 
+@pytest.mark.parametrize("quantised", [False, True])
+def test_rows_without_id_come_last_of_equal_ones(spark, data, queries, quantised):
+    rows = [(i, v.tolist()) for i, v in enumerate(data)] + [(None, data[100].tolist()), (2**61 + 1, data[100].tolist())]
+    stored = spark.createDataFrame(rows, "id long, vector array<float>").repartition(5)
+    index = build_ann_index(stored, lists=4, subvectors=4, codes=64, rounds=2)
+    found = by_query(ann_search(index, queries, 300, nprobes=None, refine=3, quantised=quantised))["q100"]
+    assert [i for i, _ in found[:203]] == [100, *range(400, 600), 2**61 + 1, None]
+    assert {s for _, s in found[:203]} == {1.0} and found[203][1] < 1
+    named = by_query(ann_search(index, queries, 300, nprobes=None, refine=3, quantised=quantised, named=True))["q100"]
+    assert [i for i, _ in named[:202]] == [100, *range(400, 600), 2**61 + 1] and len(named) == 300
+    assert None not in {i for i, _ in named}
+
+
 def test_index_keeps_every_row_once(ann):
     rows = ann.vectors.rows
     assert rows.count() == 600 and rows.select("id").distinct().count() == 600
